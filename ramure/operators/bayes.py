@@ -73,7 +73,7 @@ def nb_score(df: DataFrame, counts: Counts, text: str, key: str = "id", alpha: f
     gathered = sums.groupBy("id").agg(
         F.max(F.when(F.col("label").isNull(), F.col("w"))).alias("known"),
         F.map_from_entries(F.collect_list(F.when(F.col("label").isNotNull(), F.struct("label", "w")))).alias("found"))
-    scored = gathered.withColumn("scores", F.transform(table, lambda c: F.struct(
+    scored = gathered.withColumn("classes", table).withColumn("scores", F.transform("classes", lambda c: F.struct(
         (-(c["log_n"] + F.col("known") * c["log_unseen"] + F.coalesce(F.try_element_at("found", c["label"]), F.lit(0.0)))).alias("neg"),
         c["label"].alias("code"))))
     best = F.array_min("scores")["neg"]

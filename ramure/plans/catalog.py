@@ -1,6 +1,6 @@
 """Importing this module registers every query."""
 
-from ramure.plans import analytics_queries, evaluation_queries, model_queries, text_queries  # noqa: F401
+from ramure.plans import analytics_queries, evaluation_queries, model_queries, request_queries, text_queries  # noqa: F401
 from ramure.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -123,4 +123,4 @@ def register(name: str, build: Callable[[Inputs], DataFrame], sql: str | None =
             if prepared in text.replace("report_base", "" if prepared == "base" else "report_base"):
                 for need in (*_PREPARED_NEEDS[prepared], prepared):
                     extra[need] = PREPARED[need]
-        ORACLES[name] = " ".join(with_views(sql, {**extra, **(ctes or {})}).split())
+        ORACLES[name] = with_views(sql, {**extra, **(ctes or {})})
