@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,25 +54,43 @@ def _col(column: Column | str) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with the value computed once, however often the body mentions it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _is_ascii(text: Column) -> Column:
+    return F.length(text) == F.octet_length(text)
+
+
+def _spelled_out(text: Column) -> Column:
+    for sign, spelling in EXPANSIONS.items():
+        text = F.replace(text, F.lit(sign), F.lit(spelling))
+    return F.regexp_replace(text, r"[^\x00-\x7F]", "")
+
+
 def transliterate(column: Column | str) -> Column:
     """NULL to '', then ASCII: accents removed, ligatures and signs spelled out, the rest dropped."""
     text = F.coalesce(_col(column), F.lit(""))
-    spelled = F.translate(text, "".join(SINGLE_LETTERS), "".join(SINGLE_LETTERS.values()))
-    for sign, spelling in EXPANSIONS.items():
-        spelled = F.replace(spelled, F.lit(sign), F.lit(spelling))
-    plain = F.regexp_replace(spelled, r"[^\x00-\x7F]", "")
-    # texts that are ASCII already skip the whole chain
-    return F.when(F.length(text) == F.octet_length(text), text).otherwise(plain)
+    letters = F.translate(text, "".join(SINGLE_LETTERS), "".join(SINGLE_LETTERS.values()))
+    # texts that are ASCII skip the letters, and those that are then ASCII skip the signs
+    plain = _let(letters, lambda t: F.when(_is_ascii(t), t).otherwise(_spelled_out(t)))
+    return F.when(_is_ascii(text), text).otherwise(plain)
+
+
+def _without_empty_label(text: Column) -> Column:
+    """Drop the words that say a label is empty; the cheap search first, as few texts have them."""
+    there = F.contains(text, F.lit("rien")) | F.contains(text, F.lit("\rien"))
+    return F.when(there, F.regexp_replace(text, r"\brien\b|\rien du tout\b", "")).otherwise(text)
 
 
 def _clean_tokens(text: Column) -> Column:
     """Words longer than one character left after the noise steps, in order."""
-    empty_label = r"\brien\b|\rien du tout\b"
-    text = F.regexp_replace(text, empty_label, "")
-    text = F.regexp_replace(text, r"[^\w\s]+", " ")
-    text = F.regexp_replace(text, empty_label, "")
-    text = F.regexp_replace(text, r"[\d+]", " ")
-    return F.filter(F.split(text, r"\s+"), lambda word: F.length(word) > 1)
+    text = _let(text, _without_empty_label)
+    text = _let(F.regexp_replace(text, r"[^\w\s]+", " "), _without_empty_label)
+    # digits, plus signs and white space all end a word
+    words = F.split(F.regexp_replace(text, r"[\d+\s]+", " "), " ")
+    return F.filter(words, lambda word: F.length(word) > 1)
 
 
 def strip_noise(column: Column | str) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ramure.functions.ngrams import char_ngrams
@@ -73,9 +73,12 @@ def nb_score(df: DataFrame, counts: Counts, text: str, key: str = "id", alpha: f
     gathered = sums.groupBy("id").agg(
         F.max(F.when(F.col("label").isNull(), F.col("w"))).alias("known"),
         F.map_from_entries(F.collect_list(F.when(F.col("label").isNotNull(), F.struct("label", "w")))).alias("found"))
-    scored = gathered.withColumn("classes", table).withColumn("scores", F.transform("classes", lambda c: F.struct(
-        (-(c["log_n"] + F.col("known") * c["log_unseen"] + F.coalesce(F.try_element_at("found", c["label"]), F.lit(0.0)))).alias("neg"),
-        c["label"].alias("code"))))
+    def score(c: Column) -> Column:
+        neg = -(c["log_n"] + F.col("known") * c["log_unseen"] + F.coalesce(F.try_element_at("found", c["label"]), F.lit(0.0)))
+        # the order is compared to nine digits, so that equal scores stay equal however they were added up
+        return F.struct(F.round(neg, 9).alias("order"), c["label"].alias("code"), neg.alias("neg"))
+
+    scored = gathered.withColumn("classes", table).withColumn("scores", F.transform("classes", score))
     best = F.array_min("scores")["neg"]
     normal = F.aggregate("scores", F.lit(0.0), lambda acc, s: acc + F.exp(best - s["neg"]))
     ranked = scored.select("id", best.alias("best"), normal.alias("normal"),

@@ -66,7 +66,7 @@ def assemble_batches(df: DataFrame, record: str, key: str, size: int = 20, bucke
     Rows are numbered inside hash buckets of the unique key, so no task orders the whole table; each bucket may end in
     a short batch. `buckets` sets how many rows one task orders.
     """
-    bucket = F.pmod(F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 6), 16, 10).cast("int"), F.lit(buckets))
+    bucket = F.pmod(F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 7), 16, 10).cast("int"), F.lit(buckets))
     numbered = df.select(F.col(key).alias("key"), F.col(record).alias("record"), bucket.alias("bucket")).withColumn(
         "rn", F.row_number().over(W.partitionBy("bucket").orderBy("key")))
     batch = F.floor((F.col("rn") - 1) / size).cast("int")

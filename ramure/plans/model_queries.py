@@ -235,7 +235,7 @@ def nb_sql(top: int) -> dict[str, str]:
         "loglik": "SELECT b.k, s.l, prior + sum(tf * (ln(coalesce(m.n, 0) + 1) - den)) AS score FROM bags b CROSS JOIN norms s "
                   "LEFT JOIN model m ON m.l = s.l AND m.ngram = b.ngram GROUP BY b.k, s.l, prior, den",
         "soft": "SELECT k, l, exp(score - max(score) OVER (PARTITION BY k)) / sum(exp(score - mx)) OVER (PARTITION BY k) AS conf, "
-                f"row_number() OVER (PARTITION BY k ORDER BY score DESC, l) AS rank FROM (SELECT *, max(score) OVER (PARTITION BY k) AS mx FROM loglik) x",
+                f"row_number() OVER (PARTITION BY k ORDER BY round(-score, 9), l) AS rank FROM (SELECT *, max(score) OVER (PARTITION BY k) AS mx FROM loglik) x",
         "ranked": f"SELECT * FROM soft WHERE rank <= {top}",
     }
 

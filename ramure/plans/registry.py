@@ -14,6 +14,8 @@ from ramure.operators.analytics import enrich_predictions
 from ramure.operators.evaluate import ensure_predicted_levels
 from ramure.plans.fixtures import Views, with_views
 
+SHIFT = 1e-9
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -37,9 +39,9 @@ class Inputs(Views):
 
 
 def _rounded(df: DataFrame) -> DataFrame:
-    """Doubles to six digits, so that the order of additions can't show."""
+    """Doubles to six digits, so that the order of additions can't show; the shift keeps exact halves off the edge."""
     return df.select(*[
-        F.round(F.col(f"`{field.name}`"), 6).alias(field.name) if isinstance(field.dataType, T.DoubleType)
+        F.round(F.col(f"`{field.name}`") + SHIFT, 6).alias(field.name) if isinstance(field.dataType, T.DoubleType)
         else F.col(f"`{field.name}`")
         for field in df.schema.fields
     ])
@@ -123,4 +125,5 @@ def register(name: str, build: Callable[[Inputs], DataFrame], sql: str | None =
             if prepared in text.replace("report_base", "" if prepared == "base" else "report_base"):
                 for need in (*_PREPARED_NEEDS[prepared], prepared):
                     extra[need] = PREPARED[need]
-        ORACLES[name] = with_views(sql, {**extra, **(ctes or {})})
+        # the same rounding rule as `_rounded`
+        ORACLES[name] = with_views(sql, {**extra, **(ctes or {})}).replace(", 6)", f" + {SHIFT}, 6)")

@@ -96,7 +96,7 @@ def batches_sql(record: str, size: int, buckets: int) -> str:
     return f"""SELECT bucket, batch, count(*) AS n, CAST(to_json(list(record ORDER BY rn)) AS VARCHAR) AS payload
         FROM (SELECT *, CAST((rn - 1) // {size} AS INTEGER) AS batch FROM (
               SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY id) AS rn FROM (
-              SELECT id, {record} AS record, CAST(CAST(('0x' || left(md5(CAST(id AS VARCHAR)), 6)) AS BIGINT) % {buckets} AS INTEGER) AS bucket FROM preds) b) n) r
+              SELECT id, {record} AS record, CAST(CAST(('0x' || left(md5(CAST(id AS VARCHAR)), 7)) AS BIGINT) % {buckets} AS INTEGER) AS bucket FROM preds) b) n) r
         GROUP BY bucket, batch"""
 
 
