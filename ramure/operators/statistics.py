@@ -13,8 +13,8 @@ def exact_median(df: DataFrame, value: str, keys: Sequence[str] = (), accuracy:
     """Interpolated median of the non-NULL values per key: `keys, median, n`.
 
     A mergeable quantile sketch brackets the middle; a second pass counts what lies below the bracket and the
-    distinct values inside it, about 1/accuracy of the rows. Only those few counts are put in order. A key of all
-    rows or one value in a third of them costs no more than any other.
+    distinct values inside it, about 10/accuracy of the rows. Only those few counts are put in order. A key of all
+    rows or one value in a third of them costs no more than any other. Keys must have few values, such as bands.
     """
     margin = 5.0 / accuracy
     valued = df.select(*[F.col(key) for key in keys], F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
@@ -24,7 +24,8 @@ def exact_median(df: DataFrame, value: str, keys: Sequence[str] = (), accuracy:
                                F.col("q")[1].alias("hi"), "n")
     if keys:
         same = [F.col(key).eqNullSafe(F.col(f"k_{key}")) for key in keys]
-        joined = valued.join(brackets, same)
+        # one row per key, and keys are bands or kinds: a handful
+        joined = valued.join(F.broadcast(brackets), same)
     else:
         joined = valued.withColumn("b", brackets.select(F.struct("lo", "hi", "n")).scalar()).select("v", "b.*")
     outside = F.when(F.col("v") < F.col("lo"), F.lit(-1)).when(F.col("v") > F.col("hi"), F.lit(1)).otherwise(F.lit(0))
