@@ -634,11 +634,12 @@ def revenue_summary(df: DataFrame) -> DataFrame:
 def summary(df: DataFrame) -> DataFrame:
     """Key figures as `(metric, value)`: sizes, accuracy and F1 by level, top-1/5/10, confidence."""
     regular = clean(df)
-    sizes = df.agg(F.count("*").alias("n_total"), F.sum(one_if(F.col("is_technical"))).alias("n_tech"))
-    codes = regular.agg(F.count_distinct("code").alias("n_codes"))
-    with_truth = regular.where(F.col("true_level4").isNotNull())
-    means = with_truth.agg(F.avg("confidence_num").alias("mean_conf"))
-    median = exact_median(with_truth, "confidence_num").select(F.col("median").alias("median_conf"))
+    with_truth = ~F.col("is_technical") & F.col("true_level4").isNotNull()
+    sizes = df.agg(
+        F.count("*").alias("n_total"), F.sum(one_if(F.col("is_technical"))).alias("n_tech"),
+        F.count_distinct(F.when(~F.col("is_technical"), F.col("code"))).alias("n_codes"),
+        F.avg(F.when(with_truth, F.col("confidence_num"))).alias("mean_conf"))
+    median = exact_median(df.where(with_truth), "confidence_num").select(F.col("median").alias("median_conf"))
 
     def long(table: DataFrame, names: Sequence[str], prefix: Column | None = None) -> DataFrame:
         return table.select(F.inline(F.array(*[
@@ -650,8 +651,7 @@ def summary(df: DataFrame) -> DataFrame:
                   F.concat(F.lit("level"), F.col("level").cast("string"), F.lit("_")))
     tops = topk_curve(regular, 4, 10, require_prediction=False).where(F.col("k").isin(1, 5, 10)).select(
         F.concat(F.lit("top_"), F.col("k").cast("string")).alias("metric"), (F.col("accuracy") * 100).alias("value"))
-    parts = [long(sizes, ["n_total", "n_tech"]), long(codes, ["n_codes"]), levels, tops, long(means, ["mean_conf"]),
-             long(median, ["median_conf"])]
+    parts = [long(sizes, ["n_total", "n_tech", "n_codes", "mean_conf"]), levels, tops, long(median, ["median_conf"])]
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations")
 
-_SEGMENTS = {n: "^[^.]+" + "[.][^.]+" * (n - 1) for n in range(1, 6)}
+# Keys over which a table in too few files is spread, and the size from which that pays.
+SPREAD_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey", "documents": "doc_id", "pages": "page_id"}
+SPREAD_BYTES = 1 << 20
 
 VIEWS = {
     # a hierarchical code that is a function of the product's text; some 98/99, some unpadded, depths 1 to 5
@@ -150,6 +152,9 @@ def with_views(body: str, extra: dict[str, str] | None = None) -> str:
     return f"WITH {', '.join(parts)} {body}" if parts else body
 
 
+_PARTS: dict[tuple[str, str], int] = {}
+
+
 class Views:
     """The given tables and derived views of one data folder as DataFrames."""
 
@@ -158,7 +163,24 @@ class Views:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        parts = self._spread(name)
+        return df.repartition(parts, SPREAD_KEYS[name]) if parts else df
+
+    def _spread(self, name: str) -> int:
+        """Partitions to spread a table over when its files split into fewer than there are cores, else 0.
+
+        Test tables are one small file each, which would keep the work on one core; tables of many files aren't moved.
+        """
+        if name not in SPREAD_KEYS:
+            return 0
+        key = (self.sf_dir, name)
+        if key not in _PARTS:
+            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            cores = self.spark.sparkContext.defaultParallelism
+            size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+            _PARTS[key] = cores if size >= SPREAD_BYTES and df.rdd.getNumPartitions() < cores else 0
+        return _PARTS[key]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
@@ -170,5 +192,11 @@ class Views:
     def sql(self, body: str) -> DataFrame:
         text = with_views(body)
         for table in TABLES:
-            text = re.sub(rf"\b(FROM|JOIN) {table}\b", rf"\1 parquet.`{self.sf_dir}/{table}.parquet` AS {table}", text)
+            if not re.search(rf"\b(FROM|JOIN) {table}\b", text):
+                continue
+            parts = self._spread(table)
+            source = f"parquet.`{self.sf_dir}/{table}.parquet`"
+            if parts:
+                source = f"(SELECT /*+ REPARTITION({parts}, {SPREAD_KEYS[table]}) */ * FROM {source})"
+            text = re.sub(rf"\b(FROM|JOIN) {table}\b", lambda match: f"{match.group(1)} {source} AS {table}", text)
         return self.spark.sql(text)

@@ -19,8 +19,8 @@ SIZE = 1 << 12
 
 
 def rows(v):
-    """Labelled texts: product names and their codes."""
-    parts = v.part_codes.select(F.col("p_partkey").alias("id"), F.col("label").alias("text"), "code")
+    """Labelled texts: product names and their codes, on all cores."""
+    parts = v.part_codes.repartition(v.spark.sparkContext.defaultParallelism, "p_partkey").select(F.col("p_partkey").alias("id"), F.col("label").alias("text"), "code")
     return codes.with_levels(parts).withColumn("code8", codes.code_prefix("code"))
 
 
