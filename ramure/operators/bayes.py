@@ -6,6 +6,7 @@ a join. Scores match multinomial naive Bayes with Laplace smoothing; n-grams the
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -45,6 +46,11 @@ def fine_tune(counts: Counts, df: DataFrame, text: str, label: str, weight: floa
     return Counts(added(counts.grams, new.grams, ["label", "ngram"]), added(counts.classes, new.classes, ["label"]))
 
 
+def fine_tune_levels(counts: Mapping[int, Counts], df: DataFrame, text: str, levels: Sequence[int], weight: float = 1.0) -> dict[int, Counts]:
+    """`fine_tune` for the chosen levels, labels in `level{N}`; the other levels keep their counts."""
+    return {n: fine_tune(old, df, text, f"level{n}", weight) if n in levels else old for n, old in counts.items()}
+
+
 def nb_score(df: DataFrame, counts: Counts, text: str, key: str = "id", alpha: float = 1.0, top_k: int = 1,
              min_n: int = 3, max_n: int = 6) -> DataFrame:
     """`(id, rank, code, confidence)`: the `top_k` most probable labels of each row.

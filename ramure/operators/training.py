@@ -41,13 +41,17 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     """The first `n` rows of each key with their rank; exact however many rows one key has.
 
     Input partitions are dealt over `salts` slices. Each task keeps its own best `n` of a key before the shuffle, each
-    slice the best of those, and the last step sees `salts * n` candidates of a key at most. Any way of slicing gives
-    the same rows.
+    slice the best of those, and the last step sees `salts * n` candidates of a key at most. Above the number for which
+    Spark cuts before a shuffle, every input partition is first cut on its own. Any way of slicing gives the same rows.
     """
-    salted = df.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    sliced = salted.withColumn("__rn", F.row_number().over(W.partitionBy(*keys, "__salt").orderBy(*order)))
-    best = sliced.where(F.col("__rn") <= n).drop("__rn", "__salt")
-    return best.withColumn(rank, F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where(F.col(rank) <= n)
+    best = df.withColumn("__slice", F.spark_partition_id())
+    steps = [F.pmod(F.col("__slice"), F.lit(salts))]
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        steps.insert(0, F.col("__slice"))
+    for step in steps:
+        window = W.partitionBy(*keys, "__slice").orderBy(*order)
+        best = best.withColumn("__slice", step).withColumn("__rn", F.row_number().over(window)).where(F.col("__rn") <= n).drop("__rn")
+    return best.drop("__slice").withColumn(rank, F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where(F.col(rank) <= n)
 
 
 def cap_by_stratum(observed: DataFrame, synthetic: DataFrame, max_per_code: int = 1000, seed: int = 42) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import cached_property
 
@@ -126,4 +127,4 @@ def register(name: str, build: Callable[[Inputs], DataFrame], sql: str | None =
                 for need in (*_PREPARED_NEEDS[prepared], prepared):
                     extra[need] = PREPARED[need]
         # the same rounding rule as `_rounded`
-        ORACLES[name] = with_views(sql, {**extra, **(ctes or {})}).replace(", 6)", f" + {SHIFT}, 6)")
+        ORACLES[name] = re.sub(r"(?<!range\(1), 6\)", f" + {SHIFT}, 6)", with_views(sql, {**extra, **(ctes or {})}))

@@ -148,5 +148,12 @@ def test_fine_tuning_adds_known_labels_only(spark):
     assert values(tuned.classes, "label", "n") == [("01", 1.0), ("02", 2.0)]
 
 
+def test_fine_tuning_of_chosen_levels(spark):
+    rows = spark.createDataFrame([("ab", "01", "01.1")], "t string, level1 string, level2 string")
+    counts = {n: bayes.nb_counts(rows, "t", f"level{n}") for n in (1, 2)}
+    tuned = bayes.fine_tune_levels(counts, rows, "t", [2], 2.0)
+    assert tuned[1] is counts[1] and values(tuned[2].classes, "label", "n") == [("01.1", 3.0)]
+
+
 def test_codes_are_all_paths():
     assert all(any(child == parent for _, child in CODES[level - 1]) for level in (2, 3) for parent, _ in itertools.chain(CODES[level]))
