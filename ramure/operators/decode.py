@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ramure.functions.codes import LEVELS
+from ramure.operators.sides import class_table
 
 PATH_TYPE = "array<struct<level:int,code:string,confidence:double>>"
 BEAM_TYPE = "array<struct<order:double,path:array<string>,levels:array<int>,confs:array<double>,lp:double>>"
@@ -155,7 +156,7 @@ def mask_children(probs: DataFrame, children: DataFrame, levels: Sequence[int] =
     the highest is taken.
     """
     parents = children.select("level", F.col("child").alias("code"), "parent")
-    joined = probs.join(F.broadcast(parents), ["level", "code"], "left")  # one row per code of the nomenclature
+    joined = probs.join(class_table(parents), ["level", "code"], "left")  # one row per code of the nomenclature
     gathered = joined.groupBy("id").agg(F.collect_list(F.struct("level", "code", "p", "parent")).alias("all"))
 
     def step(state: Column, level: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ramure.functions.codes import ancestor_path, is_level, is_technical
+from ramure.operators.sides import class_table
 
 # Phrases of introductory lines in an answer, and the bullets in front of items.
 INTRODUCTIONS = ("voici", "voilà", "exemples", "catégorie", "coicop", "produits pour", "produits de", "ci-dessous", "suivants")
@@ -96,14 +97,14 @@ def parse_code_response(df: DataFrame, response: str, size: str | int, valid: Da
     coded = rows.select(*others, "position", F.get("__codes", F.col("position")).alias("code"))
     known = valid.select("code", F.lit(True).alias("__known")).distinct()
     # one row per code of the nomenclature
-    return coded.join(F.broadcast(known), "code", "left").select(
+    return coded.join(class_table(known), "code", "left").select(
         *others, "position", "code", F.coalesce("__known", F.lit(False)).alias("is_valid"))
 
 
 def attach_labels(df: DataFrame, taxonomy: DataFrame, code: str = "code", label: str = "coicop_libelle") -> DataFrame:
     """Add the label of the code, '' when unknown or NULL."""
     labels = taxonomy.select(F.col("code").alias(code), F.col("libelle").alias(label))
-    return df.join(F.broadcast(labels), code, "left").select(  # one row per code of the nomenclature
+    return df.join(class_table(labels), code, "left").select(  # one row per code of the nomenclature
         *df.columns, F.coalesce(label, F.lit("")).alias(label))
 
 

@@ -1,0 +1,25 @@
+"""Broadcast of join sides whose size is proven."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import Window as W
+
+MAX_ROWS = 200_000
+SWITCH = "spark.ramure.broadcastClasses"
+
+
+def class_table(df: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """`df`, one row per class of the nomenclature, as a broadcast side that can't exceed `max_rows` rows.
+
+    No more than one row above the bound is ever gathered, and a table above it stops the query instead of losing
+    rows. With `spark.ramure.broadcastClasses` set to false the side isn't hinted at all and a table of any size is
+    joined by a shuffle.
+    """
+    if df.sparkSession.conf.get(SWITCH, "true").lower() == "false":
+        return df
+    bounded = df.limit(max_rows + 1).withColumn("__rows", F.count(F.lit(1)).over(W.partitionBy()))
+    problem = F.raise_error(F.lit(f"more than {max_rows} classes to broadcast; set {SWITCH} to false"))
+    within = F.when(F.col("__rows") <= max_rows, F.lit(True)).otherwise(problem.cast("boolean"))
+    return F.broadcast(bounded.where(within).drop("__rows"))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ramure.operators.sides import class_table
+
 
 def exact_median(df: DataFrame, value: str, keys: Sequence[str] = (), accuracy: int = 10_000) -> DataFrame:
     """Interpolated median of the non-NULL values per key: `keys, median, n`.
@@ -24,8 +26,8 @@ def exact_median(df: DataFrame, value: str, keys: Sequence[str] = (), accuracy:
                                F.col("q")[1].alias("hi"), "n")
     if keys:
         same = [F.col(key).eqNullSafe(F.col(f"k_{key}")) for key in keys]
-        # one row per key, and keys are bands or kinds: a handful
-        joined = valued.join(F.broadcast(brackets), same)
+        # one row per key, and keys are bands or kinds
+        joined = valued.join(class_table(brackets), same)
     else:
         joined = valued.withColumn("b", brackets.select(F.struct("lo", "hi", "n")).scalar()).select("v", "b.*")
     outside = F.when(F.col("v") < F.col("lo"), F.lit(-1)).when(F.col("v") > F.col("hi"), F.lit(1)).otherwise(F.lit(0))

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from ramure.functions.codes import LEVELS, code_prefix, is_technical, level4_key, with_levels
 from ramure.functions.text import DEFAULT_STOPWORDS, preprocess_text
 from ramure.operators.scoring import ratio
+from ramure.operators.sides import class_table
 
 
 def load_annotations(df: DataFrame, exclude_technical: bool = True, preprocess: bool = True, code_column: str = "code",
@@ -113,7 +114,7 @@ def filter_rare(df: DataFrame, label: str, min_count: int = 2) -> DataFrame:
     """Rows whose label occurs at least `min_count` times; rows without label are dropped."""
     frequent = class_sizes(df, label).where(F.col("n") >= min_count).select(label)
     # one row per class of the nomenclature
-    return df.join(F.broadcast(frequent), label, "left_semi")
+    return df.join(class_table(frequent), label, "left_semi")
 
 
 def rare_report(df: DataFrame, label: str, min_count: int = 2) -> DataFrame:
@@ -167,18 +168,18 @@ def stratified_split(df: DataFrame, label: str, fraction: float = 0.2, seed: int
     ).select("__label", "__slot", (F.col("__quota") - F.col("__before")).alias("__left"))
     # one row per class of the nomenclature, so both joins are broadcasts of a few thousand rows at most
     near = hashed.select(F.col(label).alias("__label"), "__h", slot.alias("__slot")).join(
-        F.broadcast(edges), ["__label", "__slot"])
+        class_table(edges), ["__label", "__slot"])
     rank = F.row_number().over(W.partitionBy("__label").orderBy("__h"))
     last = near.withColumn("__rank", rank).where(F.col("__rank") == F.col("__left")).select(
         "__label", F.col("__h").alias("__last"))
-    placed = hashed.join(F.broadcast(last), F.col(label) == F.col("__label"), "left")
+    placed = hashed.join(class_table(last), F.col(label) == F.col("__label"), "left")
     return placed.select(*df.columns, F.coalesce(F.col("__h") <= F.col("__last"), F.lit(False)).alias("is_validation"))
 
 
 def known_labels_only(df: DataFrame, label: str, labels: DataFrame) -> DataFrame:
     """Rows whose label is among `labels` (column `label`)."""
     known = labels.select(F.col("label").alias(label))
-    return df.join(F.broadcast(known), label, "left_semi")  # one row per class
+    return df.join(class_table(known), label, "left_semi")  # one row per class
 
 
 def unknown_label_count(df: DataFrame, label: str, labels: DataFrame) -> DataFrame:
@@ -196,7 +197,7 @@ def multi_level_labels(df: DataFrame, levels: Sequence[int] = LEVELS, min_count:
         name = f"level{n}"
         frequent = class_sizes(df, name).where(F.col("n") >= min_count)
         index = label_index(frequent, name).select(F.col("label").alias(name), F.col("index").alias(f"label{n}"))
-        result = result.join(F.broadcast(index), name, "left")  # one row per class
+        result = result.join(class_table(index), name, "left")  # one row per class
     return result.select(*df.columns, *[f"label{n}" for n in levels])
 
 
@@ -208,5 +209,5 @@ def parent_vocab(df: DataFrame, level: int) -> DataFrame:
 def parent_index(df: DataFrame, parent: str, vocab: DataFrame) -> DataFrame:
     """Add `parent_index`; a code outside the vocabulary gets 0."""
     known = vocab.select(F.col("parent").alias(parent), F.col("index").alias("parent_index"))
-    joined = df.join(F.broadcast(known), parent, "left")  # one row per parent code
+    joined = df.join(class_table(known), parent, "left")  # one row per parent code
     return joined.withColumn("parent_index", F.coalesce("parent_index", F.lit(0))).select(*df.columns, "parent_index")

@@ -133,6 +133,14 @@ register(
     "metrics_by_confidence", lambda v: ev.metrics_by_confidence(v.evaluated),
     f"SELECT *, 'all' AS source_filter FROM ({confidence_sql('level, ', TEN)}) r", confidence_ctes("level, ", "evaluated", TEN))
 
+# unweighted mean over the classes, and shares of all rows
+for average in ("macro", "micro"):
+    mean = "avg({0})" if average == "macro" else "sum(tp) / sum(support)"
+    text = confidence_sql("level, ", TEN)
+    for name in ("f1", "prec", "rec"):
+        text = text.replace(f"sum({name} * support) / sum(support)", mean.format(name))
+    register(f"metrics_by_confidence_{average}", lambda v, a=average: ev.metrics_by_confidence(v.evaluated, average=a),
+             f"SELECT *, 'all' AS source_filter FROM ({text}) r", confidence_ctes("level, ", "evaluated", TEN))
 FIVE = "[0e0, 0.3e0, 0.5e0, 0.7e0, 0.9e0]"
 register(
     "metrics_all_sources", lambda v: ev.metrics_all_sources(v.evaluated),

@@ -1,0 +1,17 @@
+import pytest
+
+from conftest import values
+from ramure.operators.sides import SWITCH, class_table
+
+
+def test_bounded_broadcast(spark):
+    rows, classes = spark.range(10), spark.range(0, 10, 2)
+    joined = rows.join(class_table(classes, 5), "id")
+    assert values(joined, "id") == [(0,), (2,), (4,), (6,), (8,)]
+    with pytest.raises(Exception, match="more than 4 classes"):
+        rows.join(class_table(classes, 4), "id").collect()
+    spark.conf.set(SWITCH, "false")
+    try:
+        assert class_table(classes, 4) is classes
+    finally:
+        spark.conf.unset(SWITCH)
