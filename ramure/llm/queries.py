@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ramure.llm import packing, secrets, token_counts, token_ids, warc
+from ramure.llm import decontaminate, packing, quality_rules, secrets, token_counts, token_ids, url_filter, warc
 from ramure.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,12 +77,26 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", *map(count, kinds), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"))
 
 
+@query()
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics, base rule and the learned list's verdict of every document."""
+    labels = table(spark, sf_dir, "labels").where("crc32(cast(doc_id as string)) % 5 <> 0")
+    judged, _ = quality_rules.quality_rules(table(spark, sf_dir, "documents"), labels)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 @query()
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words and greedy longest-match pieces of every document."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query()
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain benchmark items, with the items and the place and size of the overlap."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query()
 def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document written to binary files in the order of documents, and read from them."""
@@ -107,3 +121,49 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a record of normalised archives, read back from them."""
     read = warc.archive_round_trip(spark, table(spark, sf_dir, "pages"))
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _urls_sql() -> str:
+    """SQL: the rules, sets of up to three tokens counted with and without the verdict, and the best rule that fits."""
+    def fits(host: str, path: str) -> str:
+        return f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}')"
+
+    rules = sorted(url_filter.RULES, key=lambda rule: -len(rule[1] + rule[2]))
+    rule = " ".join(f"WHEN {fits(host, path)} THEN '{host}{path}'" for _, host, path in rules)
+    known = " ".join(f"WHEN rule = '{host}{path}' THEN '{verdict}'" for verdict, host, path in rules)
+    named = " || ".join(
+        f"list_transform(list_filter({values}, lambda v: v <> ''), lambda v: '{prefix}' || v)" for prefix, values in (
+            ("top:", "list_slice(labels, -1, -1)"), ("label:", "others"),
+            ("part:", "flatten(list_transform(list_filter(others, lambda v: contains(v, '-')), lambda v: string_split(v, '-')))"),
+            ("segment:", "string_split(regexp_replace(path, '[0-9]+', '0', 'g'), '/')"),
+            ("query:", "string_split(regexp_extract(u, '[?]([^#]*)', 1), '&')")))
+    sets = " UNION ALL ".join(
+        f"SELECT {', '.join(f't{n}.token AS a{n}' if n < size else f'NULL AS a{n}' for n in range(3))}, t0.known FROM tokens t0 "
+        + " ".join(f"JOIN tokens t{n} ON t{n}.page_id = t0.page_id AND t{n - 1}.token < t{n}.token" for n in range(1, size))
+        + " WHERE t0.known IS NOT NULL" for size in (1, 2, 3))
+    return f"""
+        WITH parsed AS (
+            SELECT page_id, u, translate(regexp_extract(u, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                         'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(u, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+            FROM (SELECT page_id, coalesce(url, '') AS u FROM pages)),
+        ruled AS (SELECT *, CASE {known} END AS known FROM (SELECT *, CASE {rule} END AS rule FROM parsed)),
+        labelled AS (SELECT *, list_slice(labels, 1, len(labels) - 1) AS others
+                     FROM (SELECT *, list_filter(string_split(host, '.'), lambda v: v <> '') AS labels FROM ruled)),
+        tokens AS (SELECT page_id, known, unnest(list_distinct({named})) AS token FROM labelled),
+        size AS (SELECT count(*) AS rows FROM ruled WHERE known IS NOT NULL),
+        counted AS (SELECT a0, a1, a2, known, count(*) AS n, sum(count(*)) OVER (PARTITION BY a0, a1, a2) AS covered
+                    FROM ({sets}) GROUP BY ALL),
+        mined AS (SELECT *, n / covered::DOUBLE AS confidence FROM counted, size
+                  WHERE n >= ceil(rows * greatest(0.01, 9.5 / greatest(rows, 1))) AND n / covered::DOUBLE >= 0.8),
+        own AS (SELECT page_id, list(token) AS tokens FROM tokens WHERE known IS NULL GROUP BY page_id),
+        judged AS (SELECT page_id, arg_max(mined.known, (confidence, n, mined.known)) AS verdict FROM own, mined
+                   WHERE list_contains(tokens, a0) AND (a1 IS NULL OR list_contains(tokens, a1)) AND (a2 IS NULL OR list_contains(tokens, a2))
+                   GROUP BY page_id)
+        SELECT page_id, host, path, rule, coalesce(known, verdict, 'allow') AS verdict FROM ruled LEFT JOIN judged USING (page_id)"""
+
+
+@query(_urls_sql())
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's url."""
+    return url_filter.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
