@@ -153,7 +153,7 @@ def _urls_sql() -> str:
         tokens AS (SELECT page_id, known, unnest(list_distinct({named})) AS token FROM labelled),
         size AS (SELECT count(*) AS rows FROM ruled WHERE known IS NOT NULL),
         counted AS (SELECT a0, a1, a2, known, count(*) AS n, sum(count(*)) OVER (PARTITION BY a0, a1, a2) AS covered
-                    FROM ({sets}) GROUP BY ALL),
+                    FROM ({sets}) GROUP BY a0, a1, a2, known),
         mined AS (SELECT *, n / covered::DOUBLE AS confidence FROM counted, size
                   WHERE n >= ceil(rows * greatest(0.01, 9.5 / greatest(rows, 1))) AND n / covered::DOUBLE >= 0.8),
         own AS (SELECT page_id, list(token) AS tokens FROM tokens WHERE known IS NULL GROUP BY page_id),
