@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ramure.llm import decontaminate, packing, quality_rules, secrets, token_counts, token_ids, url_filter, warc
+from ramure.llm import (
+    decontaminate, near_dedup, packing, quality_classifier, quality_rules, secrets, token_counts, token_ids, url_filter, warc,
+)
 from ramure.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,6 +79,30 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", *map(count, kinds), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"))
 
 
+_LINKS_SQL = """
+    WITH RECURSIVE texts AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                   'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents),
+    shingles AS (
+        SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] END AS s
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM texts WHERE len(w) > 0)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    links AS (
+        SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM shingles x JOIN shingles y
+                          ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL)
+        JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * shared >= 85 * (p.n + q.n - shared)),
+    reach AS (SELECT doc_id AS id, doc_id AS other FROM documents UNION SELECT id, b FROM reach JOIN links ON a = other)
+    SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, low AS component_id, d.doc_id = low AS kept
+    FROM documents d JOIN (SELECT id, min(other) AS low FROM reach GROUP BY id) ON id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id"""
+
+
+@query(_LINKS_SQL)
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the component of near duplicates that it belongs to."""
+    linked = near_dedup.link_documents(table(spark, sf_dir, "documents"), near_dedup.Similarity(shingle=3, percent=85))
+    return linked.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query()
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics, base rule and the learned list's verdict of every document."""
@@ -97,6 +123,16 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query()
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's score by a model that has seen no label of held-out documents."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = quality_classifier.train(docs, table(spark, sf_dir, "labels").where(~held_out))
+    scored = quality_classifier.with_scores(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query()
 def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document written to binary files in the order of documents, and read from them."""
