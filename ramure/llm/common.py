@@ -137,8 +137,7 @@ def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-_LETTERS = re.compile(r" ?[^\W\d_]+")
-_PLAIN = re.compile(r"( ?[^\W\d_]+)([!-&(-/:-@\[-^`{-~]+)")
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _BEYOND = re.compile("[İ-\U0010ffff]")
 _CHUNK = re.compile(r"\s+(?!\S)| ?\S+|\s")
 
@@ -147,24 +146,32 @@ class Encoder:
     """Ids of a public tokenizer for whole texts, by the tokenizers library.
 
     Both vocabularies split a text before merging, and white space always ends a piece, so the ids of a text are those of its chunks
-    between white space. Chunks are encoded once and remembered until `bound` of them are held; new ones go to the library many at a
-    time, set apart by a separator whose id no run of letters can give. `spaced` tells a byte-level vocabulary, whose pieces keep the
-    space before them, from one that lower-cases and drops white space.
+    between white space; a run of letters and the signs after it are pieces of their own too. Chunks are encoded once and remembered:
+    when there are more than `bound` of them, those of the texts at hand stay. New runs of letters go to the library many at a time,
+    without the steps that leave them as they are, set apart by a separator whose id they can't give; everything else goes through
+    the whole of it. `spaced` tells a byte-level vocabulary, whose pieces keep the space before them, from one that lower-cases and
+    drops white space.
     """
 
-    def __init__(self, path: str, spaced: bool, bound: int = 500_000):
+    def __init__(self, path: str, spaced: bool, bound: int = 400_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        between, how = ("\n", "isolated") if spaced else (" ", "removed")
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.Split(between, how), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.spaced, self.bound = spaced, bound
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.known: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
         self.between = "\n" if spaced else " | "
-        self.mark = self.tokenizer.encode(self.between, add_special_tokens=False).ids
-        self.special = tuple(token.content for token in self.tokenizer.get_added_tokens_decoder().values())
+        self.mark, = self.tokenizer.encode(self.between, add_special_tokens=False).ids
+        # special tokens, and characters that are white space for Python alone
+        self.special = (*(token.content for token in self.tokenizer.get_added_tokens_decoder().values()), *"\x1c\x1d\x1e\x1f")
 
     def whole(self, text: str) -> bytes:
         """Ids of a text in one call of the library."""
@@ -181,40 +188,45 @@ class Encoder:
         return None
 
     def learn(self, chunks: set[str]) -> None:
-        known, parts, runs = self.known, {}, set()
+        known, runs, parts = self.known, self.runs, []
         for chunk in chunks:
-            if _LETTERS.fullmatch(chunk):
-                runs.add(chunk)
-            elif match := _PLAIN.fullmatch(chunk):
-                parts[chunk] = match.groups()
-                runs.add(match[1])
+            run = chunk.rstrip(_SIGNS)
+            if (run[1:] if run[:1] == " " else run).isalpha():
+                parts.append((chunk, run))
             else:
                 known[chunk] = self.whole(chunk)
-        runs = [run for run in runs if run not in known]
-        for at in range(0, len(runs), 2000):
-            some = runs[at:at + 2000]
+        if len(runs) > self.bound:
+            runs.clear()
+        fresh = list({run for _, run in parts} - runs.keys())
+        size = np.dtype(self.kind).itemsize
+        for at in range(0, len(fresh), 2000):
+            some = fresh[at:at + 2000]
             joined = self.between + self.between.join(some)
-            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, self.kind)
-            ends = np.flatnonzero(ids == self.mark[0])
-            if len(self.mark) != 1 or len(ends) != len(some):  # not to be told apart: one by one
-                known.update((run, self.whole(run)) for run in some)
-                continue
-            for run, piece in zip(some, np.split(ids, ends)[1:]):
-                known[run] = piece[1:].tobytes()
-        for chunk, (run, signs) in parts.items():
-            if signs not in known:
-                known[signs] = self.whole(signs)
-            known[chunk] = known[run] + known[signs]
+            ids = np.array(self.plain.encode_batch_fast([joined], add_special_tokens=False)[0].ids, self.kind)
+            ends = (np.flatnonzero(ids == self.mark) * size).tolist()
+            if len(ends) != len(some):
+                raise ValueError("the separator's id is one of a run of letters")
+            data = ids.tobytes()
+            for run, begin, end in zip(some, ends, [*ends[1:], len(data)]):
+                runs[run] = data[begin + size:end]
+        for chunk, run in parts:
+            if len(chunk) == len(run):
+                known[chunk] = runs[run]
+            else:
+                signs = chunk[len(run):]
+                if signs not in known:
+                    known[signs] = self.whole(signs)
+                known[chunk] = runs[run] + known[signs]
 
     def __call__(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The ids of each text; null is read as empty."""
         split = [self.chunks(text or "") for text in texts]
-        if len(self.known) > self.bound:
-            self.known.clear()
-        fresh: set[str] = set()
+        met: set[str] = set()
         for chunks in split:
-            fresh.update(chunks or ())
-        self.learn(fresh - self.known.keys())
+            met.update(chunks or ())
+        if len(self.known) > self.bound:
+            self.known = {chunk: self.known[chunk] for chunk in met & self.known.keys()}
+        self.learn(met - self.known.keys())
         for text, chunks in zip(texts, split):
             ids = self.whole(text) if chunks is None else b"".join(map(self.known.__getitem__, chunks))
             yield np.frombuffer(ids, self.kind)
