@@ -111,7 +111,7 @@ class WordHashes:
             pass
         if len(known) > self.bound:
             known.clear()
-        for word in set(words) - known.keys():
+        for word in set(words).difference(known):
             known[word] = hash64(word)
         return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
@@ -197,7 +197,7 @@ class Encoder:
                 known[chunk] = self.whole(chunk)
         if len(runs) > self.bound:
             runs.clear()
-        fresh = list({run for _, run in parts} - runs.keys())
+        fresh = list({run for _, run in parts}.difference(runs))
         size = np.dtype(self.kind).itemsize
         for at in range(0, len(fresh), 2000):
             some = fresh[at:at + 2000]
@@ -225,8 +225,8 @@ class Encoder:
         for chunks in split:
             met.update(chunks or ())
         if len(self.known) > self.bound:
-            self.known = {chunk: self.known[chunk] for chunk in met & self.known.keys()}
-        self.learn(met - self.known.keys())
+            self.known = {chunk: self.known[chunk] for chunk in met if chunk in self.known}
+        self.learn(met.difference(self.known))
         for text, chunks in zip(texts, split):
             ids = self.whole(text) if chunks is None else b"".join(map(self.known.__getitem__, chunks))
             yield np.frombuffer(ids, self.kind)

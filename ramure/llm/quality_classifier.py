@@ -21,13 +21,18 @@ _HASHES = WordHashes()
 
 
 def indicators(text: str | None) -> np.ndarray:
-    """Sorted numbers of the n-grams in a whole text: words, pairs of words and runs of three bytes."""
+    """Sorted numbers of the n-grams in a whole text: words, pairs of words, runs of three bytes, and how often n-grams repeat.
+
+    For the last, the share of distinct words, of distinct pairs and of pairs of equal words is told in eighths.
+    """
     data = (text or "").encode()
     letters = np.frombuffer(data, np.uint8).astype(np.uint64)
     words = _HASHES(data.split())
     runs = mix((letters[:-2] << np.uint64(16)) + (letters[1:-1] << np.uint64(8)) + letters[2:])
     pairs = mix(words[:-1] + mix(words[1:]))
-    found = np.concatenate([words, pairs, runs]) % np.uint64(FEATURES - 1)
+    shares = [len(np.unique(some)) / max(len(some), 1) for some in (words, pairs)] + [np.count_nonzero(words[:-1] == words[1:]) / max(len(pairs), 1)]
+    repeated = mix(np.array([8 * (n + 1) + int(7.999 * share) for n, share in enumerate(shares)], np.uint64))
+    found = np.concatenate([words, pairs, runs, repeated]) % np.uint64(FEATURES - 1)
     return np.append(np.unique(found), np.uint64(FEATURES - 1)).astype(np.int32)
 
 
