@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -12,7 +13,7 @@ from ramure.session import build_session  # noqa: E402
 def spark():
     session = build_session("tests", "local[*]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
                             spark__driver__memory="8g", spark__ui__showConsoleProgress="false",
-                            spark__default__parallelism="4")
+                            spark__default__parallelism="4", spark__sql__warehouse__dir=tempfile.mkdtemp(prefix="ramure-tests-"))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
