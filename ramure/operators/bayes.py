@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ramure.functions.ngrams import char_ngrams
-from ramure.operators.sides import class_table
 
 
 class Counts(NamedTuple):
@@ -37,7 +36,7 @@ def nb_counts(df: DataFrame, text: str, label: str, min_n: int = 3, max_n: int =
 def fine_tune(counts: Counts, df: DataFrame, text: str, label: str, weight: float = 1.0, min_n: int = 3,
               max_n: int = 6) -> Counts:
     """Add the weighted counts of new rows whose label the model knows."""
-    known = df.join(class_table(counts.classes.select(F.col("label").alias(label))), label, "left_semi")
+    known = df.join(counts.classes.select(F.col("label").alias(label)), label, "left_semi")
     new = nb_counts(known, text, label, min_n, max_n)
 
     def added(old: DataFrame, fresh: DataFrame, keys: list[str]) -> DataFrame:

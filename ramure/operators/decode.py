@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ramure.functions.codes import LEVELS
-from ramure.operators.sides import class_table
 
 PATH_TYPE = "array<struct<level:int,code:string,confidence:double>>"
 BEAM_TYPE = "array<struct<order:double,path:array<string>,levels:array<int>,confs:array<double>,lp:double>>"
@@ -153,22 +152,22 @@ def mask_children(probs: DataFrame, children: DataFrame, levels: Sequence[int] =
 
     From the second level on only children of the best code above keep their probability, made to sum to 1; when all of
     them are 0 they share it equally, and a code without known children leaves the level as it is. Of equal best codes
-    the highest is taken.
+    the highest is taken. A code listed under several parents is a child of each.
     """
-    parents = children.select("level", F.col("child").alias("code"), "parent")
-    joined = probs.join(class_table(parents), ["level", "code"], "left")  # one row per code of the nomenclature
-    gathered = joined.groupBy("id").agg(F.collect_list(F.struct("level", "code", "p", "parent")).alias("all"))
+    parents = children.groupBy("level", F.col("child").alias("code")).agg(F.collect_set("parent").alias("parents"))
+    joined = probs.join(parents, ["level", "code"], "left")
+    gathered = joined.groupBy("id").agg(F.collect_list(F.struct("level", "code", "p", "parents")).alias("all"))
 
     def step(state: Column, level: Column) -> Column:
         here = F.filter("all", lambda row: row["level"] == level)
-        valid = F.filter(here, lambda row: row["parent"] == state["cur"])
+        valid = F.filter(here, lambda row: F.array_contains(row["parents"], state["cur"]))
         total = F.aggregate(valid, F.lit(0.0), lambda acc, row: acc + row["p"])
         share = F.lit(1.0) / F.size(valid)
 
         def masked(row: Column) -> Column:
             p = (
                 F.when(F.size(valid) == 0, row["p"])
-                .when(F.coalesce(row["parent"] != state["cur"], F.lit(True)), F.lit(0.0))
+                .when(~F.coalesce(F.array_contains(row["parents"], state["cur"]), F.lit(False)), F.lit(0.0))
                 .when(total > 0, row["p"] / total).otherwise(share)
             )
             return F.struct(row["level"].alias("level"), row["code"].alias("code"), p.alias("p"))

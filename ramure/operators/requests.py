@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ramure.functions.codes import ancestor_path, is_level, is_technical
-from ramure.operators.sides import class_table
 
 # Phrases of introductory lines in an answer, and the bullets in front of items.
 INTRODUCTIONS = ("voici", "voilà", "exemples", "catégorie", "coicop", "produits pour", "produits de", "ci-dessous", "suivants")
@@ -92,19 +91,20 @@ def parse_code_response(df: DataFrame, response: str, size: str | int, valid: Da
     count = F.col(size) if isinstance(size, str) else F.lit(size)
     positions = F.filter(F.sequence(F.lit(0), F.greatest(count, F.lit(0))), lambda i: i < count)
     others = [name for name in df.columns if name != response]
-    rows = df.withColumn("__codes", F.from_json(unfenced(F.col(response)), "array<string>")).select(
+    # wrapped, so that anything before or after the array makes the whole answer unreadable
+    whole = F.concat(F.lit('{"v":'), unfenced(F.col(response)), F.lit("}"))
+    rows = df.withColumn("__codes", F.from_json(whole, "v array<string>")["v"]).select(
         *others, F.col("__codes"), F.explode(positions).alias("position"))
     coded = rows.select(*others, "position", F.get("__codes", F.col("position")).alias("code"))
     known = valid.select("code", F.lit(True).alias("__known")).distinct()
-    # one row per code of the nomenclature
-    return coded.join(class_table(known), "code", "left").select(
+    return coded.join(known, "code", "left").select(
         *others, "position", "code", F.coalesce("__known", F.lit(False)).alias("is_valid"))
 
 
 def attach_labels(df: DataFrame, taxonomy: DataFrame, code: str = "code", label: str = "coicop_libelle") -> DataFrame:
-    """Add the label of the code, '' when unknown or NULL."""
-    labels = taxonomy.select(F.col("code").alias(code), F.col("libelle").alias(label))
-    return df.join(class_table(labels), code, "left").select(  # one row per code of the nomenclature
+    """Add the label of the code, '' when unknown or NULL; of a code listed with several labels the smallest."""
+    labels = taxonomy.groupBy(F.col("code").alias(code)).agg(F.min("libelle").alias(label))
+    return df.join(labels, code, "left").select(
         *df.columns, F.coalesce(label, F.lit("")).alias(label))
 
 

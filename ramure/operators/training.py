@@ -11,7 +11,6 @@ from pyspark.sql import Window as W
 from ramure.functions.codes import LEVELS, code_prefix, is_technical, level4_key, with_levels
 from ramure.functions.text import DEFAULT_STOPWORDS, preprocess_text
 from ramure.operators.scoring import ratio
-from ramure.operators.sides import class_table
 
 
 def load_annotations(df: DataFrame, exclude_technical: bool = True, preprocess: bool = True, code_column: str = "code",
@@ -25,11 +24,12 @@ def load_annotations(df: DataFrame, exclude_technical: bool = True, preprocess:
 
 
 def dedup_pairs(df: DataFrame) -> DataFrame:
-    """One row per `(product, code)`, with the smallest original text."""
-    others = [name for name in df.columns if name not in ("product", "code", "product_orig")]
-    extra = [F.min(name).alias(name) for name in others]
-    original = [F.min("product_orig").alias("product_orig")] if "product_orig" in df.columns else []
-    return df.groupBy("product", "code").agg(*original, *extra)
+    """One row per `(product, code)`: of its rows the first by original text, then by the other columns."""
+    others = sorted((name for name in df.columns if name not in ("product", "code")), key=lambda name: name != "product_orig")
+    if not others:
+        return df.distinct()
+    first = df.groupBy("product", "code").agg(F.min(F.struct(*others)).alias("__first"))
+    return first.select("product", "code", *[F.col(f"__first.{name}").alias(name) for name in others])
 
 
 def hash_order(seed: int, *columns: str) -> Column:
@@ -42,16 +42,12 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     """The first `n` rows of each key with their rank; exact however many rows one key has.
 
     Input partitions are dealt over `salts` slices. Each task keeps its own best `n` of a key before the shuffle, each
-    slice the best of those, and the last step sees `salts * n` candidates of a key at most. Above the number for which
-    Spark cuts before a shuffle, every input partition is first cut on its own. Any way of slicing gives the same rows.
+    slice the best of those, and the last step sees `salts * n` candidates of a key at most. Any way of slicing gives
+    the same rows, and the plan is the same for every `n`; `build_session` lets Spark cut before the shuffle for any.
     """
-    best = df.withColumn("__slice", F.spark_partition_id())
-    steps = [F.pmod(F.col("__slice"), F.lit(salts))]
-    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
-        steps.insert(0, F.col("__slice"))
-    for step in steps:
-        window = W.partitionBy(*keys, "__slice").orderBy(*order)
-        best = best.withColumn("__slice", step).withColumn("__rn", F.row_number().over(window)).where(F.col("__rn") <= n).drop("__rn")
+    window = W.partitionBy(*keys, "__slice").orderBy(*order)
+    sliced = df.withColumn("__slice", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    best = sliced.withColumn("__rn", F.row_number().over(window)).where(F.col("__rn") <= n).drop("__rn")
     return best.drop("__slice").withColumn(rank, F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where(F.col(rank) <= n)
 
 
@@ -113,8 +109,7 @@ def class_sizes(df: DataFrame, label: str) -> DataFrame:
 def filter_rare(df: DataFrame, label: str, min_count: int = 2) -> DataFrame:
     """Rows whose label occurs at least `min_count` times; rows without label are dropped."""
     frequent = class_sizes(df, label).where(F.col("n") >= min_count).select(label)
-    # one row per class of the nomenclature
-    return df.join(class_table(frequent), label, "left_semi")
+    return df.join(frequent, label, "left_semi")
 
 
 def rare_report(df: DataFrame, label: str, min_count: int = 2) -> DataFrame:
@@ -166,20 +161,19 @@ def stratified_split(df: DataFrame, label: str, fraction: float = 0.2, seed: int
     edges = ranked.where(
         (F.col("__before") < F.col("__quota")) & (F.col("__before") + F.col("__c") >= F.col("__quota"))
     ).select("__label", "__slot", (F.col("__quota") - F.col("__before")).alias("__left"))
-    # one row per class of the nomenclature, so both joins are broadcasts of a few thousand rows at most
     near = hashed.select(F.col(label).alias("__label"), "__h", slot.alias("__slot")).join(
-        class_table(edges), ["__label", "__slot"])
+        edges, ["__label", "__slot"])
     rank = F.row_number().over(W.partitionBy("__label").orderBy("__h"))
     last = near.withColumn("__rank", rank).where(F.col("__rank") == F.col("__left")).select(
         "__label", F.col("__h").alias("__last"))
-    placed = hashed.join(class_table(last), F.col(label) == F.col("__label"), "left")
+    placed = hashed.join(last, F.col(label) == F.col("__label"), "left")
     return placed.select(*df.columns, F.coalesce(F.col("__h") <= F.col("__last"), F.lit(False)).alias("is_validation"))
 
 
 def known_labels_only(df: DataFrame, label: str, labels: DataFrame) -> DataFrame:
     """Rows whose label is among `labels` (column `label`)."""
     known = labels.select(F.col("label").alias(label))
-    return df.join(class_table(known), label, "left_semi")  # one row per class
+    return df.join(known, label, "left_semi")
 
 
 def unknown_label_count(df: DataFrame, label: str, labels: DataFrame) -> DataFrame:
@@ -197,7 +191,7 @@ def multi_level_labels(df: DataFrame, levels: Sequence[int] = LEVELS, min_count:
         name = f"level{n}"
         frequent = class_sizes(df, name).where(F.col("n") >= min_count)
         index = label_index(frequent, name).select(F.col("label").alias(name), F.col("index").alias(f"label{n}"))
-        result = result.join(class_table(index), name, "left")  # one row per class
+        result = result.join(index, name, "left")
     return result.select(*df.columns, *[f"label{n}" for n in levels])
 
 
@@ -209,5 +203,5 @@ def parent_vocab(df: DataFrame, level: int) -> DataFrame:
 def parent_index(df: DataFrame, parent: str, vocab: DataFrame) -> DataFrame:
     """Add `parent_index`; a code outside the vocabulary gets 0."""
     known = vocab.select(F.col("parent").alias(parent), F.col("index").alias("parent_index"))
-    joined = df.join(class_table(known), parent, "left")  # one row per parent code
+    joined = df.join(known, parent, "left")
     return joined.withColumn("parent_index", F.coalesce("parent_index", F.lit(0))).select(*df.columns, "parent_index")

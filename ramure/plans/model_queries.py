@@ -216,8 +216,8 @@ register("mask_children", lambda v: decode.mask_children(probabilities(v), child
 
 
 def level1_rows(v):
-    """Product names with their division, on all cores."""
-    return v.part_codes.repartition(v.spark.sparkContext.defaultParallelism, "p_partkey").select(F.col("p_partkey").alias("id"), "label", codes.code_level("code", 1).alias("level1"))
+    """Product names with their division."""
+    return v.part_codes.select(F.col("p_partkey").alias("id"), "label", codes.code_level("code", 1).alias("level1"))
 
 
 NB = {

@@ -125,14 +125,14 @@ def answers(v):
 
 
 register("parse_code_response",
-         lambda v: rq.parse_code_response(answers(v).where("batch_id % 5 < 4"), "response", "n", v.taxonomy),
+         lambda v: rq.parse_code_response(answers(v), "response", "n", v.taxonomy),
          """SELECT batch_id, n, position, CASE WHEN batch_id % 5 < 3 THEN a.code END AS code,
                    coalesce(batch_id % 5 < 3 AND t.code IS NOT NULL, false) AS is_valid
             FROM (SELECT batch_id, n, CAST(unnest(range(0, n)) AS INTEGER) AS position FROM
                   (SELECT id // 10 AS batch_id, CAST(count(*) AS INTEGER) AS n FROM preds GROUP BY 1) b) p
             LEFT JOIN (SELECT id // 10 AS batch_id, row_number() OVER (PARTITION BY id // 10 ORDER BY id) - 1 AS position, predicted_code AS code
                        FROM preds WHERE id % 9 <> 4 AND predicted_code IS NOT NULL) a USING (batch_id, position)
-            LEFT JOIN taxonomy t ON t.code = a.code WHERE batch_id % 5 < 4""")
+            LEFT JOIN taxonomy t ON t.code = a.code""")
 register("attach_labels", lambda v: rq.attach_labels(v.preds.select("id", F.col("predicted_code").alias("code")), v.taxonomy),
          "SELECT id, predicted_code AS code, coalesce(libelle, '') AS coicop_libelle FROM preds LEFT JOIN taxonomy t ON predicted_code = t.code")
 register("pending_rows", lambda v: rq.pending_rows(v.preds.select("id", "code"), v.preds.where("id % 3 = 0"), "id"),

@@ -18,6 +18,8 @@ def build_session(app_name: str = "ramure", master: str | None = None, **conf: s
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # the first n rows of a key are cut in each task, before the shuffle, for every n
+        "spark.sql.optimizer.windowGroupLimitThreshold": str(2**31 - 1),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
