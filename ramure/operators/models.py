@@ -22,7 +22,6 @@ from ramure.functions.ngrams import char_ngrams
 from ramure.functions.text import DEFAULT_STOPWORDS, preprocess_text
 from ramure.operators import training as tr
 from ramure.operators.decode import PATH_TYPE, bucket_confidence, combine_confidence, seeded_fraction
-from ramure.session import cut_lineage
 
 FEATURES = 1 << 16
 
@@ -159,9 +158,12 @@ class HierarchicalModel:
     def predict_wide(self, df: DataFrame, text: str = "text", top_k: int = 1, threshold: float | None = None) -> DataFrame:
         return _widened(self.predict(df, text, top_k, threshold), df.columns, sorted(self.levels), top_k)
 
-    def predict_beam(self, df: DataFrame, beam_size: int, text: str = "text") -> DataFrame:
+    def predict_beam(self, df: DataFrame, beam_size: int, text: str = "text", top_k: int = 0) -> DataFrame:
         """Add `predicted_code, final_level, confidence, combined_confidence` of the best of `beam_size` paths.
 
+        With `top_k` the best so many beams also give their code and confidence at every level, `predicted_level{N}` and
+        `confidence_level{N}` with `_top{R}` from the second beam on; '' and 0.0 where a beam has none.
+
         The beams of a row stay in the row: each level is scored once per beam and the best are kept, so nothing is
         shuffled. A beam that skipped the level above is scored with parent index 0 and confidence 0.9.
         """
@@ -190,7 +192,22 @@ class HierarchicalModel:
         return scored.select(
             *df.columns, F.coalesce(last["code"], F.lit("")).alias("predicted_code"),
             F.coalesce(F.concat(F.lit("level"), last["level"].cast("string")), F.lit("")).alias("final_level"),
-            F.coalesce(last["confidence"], F.lit(0.0)).alias("confidence"), F.exp(best["lp"]).alias("combined_confidence"))
+            F.coalesce(last["confidence"], F.lit(0.0)).alias("confidence"), F.exp(best["lp"]).alias("combined_confidence"),
+            *self._beam_levels(top_k))
+
+    def _beam_levels(self, top_k: int) -> list[Column]:
+        def at(level: int, rank: int) -> Column:
+            trail = F.get(F.col("__beams"), F.lit(rank - 1))["trail"]
+            return F.get(F.filter(trail, lambda entry: entry["level"] == level), F.lit(0))
+
+        columns = []
+        for n in sorted(self.levels):
+            for rank in range(1, top_k + 1):
+                suffix = "" if rank == 1 else f"_top{rank}"
+                step = at(n, rank)
+                columns += [F.coalesce(step["code"], F.lit("")).alias(f"predicted_level{n}{suffix}"),
+                            F.coalesce(step["confidence"], F.lit(0.0)).alias(f"confidence_level{n}{suffix}")]
+        return columns
 
     def summary(self, spark: SparkSession) -> DataFrame:
         return _label_table(spark, {n: model.labels for n, model in self.levels.items()})
@@ -198,14 +215,12 @@ class HierarchicalModel:
     def save(self, path: str) -> None:
         for model in self.levels.values():
             _save_level(model, path)
-        SparkSession.active().createDataFrame([(self.max_level, self.num_features)], "max_level int, num_features int").write.mode(
-            "overwrite").parquet(f"{path}/settings")
+        _save_settings(self, path)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> HierarchicalModel:
-        settings = spark.read.parquet(f"{path}/settings").first()
-        found = {n: _load_level(spark, path, n) for n in range(1, settings["max_level"] + 1)}
-        return HierarchicalModel({n: model for n, model in found.items() if model}, settings["max_level"], settings["num_features"])
+        settings, levels = _load_settings(spark, path)
+        return HierarchicalModel(levels, settings["max_level"], settings["num_features"])
 
 
 def _grower(beam: Column, level: int):
@@ -218,8 +233,25 @@ def _grower(beam: Column, level: int):
     return grown
 
 
-def _save_level(model: LevelModel, path: str) -> None:
+def _save_settings(model: HierarchicalModel | MultiheadModel, path: str) -> None:
+    """Settings and the numbers of the model's own levels; what an earlier model left in the folder isn't read."""
+    SparkSession.active().createDataFrame(
+        [(model.max_level, model.num_features, sorted(model.levels))], "max_level int, num_features int, levels array<int>").write.mode(
+        "overwrite").parquet(f"{path}/settings")
+
+
+def _load_settings(spark: SparkSession, path: str):
+    settings = spark.read.parquet(f"{path}/settings").first()
+    found = {n: _load_level(spark, path, n) for n in settings["levels"]}
+    missing = [n for n, model in found.items() if model is None]
+    if missing:
+        raise ValueError(f"{path} lacks levels {missing}")
+    return settings, found
+
+
+def _save_level(model: LevelModel, path: str, fingerprint: str = "") -> None:
     spark = SparkSession.active()
+    spark.createDataFrame([(fingerprint,)], "fingerprint string").write.mode("overwrite").parquet(f"{path}/level{model.level}/fit")
     tables = {"labels": model.labels, "parents": model.parents or []}
     for name, values in tables.items():
         spark.createDataFrame(list(enumerate(values)), "index int, label string").write.mode("overwrite").parquet(
@@ -228,13 +260,15 @@ def _save_level(model: LevelModel, path: str) -> None:
     model.stages.write().overwrite().save(f"{path}/level{model.level}/stages")
 
 
-def _load_level(spark: SparkSession, path: str, n: int) -> LevelModel | None:
-    """A saved level, None when it isn't there or incomplete."""
+def _load_level(spark: SparkSession, path: str, n: int, fingerprint: str | None = None) -> LevelModel | None:
+    """A saved level, None when it isn't there or incomplete; an error if it isn't the one of `fingerprint`."""
     folder = f"{path}/level{n}"
     try:
         spark.read.text(f"{folder}/stages/metadata").first()
     except AnalysisException:
         return None
+    if fingerprint is not None and spark.read.parquet(f"{folder}/fit").first()["fingerprint"] != fingerprint:
+        raise ValueError(f"level {n} in {path} was fitted on other rows or with other settings")
     values = {
         name: [row["label"] for row in spark.read.parquet(f"{folder}/{name}").orderBy("index").collect()] for name in ("labels", "parents")}
     return LevelModel(n, PipelineModel.load(f"{folder}/stages"), values["labels"], values["parents"] or None)
@@ -302,43 +336,62 @@ def _widened(df: DataFrame, kept: Sequence[str], levels: Sequence[int], top_k: i
 
 def fit_hierarchical(df: DataFrame, max_level: int = 5, text: str = "text", key: str = "id", min_samples: int = 50, min_count: int = 2,
                      teacher_forcing: float = 0.7, seed: int = 42, num_features: int = FEATURES, estimator: str = "bayes",
-                     save_to: str | None = None) -> HierarchicalModel:
+                     save_to: str | None = None, resume_from: str | None = None) -> HierarchicalModel:
     """Fit the levels in order; each sees the level above, partly as predicted (see `teacher_force`).
 
-    With `save_to` every level is stored when done, and levels found there are reused: only their predictions are made
-    again. Predictions between levels stay on the cluster, their lineage cut by a checkpoint.
+    With `save_to` every level is stored when done, over what is there. With `resume_from` the levels found in that
+    folder are reused and only their predictions made again, and the others are fitted and stored there (or in
+    `save_to`); a level that was fitted on other rows or with other settings is an error. Predictions between levels
+    are persisted on the executors.
     """
+    if resume_from:
+        save_to = save_to or resume_from
+    settings = [max_level, min_samples, min_count, teacher_forcing, seed, num_features, estimator]
+    fingerprint = _fingerprint(df, [key, text, *[f"level{n}" for n in range(1, max_level + 1)]], settings) if save_to else ""
     reasons = {row["level"]: row["status"] for row in tr.usable_levels(df, min_samples, 2, min_count).collect()}
     models: dict[int, LevelModel] = {}
     skipped: dict[int, str] = {}
     columns = [key, text, *[f"level{n}" for n in range(1, max_level + 1)]]
+    persisted: list[DataFrame] = []
     current = ngram_features(df.select(*columns), text, num_features).withColumns({
         "__code": F.lit(None).cast("string"), "__confidence": F.lit(None).cast("double")})
     for n in range(1, max_level + 1):
         if reasons.get(n) != "train":
             skipped[n] = reasons.get(n, "no rows")
             continue
-        saved = _load_level(df.sparkSession, save_to, n) if save_to else None
-        model = saved or _fit_level(current, n, key, min_count, teacher_forcing, seed, estimator, first=not models)
+        saved = _load_level(df.sparkSession, resume_from, n, fingerprint) if resume_from else None
+        model = saved or _fit_level(current, n, key, min_count, teacher_forcing, seed, estimator, first=n == 1)
         models[n] = model
-        if save_to and not saved:
-            _save_level(model, save_to)
+        if save_to and not (saved and save_to == resume_from):
+            _save_level(model, save_to, fingerprint)
         if n < max_level:
             previous = F.struct(F.col("__code").alias("code"), F.coalesce("__confidence", F.lit(0.5)).alias("confidence"))
             predicted = _score_level(current, model, previous if len(models) > 1 else None, 1)
             best = F.get(F.col(f"alternatives{n}"), F.lit(0))
-            current = cut_lineage(predicted.withColumns({"__code": best["code"], "__confidence": best["confidence"]}).drop(f"alternatives{n}"))
+            current = predicted.withColumns({"__code": best["code"], "__confidence": best["confidence"]}).drop(f"alternatives{n}").persist()
+            persisted.append(current)
+    for table in persisted:
+        table.unpersist()
     if not models:
         raise ValueError(f"no level could be trained: {skipped}")
     model = HierarchicalModel(models, max_level, num_features, skipped)
     if save_to:
-        model.save(save_to)
+        _save_settings(model, save_to)
     return model
 
 
-def _fit_level(df: DataFrame, n: int, key: str, min_count: int, teacher_forcing: float, seed: int, estimator: str, first: bool) -> LevelModel:
+def _fingerprint(df: DataFrame, columns: Sequence[str], settings: Sequence[object]) -> str:
+    """Rows and settings of a fit in a few numbers: equal for equal rows in any order."""
+    hashed = F.xxhash64(*columns)
+    found = df.agg(F.count("*").alias("n"), F.bit_xor(hashed).alias("x"), F.sum(F.pmod(hashed, F.lit(1_000_003))).alias("s")).first()
+    return "|".join(map(str, [*settings, *found]))
+
+
+def _fit_level(df: DataFrame, n: int, key: str, min_count: int, teacher_forcing: float, seed: int, estimator: str, first: bool,
+               frequent: DataFrame | None = None) -> LevelModel:
     label = f"level{n}"
-    rows = tr.filter_rare(df.where(F.col(label).isNotNull()), label, min_count)
+    rows = df.where(F.col(label).isNotNull())
+    rows = tr.filter_rare(rows, label, min_count) if frequent is None else rows.join(frequent, label, "left_semi")
     indexer = _indexer(rows, label)
     target = f"__{label}_index"
     if first:
@@ -426,15 +479,13 @@ class MultiheadModel:
             _save_level(model, path)
         pairs = [(n, parent, child) for n, by_parent in self.children.items() for parent, kids in by_parent.items() for child in kids]
         spark.createDataFrame(pairs, "level int, parent string, child string").write.mode("overwrite").parquet(f"{path}/children")
-        spark.createDataFrame([(self.max_level, self.num_features)], "max_level int, num_features int").write.mode("overwrite").parquet(
-            f"{path}/settings")
+        _save_settings(self, path)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> MultiheadModel:
-        settings = spark.read.parquet(f"{path}/settings").first()
-        found = {n: _load_level(spark, path, n) for n in range(1, settings["max_level"] + 1)}
+        settings, levels = _load_settings(spark, path)
         children = _children_lists(spark.read.parquet(f"{path}/children"))
-        return MultiheadModel({n: model for n, model in found.items() if model}, children, settings["max_level"], settings["num_features"])
+        return MultiheadModel(levels, children, settings["max_level"], settings["num_features"])
 
 
 def _children_lists(pairs: DataFrame) -> dict[int, dict[str, list[str]]]:
@@ -447,18 +498,24 @@ def _children_lists(pairs: DataFrame) -> dict[int, dict[str, list[str]]]:
 
 def fit_multihead(df: DataFrame, max_level: int = 4, text: str = "text", key: str = "id", min_samples: int = 50, min_count: int = 2,
                   fraction: float = 0.2, seed: int = 42, num_features: int = FEATURES, estimator: str = "bayes") -> MultiheadModel:
-    """One classifier per level on features computed once; the split is by level 1, rows without it train."""
+    """One classifier per level on features computed once.
+
+    Rare classes are those of all rows; then a validation share of each class of the first usable level is set aside.
+    """
     reasons = {row["level"]: row["status"] for row in tr.usable_levels(df, min_samples, 2, min_count).collect()}
     columns = [key, text, *[f"level{n}" for n in range(1, max_level + 1)]]
-    split = tr.stratified_split(df.select(*columns), "level1", fraction, seed, key)
-    train = cut_lineage(ngram_features(split.where(~F.col("is_validation")), text, num_features))
+    usable = next((n for n in range(1, max_level + 1) if reasons.get(n) == "train"), 1)
+    split = tr.stratified_split(df.select(*columns), f"level{usable}", fraction, seed, key)
+    train = ngram_features(split.where(~F.col("is_validation")), text, num_features).persist()
     models: dict[int, LevelModel] = {}
     skipped: dict[int, str] = {}
     for n in range(1, max_level + 1):
         if reasons.get(n) != "train":
             skipped[n] = reasons.get(n, "no rows")
             continue
-        models[n] = _fit_level(train, n, key, min_count, 1.0, seed, estimator, first=True)
+        frequent = tr.class_sizes(df, f"level{n}").where(F.col("n") >= min_count).select(f"level{n}")
+        models[n] = _fit_level(train, n, key, min_count, 1.0, seed, estimator, first=True, frequent=frequent)
+    train.unpersist()
     if not models:
         raise ValueError(f"no level could be trained: {skipped}")
     known = {n: set(model.labels) for n, model in models.items()}
@@ -474,9 +531,14 @@ def fit_multihead(df: DataFrame, max_level: int = 4, text: str = "text", key: st
 
 
 def predict_table(model: FlatModel | HierarchicalModel | MultiheadModel, df: DataFrame, text: str = "product", top_k: int = 1,
-                  threshold: float | None = None, words: Sequence[str] = DEFAULT_STOPWORDS) -> DataFrame:
-    """Clean the text, then predict; rows without any word are not in the result."""
+                  threshold: float | None = None, words: Sequence[str] = DEFAULT_STOPWORDS, beam: int = 1) -> DataFrame:
+    """Clean the text, then predict; rows without any word are not in the result.
+
+    With `beam` over 1 a level-by-level model keeps so many paths, and the best `top_k` of them give the columns per level.
+    """
     cleaned = preprocess_text(df, text, words)
     if isinstance(model, FlatModel):
         return model.predict(cleaned, text, top_k).drop("predictions")
+    if isinstance(model, HierarchicalModel) and beam > 1:
+        return model.predict_beam(cleaned, beam, text, top_k)
     return model.predict_wide(cleaned, text, top_k, threshold)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ramure.functions import codes
 from ramure.operators import models
 from ramure.plans.registry import level_sql, register
-from ramure.plans.text_queries import WORDS, folder, token_ctes
+from ramure.plans.text_queries import GRAMS, WORDS, folder, token_ctes
 from ramure.sources.writers import write_output
 from ramure.streaming.incremental import clean_stream, score_incrementally
 
@@ -25,8 +25,9 @@ def rows(v):
 
 
 register("ngram_features",
-         lambda v: models.ngram_features(rows(v), num_features=SIZE).select("id", F.size(models.vector_to_array("features")).alias("size")),
-         f"SELECT p_partkey AS id, {SIZE} AS size FROM part_codes")
+         lambda v: models.ngram_features(rows(v), num_features=SIZE).select("id", F.aggregate(
+             models.vector_to_array("features"), F.lit(0.0), lambda total, n: total + n).alias("n_grams")),
+         "SELECT k AS id, CAST(count(*) AS DOUBLE) AS n_grams FROM grams GROUP BY k", GRAMS)
 
 
 def flat(v):
@@ -53,11 +54,16 @@ register("hierarchical_beam", lambda v: hierarchical(v).predict_beam(rows(v), 3)
 register("multihead_predictions", lambda v: multihead(v).predict_wide(rows(v), top_k=2))
 register("predict_table", lambda v: models.predict_table(
     flat(v), v.products.select("l_orderkey", "l_linenumber", F.col("description_ean").alias("product")), words=WORDS))
-register("model_summary", lambda v: models.model_summary(hierarchical(v).summary(v.spark)),
-         " UNION ALL ".join(
-             f"SELECT {n} AS level, count(*) AS n_classes, string_agg(l, ', ' ORDER BY l) FILTER (WHERE rn <= 5) AS samples FROM "
-             f"(SELECT l, row_number() OVER (ORDER BY l) AS rn FROM (SELECT {level_sql('code', n)} AS l FROM part_codes GROUP BY 1 "
-             f"HAVING count(*) >= 2 AND l IS NOT NULL) g) r" for n in (1, 2, 3)))
+
+
+def summary_sql(levels) -> str:
+    return " UNION ALL ".join(
+        f"SELECT {n} AS level, count(*) AS n_classes, string_agg(l, ', ' ORDER BY l) FILTER (WHERE rn <= 5) AS samples FROM "
+        f"(SELECT l, row_number() OVER (ORDER BY l) AS rn FROM (SELECT {level_sql('code', n)} AS l FROM part_codes GROUP BY 1 "
+        f"HAVING count(*) >= 2 AND l IS NOT NULL) g) r" for n in levels)
+
+
+register("model_summary", lambda v: models.model_summary(hierarchical(v).summary(v.spark)), summary_sql((1, 2, 3)))
 
 
 def saved(v):
@@ -70,6 +76,18 @@ def saved(v):
 register("saved_model_predictions", lambda v: saved(v).predict_wide(rows(v)))
 
 
+def resumed(v):
+    """All five levels stored by one fit and reused by the next."""
+    path = folder(v, "resumed")
+    models.fit_hierarchical(rows(v), num_features=SIZE, save_to=path)
+    return models.fit_hierarchical(rows(v), num_features=SIZE, resume_from=path)
+
+
+register("resumed_model_summary", lambda v: models.model_summary(resumed(v).summary(v.spark)), summary_sql(range(1, 6)))
+register("predict_table_beam", lambda v: models.predict_table(
+    hierarchical(v), v.products.select("l_orderkey", "l_linenumber", F.col("description_ean").alias("product")), top_k=2, beam=3, words=WORDS))
+
+
 def incremental(v):
     """Clean the documents in two runs of the same job: the second one only finds the files of the second half."""
     source, sink, checkpoint = folder(v, "arriving"), folder(v, "cleaned"), folder(v, "progress")

@@ -11,7 +11,7 @@ from ramure.functions.ngrams import char_ngrams, ngram_vocab
 from ramure.operators import extract as ex
 from ramure.operators.training import load_annotations
 from ramure.plans.registry import level_sql, register, z
-from ramure.session import ensure_checkpoint_dir
+from ramure.session import work_folder
 from ramure.sources import readers, writers
 
 WORDS = list(text.DEFAULT_STOPWORDS) + ["small", "des", "une", "und", "the"]
@@ -19,7 +19,7 @@ WORDS = list(text.DEFAULT_STOPWORDS) + ["small", "des", "une", "und", "the"]
 
 def folder(v, name: str) -> str:
     """A new folder for a written table."""
-    return f"{ensure_checkpoint_dir(v.spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{work_folder(v.spark)}/{name}-{uuid.uuid4().hex}"
 
 
 # ---- codes ---------------------------------------------------------------------------------------------------------

@@ -1,10 +1,8 @@
-"""Spark session settings and the reliable checkpoint folder."""
+"""Spark session settings and the shared work folder."""
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def build_session(app_name: str = "ramure", master: str | None = None, **conf: str) -> SparkSession:
@@ -31,26 +29,6 @@ def build_session(app_name: str = "ramure", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder for reliable checkpoints: the cluster's `spark.checkpoint.dir`, else the context's own.
-
-    Only a local session with neither gets a temporary folder; on a cluster a folder that the other
-    machines can't see would lose the data, so that is an error.
-    """
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        folder = tempfile.mkdtemp(prefix="ramure-checkpoint-")
-    context.setCheckpointDir(folder)
-    return folder
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the checkpoint folder and continue from there; survives the loss of executors."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def work_folder(spark: SparkSession) -> str:
+    """A folder that the driver and all executors reach: the cluster's `spark.checkpoint.dir`, else the session's warehouse."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")

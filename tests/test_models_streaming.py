@@ -1,3 +1,5 @@
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,8 +71,43 @@ def test_save_load_resume(spark, hierarchical, rows, tmp_path):
     assert loaded.max_level == 4
     columns = ["id", "predicted_code", "confidence"]
     assert values(loaded.predict_wide(rows), *columns) == values(hierarchical.predict_wide(rows), *columns)
-    resumed = models.fit_hierarchical(rows, max_level=4, min_samples=10, num_features=1 << 12, save_to=path)
-    assert values(resumed.predict_wide(rows), *columns) == values(loaded.predict_wide(rows), *columns)
+    again = str(tmp_path / "again")
+    settings = {"max_level": 4, "min_samples": 10, "num_features": 1 << 12}
+    stored = models.fit_hierarchical(rows, **settings, save_to=again)
+    shutil.rmtree(f"{again}/level3")  # a level that was never finished
+    resumed = models.fit_hierarchical(rows.repartition(3), **settings, resume_from=again)
+    assert values(resumed.predict_wide(rows), *columns) == values(stored.predict_wide(rows), *columns)
+    assert len(models.HierarchicalModel.load(spark, again).levels) == 3
+    other = rows.withColumns({f"level{n}": F.regexp_replace(f"level{n}", "^0", "1") for n in range(1, 6)})
+    for changed, more in ((other, {}), (rows, {"num_features": 1 << 11})):
+        with pytest.raises(ValueError, match="other rows or with other settings"):
+            models.fit_hierarchical(changed, **{**settings, **more}, resume_from=again)
+    refitted = models.fit_hierarchical(other, **settings, save_to=again)
+    assert refitted.levels[1].labels == models.HierarchicalModel.load(spark, again).levels[1].labels == ["11", "12", "13"]
+
+
+def test_parents_from_the_second_level_on(rows):
+    model = models.fit_hierarchical(rows.withColumn("level1", F.when(F.col("id") % 6 == 0, F.col("level1"))), max_level=3, min_samples=10,
+                                    num_features=1 << 12)
+    assert 1 not in model.levels and model.levels[2].parents is not None
+    assert model.predict_wide(rows).count() == 36
+
+
+def test_rare_classes_are_those_of_all_rows(spark, rows):
+    more = spark.createDataFrame([(100 + i, f"kiwi {i}", "02.9") for i in range(3)], "id int, text string, code string")
+    every = rows.unionByName(codes.with_levels(more), allowMissingColumns=True)
+    model = models.fit_multihead(every, max_level=2, min_samples=10, min_count=3, num_features=1 << 12)
+    assert "02.9" in model.levels[2].labels
+
+
+def test_beams_per_level(hierarchical, rows):
+    table = rows.select("id", F.col("text").alias("product"))
+    got = models.predict_table(hierarchical, table, top_k=2, beam=3)
+    assert {"predicted_level3", "predicted_level3_top2", "confidence_level1_top2"} <= set(got.columns)
+    first = got.select("id", *[F.col(f"predicted_level{n}") for n in (1, 2, 3)])
+    second = got.select("id", *[F.col(f"predicted_level{n}_top2") for n in (1, 2, 3)])
+    assert first.count() == 36 and values(first, "*") != values(second, "*")
+    assert got.where("predicted_level3 <> predicted_code OR confidence_level3 <> confidence").count() == 0, got.first()
 
 
 def test_multihead_children_follow_parents(spark, rows, tmp_path):
