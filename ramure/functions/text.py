@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 EXPANSIONS = {
     "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "ß": "ss", "Þ": "Th", "þ": "th", "Ĳ": "IJ", "ĳ": "ij", "ŉ": "'n",
     "€": "EUR", "£": "PS", "¥": "Y=", "°": "deg", "©": "(c)", "®": "(r)", "™": "(tm)", "«": "<<", "»": ">>",
-    "¼": "1/4", "½": "1/2", "¾": "3/4", "…": "...", "—": "--", "±": "+-", "№": "No",
+    "¢": "C/", "¤": "$?", "§": "SS", "¼": "1/4", "½": "1/2", "¾": "3/4", "…": "...", "—": "--", "±": "+-", "№": "No",
 }
 # Characters that map to one ASCII character but have no decomposition.
 SINGLES = {
@@ -21,13 +21,14 @@ SINGLES = {
     "Ŋ": "N", "ŋ": "n", "Ŧ": "T", "ŧ": "t", "ĸ": "k", "ſ": "s", "Ŀ": "L", "ŀ": "l", "\u00a0": " ", "\u202f": " ",
     "\u2009": " ", "‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "‐": "-", "‑": "-", "•": "*", "·": "*", "×": "x",
     "÷": "/", "¹": "1", "²": "2", "³": "3", "º": "o", "ª": "a", "¿": "?", "¡": "!", "´": "'", "µ": "u",
+    "¦": "|", "¨": '"', "¬": "!", "¯": "-", "¶": "P", "¸": ",",
 }
 
 
 def _single_letters() -> dict[str, str]:
-    """Latin-1 and Latin Extended-A letters whose canonical decomposition starts with an ASCII letter."""
+    """Latin letters (Latin-1, Extended-A, -B and Additional) whose canonical decomposition starts with an ASCII letter."""
     table = {}
-    for point in range(0x00C0, 0x0180):
+    for point in (*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)):
         base = unicodedata.normalize("NFD", chr(point))[0]
         if base != chr(point) and base.isascii():
             table[chr(point)] = base

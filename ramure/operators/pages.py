@@ -9,7 +9,9 @@ from ramure.functions.text import squeeze_ws
 
 # Elements without content, and phrases and words that steer the reading of a page.
 DROPPED_ELEMENTS = ("script", "style", "nav", "header", "footer")
-CONTENT_ELEMENTS = ("main", "article", "body")
+# Elements that hold a page's content, the first that is there; a class where the element alone doesn't tell.
+CONTENT_ELEMENTS = (("div", "contenu-onglet"), ("div", "contenu-central"), ("main", ""), ("article", ""), ("body", ""))
+# Phrases and patterns of lines of exclusion and inclusion.
 EXCLUSION_PHRASES = ("ne comprend pas", "ne couvre pas")
 INCLUSION_WORD = "comprend"
 INCLUSION_PATTERN = r"(ce |cette |comprend\s*:)"
@@ -19,23 +21,41 @@ NAVIGATION_WORDS = (
     "tous les niveaux", "sous-classe", "groupe", "classe", "poste", "division",
 )
 ENTITIES = {
-    "&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&rsquo;": "’", "&agrave;": "à",
+    "&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&rsquo;": "’", "&agrave;": "à",
     "&acirc;": "â", "&ccedil;": "ç", "&egrave;": "è", "&eacute;": "é", "&ecirc;": "ê", "&icirc;": "î", "&ocirc;": "ô",
     "&ugrave;": "ù", "&ucirc;": "û", "&oelig;": "œ", "&euro;": "€", "&amp;": "&",
 }
 MAX_DESCRIPTION_LINES = 5
 
 
+def content_pattern(element: str, css_class: str) -> str:
+    """From the first opening tag of the element (of the class, if any) to the last closing tag, so inner elements stay inside."""
+    named = rf"[^>]*\bclass\s*=\s*[\x22'][^\x22'>]*\b{css_class}\b[^>]*" if css_class else r"[^>]*"
+    return rf"(?is)<{element}\b{named}>(.*)</{element}\s*>"
+
+
+def numeric_entities(text: Column) -> Column:
+    """Decode `&#n;` and `&#xn;`; numbers that are no character stay as they are."""
+    def character(code: Column) -> Column:
+        number = F.when(F.lower(F.substring(code, 1, 1)) == "x", F.conv(F.substr(code, F.lit(2)), 16, 10)).otherwise(code).cast("long")
+        valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+
+    codes = F.array_distinct(F.regexp_extract_all(text, F.lit("&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"), F.lit(1)))
+    return F.aggregate(codes, text, lambda done, code: F.coalesce(
+        F.replace(done, F.concat(F.lit("&#"), code, F.lit(";")), character(code)), done))
+
+
 def page_lines(html: Column) -> Column:
     """Text lines of the main content, white space squeezed, of three characters or more.
 
-    Content is the first `main`, `article` or `body` element, after comments and elements without text were removed.
+    Content is the first of `CONTENT_ELEMENTS` that is there, after comments and elements without text were removed.
     """
     text = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
     for name in DROPPED_ELEMENTS:
         text = F.regexp_replace(text, rf"(?is)<{name}\b[^>]*>.*?</{name}\s*>", "")
-    found = [F.nullif(F.regexp_extract(text, rf"(?is)<{name}\b[^>]*>(.*?)</{name}\s*>", 1), F.lit("")) for name in CONTENT_ELEMENTS]
-    content = F.regexp_replace(F.coalesce(*found, text), r"(?s)<[^>]*>", "\n")
+    found = [F.nullif(F.regexp_extract(text, content_pattern(*element), 1), F.lit("")) for element in CONTENT_ELEMENTS]
+    content = numeric_entities(F.regexp_replace(F.coalesce(*found, text), r"(?s)<[^>]*>", "\n"))
     for entity, character in ENTITIES.items():
         content = F.replace(content, F.lit(entity), F.lit(character))
     return F.filter(F.transform(F.split(content, "\n"), squeeze_ws), lambda line: F.length(line) >= 3)

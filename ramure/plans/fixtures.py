@@ -105,7 +105,7 @@ VIEWS = {
         SELECT page_id, code,
                replace(replace(html, '<article>', '<article><p>' || code || ' rubrique de la nomenclature des codes</p><p>Une description '
                    || 'assez longue &amp; claire : 01/02/2024</p><p>Ce poste comprend : des produits</p>'),
-                   '</article>', '<p>Cela ne comprend pas : les autres produits</p><p>exclus depuis 2024-01-02T10:11:12.5 sans retour</p>'
+                   '</article>', '<p>Cela ne comprend pas : les autres produits</p><article><p>un encart au caf&#233; à 3 &#x20AC;</p></article><p>exclus depuis 2024-01-02T10:11:12.5 sans retour</p>'
                    || '<p>2024-01-02 mise en ligne</p><p>12345</p><p>Cette liste comprend tout</p><p>Accueil du site</p></article>') AS html
         FROM pages JOIN part_codes ON page_id = p_partkey""",
     # candidate codes of customers: every code below a few divisions, with a confidence per code

@@ -18,9 +18,10 @@ def lines_sql(source: str, key: str, code: str, html: str) -> dict[str, str]:
     for name in pg.DROPPED_ELEMENTS:
         text = f"regexp_replace({text}, '(?is)<{name}\\b[^>]*>.*?</{name}\\s*>', '', 'g')"
     content = "coalesce(" + ", ".join(
-        f"nullif(regexp_extract(t, '(?is)<{name}\\b[^>]*>(.*?)</{name}\\s*>', 1), '')" for name in pg.CONTENT_ELEMENTS) + ", t)"
+        f"nullif(regexp_extract(t, {quoted(pg.content_pattern(*element))}, 1), '')" for element in pg.CONTENT_ELEMENTS) + ", t)"
     plain = f"regexp_replace({content}, '(?s)<[^>]*>', chr(10), 'g')"
-    for entity, character in pg.ENTITIES.items():
+    # the numeric entities that the pages have
+    for entity, character in ({"&#39;": "'", "&#233;": "é", "&#x20AC;": "€"} | pg.ENTITIES).items():
         plain = f"replace({plain}, {quoted(entity)}, {quoted(character)})"
     navigation = " OR ".join(f"contains(lower(line), {quoted(word)})" for word in pg.NAVIGATION_WORDS)
     excluding = "(contains(lower(line), 'ne comprend pas') OR contains(lower(line), 'ne couvre pas'))"

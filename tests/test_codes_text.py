@@ -104,3 +104,8 @@ def test_level_name_and_classes(spark):
     df = codes.with_levels(spark.createDataFrame([("2.1",), ("1.1",), ("2.1",), ("3",)], "code string"))
     assert [row.code for row in codes.level_classes(df, 2).collect()] == ["1.1", "2.1"]
     assert df.select(codes.level_name(F.col("code"))).first()[0] == "groupe"
+
+
+def test_transliterate_latin_blocks_and_signs(spark):
+    df = spark.createDataFrame([("phở sữa §12 thé ¬ ǎ Ḿ",)], "t string")
+    assert df.select(text.transliterate("t")).first()[0] == "pho sua SS12 the ! a M"

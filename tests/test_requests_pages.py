@@ -102,3 +102,12 @@ def test_parse_product_lines(spark):
     # a lone number with its dot is too short to be numbering
     assert got == ["Pain de mie", "Baguette", "Lait", "Eau", "3", "4.", "5.", "Riz", "Thé"]
     assert rq.parse_product_lines(df, "response", 2).count() == 2
+
+
+def test_page_content_boxes_nested_elements_and_entities(spark):
+    pages = spark.createDataFrame([
+        ("<body><main>dans le main</main><div class='a contenu-central b'><p>bo&icirc;te centrale</p><div>imbriqu&#233;e</div> et la fin</div></body>",),
+        ("<article>avant <article>au milieu</article> apr&#xE8;s</article>",), ("<main></main><p>caf&#233; &#x20AC; &#0; &#99999999;</p>",),
+        ('<div class="contenu-centralise">non</div><body>le corps</body>',)], "html string")
+    lines = [row[0] for row in pages.select(pg.page_lines(F.col("html"))).collect()]
+    assert lines == [["boîte centrale", "imbriquée", "et la fin"], ["avant", "au milieu", "après"], ["café € &#0; &#99999999;"], ["le corps"]]
