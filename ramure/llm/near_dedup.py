@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from ramure.llm.common import WordHashes, batches, components, few, mix, stored
 
-#: Signatures compared at once by a task, members of a bucket in a block.
-PAIRS, BLOCK = 4_096, 256
+#: Pairs of signatures compared at once by a task, shingles in a block of sets, shingles in a product of matrices.
+PAIRS, BLOCK, COLUMNS = 4_096, 65_536, 4_096
 
 
 @dataclass(frozen=True)
@@ -135,6 +135,51 @@ def _alike(left: np.ndarray, right: np.ndarray, steps: list[tuple[int, int]]) ->
     return alive
 
 
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets on the left with all on the right, by products of incidence matrices."""
+    sides = []
+    for sets in (left, right):
+        values = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        sides.append((values, np.repeat(np.arange(len(sets)), [len(one) for one in sets]), len(sets)))
+    common = np.intersect1d(sides[0][0], sides[1][0])
+    placed = []
+    for values, rows, count in sides:
+        at = np.searchsorted(common, values)
+        inside = np.flatnonzero((at < len(common)) & (common[np.minimum(at, max(len(common) - 1, 0))] == values)) if len(common) else []
+        placed.append((rows[inside], at[inside], count))
+    counts = np.zeros((len(left), len(right)), np.float32)
+    for low in range(0, len(common), COLUMNS):
+        matrices = []
+        for rows, at, count in placed:
+            here = (at >= low) & (at < low + COLUMNS)
+            matrix = np.zeros((count, min(COLUMNS, len(common) - low)), np.float32)
+            matrix[rows[here], at[here] - low] = 1
+            matrices.append(matrix)
+        counts += matrices[0] @ matrices[1].T
+    return counts.astype(np.int64)
+
+
+def _joining(fewer: list[dict], more: list[dict], percent: int) -> list[tuple[bytes, bytes]]:
+    """Of the links between two blocks those that join components not joined by the ones before."""
+    left, right = ([np.frombuffer(member["shingles"], np.uint64) for member in side] for side in (fewer, more))
+    shared = shared_counts(left, right)
+    union = np.array([len(one) for one in left])[:, None] + np.array([len(one) for one in right]) - shared
+    above: dict[bytes, bytes] = {}
+
+    def root(name: bytes) -> bytes:
+        while name in above:
+            name = above[name]
+        return name
+
+    found = []
+    for a, b in np.argwhere(100 * shared >= percent * union).tolist():
+        one, other = root(fewer[a]["component"]), root(more[b]["component"])
+        if one != other:
+            above[one] = other
+            found.append((fewer[a]["node"], more[b]["node"]))
+    return found
+
+
 def _matrix(signatures: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(signatures), "<u4").reshape(len(signatures), -1)
 
@@ -209,7 +254,7 @@ class _Graph:
 
         docs, first = self.docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("text")), few(first)
         chosen = docs.join(first, docs["k"].eqNullSafe(first["key"]) & (F.xxhash64("text") == first["text_hash"]), "left_semi")
-        return stored(chosen.select("text").mapInPandas(shingled, "node binary, shingles binary"), "sets").dropDuplicates(["node"])
+        return stored(chosen.select("text").mapInPandas(shingled, "node binary, shingles binary").dropDuplicates(["node"]), "sets")
 
     def mixed(self) -> DataFrame:
         """(bucket, node, component) of buckets of three or more whose members aren't all in one component; pairs have been tested."""
@@ -231,35 +276,35 @@ class _Graph:
         return (mixed.join(few(star), "bucket").where("component <> star.component")
                 .select(F.col("node").alias("a"), F.col("star.node").alias("b")))
 
-    def rest(self, mixed: DataFrame) -> DataFrame:
-        """All pairs of different components in mixed buckets that signatures don't prune.
+    def link_rest(self, mixed: DataFrame) -> None:
+        """Find what still joins components in mixed buckets, from the whole sets of their members.
 
-        Those outside a bucket's largest component are compared with all its members, block by block: a row for each pair of blocks,
-        and only pairs that pass come out.
+        Buckets with the same largest component are one group. Its members outside that component are compared with all its members,
+        block by block: a row for each pair of blocks, and of the links found in it only those that join components further come out.
         """
-        steps = self.similarity.steps()
+        percent = self.similarity.percent
         sizes = mixed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-        largest = stored(sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"))
-                         .select("bucket", "n", F.col("top.component").alias("largest")), "largest")
-        rows = stored(mixed.join(few(largest), "bucket").join(self.signatures.select("node", "signature"), "node"), "rows")
-        block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK).cast("long"))
+        largest = stored(sizes.groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("largest")), "largest")
+        members = stored(mixed.join(few(largest), "bucket").select("largest", "node", "component").distinct(), "members")
+        sets = self.sets(stored(members.select("node").distinct(), "needed"))
+        rows = stored(members.join(sets, "node"), "rows")
+        total = stored(rows.groupBy("largest").agg(F.ceil(F.sum(F.octet_length("shingles")) / (8 * BLOCK)).cast("long").alias("blocks")), "blocks")
+        dealt = rows.join(few(total), "largest").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
 
-        def blocks(members: DataFrame, name: str) -> DataFrame:
-            return (members.groupBy("bucket", block.alias("block"))
-                    .agg(F.collect_list(F.struct("node", "component", "signature")).alias(name)).drop("block"))
+        def blocks(some: DataFrame, name: str) -> DataFrame:
+            return stored(some.groupBy("largest", "block").agg(F.collect_list(F.struct("node", "component", "shingles")).alias(name))
+                          .drop("block"), name)
 
         def compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in frames:
                 for fewer, more in zip(frame["fewer"], frame["more"]):
-                    right = _matrix([member["signature"] for member in more])
-                    for member in fewer:
-                        left = np.broadcast_to(np.frombuffer(member["signature"], "<u4"), right.shape)
-                        found = [more[k] for k in _alike(left, right, steps).tolist()]
-                        other = [one["node"] for one in found if one["component"] != member["component"]]
-                        yield pd.DataFrame({"a": [member["node"]] * len(other), "b": other})
+                    yield pd.DataFrame(_joining(fewer, more, percent), columns=["a", "b"])
 
-        pairs = blocks(rows.where("component <> largest"), "fewer").join(blocks(rows, "more"), "bucket")
-        return stored(pairs.select("fewer", "more").mapInPandas(compared, "a binary, b binary"), "rest")
+        pairs = blocks(dealt.where("component <> largest"), "fewer").join(blocks(dealt, "more"), "largest")
+        found = pairs.select("fewer", "more").mapInPandas(compared, "a binary, b binary")
+        links = found.distinct().withColumn("linked", F.lit(True))
+        self.tested = stored(self.tested.where("linked").union(links), "tested")
+        self.labels = components(self.tested.select("a", "b"))
 
 
 def link_documents(docs: DataFrame, similarity: Similarity = Similarity(), text: str = "text", key: str = "doc_id",
@@ -272,8 +317,8 @@ def link_documents(docs: DataFrame, similarity: Similarity = Similarity(), text:
     a component that has others. Shingles compare as 64-bit hashes.
 
     Candidates share a band of their signatures. Bucket by bucket they are tested against one member, then, where a bucket still holds
-    several components, against `draws` drawn ones, and the pairs of different components that are left against each other, so that no
-    bucket's pairs are all listed and none that could join components is left out.
+    several components, against `draws` drawn ones; what is then left of different components is compared on whole sets in blocks, so
+    that no bucket's pairs are all listed and none that could join components is left out.
     """
     signed = stored(set_signatures(docs, similarity, text, key), "signed")
     graph = _Graph(docs, signed, similarity, text, key)
@@ -282,7 +327,10 @@ def link_documents(docs: DataFrame, similarity: Similarity = Similarity(), text:
         mixed = graph.mixed()
         if mixed.isEmpty():
             break
-        graph.test(graph.other_stars(mixed, seed) if seed < draws else graph.rest(mixed))
+        if seed < draws:
+            graph.test(graph.other_stars(mixed, seed))
+        else:
+            graph.link_rest(mixed)
     first = graph.nodes.select("node", F.col("first.key").alias("first"))
     labels = graph.labels.select(F.col("id").alias("node"), "component")
     named = first.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
