@@ -12,13 +12,13 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
-from pyspark.ml.feature import HashingTF, OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, HashingTF, OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ramure.functions.codes import LEVELS, children_map
-from ramure.functions.ngrams import char_ngrams
+from ramure.functions.ngrams import char_ngrams, ngram_vocab
 from ramure.functions.text import DEFAULT_STOPWORDS, preprocess_text
 from ramure.operators import training as tr
 from ramure.operators.decode import PATH_TYPE, bucket_confidence, combine_confidence, seeded_fraction
@@ -26,9 +26,13 @@ from ramure.operators.decode import PATH_TYPE, bucket_confidence, combine_confid
 FEATURES = 1 << 16
 
 
-def ngram_features(df: DataFrame, text: str = "text", num_features: int = FEATURES, output: str = "features") -> DataFrame:
-    """Add hashed n-gram counts."""
+def ngram_features(df: DataFrame, text: str = "text", num_features: int = FEATURES, output: str = "features",
+                   vocabulary: Sequence[str] | None = None) -> DataFrame:
+    """Add n-gram counts: those of a vocabulary in its order, or of all n-grams, hashed."""
     grams = df.withColumn("__ngrams", char_ngrams(F.coalesce(F.col(text), F.lit(""))))
+    if vocabulary:
+        model = CountVectorizerModel.from_vocabulary(list(vocabulary), inputCol="__ngrams", outputCol=output)
+        return model.transform(grams).drop("__ngrams")
     return HashingTF(inputCol="__ngrams", outputCol=output, numFeatures=num_features).transform(grams).drop("__ngrams")
 
 
@@ -43,10 +47,10 @@ def _estimator(kind: str, features: str, label: str, prefix: str):
 
 
 def _ranked(probability: Column, labels: Sequence[str], top_k: int) -> Column:
-    """Best `top_k` `(code, confidence)` of a probability vector, equal ones by code."""
+    """Best `top_k` `(code, confidence)` of a probability vector, those equal to nine digits by code."""
     names = F.array(*[F.lit(label) for label in labels])
     pairs = F.zip_with(vector_to_array(probability), names,
-                       lambda p, code: F.struct((-p).alias("neg"), code.alias("code")))
+                       lambda p, code: F.struct(F.round(-p, 9).alias("order"), code.alias("code"), (-p).alias("neg")))
     return F.transform(F.slice(F.sort_array(pairs), 1, top_k),
                        lambda pair: F.struct(pair["code"].alias("code"), (-pair["neg"]).alias("confidence")))
 
@@ -67,10 +71,11 @@ class FlatModel:
     labels: list[str]
     num_features: int = FEATURES
     stats: dict[str, int] = field(default_factory=dict)
+    vocabulary: list[str] = field(default_factory=list)
 
     def predict(self, df: DataFrame, text: str = "text", top_k: int = 1) -> DataFrame:
         """Add `predictions`, the best codes with their confidence, and the wide columns of each rank."""
-        scored = self.stages.transform(ngram_features(df, text, self.num_features))
+        scored = self.stages.transform(ngram_features(df, text, self.num_features, vocabulary=self.vocabulary))
         result = scored.withColumn("predictions", _ranked(F.col("flat_probability"), self.labels, top_k))
         wide = {}
         for rank in range(1, top_k + 1):
@@ -87,30 +92,47 @@ class FlatModel:
         spark = SparkSession.active()
         self.stages.write().overwrite().save(f"{path}/stages")
         _label_table(spark, {0: self.labels}).write.mode("overwrite").parquet(f"{path}/labels")
-        spark.createDataFrame([(self.num_features,)], "num_features int").write.mode("overwrite").parquet(f"{path}/settings")
+        spark.createDataFrame([(self.num_features, self.vocabulary)], "num_features int, vocabulary array<string>").write.mode(
+            "overwrite").parquet(f"{path}/settings")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> FlatModel:
         labels = _read_labels(spark, f"{path}/labels")
         settings = spark.read.parquet(f"{path}/settings").first()
-        return FlatModel(PipelineModel.load(f"{path}/stages"), labels[0], settings["num_features"])
+        return FlatModel(PipelineModel.load(f"{path}/stages"), labels[0], settings["num_features"], vocabulary=list(settings["vocabulary"]))
 
 
 def fit_flat(df: DataFrame, label: str = "code8", text: str = "text", key: str = "id", min_count: int = 2, fraction: float = 0.2,
-             seed: int = 42, num_features: int = FEATURES, estimator: str = "bayes") -> FlatModel:
-    """Drop rare classes, set a validation share aside, fit on the rest; `stats` counts them."""
+             seed: int = 42, num_features: int = FEATURES, estimator: str = "bayes", num_tokens: int | None = None,
+             min_tokens: int = 1) -> FlatModel:
+    """Drop rare classes, set a validation share aside, fit on the rest; `stats` counts them.
+
+    Features are hashed n-grams, or with `num_tokens` the so many most frequent n-grams of the rows fitted on, of those
+    that occur `min_tokens` times; their list is part of the model.
+    """
+    rows = df.select(key, text, label).persist()
+    try:
+        return _fit_flat(rows, label, text, key, min_count, fraction, seed, num_features, estimator, num_tokens, min_tokens)
+    finally:
+        rows.unpersist()
+
+
+def _fit_flat(df: DataFrame, label: str, text: str, key: str, min_count: int, fraction: float, seed: int, num_features: int,
+              estimator: str, num_tokens: int | None, min_tokens: int) -> FlatModel:
     sizes = tr.rare_report(df, label, min_count).first()
     if not sizes["n_kept"]:
         raise ValueError("no class has enough rows")
-    kept = tr.filter_rare(df.select(key, text, label), label, min_count)
+    kept = tr.filter_rare(df, label, min_count)
     indexer = _indexer(kept, label)
     split = tr.stratified_split(kept, label, fraction, seed, key)
-    train = ngram_features(indexer.transform(split.where(~F.col("is_validation"))), text, num_features)
+    fitted = split.where(~F.col("is_validation"))
+    vocabulary = [row["ngram"] for row in ngram_vocab(fitted, text, min_tokens, num_tokens).orderBy("id").collect()] if num_tokens else []
+    train = ngram_features(indexer.transform(fitted), text, num_features, vocabulary=vocabulary)
     model = _estimator(estimator, "features", f"__{label}_index", "flat").fit(train)
     counts = split.groupBy().agg(F.count_if("is_validation").alias("v"), F.count("*").alias("n")).first()
     stats = {"num_classes": len(indexer.labels), "train": counts["n"] - counts["v"], "val": counts["v"], "total": counts["n"],
              "dropped": int(sizes["n_dropped"])}
-    return FlatModel(PipelineModel([model]), list(indexer.labels), num_features, stats)
+    return FlatModel(PipelineModel([model]), list(indexer.labels), num_features, stats, vocabulary)
 
 
 # ---- level by level ------------------------------------------------------------------------------------------------

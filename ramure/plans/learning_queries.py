@@ -30,8 +30,46 @@ register("ngram_features",
          "SELECT k AS id, CAST(count(*) AS DOUBLE) AS n_grams FROM grams GROUP BY k", GRAMS)
 
 
+TOKENS = 39_000
+
+
 def flat(v):
-    return models.fit_flat(rows(v), num_features=SIZE)
+    return models.fit_flat(rows(v), num_tokens=TOKENS)
+
+
+def flat_sql(source: str, key: str, text: str, top: int) -> dict[str, str]:
+    """The flat classifier in SQL: fitted on the product names, scoring the texts of `source`."""
+    def bag(name: str, table: str, k: str, t: str) -> dict[str, str]:
+        return {f"{name}_words": f"SELECT k, '<' || w || '>' AS w FROM (SELECT {k} AS k, unnest(regexp_split_to_array({t}, '\\s+')) AS w FROM {table}) u WHERE w <> ''",
+                f"{name}_grams": f"SELECT k, substr(w, CAST(i AS INTEGER), CAST(n AS INTEGER)) AS ngram FROM (SELECT k, w, n, unnest(range(1, length(w) - n + 2)) AS i "
+                                 f"FROM {name}_words CROSS JOIN (SELECT unnest([3, 4, 5, 6]) AS n) ns WHERE n <= length(w)) p"}
+
+    return {
+        **bag("fit", "part_codes", "p_partkey", "label"), **(bag("new", source, key, text) if source != "part_codes" else {}),
+        "fit_rows": """SELECT k, c FROM (SELECT k, c, n, row_number() OVER (PARTITION BY c ORDER BY md5('42|' || CAST(k AS VARCHAR))) AS r
+                       FROM (SELECT p_partkey AS k, left(code, 8) AS c, count(*) OVER (PARTITION BY left(code, 8)) AS n FROM part_codes) s
+                       WHERE n >= 2) t WHERE r > round(0.2e0 * n)""",
+        "all_counts": "SELECT c, ngram, count(*) AS n FROM fit_grams JOIN fit_rows USING (k) GROUP BY c, ngram",
+        "vocab_grams": f"SELECT ngram FROM all_counts GROUP BY ngram ORDER BY sum(n) DESC, ngram LIMIT {TOKENS}",
+        "gram_counts": "SELECT * FROM all_counts WHERE ngram IN (SELECT ngram FROM vocab_grams)",
+        "class_norms": """SELECT c, ln(rows_c + 1) - ln((SELECT count(*) FROM fit_rows) + count(*) OVER ()) AS prior,
+                                 ln(coalesce(t, 0) + (SELECT count(*) FROM vocab_grams)) AS den
+                          FROM (SELECT c, count(*) AS rows_c FROM fit_rows GROUP BY c) a LEFT JOIN (SELECT c, sum(n) AS t FROM gram_counts GROUP BY c) b USING (c)""",
+        "bags": f"SELECT k, ngram, count(*) AS tf FROM {'fit' if source == 'part_codes' else 'new'}_grams WHERE ngram IN (SELECT ngram FROM vocab_grams) GROUP BY k, ngram",
+        "in_all": f"SELECT {key} AS k, coalesce(tf, 0) AS tf FROM {source} LEFT JOIN (SELECT k, sum(tf) AS tf FROM bags GROUP BY k) b ON k = {key}",
+        "shared": "SELECT k, c, sum(tf * ln(n + 1)) AS w FROM bags JOIN gram_counts USING (ngram) GROUP BY k, c",
+        "likely": "SELECT i.k, n.c, prior - i.tf * den + coalesce(w, 0) AS score FROM in_all i CROSS JOIN class_norms n LEFT JOIN shared s ON s.k = i.k AND s.c = n.c",
+        "softened": """SELECT k, c, exp(score - top) / sum(exp(score - top)) OVER (PARTITION BY k) AS p
+                       FROM (SELECT *, max(score) OVER (PARTITION BY k) AS top FROM likely) m""",
+        "best_codes": f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY round(-p, 9), c) AS r FROM softened) q WHERE r <= {top}",
+        "best_wide": "SELECT k, " + ", ".join(
+            f"max(CASE WHEN r = {r} THEN c END) AS predicted_code{'' if r == 1 else f'_top{r}'}, "
+            f"max(CASE WHEN r = {r} THEN p END) AS confidence{'' if r == 1 else f'_top{r}'}" for r in range(1, top + 1)) + " FROM best_codes GROUP BY k",
+    }
+
+
+def wide_sql(top: int) -> str:
+    return ", ".join(f"predicted_code{s}, round(confidence{s}, 6) AS confidence{s}" for s in ("", *(f"_top{r}" for r in range(2, top + 1))))
 
 
 def hierarchical(v):
@@ -42,7 +80,9 @@ def multihead(v):
     return models.fit_multihead(rows(v), max_level=3, num_features=SIZE)
 
 
-register("flat_predictions", lambda v: flat(v).predict(rows(v), top_k=3).drop("predictions"))
+register("flat_predictions", lambda v: flat(v).predict(rows(v), top_k=3).drop("predictions"),
+         "SELECT p_partkey AS id, label AS text, code, " + ", ".join(f"{level_sql('code', n)} AS level{n}" for n in range(1, 6))
+         + f", left(code, 8) AS code8, {wide_sql(3)} FROM part_codes JOIN best_wide ON k = p_partkey", flat_sql("part_codes", "p_partkey", "label", 3))
 register("flat_training_sizes", lambda v: v.spark.createDataFrame([tuple(flat(v).stats.values())],
                                                                   "num_classes int, train long, val long, total long, dropped int"),
          """SELECT CAST(count(*) FILTER (WHERE n >= 2) AS INTEGER) AS num_classes,
@@ -53,7 +93,11 @@ register("hierarchical_predictions", lambda v: hierarchical(v).predict_wide(rows
 register("hierarchical_beam", lambda v: hierarchical(v).predict_beam(rows(v), 3))
 register("multihead_predictions", lambda v: multihead(v).predict_wide(rows(v), top_k=2))
 register("predict_table", lambda v: models.predict_table(
-    flat(v), v.products.select("l_orderkey", "l_linenumber", F.col("description_ean").alias("product")), words=WORDS))
+    flat(v), v.products.select("l_orderkey", "l_linenumber", F.col("description_ean").alias("product")), words=WORDS),
+         f"""SELECT l_orderkey, l_linenumber, clean AS product, description_ean AS product_orig, {wide_sql(1)}
+             FROM products JOIN cleaned ON cleaned.k = description_ean JOIN best_wide ON best_wide.k = clean""",
+         {"texts": "SELECT DISTINCT description_ean AS product FROM products", **token_ctes("texts", "product", "product", WORDS),
+          "clean_texts": "SELECT DISTINCT clean AS t FROM cleaned", **flat_sql("clean_texts", "t", "t", 1)})
 
 
 def summary_sql(levels) -> str:
