@@ -128,13 +128,9 @@ def frequencies(encoded: DataFrame, kind: str) -> DataFrame:
     def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(0, np.int64)
         for frame in frames:
-            for ids in frame["ids"]:
-                some = np.bincount(np.frombuffer(ids, kind))
-                if len(some) > len(total):
-                    some[:len(total)] += total
-                    total = some
-                else:
-                    total[:len(some)] += some
+            some = np.bincount(np.frombuffer(b"".join(frame["ids"]), kind), minlength=len(total))
+            some[:len(total)] += total
+            total = some
         found = np.flatnonzero(total)
         yield pd.DataFrame({"id": found, "n": total[found]})
 
