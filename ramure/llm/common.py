@@ -188,16 +188,19 @@ class Encoder:
         return None
 
     def learn(self, chunks: set[str]) -> None:
-        known, runs, parts = self.known, self.runs, []
+        known, runs = self.known, self.runs
+        names: list[str] = []  # two lists and no list of pairs, which the garbage collector would walk
+        bases: list[str] = []
         for chunk in chunks:
             run = chunk.rstrip(_SIGNS)
             if (run[1:] if run[:1] == " " else run).isalpha():
-                parts.append((chunk, run))
+                names.append(chunk)
+                bases.append(run)
             else:
                 known[chunk] = self.whole(chunk)
         if len(runs) > self.bound:
             runs.clear()
-        fresh = list({run for _, run in parts}.difference(runs))
+        fresh = list(set(bases).difference(runs))
         size = np.dtype(self.kind).itemsize
         for at in range(0, len(fresh), 2000):
             some = fresh[at:at + 2000]
@@ -209,7 +212,7 @@ class Encoder:
             data = ids.tobytes()
             for run, begin, end in zip(some, ends, [*ends[1:], len(data)]):
                 runs[run] = data[begin + size:end]
-        for chunk, run in parts:
+        for chunk, run in zip(names, bases):
             if len(chunk) == len(run):
                 known[chunk] = runs[run]
             else:
