@@ -106,9 +106,10 @@ def _all(rule: Sequence[Condition]) -> Column:
 
 
 def _cuts(labelled: DataFrame, features: Sequence[str], bins: int) -> dict[str, list[int]]:
-    shares = [n / bins for n in range(1, bins)]
-    found = labelled.agg(*[F.percentile_approx(name, shares, 10_000).alias(name) for name in features]).first()
-    return {name: sorted(set(found[name] or ())) for name in features}
+    """Cut points of every feature: quantiles of the bad and of the good rows, both ends included, and the values just below them."""
+    shares = [n / bins for n in range(bins + 1)]
+    found = labelled.groupBy("bad").agg(*[F.percentile_approx(name, shares, 10_000).alias(name) for name in features]).collect()
+    return {name: sorted({value - below for row in found for value in row[name] or () for below in (0, 1)}) for name in features}
 
 
 def _counts(rows: DataFrame, cuts: dict[str, list[int]]) -> dict[Condition, tuple[int, int]]:
@@ -138,13 +139,13 @@ def _gain(before: tuple[int, int], after: tuple[int, int]) -> float:
 
 
 def learn_decision_list(labelled: DataFrame, label: str = "quality", key: str = "doc_id", features: Sequence[str] = FEATURES,
-                        bins: int = 32, most_rules: int = 8, most_conditions: int = 4, precision: float = 0.9,
+                        bins: int = 16, most_rules: int = 8, most_conditions: int = 4, precision: float = 0.98,
                         least_covered: int = 5) -> DecisionList:
     """Learn a list that rejects rows with label 0, by sequential covering over all labelled rows.
 
     Each rule is grown on two thirds of the rows left, by the condition of most information gain at a time, and pruned from its end on
     the last third. It joins the list if, of what it covers there, at least `precision` is bad; else learning ends. What a rule covers
-    is then left out. Every step is one aggregation in Spark; rows with a null label or key are ignored. No rows, no bad rows or
+    is then left out. Every step is one aggregation in Spark, over `bins` quantiles of either label; rows with a null label or key are ignored. No rows, no bad rows or
     features that don't differ give the empty list, which keeps everything. Ties go to the earlier feature and the smaller cut.
     """
     rows = stored(labelled.where(F.col(label).isNotNull() & F.col(key).isNotNull())

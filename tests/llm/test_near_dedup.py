@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from ramure.llm.common import components
-from ramure.llm.near_dedup import Similarity, _alike, deduplicate, link_documents, shingle_set, signature
+from ramure.llm.near_dedup import Similarity, _alike, _joining, deduplicate, link_documents, shared_counts, shingle_set, signature
 
 
 def shingles(text, size):
@@ -92,6 +92,17 @@ def test_pruning_keeps_what_may_be_alike():
         assert least <= len(_alike(base, other, similarity.steps())) / len(base) <= most
 
 
+def test_shared_counts_and_joining_links():
+    rng = np.random.default_rng(3)
+    left, right = ([np.unique(rng.integers(0, 12_000, rng.integers(0, 400)).astype(np.uint64)) for _ in range(n)] for n in (7, 9))
+    assert shared_counts(left, right).tolist() == [[len(np.intersect1d(a, b)) for b in right] for a in left]
+    assert shared_counts([left[0]], [np.zeros(0, np.uint64)]).tolist() == [[0]]
+    same = np.arange(50, dtype=np.uint64).tobytes()
+    fewer = [{"node": bytes([n]), "component": bytes([n]), "shingles": same} for n in (1, 2)]
+    more = [{"node": bytes([n]), "component": b"big", "shingles": same} for n in range(10, 40)]
+    assert len(_joining(fewer, more, 85)) == 2  # of sixty links
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(n, n + 1) for n in range(40)] + [(100, 100 + n) for n in range(1, 60)] + [(300, 301), (300, 301), (302, 301)]
     labels = {row["id"]: row["component"] for row in components(spark.createDataFrame(edges, "a long, b long")).collect()}
