@@ -139,6 +139,7 @@ def crc(ids: np.ndarray) -> int:
 
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _BEYOND = re.compile("[İ-\U0010ffff]")
+_RUNS = ("  ", "\n\n", "\n ", " \n", *"\t\r\x0b\x0c\x85\xa0\0")
 _CHUNK = re.compile(r"\s+(?!\S)| ?\S+|\s")
 
 
@@ -182,7 +183,10 @@ class Encoder:
         if any(special in text for special in self.special):
             return None
         if self.spaced:
-            return _CHUNK.findall(text)
+            if any(pair in text for pair in _RUNS) or not text.isascii() and _BEYOND.search(text):
+                return _CHUNK.findall(text)
+            # single spaces and line ends only: a space begins the chunk after it, a line end is a chunk
+            return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
         if text.isascii() or not _BEYOND.search(text):  # such letters are composed already and have one lower-case form
             return text.lower().split()
         return None

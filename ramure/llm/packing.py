@@ -17,7 +17,7 @@ GROUP = 8_192
 #: Of the fullest choices for an exchange of two, so many lengths of a sequence are tried.
 PAIRS = 48
 #: How many of the emptiest sequences are tried in turn before the search ends.
-PATIENCE = 32
+PATIENCE = 8
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
