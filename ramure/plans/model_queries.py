@@ -16,15 +16,14 @@ CAP = 40
 
 
 def observed(v):
-    return v.products.select(F.col("description_ean").alias("product"), F.col("variete").alias("code")).where(
-        ~F.col("code").startswith("99")).withColumn("source", F.lit("ddc"))
+    return v.products.select(F.col("description_ean").alias("product"), F.col("variete").alias("code"), F.lit("ddc").alias("source"))
 
 
 def fill(v):
     return v.synthetic.withColumn("source", F.lit("synthetic"))
 
 
-DEDUP_OBSERVED = "SELECT DISTINCT description_ean AS product, variete AS code FROM products WHERE NOT starts_with(variete, '99')"
+DEDUP_OBSERVED = "SELECT DISTINCT description_ean AS product, variete AS code FROM products"
 DEDUP_SYNTHETIC = "SELECT DISTINCT product, code FROM synthetic"
 
 register("dedup_pairs", lambda v: tr.dedup_pairs(observed(v)), f"SELECT product, code, 'ddc' AS source FROM ({DEDUP_OBSERVED}) d")
@@ -46,11 +45,13 @@ def capped_sql(observed_sql: str, synthetic_sql: str, columns: str, cap: int) ->
 register("cap_by_stratum",
          lambda v: tr.cap_by_stratum(tr.dedup_pairs(observed(v)), tr.dedup_pairs(fill(v)), CAP).select("product", "code", "source"),
          "SELECT product, code, source FROM capped", capped_sql(DEDUP_OBSERVED, DEDUP_SYNTHETIC, "product, code", CAP))
+register("cap_by_stratum_default",
+         lambda v: tr.cap_by_stratum(tr.dedup_pairs(observed(v)), tr.dedup_pairs(fill(v))).select("product", "code", "source"),
+         "SELECT product, code, source FROM capped", capped_sql(DEDUP_OBSERVED, DEDUP_SYNTHETIC, "product, code", 1000))
 
 
 def built(v):
-    return tr.build_training_data(v.products.where(~F.col("variete").startswith("99")), v.synthetic, CAP,
-                                  code_column="variete", words=WORDS)
+    return tr.build_training_data(v.products, v.synthetic, CAP, code_column="variete", words=WORDS)
 
 
 def cleaned_pairs(name: str, source: str, text: str, code: str, where: str) -> dict[str, str]:
@@ -70,7 +71,7 @@ def cleaned_pairs(name: str, source: str, text: str, code: str, where: str) -> d
 
 register("build_training_data", built,
          "SELECT product, code, source, product_orig, left(code, 8) AS code8 FROM capped",
-         {**cleaned_pairs("ddc", "products", "description_ean", "variete", "NOT starts_with(variete, '99')"),
+         {**cleaned_pairs("ddc", "products", "description_ean", "variete", "true"),
           **cleaned_pairs("syn", "synthetic", "product", "code", "true"),
           **{name: sql.replace("product_orig", "product_orig")
              for name, sql in capped_sql("SELECT * FROM pairs_ddc", "SELECT * FROM pairs_syn", "product, code, product_orig", CAP).items()}})

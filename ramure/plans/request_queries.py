@@ -55,12 +55,11 @@ register("code_page_sections", lambda v: pg.page_sections(v.code_pages).drop("ht
 
 
 def described(v):
-    one_page = v.code_pages.groupBy("code").agg(F.min_by("html", "page_id").alias("html"))
-    return pg.attach_descriptions(v.taxonomy, pg.page_sections(one_page))
+    """Every code with each of its pages."""
+    return pg.attach_descriptions(v.taxonomy, pg.page_sections(v.code_pages))
 
 
-DESCRIBED = {"first_pages": "SELECT code, min_by(html, page_id) AS html FROM code_pages GROUP BY code",
-             **lines_sql("first_pages", "code", "code", "html")}
+DESCRIBED = lines_sql("code_pages", "page_id", "code", "html")
 TEXTS = "SELECT t.code, t.libelle, description, comprend, ne_comprend_pas FROM taxonomy t LEFT JOIN page_texts p ON t.code = p.code"
 register("attach_descriptions", described, TEXTS, DESCRIBED)
 register("description_coverage", lambda v: pg.description_coverage(described(v)),
