@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -14,10 +15,6 @@ from ramure.llm.token_ids import encoder
 
 #: Pieces that one task packs together, about.
 GROUP = 8_192
-#: Of the fullest choices for an exchange of two, so many lengths of a sequence are tried.
-PAIRS = 48
-#: How many of the emptiest sequences are tried in turn before the search ends.
-PATIENCE = 8
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
@@ -43,71 +40,110 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def exchange(giving: np.ndarray, taking: np.ndarray, room: int) -> tuple[int, tuple[int, ...], tuple[int, ...]]:
+class Sums(NamedTuple):
+    """What a bin can give or take back, as bits: bit n of `ones` and `twos` is set if an item, or two, have length n."""
+
+    lengths: tuple[int, ...]
+    ones: int
+    twos: int
+    mirrored: int  # twos from its highest bit down
+
+
+def sums_of(sizes: Iterable[int]) -> Sums:
+    ones = twos = 0
+    for size in sizes:
+        twos |= ones << size
+        ones |= 1 << size
+    lengths = tuple(n for n in range(ones.bit_length()) if ones >> n & 1)
+    return Sums(lengths, ones, twos, int(f"{twos:b}"[::-1], 2))
+
+
+def most(giving: Sums, taking: Sums, room: int) -> int:
+    """The largest amount up to `room` that an exchange carries, 0 if there is none: all lengths and pairs are compared."""
+    allowed = (2 << room) - 2
+    found = giving.ones
+    out = giving.ones | giving.twos
+    for length in taking.lengths:
+        found |= out >> length
+    found &= allowed
+    if taking.twos and not found >> room:
+        top = taking.twos.bit_length() - 1
+        for length in giving.lengths:
+            found |= (taking.mirrored >> (top - length) if length <= top else taking.mirrored << (length - top)) & allowed
+    return max(found.bit_length() - 1, 0)
+
+
+def exchange(giving: Iterable[int], taking: Iterable[int], room: int) -> tuple[int, tuple[int, ...], tuple[int, ...]]:
     """The exchange that carries most from one bin to another with so much `room`: (amount, lengths out, lengths back).
 
     One item moves, one is swapped for one, two for one, or one for two.
     """
-    best: tuple[int, tuple[int, ...], tuple[int, ...]] = (0, (), ())
-
-    def offer(amounts: np.ndarray, of) -> None:
-        nonlocal best
-        fits = np.where(amounts <= room, amounts, 0)
-        at = int(fits.argmax()) if fits.size else 0
-        if fits.size and fits.flat[at] > best[0]:
-            best = (int(fits.flat[at]), *of(*np.unravel_index(at, amounts.shape)))
-
-    out, back = np.unique(giving), np.unique(taking)
-    offer(out, lambda i: ((int(out[i]),), ()))
-    if best[0] < room:
-        offer(out[:, None] - back, lambda i, j: ((int(out[i]),), (int(back[j]),)))
-    for many, swapped in ((giving, False), (taking, True)):
-        if best[0] < room and len(many) > 1:
-            kept = np.sort(many)[::-1][:PAIRS]
-            first, second = np.triu_indices(len(kept), 1)
-            pairs = kept[first] + kept[second]
-            if swapped:
-                offer(out[:, None] - pairs, lambda i, j: ((int(out[i]),), (int(kept[first[j]]), int(kept[second[j]]))))
-            else:
-                offer(pairs[:, None] - back, lambda i, j: ((int(kept[first[i]]), int(kept[second[i]])), (int(back[j]),)))
-    return best
+    out, back = sorted(map(int, giving), reverse=True), sorted(map(int, taking), reverse=True)
+    gives, takes = sums_of(out), sums_of(back)
+    amount = most(gives, takes, room)
+
+    def two(sizes: list[int], total: int) -> tuple[int, int]:
+        return next((a, total - a) for a in sizes if 2 * a >= total and sizes.count(total - a) > (2 * a == total))
+
+    if not amount:
+        return 0, (), ()
+    if gives.ones >> amount & 1:
+        return amount, (amount,), ()
+    for length in takes.lengths:
+        if gives.ones >> (amount + length) & 1:
+            return amount, (amount + length,), (length,)
+    for length in takes.lengths:
+        if gives.twos >> (amount + length) & 1:
+            return amount, two(out, amount + length), (length,)
+    length = next(length for length in gives.lengths if length > amount and takes.twos >> (length - amount) & 1)
+    return amount, (length,), two(back, length - amount)
 
 
 def improved(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
-    """Local search: exchanges between underfull bins that raise the sum of squared fills, until bins are empty or none helps.
+    """Local search: exchanges between underfull bins that raise the sum of squared fills, until no pair of bins has one.
 
-    The emptiest bin gives to fuller ones, so every exchange of a positive amount raises that sum and the search ends. It also ends
-    when no fewer bins are possible.
+    Every underfull bin gives to fuller ones, the emptiest first, so every exchange of a positive amount raises that sum and the search
+    ends. It also ends when no fewer bins are possible. Two bins that had no exchange are compared again once one has changed.
     """
     fills = [int(lengths[items].sum()) for items in bins]
     least = -(-sum(fills) // capacity)
     used = len(bins)
+    sums = [sums_of(lengths[items].tolist()) if fill < capacity else None for items, fill in zip(bins, fills)]
+    # when a bin last changed, and when it last had no exchange with any fuller one
+    changed, tried, now = [0] * len(bins), [-1] * len(bins), 0
 
     def carry(source: int, target: int) -> bool:
-        amount, out, back = exchange(lengths[bins[source]], lengths[bins[target]], capacity - fills[target])
-        if not amount:
+        nonlocal now
+        room = capacity - fills[target]
+        if not room or not most(sums[source], sums[target], room):
             return False
+        amount, out, back = exchange(lengths[bins[source]], lengths[bins[target]], room)
         for come, go, sizes in ((target, source, out), (source, target, back)):
             for size in sizes:
                 item = next(item for item in bins[go] if lengths[item] == size)
                 bins[go].remove(item)
                 bins[come].append(item)
-        fills[source] -= amount
-        fills[target] += amount
+        now += 1
+        for place, change in ((source, -amount), (target, amount)):
+            fills[place] += change
+            sums[place] = sums_of(lengths[bins[place]].tolist())
+            changed[place] = now
         return True
 
     moved = True
     while moved and used > least:
         moved = False
         underfull = sorted((k for k in range(len(bins)) if 0 < fills[k] < capacity), key=fills.__getitem__)
-        for at, source in enumerate(underfull[:PATIENCE]):
+        for at, source in enumerate(underfull):
+            since = tried[source] if tried[source] >= changed[source] else -1
             for target in reversed(underfull[at + 1:]):
-                if fills[source] and carry(source, target):
-                    moved = True
+                if fills[source] and changed[target] > since and carry(source, target):
+                    moved, since = True, -1
             if not fills[source]:
                 used -= 1
             if moved:
                 break
+            tried[source] = now
     return [items for items in bins if items]
 
 

@@ -1,5 +1,6 @@
+import itertools
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -37,6 +38,45 @@ def test_kinds_of_exchanges():
     assert exchange(one([9]), one([20]), 2)[0] == 0
 
 
+def test_pairs_of_short_items_in_a_long_bin():
+    assert exchange(np.array([100] * 48 + [4, 3]), np.array([5]), 2) == (2, (4, 3), (5,))
+    assert exchange(np.array([9]), np.array([100] * 48 + [4, 3]), 2) == (2, (9,), (4, 3))
+
+
+def test_a_bin_after_eight_others_is_emptied():
+    sizes = [[52]] * 8 + [[4] * 15] + [[96]] * 15
+    lengths = np.array([size for items in sizes for size in items])
+    numbers = iter(range(len(lengths)))
+    bins = improved([[next(numbers) for _ in items] for items in sizes], lengths, 100)
+    assert len(bins) == 23 and sorted(item for items in bins for item in items) == list(range(len(lengths)))
+
+
+def carried(giving, taking, room):
+    """The largest amount of any exchange, all of them tried."""
+    one = lambda sizes: set(sizes)
+    two = lambda sizes: {a + b for a, b in itertools.combinations(sizes, 2)}
+    amounts = (one(giving) | {a - b for a in one(giving) | two(giving) for b in one(taking)} | {a - b for a in one(giving) for b in two(taking)})
+    return max((amount for amount in amounts if 0 < amount <= room), default=0)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 60), min_size=1, max_size=8), st.lists(st.integers(1, 60), min_size=1, max_size=8), st.integers(1, 60))
+def test_exchange_carries_most(giving, taking, room):
+    amount, out, back = exchange(np.array(giving), np.array(taking), room)
+    assert amount == carried(giving, taking, room) == sum(out) - sum(back)
+    assert not Counter(out) - Counter(giving) and not Counter(back) - Counter(taking)
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.integers(15, 60), min_size=20, max_size=80))
+def test_search_ends_when_no_pair_of_bins_has_an_exchange(sizes):
+    lengths = np.array(sizes, np.int64)
+    bins = [lengths[items].tolist() for items in packed(lengths, 100)]
+    under = sorted((items for items in bins if sum(items) < 100), key=sum)
+    assert len(bins) == -(-sum(sizes) // 100) or not any(
+        carried(source, target, 100 - sum(target)) for source, target in itertools.combinations(under, 2))
+
+
 def check(rows, docs, capacity):
     pieces, sequences = defaultdict(list), defaultdict(list)
     for row in rows:
