@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from ramure.llm.common import few, stored
 
-#: Token positions that a seed compares (1) and ignores (0); all begin with two compared ones.
-MASKS = ("110111", "1101011", "11100101", "110010011")
+#: Token positions that a seed compares (1) and ignores (0); all begin with two compared ones. No layout of SUBSTITUTIONS in WINDOW
+#: tokens hits them all.
+MASKS = ("110111", "1101011", "11100101", "110010011", "11111")
+#: More of them for items of fewer than WINDOW tokens: with these no layout that is allowed there hits them all, from five tokens on.
+SHORT_MASKS = ("111", "11011")
 #: Tokens of an overlap, and how many of them may differ.
 WINDOW, SUBSTITUTIONS = 13, 3
 
@@ -39,11 +42,12 @@ def _anchor() -> Column:
 
 
 def find_overlaps(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "item_id", masks: Sequence[str] = MASKS,
-                  window: int = WINDOW, substitutions: int = SUBSTITUTIONS) -> DataFrame:
+                  window: int = WINDOW, substitutions: int = SUBSTITUTIONS, short_masks: Sequence[str] = SHORT_MASKS) -> DataFrame:
     """Overlaps of texts with benchmark items: (text_hash, item, position, matched, window).
 
     An overlap is a run of `window` tokens of an item (all of it, if it is shorter) of which at most `substitutions` in `window`
-    differ from the tokens at the same distance in the document. It is found if one seed falls into its alignment with the document.
+    differ from the tokens at the same distance in the document. It is found if one seed falls into its alignment with the document,
+    which with the default settings one always does; `short_masks` make seeds of items of fewer than `window` tokens only.
     Tokens compare as 64-bit hashes. Per text and item the best is returned, of equal ones the first; `position` counts the document's
     tokens before it. Null and blank texts or items overlap with nothing, nor do items of fewer than five tokens; equal texts are
     looked up once, so rows that repeat make no group large. `text_hash` is xxhash64 of the text.
@@ -51,25 +55,26 @@ def find_overlaps(docs: DataFrame, items: DataFrame, text: str = "text", item: s
     Windows of documents stay in the scan's stage: first their two leading tokens, then the seeds of those that are left, look into
     tables made from the items, which are broadcast if a count shows that they are small and joined by shuffle otherwise.
     """
-    span = max(map(len, masks))
-
     def hashed(rows: DataFrame, *kept: Column) -> DataFrame:
         return rows.select(*kept, F.transform(tokens(F.col(text)), lambda token: F.xxhash64(token)).alias("hashes"))
 
     def windows(rows: DataFrame, *kept: str) -> DataFrame:
-        return (rows.select(*kept, F.posexplode(_places(F.col("hashes"), span)).alias("at", "w"))
-                .where(F.size("w") >= min(map(len, masks))))
+        return (rows.select(*kept, F.posexplode(_places(F.col("hashes"), max(map(len, every)))).alias("at", "w"))
+                .where(F.size("w") >= min(map(len, every))))
 
     benchmark = stored(hashed(items.where(F.col(item).isNotNull()), F.col(item).alias("item")).where("size(hashes) >= 5")
                        .groupBy("item", "hashes").agg(F.lit(1).alias("one")).drop("one"), "benchmark")
-    places = windows(benchmark, "item", "hashes").select("item", "at", "w")
+    short = F.size("hashes") < window
+    every = [*masks] if benchmark.where(short).isEmpty() else [*masks, *short_masks]
+    places = (windows(benchmark, "item", "hashes").select("item", "at", "w", F.when(short, _seeds(every)).otherwise(_seeds(masks)).alias("seeds"))
+              .where(F.size("seeds") > 0))
     anchors = stored(places.select(_anchor().alias("anchor")).distinct(), "anchors")
-    seeds = stored(places.select("item", F.col("at").alias("there"), F.explode(_seeds(masks)).alias("seed")), "seeds")
+    seeds = stored(places.select("item", F.col("at").alias("there"), F.explode("seeds").alias("seed")), "seeds")
 
     texts = docs.where(F.col(text).isNotNull()).select(F.xxhash64(text).alias("text_hash"), F.col(text))
     looked = (windows(hashed(texts, F.col("text_hash"), F.col(text)), "text_hash")
               .withColumn("anchor", _anchor()).join(few(anchors), "anchor", "left_semi")
-              .select("text_hash", "at", F.explode(_seeds(masks)).alias("seed")).join(few(seeds), "seed")
+              .select("text_hash", "at", F.explode(_seeds(every)).alias("seed")).join(few(seeds), "seed")
               .select("text_hash", "item", (F.col("at") - F.col("there")).alias("shift")).distinct())
     hits = stored(looked, "hits")
     of_text = stored(hits.groupBy("text_hash").agg(F.collect_list(F.struct("item", "shift")).alias("hits")), "hits")

@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 from collections import defaultdict
@@ -5,7 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from ramure.llm.decontaminate import MASKS, SUBSTITUTIONS, WINDOW, contaminated, decontaminate, find_overlaps
+from ramure.llm.decontaminate import MASKS, SHORT_MASKS, SUBSTITUTIONS, WINDOW, contaminated, decontaminate, find_overlaps
 
 
 def tokens(text):
@@ -85,6 +86,28 @@ def test_seeds_tolerate_substitutions():
     assert share(13, 1) > 0.99 and share(13, 2) > 0.9 and share(30, 4) > 0.99
 
 
+@pytest.mark.parametrize("size", range(5, WINDOW + 1))
+def test_a_seed_is_left_by_every_layout(size):
+    masks = MASKS if size == WINDOW else [*MASKS, *SHORT_MASKS]
+    for other in itertools.combinations(range(size), size * SUBSTITUTIONS // WINDOW):
+        assert any(all(at + n not in other for n, sign in enumerate(mask) if sign == "1")
+                   for mask in masks for at in range(size - len(mask) + 1)), other
+
+
+def test_short_items_equal_brute_force(spark, make_docs):
+    texts = {size: [f"item{size}word{n}" for n in range(size)] for size in (4, 5, 6, 7, 9, 13)}
+    rows, doc_id = [], 1000
+    for size, words in texts.items():
+        for count in range(size * SUBSTITUTIONS // WINDOW + 2):
+            for other in itertools.combinations(range(size), min(count, 3)):
+                doc_id += 1
+                rows.append((doc_id, " ".join("other" if at in other else word for at, word in enumerate(words))))
+    items = spark.createDataFrame([(size, " ".join(words)) for size, words in texts.items()], "item_id long, text string")
+    found = {(row["doc_id"], row["item_id"]) for row in contaminated(make_docs(rows), items).collect()}
+    assert found == brute(rows, [(size, " ".join(words)) for size, words in texts.items()])
+    assert {item for _, item in found} == {5, 6, 7, 9, 13}
+
+
 def test_no_python_in_the_plan(spark, items):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = find_overlaps(docs, items)._jdf.queryExecution().toString()
