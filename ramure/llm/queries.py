@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ramure.llm import (
-    decontaminate, near_dedup, packing, quality_classifier, quality_rules, secrets, token_counts, token_ids, url_filter, warc,
+    decontaminate, near_dedup, packing, prefix_trie, quality_classifier, quality_rules, secrets, token_counts, token_ids, url_filter, warc,
 )
-from ramure.llm.common import table
+from ramure.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -203,3 +203,57 @@ def _urls_sql() -> str:
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, rule and verdict of every page's url."""
     return url_filter.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+#: SQL: the table of CRC-32 from its polynomial, and the CRC-32 of a text of ASCII characters where the table's row is joined.
+_CRC_TABLE = """crc_table AS (SELECT list(v ORDER BY i) AS t FROM (
+            SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END, i) AS v
+            FROM range(256) r(i)))"""
+
+
+def _crc_sql(text: str) -> str:
+    return (f"xor(4294967295::BIGINT, list_reduce(list_transform(string_split({text}, ''), lambda ch: ord(ch)::BIGINT), "
+            "lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295::BIGINT))")
+
+
+def _trie_sql() -> str:
+    """SQL: prefixes named by chained hashes; each node counts what its members' smallest ones find below."""
+    return f"""
+        WITH RECURSIVE {_CRC_TABLE},
+        own AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+            FROM conversations WHERE conv_id IS NOT NULL),
+        ids AS (SELECT conv_id, conv_id - conv_id % 100 AS first, {_crc_sql('conv_id::VARCHAR')} % 6 AS h
+                FROM (SELECT DISTINCT conv_id FROM own), crc_table),
+        rebuilt AS (
+            SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY part, pos) AS depth FROM (
+                SELECT i.conv_id, 0 AS part, o.pos, o.role, o.text FROM ids i JOIN own o ON o.conv_id = i.first AND o.pos <= i.h
+                UNION ALL SELECT o.conv_id, 1, o.pos, o.role, o.text FROM own o JOIN ids i USING (conv_id) WHERE o.pos > i.h)),
+        way AS (
+            SELECT conv_id, 0::BIGINT AS depth, '' AS node, NULL::VARCHAR AS parent, 0::BIGINT AS size FROM ids
+            UNION ALL
+            SELECT r.conv_id, r.depth, md5(w.node || length(role) || ':' || role || text), w.node, length(text)
+            FROM way w JOIN rebuilt r ON r.conv_id = w.conv_id AND r.depth = w.depth + 1),
+        last AS (SELECT conv_id, max(depth) AS turns, arg_max(node, depth) AS node FROM way GROUP BY conv_id),
+        nodes AS (SELECT node, any_value(parent) AS parent, any_value(depth) AS depth, any_value(size) AS size, min(conv_id) AS conv_id,
+                         count(*) AS n_convs FROM way GROUP BY node),
+        kids AS (SELECT parent AS node, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+        below AS (SELECT w.node, sum((u.n_convs - 1) * u.size) AS saved, count(*) FILTER (k.n IS NULL) AS leaves
+                  FROM nodes u JOIN way w ON w.conv_id = u.conv_id AND w.depth <= u.depth LEFT JOIN kids k ON k.node = u.node GROUP BY w.node),
+        ends AS (SELECT node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM last GROUP BY node)
+        SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs, coalesce(k.n, 0)::BIGINT AS n_children,
+               leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+        FROM nodes n LEFT JOIN nodes p ON p.node = n.parent LEFT JOIN kids k ON k.node = n.node JOIN below b ON b.node = n.node
+        LEFT JOIN ends e ON e.node = n.node"""
+
+
+@query(_trie_sql())
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all conversations, rebuilt so that they share beginnings."""
+    turns = stored(prefix_trie.digested(table(spark, sf_dir, "conversations")), "digested")
+    nodes, ends = prefix_trie.trie(prefix_trie.share_starts(turns), turns.select("conv_id").distinct())
+    listed = prefix_trie.joined_digests(ends, "node", "conv_id")
+    return nodes.join(listed, "node", "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("ends_sha256"))
