@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ramure.llm import (
-    decontaminate, near_dedup, packing, prefix_trie, quality_classifier, quality_rules, secrets, token_counts, token_ids, url_filter, warc,
+    decontaminate, near_dedup, packing, prefix_trie, quality_classifier, quality_rules, secrets,
+    structure_repair, token_counts, token_ids, url_filter, warc,
 )
 from ramure.llm.common import stored, table
 
@@ -257,3 +258,70 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nodes.join(listed, "node", "left").select(
         "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
         F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("ends_sha256"))
+
+
+def _repair_sql() -> str:
+    """SQL: turns after damage, their faults, and the cheapest edits by states of the order of roles, turn by turn."""
+    blank = "NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]')"
+    return f"""
+        WITH RECURSIVE {_CRC_TABLE},
+        drawn AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   {_crc_sql("(conv_id::VARCHAR || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS fate
+            FROM conversations, crc_table WHERE conv_id IS NOT NULL),
+        turns AS (
+            SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+                   CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS copy
+            FROM drawn WHERE fate <> 0),
+        numbered AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i,
+                   row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth FROM turns),
+        judged AS (
+            SELECT *, CASE WHEN {blank} THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+                           WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') THEN 'truncated' ELSE 'none' END AS fault,
+                   substr(role, 1, 1) AS initial FROM numbered),
+        facts AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+                   count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+                   count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+            FROM (SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM judged) GROUP BY conv_id),
+        inserted(a, b, n, added) AS (VALUES
+            (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 1, 'user:' || chr(10)), (1, 2, 1, 'user:' || chr(10)),
+            (3, 2, 1, 'user:' || chr(10)), (2, 3, 1, 'assistant:' || chr(10)), (0, 3, 2, 'user:' || chr(10) || 'assistant:' || chr(10)),
+            (1, 3, 2, 'user:' || chr(10) || 'assistant:' || chr(10))),
+        moves(a, b, initial) AS (VALUES (0, 1, 's'), (0, 2, 'u'), (1, 2, 'u'), (2, 3, 'a'), (3, 2, 'u')),
+        edits AS (
+            SELECT conv_id, i, s.a, s.a AS b, 2 AS cost, 'D' AS letter, '' AS added FROM judged, (VALUES (0), (1), (2), (3)) s(a)
+            UNION ALL
+            SELECT conv_id, i, a, b, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END, 'K', role || ':' || text || chr(10)
+            FROM judged JOIN moves USING (initial) WHERE fault IN ('none', 'truncated')
+            UNION ALL
+            SELECT conv_id, i, a, b, CASE fault WHEN 'truncated' THEN 6 ELSE 1 END, 'R',
+                   CASE m.initial WHEN 'u' THEN 'user:' ELSE 'assistant:' END || text || chr(10)
+            FROM judged, moves m WHERE fault IN ('none', 'truncated') AND m.initial <> 's'),
+        ways AS (
+            SELECT conv_id, 0::BIGINT AS i, 0 AS state, {{'cost': 0, 'audit': '', 'kept': ''}} AS best FROM facts
+            UNION ALL
+            SELECT conv_id, i, state, min(way) FROM (
+                SELECT e.conv_id, e.i, e.b AS state, {{'cost': best.cost + 5 * s.n + e.cost, 'audit': best.audit || repeat('I', s.n) || e.letter,
+                                                       'kept': best.kept || s.added || e.added}} AS way
+                FROM ways w JOIN inserted s ON s.a = w.state JOIN edits e ON e.conv_id = w.conv_id AND e.i = w.i + 1 AND e.a = s.b)
+            GROUP BY conv_id, i, state),
+        ended AS (
+            SELECT conv_id, min({{'cost': best.cost + 5 * s.n, 'audit': best.audit || repeat('I', s.n), 'kept': best.kept || s.added}}) AS best
+            FROM ways JOIN facts USING (conv_id) JOIN inserted s ON s.a = state AND s.b IN (0, 3) WHERE i = facts.n GROUP BY conv_id)
+        SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+               coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+               coalesce(best.audit, '') AS audit, sha256(coalesce(left(best.kept, length(best.kept) - 1), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM drawn) LEFT JOIN facts USING (conv_id) LEFT JOIN ended USING (conv_id)"""
+
+
+@query(_repair_sql())
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every conversation after damage, the cheapest edits that mend its order of roles, and a digest of what they leave."""
+    conversations = table(spark, sf_dir, "conversations")
+    ids = conversations.where("conv_id IS NOT NULL").select("conv_id").distinct()
+    reports, repaired = structure_repair.repair_structure(structure_repair.damaged(conversations), ids)
+    return (reports.join(structure_repair.digests(repaired), "conv_id", "left")
+            .select(*reports.columns, F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("repaired_sha256")))

@@ -34,7 +34,7 @@ def nodes_of(nodes, ends):
                     r["digest"] or empty) for r in rows], key=str)
 
 
-@pytest.mark.parametrize("group", [1, 3, 50_000])
+@pytest.mark.parametrize("group", [1, 3, 1_000])
 def test_nodes_equal_brute_force_however_groups_are_split(spark, group):
     draw = random.Random(7)
     conversations = {conv: [(draw.choice("ua"), draw.choice(["x", "yy", "é"])) for _ in range(draw.choice([1, 2, 5, 9]))] for conv in range(40)}
