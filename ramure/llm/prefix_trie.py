@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ramure.llm.common import stored
 
 #: Conversations below one node that a task peels by itself; nodes with more are split at deeper turns.
-GROUP = 50_000
+GROUP = 1_000
 #: Name of the root; a node's name is a 128-bit hash of its parent's and of its last turn.
 ROOT = bytes(16)
 #: Characters of one piece of a list that is hashed in order.
