@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ramure.llm import (
     decontaminate, near_dedup, packing, prefix_trie, quality_classifier, quality_rules, secrets,
-    structure_repair, token_counts, token_ids, url_filter, warc,
+    structure_repair, token_counts, token_ids, url_filter, vector_tree, warc,
 )
 from ramure.llm.common import stored, table
 
@@ -325,3 +325,9 @@ def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports, repaired = structure_repair.repair_structure(structure_repair.damaged(conversations), ids)
     return (reports.join(structure_repair.digests(repaired), "conv_id", "left")
             .select(*reports.columns, F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("repaired_sha256")))
+
+
+@query()
+def op12_vector_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors found for every hundredth one, among all others."""
+    return vector_tree.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
