@@ -17,9 +17,3 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def values(df, *columns):
-    """Rows of the columns as sorted tuples."""
-    rows = [tuple(row) for row in df.select(*columns).collect()]
-    return sorted(rows, key=lambda row: tuple((value is None, str(value)) for value in row))

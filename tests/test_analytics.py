@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import values
+from tables import values
 from ramure.operators import analytics as an
 from ramure.operators.evaluate import ensure_predicted_levels
 from ramure.operators.statistics import exact_median

@@ -1,6 +1,6 @@
 """Joins with tables of classes: any number of classes, one row in for one row out."""
 
-from conftest import values
+from tables import values
 from ramure.operators.decode import mask_children
 from ramure.operators.requests import attach_labels, parse_code_response
 from ramure.operators.training import dedup_pairs, filter_rare, first_per_key, known_labels_only

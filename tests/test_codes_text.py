@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import values
+from tables import values
 from ramure.functions import codes, text
 from ramure.functions.ngrams import char_ngrams, ngram_vocab
 

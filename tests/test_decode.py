@@ -4,7 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import values
+from tables import values
 from ramure.operators import bayes, decode
 
 CODES = {1: [("", "01"), ("", "02")], 2: [("01", "01.1"), ("01", "01.2"), ("02", "02.1")],

@@ -3,7 +3,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import values
+from tables import values
 from ramure.functions import codes
 from ramure.operators import models
 from ramure.streaming.incremental import clean_stream, score_incrementally

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import values
+from tables import values
 from ramure.operators import pages as pg
 from ramure.operators import requests as rq
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import values
+from tables import values
 from ramure.operators import extract as ex
 from ramure.sources import readers, writers
 
