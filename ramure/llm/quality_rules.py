@@ -6,7 +6,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ramure.llm.common import stored, words_of
@@ -105,59 +105,43 @@ def _all(rule: Sequence[Condition]) -> Column:
     return column
 
 
-def _cuts(labelled: DataFrame, features: Sequence[str], bins: int) -> dict[str, list[int]]:
-    """Cut points of every feature: quantiles of the bad and of the good rows, both ends included, and the values just below them."""
-    shares = [n / bins for n in range(bins + 1)]
-    found = labelled.groupBy("bad").agg(*[F.percentile_approx(name, shares, 10_000).alias(name) for name in features]).collect()
-    return {name: sorted({value - below for row in found for value in row[name] or () for below in (0, 1)}) for name in features}
+def _best(rows: DataFrame, features: Sequence[str], held: tuple[int, int]) -> tuple[Condition, tuple[int, int], float] | None:
+    """The condition of most information gain about the bad rows that stay covered, with the bad and good rows that meet it and the gain.
 
-
-def _counts(rows: DataFrame, cuts: dict[str, list[int]]) -> dict[Condition, tuple[int, int]]:
-    """For every condition the bad and good rows that meet it: one aggregation over (feature, bin), a few hundred rows of result."""
-    bins = F.array(*[F.struct(F.lit(n).alias("f"), F.size(F.filter(F.array(*map(F.lit, cuts[name])), lambda cut: cut < F.col(name))).alias("b"))
-                     for n, name in enumerate(cuts) if cuts[name]])
-    names = [name for name in cuts]
-    table = (rows.select("bad", F.explode(bins).alias("s")).groupBy("s.f", "s.b")
-             .agg(F.sum("bad").alias("p"), F.sum(1 - F.col("bad")).alias("n")).collect())
-    found: dict[Condition, tuple[int, int]] = {}
-    for n, name in enumerate(names):
-        held = {row["b"]: (row["p"], row["n"]) for row in table if row["f"] == n}
-        total = tuple(sum(side) for side in zip(*held.values())) if held else (0, 0)
-        low = (0, 0)
-        for b, cut in enumerate(cuts[name]):
-            low = tuple(a + c for a, c in zip(low, held.get(b, (0, 0))))
-            found[Condition(name, False, cut)] = low
-            found[Condition(name, True, cut)] = tuple(a - c for a, c in zip(total, low))
-    return found
-
-
-def _gain(before: tuple[int, int], after: tuple[int, int]) -> float:
-    """Information gained about the bad rows that stay covered."""
-    if not after[0]:
-        return 0.0
-    return after[0] * (math.log2(after[0] / sum(after)) - math.log2(before[0] / sum(before)))
+    Every value that occurs is a cut: rows are counted by feature and value, and running sums over those counts give both sides of all cuts.
+    """
+    values = F.array(*[F.struct(F.lit(n).alias("f"), F.col(name).cast("long").alias("v")) for n, name in enumerate(features)])
+    counts = (rows.select("bad", F.explode(values).alias("s")).where("s.v IS NOT NULL").groupBy("s.f", "s.v")
+              .agg(F.sum("bad").alias("p"), F.sum(1 - F.col("bad")).alias("n")))
+    upto = Window.partitionBy("f").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("f")
+    sums = counts.select("f", "v", *[F.sum(name).over(window).alias(f"{side}_{name}") for name in ("p", "n") for side, window in (("low", upto), ("all", whole))])
+    sides = sums.select("f", "v", F.explode(F.array(*[
+        F.struct(F.lit(above).alias("above"), *[(F.col(f"all_{name}") - F.col(f"low_{name}") if above else F.col(f"low_{name}")).alias(name)
+                                                for name in ("p", "n")]) for above in (False, True)])).alias("side")).select("f", "v", "side.*")
+    share = math.log2(held[0] / sum(held))
+    gained = sides.where("p > 0").withColumn("gain", F.round(F.col("p") * (F.log2(F.col("p") / (F.col("p") + F.col("n"))) - F.lit(share)), 6))
+    first = gained.orderBy(F.desc("gain"), "f", "v", "above").first()
+    return first and (Condition(features[first["f"]], first["above"], first["v"]), (first["p"], first["n"]), first["gain"])
 
 
 def learn_decision_list(labelled: DataFrame, label: str = "quality", key: str = "doc_id", features: Sequence[str] = FEATURES,
-                        bins: int = 16, most_rules: int = 8, most_conditions: int = 4, precision: float = 0.98,
-                        least_covered: int = 5) -> DecisionList:
+                        most_rules: int | None = None, precision: float = 0.98, least_covered: int = 5) -> DecisionList:
     """Learn a list that rejects rows with label 0, by sequential covering over all labelled rows.
 
     Each rule is grown on two thirds of the rows left, by the condition of most information gain at a time, and pruned from its end on
-    the last third. It joins the list if, of what it covers there, at least `precision` is bad; else learning ends. What a rule covers
-    is then left out. Every step is one aggregation in Spark, over `bins` quantiles of either label; rows with a null label or key are ignored. No rows, no bad rows or
-    features that don't differ give the empty list, which keeps everything. Ties go to the earlier feature and the smaller cut.
+    the last third. It joins the list if, of what it covers there, at least `precision` is bad; else learning ends, or with `most_rules`
+    rules where that is given. What a rule covers is then left out. Every step is one aggregation in Spark, over all values of all features;
+    rows with a null label or key are ignored. No rows, no bad rows or features that don't differ give the empty list, which keeps
+    everything. Ties go to the earlier feature and the smaller cut.
     """
     rows = stored(labelled.where(F.col(label).isNotNull() & F.col(key).isNotNull())
                   .select(*features, (F.col(label) == 0).cast("long").alias("bad"),
                           (F.pmod(F.xxhash64(key, F.lit("grow")), F.lit(3)) > 0).alias("grow")), "labelled")
-    cuts = _cuts(rows, features, bins)
     learned = DecisionList()
-    if not any(cuts.values()):
-        return learned
     left = rows
-    while len(learned.rules) < most_rules:
-        rule = _grown(left.where("grow"), cuts, most_conditions)
+    while most_rules is None or len(learned.rules) < most_rules:
+        rule = _grown(left.where("grow"), features)
         rule = _pruned(left.where("NOT grow"), rule, precision, least_covered)
         if not rule:
             break
@@ -166,16 +150,15 @@ def learn_decision_list(labelled: DataFrame, label: str = "quality", key: str =
     return learned
 
 
-def _grown(rows: DataFrame, cuts: dict[str, list[int]], most: int) -> tuple[Condition, ...]:
+def _grown(rows: DataFrame, features: Sequence[str]) -> tuple[Condition, ...]:
     rule: tuple[Condition, ...] = ()
     start = rows.agg(F.coalesce(F.sum("bad"), F.lit(0)), F.coalesce(F.sum(1 - F.col("bad")), F.lit(0))).first()
     held = (start[0], start[1])
-    while len(rule) < most and held[0] and held[1]:
-        counts = _counts(rows.where(_all(rule)), cuts)
-        best = max(counts, key=lambda condition: _gain(held, counts[condition]))
-        if _gain(held, counts[best]) <= 1e-9:
+    while held[0] and held[1]:
+        best = _best(rows.where(_all(rule)), features, held)
+        if not best or best[2] <= 0:
             break
-        rule, held = (*rule, best), counts[best]
+        rule, held = (*rule, best[0]), best[1]
     return rule
 
 
@@ -199,13 +182,13 @@ def judge(statistics: DataFrame, learned: DecisionList) -> DataFrame:
     return statistics.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & learned.verdict())
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, **settings) -> tuple[DataFrame, DecisionList]:
-    """Statistics, base rule and verdict of every document, and the list learned from `labels` (doc_id, quality).
+def quality_rules(docs: DataFrame, labels: DataFrame, key: str = "doc_id", **settings) -> tuple[DataFrame, DecisionList]:
+    """Statistics, base rule and verdict of every document, and the list learned from `labels` (key, quality).
 
     Statistics are computed once and written to the shared folder; learning and verdicts read them there. Documents that repeat keep
     their rows; of a repeated label the smaller counts.
     """
-    statistics = stored(text_statistics(docs), "statistics")
-    quality = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    learned = learn_decision_list(statistics.join(quality, "doc_id"), **settings)
+    statistics = stored(text_statistics(docs, key=key), "statistics")
+    quality = labels.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("quality").alias("quality"))
+    learned = learn_decision_list(statistics.join(quality, key), key=key, **settings)
     return judge(statistics, learned), learned
