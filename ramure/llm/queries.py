@@ -161,7 +161,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _urls_sql() -> str:
-    """SQL: the rules, sets of up to three tokens counted with and without the verdict, and the best rule that fits."""
+    """SQL: the rules, all sets of tokens of labelled rows counted with and without the verdict, and the best rule that fits."""
     def fits(host: str, path: str) -> str:
         return f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}')"
 
@@ -174,12 +174,8 @@ def _urls_sql() -> str:
             ("part:", "flatten(list_transform(list_filter(others, lambda v: contains(v, '-')), lambda v: string_split(v, '-')))"),
             ("segment:", "string_split(regexp_replace(path, '[0-9]+', '0', 'g'), '/')"),
             ("query:", "string_split(regexp_extract(u, '[?]([^#]*)', 1), '&')")))
-    sets = " UNION ALL ".join(
-        f"SELECT {', '.join(f't{n}.token AS a{n}' if n < size else f'NULL AS a{n}' for n in range(3))}, t0.known FROM tokens t0 "
-        + " ".join(f"JOIN tokens t{n} ON t{n}.page_id = t0.page_id AND t{n - 1}.token < t{n}.token" for n in range(1, size))
-        + " WHERE t0.known IS NOT NULL" for size in (1, 2, 3))
     return f"""
-        WITH parsed AS (
+        WITH RECURSIVE parsed AS (
             SELECT page_id, u, translate(regexp_extract(u, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                          'abcdefghijklmnopqrstuvwxyz') AS host,
                    regexp_extract(u, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
@@ -189,14 +185,15 @@ def _urls_sql() -> str:
                      FROM (SELECT *, list_filter(string_split(host, '.'), lambda v: v <> '') AS labels FROM ruled)),
         tokens AS (SELECT page_id, known, unnest(list_distinct({named})) AS token FROM labelled),
         size AS (SELECT count(*) AS rows FROM ruled WHERE known IS NOT NULL),
-        counted AS (SELECT a0, a1, a2, known, count(*) AS n, sum(count(*)) OVER (PARTITION BY a0, a1, a2) AS covered
-                    FROM ({sets}) GROUP BY a0, a1, a2, known),
+        sets AS (
+            SELECT page_id, known, [token] AS items, token AS last FROM tokens WHERE known IS NOT NULL
+            UNION ALL SELECT s.page_id, s.known, list_append(s.items, t.token), t.token FROM sets s JOIN tokens t ON t.page_id = s.page_id AND t.token > s.last),
+        counted AS (SELECT items, known, count(*) AS n, sum(count(*)) OVER (PARTITION BY items) AS covered FROM sets GROUP BY items, known),
         mined AS (SELECT *, n / covered::DOUBLE AS confidence FROM counted, size
                   WHERE n >= ceil(rows * greatest(0.01, 9.5 / greatest(rows, 1))) AND n / covered::DOUBLE >= 0.8),
         own AS (SELECT page_id, list(token) AS tokens FROM tokens WHERE known IS NULL GROUP BY page_id),
         judged AS (SELECT page_id, arg_max(mined.known, (confidence, n, mined.known)) AS verdict FROM own, mined
-                   WHERE list_contains(tokens, a0) AND (a1 IS NULL OR list_contains(tokens, a1)) AND (a2 IS NULL OR list_contains(tokens, a2))
-                   GROUP BY page_id)
+                   WHERE list_has_all(tokens, items) GROUP BY page_id)
         SELECT page_id, host, path, rule, coalesce(known, verdict, 'allow') AS verdict FROM ruled LEFT JOIN judged USING (page_id)"""
 
 

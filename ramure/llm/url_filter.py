@@ -8,7 +8,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ramure.llm.common import few, stored
+from ramure.llm.common import stored
 
 # Rules as (verdict, host, path).
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -57,18 +57,17 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
         named("query:", query)))
 
 
-def mine_rules(labelled: DataFrame, support: float = 0.01, confidence: float = 0.8, least_rows: int = 10,
-               most_tokens: int = 3) -> DataFrame:
+def mine_rules(labelled: DataFrame, support: float = 0.01, confidence: float = 0.8, least_rows: int = 10) -> DataFrame:
     """Association rules (tokens, verdict, confidence, support) from rows with `tokens` and `verdict`.
 
     FP-growth finds sets of tokens and verdict that occur in at least a share `support` of the rows, and in `least_rows`; a rule's tokens imply its verdict
-    in at least a share `confidence` of the rows that have them. Rules of more than `most_tokens` tokens are left out, and so are those
-    that add tokens to a rule of the same verdict without gaining confidence.
+    in at least a share `confidence` of the rows that have them, however many they are. Rules that add tokens to a rule of the same verdict
+    without gaining confidence are left out.
     """
     baskets = labelled.select(F.array_union("tokens", F.array(F.concat(F.lit(_LABEL), F.col("verdict")))).alias("items"))
     rows = baskets.count()
     model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(support, (least_rows - 0.5) / max(rows, 1))), minConfidence=confidence).fit(baskets)
-    rules = stored(model.associationRules.where(F.element_at("consequent", 1).startswith(_LABEL) & (F.size("antecedent") <= most_tokens)
+    rules = stored(model.associationRules.where(F.element_at("consequent", 1).startswith(_LABEL)
                                                 & ~F.exists("antecedent", lambda token: token.startswith(_LABEL)))
                    .select(F.array_sort("antecedent").alias("tokens"), F.substring(F.element_at("consequent", 1), len(_LABEL) + 1, 99)
                            .alias("verdict"), "confidence", "support"), "rules")
@@ -89,7 +88,7 @@ def match_rules(urls: DataFrame, rules: DataFrame, key: str = "row") -> DataFram
     common = ranked.groupBy("token").agg(F.count("*").alias("listed"))
     index = (ranked.join(common, "token").groupBy("tokens", "verdict", "confidence", "support")
              .agg(F.min(F.struct("listed", "token"))["token"].alias("token")))
-    found = (urls.select(key, F.col("tokens").alias("own"), F.explode("tokens").alias("token")).join(few(stored(index, "index")), "token")
+    found = (urls.select(key, F.col("tokens").alias("own"), F.explode("tokens").alias("token")).join(stored(index, "index"), "token")
              .where(F.size(F.array_except("tokens", "own")) == 0))
     return (found.groupBy(key).agg(F.max(F.struct("confidence", "support", "verdict")).alias("best"))
             .select(key, F.col("best.verdict").alias("verdict"), F.col("best.confidence").alias("confidence")))
@@ -112,5 +111,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     # equal sets of tokens are judged once
     distinct = rows.where("known IS NULL").select("tokens").distinct().withColumn("row", F.xxhash64("tokens"))
     judged = stored(match_rules(distinct, mined), "judged")
-    return (rows.withColumn("row", F.when(F.col("known").isNull(), F.xxhash64("tokens"))).join(judged, "row", "left")
-            .select(key, "url", "host", "path", "rule", F.coalesce("known", "verdict", F.lit(default)).alias("verdict"), "confidence"))
+    columns = (key, "url", "host", "path", "rule")
+    # rows that a rule fits stay where they are
+    left = rows.where("known IS NULL").withColumn("row", F.xxhash64("tokens")).join(judged, "row", "left")
+    return (rows.where("known IS NOT NULL").select(*columns, F.col("known").alias("verdict"), F.lit(None).cast("double").alias("confidence"))
+            .union(left.select(*columns, F.coalesce("verdict", F.lit(default)).alias("verdict"), "confidence")))
