@@ -1,22 +1,25 @@
-"""Helpers shared by the operators: reading, whole-text words, the shared work folder, checked broadcasts, components."""
+"""Helpers shared by the operators: reading, whole-text words, the shared work folder, components, batches and encoding."""
 
 from __future__ import annotations
 
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: ASCII white space, the separator of words; every other character belongs to a word.
 SPACE = r"[\x20\x09-\x0D]+"
 
-#: Rows that may be broadcast; beyond them the join is shuffled.
-BROADCAST_ROWS = 2_000_000
+#: Bytes of a batch of rows on its way to Python, about; one row at least.
+BATCH_BYTES = 4_000_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,17 +40,52 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for files that the driver and all executors see.
 
-    It lies in `spark.checkpoint.dir`; where that is unset, as in tests, in the session's warehouse folder.
+    It lies in `spark.checkpoint.dir`; where that is unset and Spark runs on one machine, as in tests, in the session's warehouse folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    for folders in _WRITTEN:
+        folders.append(folder)
+    return folder
+
+
+_WRITTEN: list[list[str]] = []
+
+
+@contextmanager
+def intermediate(spark: SparkSession):
+    """Folders made inside are deleted at the end; nothing lazy may read them any more."""
+    _WRITTEN.append([])
+    try:
+        yield
+    finally:
+        for folder in _WRITTEN.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a table into the shared folder and go on from the files: lineage ends there, and lost executors cost nothing."""
-    folder = shared_folder(df.sparkSession, purpose)
-    df.write.option("compression", "zstd").parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    """Write a table into the shared folder and go on from the files: lineage ends there, and lost executors cost nothing.
+
+    Batches for Python are bounded by bytes while it is written, so long texts don't pile up in a worker.
+    """
+    spark = df.sparkSession
+    folder = shared_folder(spark, purpose)
+    bytes_, setting = BATCH_BYTES, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, str(bytes_))
+    try:
+        df.write.option("compression", "zstd").parquet(folder)
+    finally:
+        if before is None:
+            spark.conf.unset(setting)
+        else:
+            spark.conf.set(setting, before)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def opened(folder: str):
@@ -71,11 +109,6 @@ def put(folder: str, name: str, write: Callable) -> None:
     files.move(own, f"{path}/{name}")
 
 
-def few(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """`df` marked for broadcast if a count shows that it has at most `rows` rows; else as it is, to be shuffled."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of `edges` (a, b): every node with the smallest node it can reach (id, component).
 
@@ -96,24 +129,56 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-class WordHashes:
-    """64-bit hashes of words, kept for words seen before; the memory is emptied when it holds `bound` words."""
+def texts_of(column: pa.Array, most: int = 2_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Bytes of some texts after one another and where each begins and the last ends, for about `most` bytes at once; null is empty.
+
+    A text of more bytes comes alone.
+    """
+    whole = pc.cast(column.fill_null(""), pa.large_binary())
+    ends = np.frombuffer(whole.buffers()[1], np.int64)[whole.offset:whole.offset + len(whole) + 1]
+    data = np.frombuffer(whole.buffers()[2] or b"", np.uint8)
+    low = 0
+    while low < len(whole):
+        high = max(int(np.searchsorted(ends, ends[low] + most, "right")) - 1, low + 1)
+        yield data[ends[low]:ends[high]], ends[low:high + 1] - ends[low]
+        low = high
+
 
-    def __init__(self, bound: int = 300_000):
-        self.bound = bound
-        self.known: dict[bytes, int] = {}
+_IS_SPACE = np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        try:
-            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            pass
-        if len(known) > self.bound:
-            known.clear()
-        for word in set(words).difference(known):
-            known[word] = hash64(word)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+
+def words_in(data: np.ndarray, ends: np.ndarray, fold: bool) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, and how many words come before each text and before the end.
+
+    Words are runs of anything but ASCII white space; `fold` takes A-Z for a-z. A hash adds up a number for each byte, of up to 32 bytes
+    for all words at once; longer words have one of their own. It is the same in every process.
+    """
+    if not len(data):
+        return np.zeros(0, np.uint64), np.zeros(len(ends), np.int64)
+    inside = ~_IS_SPACE[data]
+    begins, closes = inside.copy(), inside.copy()
+    edge = np.zeros(len(data) + 1, bool)  # a text's end parts words too
+    edge[ends] = True
+    begins[1:] &= ~inside[:-1] | edge[1:-1]
+    closes[:-1] &= ~inside[1:] | edge[1:-1]
+    starts, stops = np.flatnonzero(begins), np.flatnonzero(closes) + 1
+    lengths = stops - starts
+    numbers = _NUMBERS[int(fold)]
+    order = np.argsort(-np.minimum(lengths, 33), kind="stable")
+    at, sizes = starts[order], lengths[order]
+    hashes = np.zeros(len(at), np.uint64)
+    longer = np.searchsorted(-np.minimum(sizes, 33), -np.arange(33), "left")  # words of more than n bytes
+    for n in range(32):
+        some = longer[n]
+        if not some:
+            break
+        hashes[:some] = hashes[:some] * _FACTOR + numbers[data[at[:some] + n]]
+    for place in range(longer[32]):
+        word = data[at[place]:at[place] + sizes[place]].tobytes()
+        hashes[place] = hash64(word.lower() if fold else word)
+    found = np.empty_like(hashes)
+    found[order] = mix(hashes)
+    return found, np.searchsorted(starts, ends)
 
 
 def hash64(word: bytes) -> int:
@@ -132,119 +197,162 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_NUMBERS = np.stack([mix(np.arange(1, 257, dtype=np.uint64) * _FACTOR)] * 2)
+_NUMBERS[1, 65:91] = _NUMBERS[1, 97:123]
+
+
 def crc(ids: np.ndarray) -> int:
     """Unsigned CRC-32 of ids as little-endian unsigned 32-bit integers."""
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
+def gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Runs of `values` after one another."""
+    ends = np.cumsum(lengths)
+    return values[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-_BEYOND = re.compile("[İ-\U0010ffff]")
-_RUNS = ("  ", "\n\n", "\n ", " \n", *"\t\r\x0b\x0c\x85\xa0\0")
+_BEYOND = "[\\x{130}-\\x{10ffff}]"
+_RUNS = "  |\n\n|\n | \n|[\t\r\x0b\x0c\\x{85}\\x{a0}\\x{130}-\\x{10ffff}\\x00]"
 _CHUNK = re.compile(r"\s+(?!\S)| ?\S+|\s")
 
 
+#: Byte-level vocabularies write every byte as a sign: those of printable Latin-1 signs as themselves, the others as signs from U+0100 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_OTHERS = [byte for byte in range(256) if byte not in _PRINTABLE]
+_BYTE_SIGNS = [chr(byte if byte in _PRINTABLE else 256 + _OTHERS.index(byte)) for byte in range(256)]
+
+
 class Encoder:
     """Ids of a public tokenizer for whole texts, by the tokenizers library.
 
     Both vocabularies split a text before merging, and white space always ends a piece, so the ids of a text are those of its chunks
-    between white space; a run of letters and the signs after it are pieces of their own too. Chunks are encoded once and remembered:
-    when there are more than `bound` of them, those of the texts at hand stay. New runs of letters go to the library many at a time,
-    without the steps that leave them as they are, set apart by a separator whose id they can't give; everything else goes through
-    the whole of it. `spaced` tells a byte-level vocabulary, whose pieces keep the space before them, from one that lower-cases and
-    drops white space.
+    between white space; a run of letters and the signs after it are pieces of their own too. Chunks of many texts are cut and counted as
+    different ones by Arrow; each different run is encoded once and remembered until there are more than `bound`. New runs of letters go
+    to the library's model, without the steps before it that leave them as they are; everything else goes through the whole of it. Ids are then gathered for all texts at once. `spaced` tells a byte-level vocabulary,
+    whose pieces keep the space before them, from one that lower-cases and drops white space.
     """
 
     def __init__(self, path: str, spaced: bool, bound: int = 400_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer
 
-        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        between, how = ("\n", "isolated") if spaced else (" ", "removed")
-        self.plain.normalizer = normalizers.Sequence([])
-        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.Split(between, how), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.spaced, self.bound = spaced, bound
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.known: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
-        self.between = "\n" if spaced else " | "
-        self.mark, = self.tokenizer.encode(self.between, add_special_tokens=False).ids
         # special tokens, and characters that are white space for Python alone
-        self.special = (*(token.content for token in self.tokenizer.get_added_tokens_decoder().values()), *"\x1c\x1d\x1e\x1f")
-
-    def whole(self, text: str) -> bytes:
-        """Ids of a text in one call of the library."""
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def chunks(self, text: str) -> list[str] | None:
-        """The chunks of a text; None if it has to be encoded in one call."""
-        if any(special in text for special in self.special):
-            return None
-        if self.spaced:
-            if any(pair in text for pair in _RUNS) or not text.isascii() and _BEYOND.search(text):
-                return _CHUNK.findall(text)
-            # single spaces and line ends only: a space begins the chunk after it, a line end is a chunk
-            return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-        if text.isascii() or not _BEYOND.search(text):  # such letters are composed already and have one lower-case form
-            return text.lower().split()
-        return None
-
-    def learn(self, chunks: set[str]) -> None:
-        known, runs = self.known, self.runs
-        names: list[str] = []  # two lists and no list of pairs, which the garbage collector would walk
-        bases: list[str] = []
-        for chunk in chunks:
-            run = chunk.rstrip(_SIGNS)
-            if (run[1:] if run[:1] == " " else run).isalpha():
-                names.append(chunk)
-                bases.append(run)
-            else:
-                known[chunk] = self.whole(chunk)
-        if len(runs) > self.bound:
-            runs.clear()
-        fresh = list(set(bases).difference(runs))
-        size = np.dtype(self.kind).itemsize
-        for at in range(0, len(fresh), 2000):
-            some = fresh[at:at + 2000]
-            joined = self.between + self.between.join(some)
-            ids = np.array(self.plain.encode_batch_fast([joined], add_special_tokens=False)[0].ids, self.kind)
-            ends = (np.flatnonzero(ids == self.mark) * size).tolist()
-            if len(ends) != len(some):
-                raise ValueError("the separator's id is one of a run of letters")
-            data = ids.tobytes()
-            for run, begin, end in zip(some, ends, [*ends[1:], len(data)]):
-                runs[run] = data[begin + size:end]
-        for chunk, run in zip(names, bases):
-            if len(chunk) == len(run):
-                known[chunk] = runs[run]
+        special = (*(token.content for token in self.tokenizer.get_added_tokens_decoder().values()), *"\x1c\x1d\x1e\x1f")
+        self.special = "|".join(re.escape(one) for one in special)
+        self.forget()
+
+    def forget(self) -> None:
+        """Begin with an empty memory: number of a run or chunk, and where its ids are."""
+        self.numbers: tuple[dict[str, int], dict[str, int]] = ({}, {})  # of chunks of any kind, of runs of letters
+        self.ids = np.zeros(0, self.kind)
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def whole(self, texts: list[str]) -> list[list[int]]:
+        """Ids of texts by the whole of the library."""
+        return [one.ids for one in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def known(self, different: pa.Array, letters: bool) -> np.ndarray:
+        """Numbers of different runs of letters, or of chunks of any kind; new ones are encoded."""
+        numbers, names = self.numbers[letters], different.to_pylist()
+        fresh = [name for name in names if name not in numbers]
+        ids, lengths = array("I"), []
+        if letters:  # straight to the model, as pieces that the steps before it would leave as they are
+            tokenize, signs = self.model.tokenize, _BYTE_SIGNS
+            for name in fresh:
+                tokens = tokenize(name.replace(" ", "Ġ") if name.isascii() else "".join([signs[byte] for byte in name.encode()]))
+                lengths.append(len(tokens))
+                ids.extend([token.id for token in tokens])
+        else:
+            for at in range(0, len(fresh), 2000):
+                for one in self.whole(fresh[at:at + 2000]):
+                    lengths.append(len(one))
+                    ids.extend(one)
+        if fresh:
+            sizes, count = np.array(lengths, np.int64), len(self.starts)
+            numbers.update(zip(fresh, range(count, count + len(fresh))))
+            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+            self.lengths = np.concatenate([self.lengths, sizes])
+            self.ids = np.concatenate([self.ids, np.frombuffer(ids, np.uint32).astype(self.kind)])
+        return np.fromiter(map(numbers.__getitem__, names), np.int64, len(names))
+
+    def chunk_ids(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks after one another, and how many each has."""
+        coded = pc.dictionary_encode(chunks)
+        different, places = coded.dictionary, np.asarray(coded.indices)
+        runs = pc.utf8_rtrim(different, characters=_SIGNS)
+        letters = np.asarray(pc.utf8_is_alpha(pc.replace_substring_regex(runs, "^ ", "") if self.spaced else runs))
+        first, second = np.zeros(len(different), np.int64), np.full(len(different), -1, np.int64)
+        lettered, others = np.flatnonzero(letters), np.flatnonzero(~letters)
+        words = pc.dictionary_encode(runs.take(pa.array(lettered)))
+        first[lettered] = self.known(words.dictionary, True)[np.asarray(words.indices)]
+        first[others] = self.known(different.take(pa.array(others)), False)
+        ended = lettered[np.asarray(pc.not_equal(pc.binary_length(runs), pc.binary_length(different)))[lettered]]
+        if len(ended):  # the signs after the letters: the rest of the chunk's bytes
+            some = pc.cast(different.take(pa.array(ended)), pa.large_binary())
+            offsets = np.frombuffer(some.buffers()[1], np.int64)[:len(some) + 1]
+            begins = offsets[:-1] + np.asarray(pc.binary_length(runs.take(pa.array(ended))), np.int64)
+            rest = gathered(np.frombuffer(some.buffers()[2], np.uint8), begins, offsets[1:] - begins)
+            ends = np.concatenate([[0], np.cumsum(offsets[1:] - begins)])
+            signs = pc.dictionary_encode(pa.LargeStringArray.from_buffers(len(some), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(rest)))
+            second[ended] = self.known(signs.dictionary, False)[np.asarray(signs.indices)]
+        starts, lengths = np.append(self.starts, 0), np.append(self.lengths, 0)  # no second part: number -1
+        parts = np.stack([first, second], axis=1)[places].ravel()
+        sizes = lengths[parts]
+        return gathered(self.ids, starts[parts], sizes), sizes.reshape(-1, 2).sum(axis=1)
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts after one another, and where each begins and the last ends; null is read as empty."""
+        if len(self.starts) > self.bound:
+            self.forget()
+        texts = pc.cast(texts.fill_null(""), pa.large_string())
+        special = np.asarray(pc.match_substring_regex(texts, self.special))
+        odd = np.asarray(pc.match_substring_regex(texts, _RUNS if self.spaced else _BEYOND))
+        kinds = np.where(special | (odd & (not self.spaced)), 2, np.where(odd, 1, 0))
+        flats, begins, sizes, base = [], np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), 0
+        for kind in (0, 1, 2):
+            rows = np.flatnonzero(kinds == kind)
+            if not len(rows):
+                continue
+            some = texts.take(pa.array(rows)) if len(rows) < len(texts) else texts
+            if kind == 2:
+                encoded = self.whole(some.to_pylist())
+                lengths, flat = np.array([len(one) for one in encoded], np.int64), np.array([id_ for one in encoded for id_ in one], self.kind)
             else:
-                signs = chunk[len(run):]
-                if signs not in known:
-                    known[signs] = self.whole(signs)
-                known[chunk] = runs[run] + known[signs]
-
-    def __call__(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        """The ids of each text; null is read as empty."""
-        split = [self.chunks(text or "") for text in texts]
-        met: set[str] = set()
-        for chunks in split:
-            met.update(chunks or ())
-        if len(self.known) > self.bound:
-            self.known = {chunk: self.known[chunk] for chunk in met if chunk in self.known}
-        self.learn(met.difference(self.known))
-        for text, chunks in zip(texts, split):
-            ids = self.whole(text) if chunks is None else b"".join(map(self.known.__getitem__, chunks))
-            yield np.frombuffer(ids, self.kind)
-
-
-def batches(frames: Iterator[pd.DataFrame], column: str, most: int = 8_000_000) -> Iterator[pd.DataFrame]:
-    """Cut frames into ones with about `most` characters in a column, one row at least."""
-    for frame in frames:
-        sizes = frame[column].str.len().fillna(0).to_numpy()
-        group = (np.cumsum(sizes) // most).astype(np.int64)
-        if len(frame) and group[-1] == group[0]:
-            yield frame
-        elif len(frame):
-            yield from (part for _, part in frame.groupby(group, sort=True))
+                if kind == 1:
+                    split = pa.array([_CHUNK.findall(text) for text in some.to_pylist()], pa.large_list(pa.large_string()))
+                elif self.spaced:  # single spaces and line ends only: a space begins the chunk after it, a line end is a chunk
+                    split = pc.split_pattern(pc.replace_substring(pc.replace_substring(some, " ", "\0 "), "\n", "\0\n\0"), "\0")
+                else:  # such letters are composed already and have one lower-case form
+                    split = pc.utf8_split_whitespace(pc.utf8_lower(some))
+                flat, counts = self.chunk_ids(split.flatten())
+                totals = np.concatenate([[0], np.cumsum(counts)])
+                edges = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(split), np.int64))])
+                lengths = np.diff(totals[edges])
+            flats.append(flat)
+            sizes[rows] = lengths
+            begins[rows] = base + np.cumsum(lengths) - lengths
+            base += len(flat)
+        ids = np.concatenate(flats) if flats else np.zeros(0, self.kind)
+        if len(flats) > 1:
+            ids = gathered(ids, begins, sizes)
+        return ids, np.concatenate([[0], np.cumsum(sizes)])
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+    """Cut batches into ones with about `most` bytes in a column, one row at least."""
+    for batch in batches:
+        sizes = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64))
+        low = 0
+        while low < len(batch):
+            high = max(int(np.searchsorted(sizes, (sizes[low - 1] if low else 0) + most, "right")), low + 1)
+            yield batch.slice(low, high - low)
+            low = high

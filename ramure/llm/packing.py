@@ -7,10 +7,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ramure.llm.common import batches, crc, stored
+from ramure.llm.common import crc, slices, stored
 from ramure.llm.token_ids import encoder
 
 #: Pieces that one task packs together, about.
@@ -159,19 +160,29 @@ def cut_pieces(docs: DataFrame, path: str, spaced: bool, end_id: int, capacity:
     repeated keys apart. Null texts are read as empty and give the end id.
     """
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = encoder(path, spaced)
-        for frame in batches(frames, "text"):
-            rows = []
-            for row, key_, ids in zip(frame["row"], frame["key"], ids_of(frame["text"].tolist())):
-                ids = np.append(ids, end_id).astype("<u4")
+        for batch in slices(batches, 2):
+            every, ends = ids_of(batch.column(2))
+            places, pieces, begins, lengths, contents, sums = [], [], [], [], [], []
+            for place, (low, high) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
+                ids = np.append(every[low:high], end_id).astype("<u4")
                 starts = [0, *range(len(ids) % capacity or capacity, len(ids), capacity)] if len(ids) > capacity else [0]
                 for piece, (start, end) in enumerate(zip(starts, [*starts[1:], len(ids)])):
-                    rows.append((row, key_, piece, start, end - start, ids[start:end].tobytes(), crc(ids[start:end])))
-            yield pd.DataFrame(rows, columns=["row", "key", "piece", "start", "length", "ids", "ids_crc32"]).astype({"key": "Int64"})
+                    places.append(place)
+                    pieces.append(piece)
+                    begins.append(start)
+                    lengths.append(end - start)
+                    contents.append(ids[start:end].tobytes())
+                    sums.append(crc(ids[start:end]))
+            at = pa.array(places, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(pieces, pa.int32()), pa.array(begins, pa.int64()),
+                 pa.array(lengths, pa.int64()), pa.array(contents, pa.binary()), pa.array(sums, pa.int64())],
+                ["row", "key", "piece", "start", "length", "ids", "ids_crc32"])
 
     source = docs.select(F.monotonically_increasing_id().alias("row"), docs[key].cast("long").alias("key"), docs[text].alias("text"))
-    return source.mapInPandas(cut, "row long, key long, piece int, start long, length long, ids binary, ids_crc32 long")
+    return source.mapInArrow(cut, "row long, key long, piece int, start long, length long, ids binary, ids_crc32 long")
 
 
 def place(pieces: DataFrame, capacity: int, groups: int, mark: int) -> DataFrame:

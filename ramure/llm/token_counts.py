@@ -6,9 +6,11 @@ import json
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ramure.llm.common import slices
+
 #: Words whose counts are kept in a worker; all are dropped when there are more.
 KNOWN_WORDS = 300_000
 
@@ -132,15 +134,16 @@ def count_tokens(docs: DataFrame, vocabulary: str, text: str = "text", key: str
     """
     source = docs.select(docs[key].alias("key"), docs[text].alias("text"))
 
-    def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = _counts(vocabulary)
-        for frame in frames:
+        for batch in slices(batches, 1):
             rows = []
-            for value in frame["text"]:
+            for value in batch.column(1).to_pylist():
                 words = value.encode().split() if value else ()
                 pieces = np.fromiter(map(counts.__getitem__, words), np.int64, len(words))
                 rows.append((len(words), int(pieces.sum()), int(pieces.max(initial=0))))
-            yield pd.DataFrame({"key": frame["key"], **dict(zip(("n_words", "n_tokens", "longest"), np.array(rows, np.int64).reshape(-1, 3).T))})
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(column, pa.int64()) for column in zip(*rows))],
+                                             ["key", "n_words", "n_tokens", "longest"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return source.mapInPandas(counted, f"key {kind}, n_words long, n_tokens long, longest long").withColumnRenamed("key", key)
+    return source.mapInArrow(counted, f"key {kind}, n_words long, n_tokens long, longest long").withColumnRenamed("key", key)

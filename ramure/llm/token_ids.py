@@ -7,11 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ramure.llm.common import Encoder, batches, few, put, shared_folder, stored
+from ramure.llm.common import Encoder, put, shared_folder, slices, stored
 
 #: Tokens of a file, and of a block of documents that is coded at once; a longer document is a block of its own.
 FILE_TOKENS, BLOCK_TOKENS = 8_000_000, 65_536
@@ -112,14 +113,17 @@ def read_file(content: bytes) -> Iterator[tuple[int | None, int, np.ndarray]]:
 def encode_documents(docs: DataFrame, path: str, spaced: bool, end_id: int, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, ids) of every row: the ids of the whole text and the end id, as little-endian 16- or 32-bit integers."""
 
-    def encoded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = encoder(path, spaced)
-        for frame in batches(frames, "text"):
-            end = np.array([end_id], ids_of.kind).tobytes()
-            yield pd.DataFrame({"key": frame["key"], "ids": [ids.tobytes() + end for ids in ids_of(frame["text"].tolist())]})
+        last = np.array([end_id], ids_of.kind).tobytes()
+        for batch in slices(batches, 1):
+            ids, ends = ids_of(batch.column(1))
+            content, places = ids.tobytes(), (ends * ids.itemsize).tolist()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([content[low:high] + last for low, high in zip(places, places[1:])], pa.binary())], ["key", "ids"])
 
     source = docs.select(docs[key].cast("long").alias("key"), docs[text].alias("text"))
-    return source.mapInPandas(encoded, "key long, ids binary")
+    return source.mapInArrow(encoded, "key long, ids binary")
 
 
 def frequencies(encoded: DataFrame, kind: str) -> DataFrame:
@@ -152,27 +156,27 @@ def write_token_files(docs: DataFrame, folder: str, path: str, spaced: bool, end
     by_rank = np.array([row["id"] for row in counts], np.uint32)
     files = max(1, -(-sum(row["n"] for row in counts) // file_tokens))
 
-    def written(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        first = next((frame for frame in frames if len(frame)), None)
+    def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = next((batch for batch in batches if len(batch)), None)
         if first is None:
             return
         number, totals = TaskContext.get().partitionId(), [0, 0]
 
         def write(out) -> None:
             writer = FileWriter(out, by_rank)
-            frame = first
-            while frame is not None:
-                for key_, ids in zip(frame["key"], frame["ids"]):
-                    writer.add(None if pd.isna(key_) else int(key_), np.frombuffer(ids, kind))
-                frame = next(frames, None)
+            batch = first
+            while batch is not None:
+                for key_, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    writer.add(key_, np.frombuffer(ids, kind))
+                batch = next(batches, None)
             writer.close()
             totals[:] = len(writer.docs), sum(count for count, _, _ in writer.blocks)
 
         put(folder, f"{number:06d}.ids", write)
-        yield pd.DataFrame({"file": [number], "n_docs": [totals[0]], "n_tokens": [totals[1]]})
+        yield pa.RecordBatch.from_arrays([pa.array([one]) for one in (number, *totals)], ["file", "n_docs", "n_tokens"])
 
     ordered = encoded.repartitionByRange(files, "key").sortWithinPartitions("key", "ids")
-    return stored(ordered.mapInPandas(written, "file long, n_docs long, n_tokens long"), "files")
+    return stored(ordered.mapInArrow(written, "file long, n_docs long, n_tokens long"), "files")
 
 
 def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
@@ -180,21 +184,23 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> D
 
     `start` counts the ids of all documents before it: within its file, and in the files before by a sum over one row per file.
     """
-    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for name, content in zip(frame["path"], frame["content"]):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 rows, held = [], 0
                 for doc_id, start, ids in read_file(content):
                     rows.append((int(name[-10:-4]), doc_id, start, len(ids), ids.tobytes()))
                     held += len(ids)
                     if held > 2_000_000:
-                        yield _frame(rows)
+                        yield _batch(rows)
                         rows, held = [], 0
-                yield _frame(rows)
+                if rows:
+                    yield _batch(rows)
 
-    def _frame(rows: list[tuple]) -> pd.DataFrame:
-        frame = pd.DataFrame(rows, columns=["file", "doc_id", "inside", "n_tokens", "ids"])
-        return frame.astype({"doc_id": "Int64"})
+    def _batch(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(column, kind_) for column, kind_ in zip(zip(*rows), kinds)],
+                                          ["file", "doc_id", "inside", "n_tokens", "ids"])
 
     before = F.coalesce(F.sum("n_tokens").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = stored(manifest.select("file", before.alias("before")), "starts")
@@ -202,8 +208,8 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> D
     if starts.isEmpty():
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids binary")
     content = spark.read.format("binaryFile").schema(schema).option("pathGlobFilter", "*.ids").load(folder).select("path", "content")
-    rows = content.mapInPandas(read, "file long, doc_id long, inside long, n_tokens long, ids binary")
-    return (rows.join(few(starts), "file").select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids"))
+    rows = content.mapInArrow(read, "file long, doc_id long, inside long, n_tokens long, ids binary")
+    return (rows.join(starts, "file").select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids"))
 
 
 def round_trip(docs: DataFrame, path: str, spaced: bool, end_id: int) -> DataFrame:
