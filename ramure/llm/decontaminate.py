@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ramure.llm.common import few, stored
+from ramure.llm.common import stored
 
 #: Token positions that a seed compares (1) and ignores (0); all begin with two compared ones. No layout of SUBSTITUTIONS in WINDOW
 #: tokens hits them all.
@@ -53,7 +53,7 @@ def find_overlaps(docs: DataFrame, items: DataFrame, text: str = "text", item: s
     looked up once, so rows that repeat make no group large. `text_hash` is xxhash64 of the text.
 
     Windows of documents stay in the scan's stage: first their two leading tokens, then the seeds of those that are left, look into
-    tables made from the items, which are broadcast if a count shows that they are small and joined by shuffle otherwise.
+    tables made from the items, which Spark broadcasts where they are small and shuffles otherwise.
     """
     def hashed(rows: DataFrame, *kept: Column) -> DataFrame:
         return rows.select(*kept, F.transform(tokens(F.col(text)), lambda token: F.xxhash64(token)).alias("hashes"))
@@ -73,17 +73,16 @@ def find_overlaps(docs: DataFrame, items: DataFrame, text: str = "text", item: s
 
     texts = docs.where(F.col(text).isNotNull()).select(F.xxhash64(text).alias("text_hash"), F.col(text))
     looked = (windows(hashed(texts, F.col("text_hash"), F.col(text)), "text_hash")
-              .withColumn("anchor", _anchor()).join(few(anchors), "anchor", "left_semi")
-              .select("text_hash", "at", F.explode(_seeds(every)).alias("seed")).join(few(seeds), "seed")
+              .withColumn("anchor", _anchor()).join(anchors, "anchor", "left_semi")
+              .select("text_hash", "at", F.explode(_seeds(every)).alias("seed")).join(seeds, "seed")
               .select("text_hash", "item", (F.col("at") - F.col("there")).alias("shift")).distinct())
     hits = stored(looked, "hits")
     of_text = stored(hits.groupBy("text_hash").agg(F.collect_list(F.struct("item", "shift")).alias("hits")), "hits")
-    few_hits = few(hits)
-    found = hashed(texts.join(F.broadcast(of_text) if few_hits is not hits else of_text, "text_hash"), F.col("text_hash"), F.col("hits"))
+    found = hashed(texts.join(of_text, "text_hash"), F.col("text_hash"), F.col("hits"))
     pairs = found.select("text_hash", "hashes", F.explode("hits").alias("hit")).select(
         "text_hash", F.col("hit.item").alias("item"), F.col("hit.shift").alias("shift"), "hashes")
     items_too = benchmark.withColumnRenamed("hashes", "item_hashes")
-    aligned = pairs.join(few(items_too), "item").select("text_hash", "item", "shift", F.transform(
+    aligned = pairs.join(items_too, "item").select("text_hash", "item", "shift", F.transform(
         "item_hashes", lambda hash_, at: F.coalesce(F.get("hashes", at + F.col("shift")) == hash_, F.lit(False)).cast("int")).alias("equal"))
     width = F.least(F.lit(window), F.size("equal"))
     best = F.array_max(F.transform(F.sequence(F.lit(0), F.size("equal") - width), lambda at: F.struct(
@@ -101,10 +100,10 @@ def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", key: str
     """Pairs of documents and the items they contain: (key, item, position, matched, window), without repetitions; null keys are left out."""
     overlaps = stored(find_overlaps(docs, items, text, item, **settings), "overlaps")
     rows = docs.where(F.col(key).isNotNull()).select(F.col(key), F.xxhash64(text).alias("text_hash"))
-    return (rows.join(few(overlaps), "text_hash").select(key, F.col("item").alias(item), "position", "matched", "window").distinct())
+    return (rows.join(overlaps, "text_hash").select(key, F.col("item").alias(item), "position", "matched", "window").distinct())
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "item_id", **settings) -> DataFrame:
     """The rows of `docs` whose text overlaps with no item; null texts stay."""
     overlaps = stored(find_overlaps(docs, items, text, item, **settings).select("text_hash").distinct(), "overlaps")
-    return docs.join(few(overlaps), F.xxhash64(docs[text]) == overlaps["text_hash"], "left_anti")
+    return docs.join(overlaps, F.xxhash64(docs[text]) == overlaps["text_hash"], "left_anti")

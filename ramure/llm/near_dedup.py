@@ -12,10 +12,11 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ramure.llm.common import WordHashes, batches, components, few, mix, stored
+from ramure.llm.common import components, mix, stored, texts_of, words_in
 
 #: Pairs of signatures compared at once by a task, shingles in a block of sets, shingles in a product of matrices.
 PAIRS, BLOCK, COLUMNS = 4_096, 65_536, 4_096
@@ -88,11 +89,12 @@ def signature(shingles: np.ndarray, values: int) -> np.ndarray:
     return (least >> np.uint64(32)).astype("<u4")
 
 
-_HASHES = WordHashes()
-
-
-def _set_of(text: str | None, size: int) -> np.ndarray:
-    return shingle_set(_HASHES(text.encode().lower().split()) if text else np.zeros(0, np.uint64), size)
+def _sets_of(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
+    """The shingle set of each text; words are runs of anything but ASCII white space, A-Z lower-cased."""
+    for data, ends in texts_of(texts):
+        words, before = words_in(data, ends, fold=True)
+        for low, high in zip(before[:-1].tolist(), before[1:].tolist()):
+            yield shingle_set(words[low:high], size)
 
 
 def _name(shingles: np.ndarray) -> bytes:
@@ -104,16 +106,19 @@ def _name(shingles: np.ndarray) -> bytes:
 def set_signatures(docs: DataFrame, similarity: Similarity, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, text_hash, n_shingles, node, signature) of every row; texts without words have no node and no signature."""
 
-    def signed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches(frames, "text"):
-            sets = [_set_of(value, similarity.shingle) for value in frame["text"]]
-            yield pd.DataFrame({
-                "key": frame["key"].astype("Int64"), "text_hash": frame["text_hash"], "n_shingles": [len(one) for one in sets],
-                "node": [_name(one) if len(one) else None for one in sets],
-                "signature": [signature(one, similarity.values).tobytes() if len(one) else None for one in sets]})
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts, nodes, signatures = [], [], []
+            for one in _sets_of(batch.column(1), similarity.shingle):
+                counts.append(len(one))
+                nodes.append(_name(one) if len(one) else None)
+                signatures.append(signature(one, similarity.values).tobytes() if len(one) else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array(counts, pa.int64()), pa.array(nodes, pa.binary()), pa.array(signatures, pa.binary())],
+                ["key", "text_hash", "n_shingles", "node", "signature"])
 
     source = docs.select(docs[key].cast("long").alias("key"), docs[text].alias("text"), F.xxhash64(docs[text]).alias("text_hash"))
-    return source.mapInPandas(signed, "key long, text_hash long, n_shingles long, node binary, signature binary")
+    return source.mapInArrow(signed, "key long, text_hash long, n_shingles long, node binary, signature binary")
 
 
 def _bands(similarity: Similarity) -> Column:
@@ -222,12 +227,13 @@ class _Graph:
     def __init__(self, docs: DataFrame, signed: DataFrame, similarity: Similarity, text: str, key: str):
         self.docs, self.similarity, self.text, self.key = docs, similarity, text, key
         self.nodes = stored(signed.where("node IS NOT NULL").groupBy("node").agg(
-            F.min(F.struct("key", "text_hash")).alias("first"), F.any_value("signature").alias("signature")), "nodes")
+            F.min(F.struct(F.col("key").isNull().alias("unnamed"), "key", "text_hash")).alias("first"),
+            F.any_value("signature").alias("signature")), "nodes")
         banded = self.nodes.select("node", F.explode(_bands(similarity)).alias("bucket"))
         shared = stored(banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"), "buckets")
-        self.members = stored(banded.join(few(shared), "bucket"), "members")
+        self.members = stored(banded.join(shared, "bucket"), "members")
         involved = stored(self.members.select("node").distinct(), "involved")
-        self.signatures = stored(self.nodes.join(few(involved), "node", "left_semi").select("node", "signature", "first"), "signatures")
+        self.signatures = stored(self.nodes.join(involved, "node", "left_semi").select("node", "signature", "first"), "signatures")
         self.tested: DataFrame | None = None
         self.labels: DataFrame | None = None
 
@@ -245,16 +251,16 @@ class _Graph:
     def sets(self, needed: DataFrame) -> DataFrame:
         """(node, shingles) of some nodes, each from the first document that has it."""
         size, key, text = self.similarity.shingle, self.key, self.text
-        first = stored(self.signatures.join(few(needed), "node", "left_semi").select("first.key", "first.text_hash"), "first")
+        first = stored(self.signatures.join(needed, "node", "left_semi").select("first.key", "first.text_hash"), "first")
 
-        def shingled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in batches(frames, "text", 4_000_000):
-                sets = [_set_of(value, size) for value in frame["text"]]
-                yield pd.DataFrame({"node": [_name(one) for one in sets], "shingles": [one.tobytes() for one in sets]})
+        def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                sets = [(_name(one), one.tobytes()) for one in _sets_of(batch.column(0), size)]
+                yield pa.RecordBatch.from_arrays([pa.array(column, pa.binary()) for column in zip(*sets)], ["node", "shingles"])
 
-        docs, first = self.docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("text")), few(first)
+        docs = self.docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("text"))
         chosen = docs.join(first, docs["k"].eqNullSafe(first["key"]) & (F.xxhash64("text") == first["text_hash"]), "left_semi")
-        return stored(chosen.select("text").mapInPandas(shingled, "node binary, shingles binary").dropDuplicates(["node"]), "sets")
+        return stored(chosen.select("text").mapInArrow(shingled, "node binary, shingles binary").dropDuplicates(["node"]), "sets")
 
     def mixed(self) -> DataFrame:
         """(bucket, node, component) of buckets of three or more whose members aren't all in one component; pairs have been tested."""
@@ -262,18 +268,18 @@ class _Graph:
         labelled = stored(self.members.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component")), "labelled")
         mixed = stored(labelled.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
                        .where("n > 2 AND low <> high").select("bucket"), "mixed")
-        return stored(labelled.join(few(mixed), "bucket"), "mixed")
+        return stored(labelled.join(mixed, "bucket"), "mixed")
 
     def stars(self) -> DataFrame:
         """Every member of a bucket with the bucket's smallest node: as many pairs as members, and copies of a text share the star."""
         star = stored(self.members.groupBy("bucket").agg(F.min("node").alias("b")), "stars")
-        return self.members.join(few(star), "bucket").where("node <> b").select(F.col("node").alias("a"), "b")
+        return self.members.join(star, "bucket").where("node <> b").select(F.col("node").alias("a"), "b")
 
     def other_stars(self, mixed: DataFrame, seed: int) -> DataFrame:
         """Members of mixed buckets with another star, drawn for each bucket, of another component."""
         drawn = F.min_by(F.struct("node", "component"), F.xxhash64("node", "bucket", F.lit(seed)))
         star = stored(mixed.groupBy("bucket").agg(drawn.alias("star")), "stars")
-        return (mixed.join(few(star), "bucket").where("component <> star.component")
+        return (mixed.join(star, "bucket").where("component <> star.component")
                 .select(F.col("node").alias("a"), F.col("star.node").alias("b")))
 
     def link_rest(self, mixed: DataFrame) -> None:
@@ -285,23 +291,32 @@ class _Graph:
         percent = self.similarity.percent
         sizes = mixed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
         largest = stored(sizes.groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("largest")), "largest")
-        members = stored(mixed.join(few(largest), "bucket").select("largest", "node", "component").distinct(), "members")
+        members = stored(mixed.join(largest, "bucket").select("largest", "node", "component").distinct(), "members")
         sets = self.sets(stored(members.select("node").distinct(), "needed"))
         rows = stored(members.join(sets, "node"), "rows")
-        total = stored(rows.groupBy("largest").agg(F.ceil(F.sum(F.octet_length("shingles")) / (8 * BLOCK)).cast("long").alias("blocks")), "blocks")
-        dealt = rows.join(few(total), "largest").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+        # rows are dealt to blocks of about BLOCK shingles, for each side; pairs of blocks are rows before they meet their sets
+        size = F.octet_length("shingles") / (8 * BLOCK)
+        sized = rows.groupBy("largest").agg(F.ceil(F.sum(size)).cast("long").alias("blocks"),
+                                            F.ceil(F.sum(F.when(F.col("component") != F.col("largest"), size))).cast("long").alias("others"))
+        total = stored(sized.where("others > 0"), "blocks")
+
+        def numbers(count: str) -> Column:
+            return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
 
-        def blocks(some: DataFrame, name: str) -> DataFrame:
-            return stored(some.groupBy("largest", "block").agg(F.collect_list(F.struct("node", "component", "shingles")).alias(name))
-                          .drop("block"), name)
+        def blocks(some: DataFrame, count: str, side: str) -> DataFrame:
+            dealt = some.join(total, "largest").withColumn(side, F.pmod(F.xxhash64("node"), F.col(count)))
+            return stored(dealt.groupBy("largest", side).agg(F.collect_list(F.struct("node", "component", "shingles")).alias(f"{side}_sets")), side)
 
         def compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in frames:
-                for fewer, more in zip(frame["fewer"], frame["more"]):
+                for fewer, more in zip(frame["fewer_sets"], frame["more_sets"]):
                     yield pd.DataFrame(_joining(fewer, more, percent), columns=["a", "b"])
 
-        pairs = blocks(dealt.where("component <> largest"), "fewer").join(blocks(dealt, "more"), "largest")
-        found = pairs.select("fewer", "more").mapInPandas(compared, "a binary, b binary")
+        met = stored(total.select("largest", "blocks", numbers("others").alias("fewer")).select("largest", "fewer", numbers("blocks").alias("more"))
+                     .repartition("largest", "fewer", "more"), "pairs")
+        pairs = (met.join(blocks(rows.where("component <> largest"), "others", "fewer"), ["largest", "fewer"])
+                 .join(blocks(rows, "blocks", "more"), ["largest", "more"]))
+        found = pairs.select("fewer_sets", "more_sets").mapInPandas(compared, "a binary, b binary")
         links = found.distinct().withColumn("linked", F.lit(True))
         self.tested = stored(self.tested.where("linked").union(links), "tested")
         self.labels = components(self.tested.select("a", "b"))
@@ -351,7 +366,6 @@ def deduplicate(docs: DataFrame, similarity: Similarity = Similarity(), text: st
     def same(rows: DataFrame) -> Column:
         return docs[key].cast("long").eqNullSafe(rows["k"]) & F.xxhash64(docs[text]).eqNullSafe(rows["text_hash"])
 
-    gone, again = few(gone), few(again)
     kept = docs.join(gone, same(gone), "left_anti")
     if again.isEmpty():
         return kept

@@ -6,34 +6,33 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ramure.llm.common import WordHashes, batches, few, mix, stored
+from ramure.llm.common import mix, stored, texts_of, words_in
 
 #: Features that n-grams are hashed to; the last one is always on.
 FEATURES = 1 << 18
 #: Labelled texts that a model is fitted on, about: of more, those with the smallest hashes of their keys.
 MOST_ROWS = 10_000
 
-_HASHES = WordHashes()
+def indicators(texts: pa.Array) -> Iterator[np.ndarray]:
+    """Sorted numbers of the n-grams in each whole text: words, pairs of words, runs of three bytes, and how often n-grams repeat.
 
-
-def indicators(text: str | None) -> np.ndarray:
-    """Sorted numbers of the n-grams in a whole text: words, pairs of words, runs of three bytes, and how often n-grams repeat.
-
-    For the last, the share of distinct words, of distinct pairs and of pairs of equal words is told in eighths.
+    For the last, the share of distinct words, of distinct pairs and of pairs of equal words is told in eighths. Null is read as empty.
     """
-    data = (text or "").encode()
-    letters = np.frombuffer(data, np.uint8).astype(np.uint64)
-    words = _HASHES(data.split())
-    runs = mix((letters[:-2] << np.uint64(16)) + (letters[1:-1] << np.uint64(8)) + letters[2:])
-    pairs = mix(words[:-1] + mix(words[1:]))
-    shares = [len(np.unique(some)) / max(len(some), 1) for some in (words, pairs)] + [np.count_nonzero(words[:-1] == words[1:]) / max(len(pairs), 1)]
-    repeated = mix(np.array([8 * (n + 1) + int(7.999 * share) for n, share in enumerate(shares)], np.uint64))
-    found = np.concatenate([words, pairs, runs, repeated]) % np.uint64(FEATURES - 1)
-    return np.append(np.unique(found), np.uint64(FEATURES - 1)).astype(np.int32)
+    for data, ends in texts_of(texts):
+        hashes, before = words_in(data, ends, fold=False)
+        letters = data.astype(np.uint64)
+        every = mix((letters[:-2] << np.uint64(16)) + (letters[1:-1] << np.uint64(8)) + letters[2:])
+        for begin, end, low, high in zip(ends[:-1].tolist(), ends[1:].tolist(), before[:-1].tolist(), before[1:].tolist()):
+            words, runs = hashes[low:high], every[begin:max(end - 2, begin)]
+            pairs = mix(words[:-1] + mix(words[1:]))
+            shares = [len(np.unique(some)) / max(len(some), 1) for some in (words, pairs)] + [np.count_nonzero(words[:-1] == words[1:]) / max(len(pairs), 1)]
+            repeated = mix(np.array([8 * (n + 1) + int(7.999 * share) for n, share in enumerate(shares)], np.uint64))
+            found = np.concatenate([words, pairs, runs, repeated]) % np.uint64(FEATURES - 1)
+            yield np.append(np.unique(found), np.uint64(FEATURES - 1)).astype(np.int32)
 
 
 @dataclass(frozen=True)
@@ -49,8 +48,9 @@ class Model:
         values = self.ratios[features]
         return float(values @ self.weights[features]) / max(float(np.sqrt(values @ values)), 1e-12)
 
-    def score(self, text: str | None) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.slope * self.margin(indicators(text)) + self.shift, -30, 30))))
+    def scores(self, texts: pa.Array) -> np.ndarray:
+        margins = np.fromiter(map(self.margin, indicators(texts)), np.float64)
+        return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.shift, -30, 30)))
 
 
 def log_count_ratios(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
@@ -137,13 +137,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
     share = min(1.0, most_rows / max(known.count(), 1))
     chosen = stored(known.where(F.pmod(F.xxhash64("k"), F.lit(1_000_000)) < int(share * 1_000_000)), "chosen")
 
-    def found(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches(frames, "text"):
-            yield pd.DataFrame({"k": frame["k"], "label": frame["label"], "features": [indicators(value).tobytes() for value in frame["text"]]})
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([one.tobytes() for one in indicators(batch.column(2))], pa.binary())],
+                                             ["k", "label", "features"])
 
-    labelled = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(few(chosen), "k")
+    labelled = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(chosen, "k").select("k", "label", "text")
     kind = docs.schema[key].dataType.simpleString()
-    rows = labelled.mapInPandas(found, f"k {kind}, label int, features binary").toPandas()
+    rows = stored(labelled.mapInArrow(found, f"k {kind}, label int, features binary"), "indicators").toPandas()
     rows = rows.sort_values(["k", "features"]).reset_index(drop=True)
     return fit([np.frombuffer(value, np.int32) for value in rows["features"]], rows["label"].to_numpy(np.int64))
 
@@ -155,10 +156,10 @@ def with_scores(docs: DataFrame, model: Model, text: str = "text", name: str = "
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def scores(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def scores(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            yield pd.Series([sent.value.score(value) for value in batch], dtype="float64")
+            yield pa.array(sent.value.scores(batch))
 
     return docs.withColumn(name, scores(F.col(text)))
 

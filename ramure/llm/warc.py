@@ -9,11 +9,12 @@ from collections.abc import Iterator
 from urllib.parse import quote
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ramure.llm.common import few, opened, put, shared_folder, stored
+from ramure.llm.common import opened, put, shared_folder, stored
 
 #: Bytes read at once.
 CHUNK = 1 << 20
@@ -21,16 +22,17 @@ CHUNK = 1 << 20
 LEAST_PAYLOAD = 100
 
 
-def with_first(pages: DataFrame, key: str, payload: str, least: int = LEAST_PAYLOAD) -> DataFrame:
+def with_first(pages: DataFrame, key: str, payload: str, least: int = LEAST_PAYLOAD, url: str = "url") -> DataFrame:
     """(key, url, html, digest, first): `first` is the smallest key with the same payload, of payloads of at least `least` bytes that repeat.
 
-    Only digests are grouped, pre-aggregated per task; the table of repeated ones is joined back, broadcast if its count allows.
+    Only digests are grouped, pre-aggregated per task; the table of repeated ones is joined back. Pages that repeat a payload
+    without a key of their own are revisits of the first key, if there is one. `url` may be another column than that of this name.
     """
-    source = pages.select(pages[key].cast("long").alias("page_id"), pages["url"], F.coalesce(pages[payload], F.lit("")).alias("html"))
+    source = pages.select(pages[key].cast("long").alias("page_id"), pages[url].alias("url"), F.coalesce(pages[payload], F.lit("")).alias("html"))
     digested = source.withColumn("digest", F.sha2(F.encode("html", "UTF-8"), 256))
     repeated = stored(digested.where(F.octet_length("html") >= least).groupBy("digest")
                       .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first"), "repeated")
-    return digested.join(few(repeated), "digest", "left").select("page_id", "url", "html", "digest", "first")
+    return digested.join(repeated, "digest", "left").select("page_id", "url", "html", "digest", "first")
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, first: int | None) -> bytes:
@@ -52,33 +54,32 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, fi
 _SAFE = "".join(chr(code) for code in range(33, 127))
 
 
-def write_monolithic(pages: DataFrame, folder: str, key: str = "page_id", payload: str = "html") -> DataFrame:
+def write_monolithic(pages: DataFrame, folder: str, key: str = "page_id", payload: str = "html", url: str = "url") -> DataFrame:
     """Write a record per row into archives that are each one gzip stream; returns (archive, records).
 
     Null payloads are read as empty, null urls leave the header out; repeated rows are written each; an empty table gives no archive.
     """
 
-    def written(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        first = next((frame for frame in frames if len(frame)), None)
+    def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = next((batch for batch in batches if len(batch)), None)
         if first is None:
             return
         name, records = f"{TaskContext.get().partitionId():06d}.warc.gz", 0
 
         def write(out) -> None:
             nonlocal records
-            packer, frame = zlib.compressobj(1, zlib.DEFLATED, 31), first
-            while frame is not None:
-                for page_id, url, html, digest, seen in frame.itertuples(index=False, name=None):
-                    number, seen = (None if pd.isna(value) else int(value) for value in (page_id, seen))
-                    out.write(packer.compress(record(number, url, html.encode(), digest, seen)))
+            packer, batch = zlib.compressobj(1, zlib.DEFLATED, 31), first
+            while batch is not None:
+                for page_id, url_, html, digest, seen in zip(*(column.to_pylist() for column in batch.columns)):
+                    out.write(packer.compress(record(page_id, url_, html.encode(), digest, seen)))
                     records += 1
-                frame = next(frames, None)
+                batch = next(batches, None)
             out.write(packer.flush())
 
         put(folder, name, write)
-        yield pd.DataFrame({"archive": [name], "records": [records]})
+        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([records])], ["archive", "records"])
 
-    return stored(with_first(pages, key, payload).mapInPandas(written, "archive string, records long"), "archives")
+    return stored(with_first(pages, key, payload, url=url).mapInArrow(written, "archive string, records long"), "archives")
 
 
 def inflated(stream) -> Iterator[bytes]:
@@ -168,9 +169,12 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
     A response's digest is taken of the payload read and has to be the recorded one; a revisit has no payload.
     """
 
-    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for name in frame["archive"]:
+    kinds = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
+                       ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
                 files, path = opened(folder)
                 with files.open_input_stream(f"{path}/{name}.idx", compression=None) as stream:
                     index = [line.split("\t") for line in stream.read().decode().splitlines()]
@@ -181,17 +185,17 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
                         rows.append(_row(zlib.decompress(stream.read(int(length)), 31)))
                         held += rows[-1][2]
                         if held > 8 * CHUNK:
-                            yield _frame(rows)
+                            yield _batch(rows)
                             rows, held = [], 0
-                yield _frame(rows)
+                if rows:
+                    yield _batch(rows)
 
-    def _frame(rows: list[tuple]) -> pd.DataFrame:
-        names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
-        return pd.DataFrame(rows, columns=names).astype({"page_id": "Int64", "refers_to": "Int64"})
+    def _batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(column, one.type) for column, one in zip(zip(*rows), kinds)], schema=kinds)
 
     one_each = archives.select("archive").repartition(max(1, archives.count()))
-    return one_each.mapInPandas(read, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
-                                      "refers_to long, payload binary")
+    return one_each.mapInArrow(read, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
+                                     "refers_to long, payload binary")
 
 
 def _row(whole: bytes) -> tuple:
