@@ -57,7 +57,7 @@ def test_the_classifier_rejects_bad_documents_only(spark, stages):
 
 def test_run_and_registration(spark):
     found = contract.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {name.split("_")[0] + "_" for name in QUERIES} and set(QUERIES) < set(found)
+    assert {f"op{n}_" for n in range(1, 14)} == {name.split("_")[0] + "_" for name in QUERIES} and set(QUERIES) < set(found)
     assert found["pipeline"] is pipeline.run and "pipeline" not in contract.oracle_sql()
     assert pipeline.run(spark, FOLDER).columns == ["doc_id", "piece", "start", "length", "ids", "ids_crc32", "sequence_id", "offset"]
 

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,8 +34,8 @@ def test_ratios_and_descent():
 
 @pytest.mark.parametrize("labels, share", [([], 0.5), ([1, 1], 1.0), ([0], 0.0)])
 def test_one_label_or_none(labels, share):
-    model = fit([indicators("a b")] * len(labels), np.array(labels, np.int64))
-    assert model.score("anything") == pytest.approx(share, abs=1e-6) and model.score(None) == pytest.approx(share, abs=1e-6)
+    model = fit([*indicators(pa.array(["a b"]))] * len(labels), np.array(labels, np.int64))
+    assert model.scores(pa.array(["anything", None])).tolist() == pytest.approx([share, share], abs=1e-6)
 
 
 def test_awkward_rows(spark, awkward):
@@ -46,3 +47,36 @@ def test_awkward_rows(spark, awkward):
     assert len({score for doc_id, score in rows if doc_id in (1, 2, 7)}) == 1
     assert accept(awkward, model, 0.0).columns == awkward.columns and accept(awkward, model, 0.0).count() == 11
     assert with_scores(awkward.limit(0), train(awkward.limit(0), labels)).count() == 0
+
+
+def test_the_descent_reaches_the_dual_optimum():
+    """Against projected gradient steps on the whole dual of a few dozen drawn rows."""
+    draw = np.random.default_rng(3)
+    rows = [np.append(np.unique(draw.integers(0, 40, draw.integers(1, 9))), FEATURES - 1) for _ in range(60)]
+    labels = (draw.random(60) < 0.4).astype(np.int64)
+    ratios = log_count_ratios(rows, labels)
+    weights = coordinate_descent(rows, labels, ratios, cost=0.7, epochs=3000)
+    places = [*range(40), FEATURES - 1]
+    values = np.array([[ratios[place] if place in set(row.tolist()) else 0.0 for place in places] for row in rows])
+    values /= np.linalg.norm(values, axis=1, keepdims=True)
+    signs = np.where(labels == 1, 1.0, -1.0)
+    bound = 0.7 * 60 / (2 * np.where(labels == 1, labels.sum(), 60 - labels.sum()))
+    products = (values * signs[:, None]) @ (values * signs[:, None]).T
+    dual = np.zeros(60)
+    for _ in range(100_000):
+        dual = np.clip(dual - (products @ dual - 1) / 60, 0, bound)
+    np.testing.assert_allclose(weights[places], (dual * signs) @ values, atol=0.01)
+
+
+def test_indicators_are_those_of_a_plain_dictionary():
+    """As many features as a dictionary of words, pairs and runs has keys, equal keys equal features, and texts don't mix."""
+    texts = ["one two one two three", "", None, "x", "ab ab  ab\tab", "zwölf Boxkämpfer", "one two"]
+    found = [set(one.tolist()) for one in indicators(pa.array(texts))]
+    alone = [set(next(indicators(pa.array([text]))).tolist()) for text in texts]
+    assert found == alone
+    for text, features in zip(texts, found):
+        data = (text or "").encode()
+        words = data.split()
+        grams = {*words, *zip(words, words[1:]), *((data[n:n + 3],) for n in range(len(data) - 2))}
+        assert len(grams) + 4 - 3 <= len(features) <= len(grams) + 4
+    assert found[1] == found[2] and len(found[0] & found[6]) > 6
