@@ -108,19 +108,23 @@ VIEWS = {
                    '</article>', '<p>Cela ne comprend pas : les autres produits</p><article><p>un encart au caf&#233; à 3 &#x20AC;</p></article><p>exclus depuis 2024-01-02T10:11:12.5 sans retour</p>'
                    || '<p>2024-01-02 mise en ligne</p><p>12345</p><p>Cette liste comprend tout</p><p>Accueil du site</p></article>') AS html
         FROM pages JOIN part_codes ON page_id = p_partkey""",
-    # candidate codes of customers: every code below a few divisions, with a confidence per code
+    # codes and all codes above them, with the code directly above
+    "code_steps": """
+        SELECT code AS leaf, 1 AS level, '' AS parent_code, regexp_extract(code, '^[^.]+', 0) AS code FROM part_codes
+        UNION SELECT code, 2, regexp_extract(code, '^[^.]+', 0), regexp_extract(code, '^[^.]+[.][^.]+', 0) FROM part_codes
+        UNION SELECT code, 3, regexp_extract(code, '^[^.]+[.][^.]+', 0), regexp_extract(code, '^[^.]+[.][^.]+[.][^.]+', 0) FROM part_codes
+        UNION SELECT code, 4, regexp_extract(code, '^[^.]+[.][^.]+[.][^.]+', 0), regexp_extract(code, '^[^.]+[.][^.]+[.][^.]+[.][^.]+', 0) FROM part_codes
+        UNION SELECT code, 5, regexp_extract(code, '^[^.]+[.][^.]+[.][^.]+[.][^.]+', 0),
+                     regexp_extract(code, '^[^.]+[.][^.]+[.][^.]+[.][^.]+[.][^.]+', 0) FROM part_codes""",
+    # candidate codes of customers: those of all products they ordered and the codes above, with a confidence per code
     "scores": """
-        SELECT c_custkey AS id, level, parent_code, code,
-               ((c_custkey * 7 + ascii(substring(code, 2, 1)) * 13 + length(code) * 31
+        SELECT id, level, parent_code, code,
+               ((id * 7 + ascii(substring(code, 1, 1)) * 13 + length(code) * 31
                  + ascii(substring(code, length(code), 1)) * 17) % 97 + 1) / 100e0 AS confidence
-        FROM customer JOIN (
-            SELECT DISTINCT 1 AS level, '' AS parent_code, regexp_extract(code, '^[^.]+', 0) AS code, ascii(code) * 10 + ascii(substring(code, 2, 1)) AS h
-            FROM part_codes WHERE length(regexp_extract(code, '^[^.]+', 0)) = 2
-            UNION SELECT DISTINCT 2, regexp_extract(code, '^[^.]+', 0), regexp_extract(code, '^[^.]+[.][^.]+', 0), ascii(code) * 10 + ascii(substring(code, 2, 1))
-            FROM part_codes WHERE regexp_extract(code, '^[^.][^.][.][^.]+', 0) <> ''
-            UNION SELECT DISTINCT 3, regexp_extract(code, '^[^.]+[.][^.]+', 0), regexp_extract(code, '^[^.]+[.][^.]+[.][^.]+', 0), ascii(code) * 10 + ascii(substring(code, 2, 1))
-            FROM part_codes WHERE regexp_extract(code, '^[^.][^.][.][^.]+[.][^.]+', 0) <> ''
-        ) c ON c_custkey % 3 = h % 3""",
+        FROM (SELECT DISTINCT id, level, parent_code, s.code
+              FROM (SELECT DISTINCT o_custkey AS id, code AS leaf FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+                    JOIN part_codes ON p_partkey = l_partkey) bought
+              JOIN code_steps s ON s.leaf = bought.leaf WHERE s.code <> '') candidates""",
 }
 
 

@@ -141,9 +141,9 @@ register("bucket_confidence", lambda v: v.preds.select("id", decode.bucket_confi
 CASCADE = {
     "best": "SELECT id, level, parent_code, code, confidence FROM (SELECT *, row_number() OVER (PARTITION BY id, level, parent_code ORDER BY confidence DESC, code) AS rn FROM scores) s WHERE rn = 1",
     "l1": "SELECT id, code, confidence FROM best WHERE level = 1",
-    "l2": "SELECT b.id, b.code, b.confidence FROM best b JOIN l1 ON b.id = l1.id AND level = 2 AND parent_code = l1.code",
-    "l3": "SELECT b.id, b.code, b.confidence FROM best b JOIN l2 ON b.id = l2.id AND level = 3 AND parent_code = l2.code",
-    "path": "SELECT id, 1 AS level, code, confidence FROM l1 UNION ALL SELECT id, 2, code, confidence FROM l2 UNION ALL SELECT id, 3, code, confidence FROM l3",
+    **{f"l{n}": f"SELECT b.id, b.code, b.confidence FROM best b JOIN l{n - 1} ON b.id = l{n - 1}.id AND level = {n} AND parent_code = l{n - 1}.code"
+       for n in codes.LEVELS[1:]},
+    "path": " UNION ALL ".join(f"SELECT id, {n} AS level, code, confidence FROM l{n}" for n in codes.LEVELS),
 }
 register("cascade_decode", lambda v: decode.path_long(decode.cascade_decode(v.scores)),
          "SELECT id, level, 1 AS rank, code, round(confidence, 6) AS confidence FROM path", CASCADE)
@@ -161,7 +161,7 @@ def beam_ctes(size: int) -> dict[str, str]:
     ctes = {"top_children": "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id, level, parent_code ORDER BY confidence DESC, code) AS rn "
                             f"FROM scores) s WHERE rn <= {size}",
             "beam0": "SELECT DISTINCT id, 0e0 AS lp, CAST([] AS VARCHAR[]) AS path, CAST([] AS INTEGER[]) AS lv, CAST([] AS DOUBLE[]) AS cf, '' AS tail FROM scores"}
-    for n in (1, 2, 3):
+    for n in codes.LEVELS:
         ctes[f"grown{n}"] = f"""
             SELECT b.id, CASE WHEN c.code IS NULL THEN lp ELSE lp + ln(greatest(c.confidence, 1e-9)) END AS lp,
                    CASE WHEN c.code IS NULL THEN path ELSE list_append(path, c.code) END AS path,
@@ -171,21 +171,21 @@ def beam_ctes(size: int) -> dict[str, str]:
         ctes[f"beam{n}"] = f"""SELECT id, lp, path, lv, cf, tail FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(-lp, 9), path) AS place
                                FROM grown{n}) g WHERE place <= {size}"""
     ctes["beam_rows"] = """SELECT id, CAST(unnest(lv) AS INTEGER) AS level, CAST(rank AS INTEGER) AS rank, unnest(path) AS code, unnest(cf) AS confidence
-                           FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(-lp, 9), path) AS rank FROM beam3) r"""
+                           FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(-lp, 9), path) AS rank FROM beam5) r"""
     return ctes
 
 
-register("decode_wide", lambda v: decode.to_wide(decode.beam_long(decode.beam_decode(v.scores, 2)), (1, 2, 3), 2),
+register("decode_wide", lambda v: decode.to_wide(decode.beam_long(decode.beam_decode(v.scores, 2)), codes.LEVELS, 2),
          "SELECT id, " + ", ".join(
              f"coalesce(max(CASE WHEN level = {n} AND rank = {r} THEN code END), '') AS predicted_level{n}{'_top2' if r == 2 else ''}, "
              f"round(coalesce(max(CASE WHEN level = {n} AND rank = {r} THEN confidence END), 0e0), 6) AS confidence_level{n}{'_top2' if r == 2 else ''}"
-             for n in (1, 2, 3) for r in (1, 2)) + " FROM beam_rows GROUP BY id",
+             for n in codes.LEVELS for r in (1, 2)) + " FROM beam_rows GROUP BY id",
          beam_ctes(2))
 register("beam_decode", lambda v: decode.beam_long(decode.beam_decode(v.scores, 3)),
          "SELECT id, level, rank, code, round(confidence, 6) AS confidence FROM beam_rows", beam_ctes(3))
 register("beam_result", lambda v: decode.beam_result(decode.beam_decode(v.scores, 3)),
          "SELECT id, tail AS final_code, 'level' || lv[-1] AS final_level, round(cf[-1], 6) AS final_confidence, round(exp(lp), 6) AS combined_confidence "
-         "FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(-lp, 9), path) AS place FROM beam3) b WHERE place = 1", beam_ctes(3))
+         "FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(-lp, 9), path) AS place FROM beam5) b WHERE place = 1", beam_ctes(3))
 
 PROBS = "SELECT id, level, code, CASE WHEN id % 11 = 0 AND level = 2 THEN 0e0 ELSE confidence / 10 END AS p FROM scores"
 
@@ -204,14 +204,14 @@ def children(v):
 MASK = {"probs": PROBS,
         "kids": "SELECT DISTINCT level, parent_code AS parent, code AS child FROM scores WHERE level > 1 AND parent_code <> '13'",
         "m1": "SELECT id, code, p FROM probs WHERE level = 1"}
-for n in (2, 3):
+for n in codes.LEVELS[1:]:
     MASK[f"c{n}"] = f"SELECT id, max((p, code)) AS best FROM m{n - 1} GROUP BY id"
     MASK[f"v{n}"] = (f"SELECT p.id, p.code, p.p, k.child IS NOT NULL AS ok FROM probs p LEFT JOIN c{n} c ON p.id = c.id "
                      f"LEFT JOIN kids k ON k.level = {n} AND k.child = p.code AND k.parent = c.best[2] WHERE p.level = {n}")
     MASK[f"m{n}"] = (f"SELECT id, code, CASE WHEN n_ok = 0 THEN p WHEN NOT ok THEN 0e0 WHEN total > 0 THEN p / total ELSE 1e0 / n_ok END AS p FROM "
                      f"(SELECT *, count(*) FILTER (WHERE ok) OVER (PARTITION BY id) AS n_ok, sum(p) FILTER (WHERE ok) OVER (PARTITION BY id) AS total FROM v{n}) w")
 register("mask_children", lambda v: decode.mask_children(probabilities(v), children(v)),
-         " UNION ALL ".join(f"SELECT id, {n} AS level, code, round(p, 6) AS p FROM m{n}" for n in (1, 2, 3)), MASK)
+         " UNION ALL ".join(f"SELECT id, {n} AS level, code, round(p, 6) AS p FROM m{n}" for n in codes.LEVELS), MASK)
 
 # ---- naive Bayes ---------------------------------------------------------------------------------------------------
 
