@@ -11,9 +11,8 @@ from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ramure.llm.common import components, mix, stored, texts_of, words_in
@@ -193,32 +192,33 @@ def prune_pairs(pairs: DataFrame, signatures: DataFrame, similarity: Similarity)
     """The pairs (a, b) whose signatures don't make a similarity at the threshold unlikely."""
     steps = similarity.steps()
 
-    def pruned(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for at in range(0, len(frame), PAIRS):
-                part = frame.iloc[at:at + PAIRS]
-                yield part[["a", "b"]].iloc[_alike(_matrix(part["left"].tolist()), _matrix(part["right"].tolist()), steps)]
+    def pruned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, len(batch), PAIRS):
+                part = batch.slice(low, PAIRS)
+                alive = _alike(_matrix(part.column(2).to_pylist()), _matrix(part.column(3).to_pylist()), steps)
+                yield part.select(["a", "b"]).take(pa.array(alive))
 
     sides = [signatures.select(F.col("node").alias(node), F.col("signature").alias(side)) for node, side in (("a", "left"), ("b", "right"))]
-    return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "left", "right").mapInPandas(pruned, "a binary, b binary")
+    return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "left", "right").mapInArrow(pruned, "a binary, b binary")
 
 
 def verify_pairs(pairs: DataFrame, sets: DataFrame, similarity: Similarity) -> DataFrame:
     """(a, b, linked): whether the whole sets of a pair are similar enough."""
     percent = similarity.percent
 
-    def verified(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             linked = []
-            for left, right in zip(frame["left"], frame["right"]):
+            for left, right in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 one, other = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
                 shared = len(np.intersect1d(one, other, assume_unique=True))
                 linked.append(100 * shared >= percent * (len(one) + len(other) - shared))
-            yield frame[["a", "b"]].assign(linked=linked)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
 
     sides = [sets.select(F.col("node").alias(node), F.col("shingles").alias(side)) for node, side in (("a", "left"), ("b", "right"))]
     return (pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "left", "right")
-            .mapInPandas(verified, "a binary, b binary, linked boolean"))
+            .mapInArrow(verified, "a binary, b binary, linked boolean"))
 
 
 class _Graph:
@@ -229,9 +229,11 @@ class _Graph:
         self.nodes = stored(signed.where("node IS NOT NULL").groupBy("node").agg(
             F.min(F.struct(F.col("key").isNull().alias("unnamed"), "key", "text_hash")).alias("first"),
             F.any_value("signature").alias("signature")), "nodes")
+        # one shuffle of all bands: a bucket streams by sorted, with its smallest node, and buckets of one node go nowhere
+        bucket = Window.partitionBy("bucket")
         banded = self.nodes.select("node", F.explode(_bands(similarity)).alias("bucket"))
-        shared = stored(banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"), "buckets")
-        self.members = stored(banded.join(shared, "bucket"), "members")
+        starred = banded.withColumns({"star": F.min("node").over(bucket), "n": F.count("*").over(bucket)})
+        self.members = stored(starred.where("n > 1").select("bucket", "node", "star"), "members")
         involved = stored(self.members.select("node").distinct(), "involved")
         self.signatures = stored(self.nodes.join(involved, "node", "left_semi").select("node", "signature", "first"), "signatures")
         self.tested: DataFrame | None = None
@@ -272,8 +274,7 @@ class _Graph:
 
     def stars(self) -> DataFrame:
         """Every member of a bucket with the bucket's smallest node: as many pairs as members, and copies of a text share the star."""
-        star = stored(self.members.groupBy("bucket").agg(F.min("node").alias("b")), "stars")
-        return self.members.join(star, "bucket").where("node <> b").select(F.col("node").alias("a"), "b")
+        return self.members.where("node <> star").select(F.col("node").alias("a"), F.col("star").alias("b"))
 
     def other_stars(self, mixed: DataFrame, seed: int) -> DataFrame:
         """Members of mixed buckets with another star, drawn for each bucket, of another component."""
@@ -307,16 +308,18 @@ class _Graph:
             dealt = some.join(total, "largest").withColumn(side, F.pmod(F.xxhash64("node"), F.col(count)))
             return stored(dealt.groupBy("largest", side).agg(F.collect_list(F.struct("node", "component", "shingles")).alias(f"{side}_sets")), side)
 
-        def compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                for fewer, more in zip(frame["fewer_sets"], frame["more_sets"]):
-                    yield pd.DataFrame(_joining(fewer, more, percent), columns=["a", "b"])
+        def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(len(batch)):
+                    links = _joining(batch.column(0)[at].as_py(), batch.column(1)[at].as_py(), percent)
+                    if links:
+                        yield pa.RecordBatch.from_arrays([pa.array(side, pa.binary()) for side in zip(*links)], ["a", "b"])
 
         met = stored(total.select("largest", "blocks", numbers("others").alias("fewer")).select("largest", "fewer", numbers("blocks").alias("more"))
                      .repartition("largest", "fewer", "more"), "pairs")
         pairs = (met.join(blocks(rows.where("component <> largest"), "others", "fewer"), ["largest", "fewer"])
                  .join(blocks(rows, "blocks", "more"), ["largest", "more"]))
-        found = pairs.select("fewer_sets", "more_sets").mapInPandas(compared, "a binary, b binary")
+        found = pairs.select("fewer_sets", "more_sets").mapInArrow(compared, "a binary, b binary")
         links = found.distinct().withColumn("linked", F.lit(True))
         self.tested = stored(self.tested.where("linked").union(links), "tested")
         self.labels = components(self.tested.select("a", "b"))
