@@ -235,7 +235,7 @@ class Encoder:
     whose pieces keep the space before them, from one that lower-cases and drops white space.
     """
 
-    def __init__(self, path: str, spaced: bool, bound: int = 400_000):
+    def __init__(self, path: str, spaced: bool, bound: int = 300_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -347,7 +347,7 @@ class Encoder:
         return ids, np.concatenate([[0], np.cumsum(sizes)])
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Cut batches into ones with about `most` bytes in a column, one row at least."""
     for batch in batches:
         sizes = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64))

@@ -6,7 +6,6 @@ import struct
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -129,16 +128,16 @@ def encode_documents(docs: DataFrame, path: str, spaced: bool, end_id: int, text
 def frequencies(encoded: DataFrame, kind: str) -> DataFrame:
     """(id, n): how often each id occurs; one row per id and task reaches the shuffle."""
 
-    def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
-        for frame in frames:
-            some = np.bincount(np.frombuffer(b"".join(frame["ids"]), kind), minlength=len(total))
+        for batch in slices(batches, 0, 1_000_000):  # counting takes eight bytes an id
+            some = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind), minlength=len(total))
             some[:len(total)] += total
             total = some
         found = np.flatnonzero(total)
-        yield pd.DataFrame({"id": found, "n": total[found]})
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["id", "n"])
 
-    return encoded.select("ids").mapInPandas(counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return encoded.select("ids").mapInArrow(counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_token_files(docs: DataFrame, folder: str, path: str, spaced: bool, end_id: int, text: str = "text", key: str = "doc_id",
@@ -191,7 +190,7 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> D
                 for doc_id, start, ids in read_file(content):
                     rows.append((int(name[-10:-4]), doc_id, start, len(ids), ids.tobytes()))
                     held += len(ids)
-                    if held > 2_000_000:
+                    if held > 500_000:
                         yield _batch(rows)
                         rows, held = [], 0
                 if rows:
