@@ -15,9 +15,11 @@ from pyspark.sql import types as T
 from ramure.llm.common import stored
 
 #: Bytes (as 32-bit floats) of the rows that the tree is fitted on, and at most so many rows; branches of a node, rows wanted in a leaf.
-SAMPLE_BYTES, SAMPLE_ROWS, BRANCHES, LEAF_ROWS = 32_000_000, 100_000, 16, 200
+SAMPLE_BYTES, SAMPLE_ROWS, BRANCHES, LEAF_ROWS = 32_000_000, 100_000, 16, 500
 #: Rows whose exact neighbours are found to set the number of leaves, and the share of those that has to be found.
 CALIBRATION, RECALL = 200, 0.95
+#: Leaves that a query visits before it knows a bound.
+FIRST = 4
 #: Rows and queries that are compared at once; leaves with more are split.
 BLOCK, CHUNK = 16_384, 4_096
 
@@ -107,9 +109,12 @@ def _vectors(column: pa.Array | pa.ChunkedArray, kind: str, size: int) -> np.nda
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, size).astype(np.float64)
 
 
-def nearest(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def nearest(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, count: int,
+            bounds: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(index of the query, index of the row, distance) of each query's nearest rows but its own, ties to the smaller id.
 
+    With `bounds` rows that are farther from a query than its bound are left out.
+
     A product of matrices finds what may be among them; distances are then taken from the differences themselves.
     """
     squares = (rows**2).sum(axis=1)
@@ -127,6 +132,8 @@ def nearest(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_id
             near = np.flatnonzero(((rough[at] <= limit[at]) | beyond[at]) & (row_ids != query_ids[low + at]))
             distance = np.sqrt(((rows[near] - part[at]) ** 2).sum(axis=1))
             best = np.lexsort((row_ids[near], distance))[:count]
+            if bounds is not None:
+                best = best[distance[best] <= bounds[low + at]]
             found.append((np.full(len(best), low + at), near[best], distance[best]))
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
@@ -218,7 +225,8 @@ def search(index: Index, queries: DataFrame, count: int = 10) -> DataFrame:
     id are found as often as they are there. Every query visits `index.leaves` leaves, and more until they hold `count` others.
 
     Rows and queries meet by leaf, in blocks and chunks of bounded size: what is in a leaf with many rows or queries is dealt to many
-    tasks, and leaves that no query visits aren't moved. Only the best of a block go on.
+    tasks, and leaves that no query visits aren't moved. The `FIRST` leaves of a query bound how far its neighbours can be; of the later
+    ones only rows within that bound go on.
     """
     tree, counts, size, kind, leaves = index.tree, index.counts, index.size, index.kind, index.leaves
 
@@ -226,7 +234,7 @@ def search(index: Index, queries: DataFrame, count: int = 10) -> DataFrame:
         for batch in batches:
             for low in range(0, len(batch), 256):
                 part = batch.slice(low, 256)
-                rows: list[tuple[int, bytes, int]] = []
+                rows: list[tuple[int, bytes, int, int]] = []
                 for id_, vector, distances in zip(part.column(0).to_pylist(), part.column(1).to_pylist(),
                                                   tree.distances(_vectors(part.column(1), kind, size))):
                     seen = 0
@@ -235,37 +243,44 @@ def search(index: Index, queries: DataFrame, count: int = 10) -> DataFrame:
                             break
                         if leaf in counts:
                             seen += counts[leaf]
-                            rows.append((id_, vector, leaf))
+                            rows.append((id_, vector, leaf, number))
                 if rows:
-                    ids, vectors, places = zip(*rows)
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(vectors, pa.binary()), pa.array(places, pa.int64())],
-                                                     ["query_id", "query", "leaf"])
+                    ids, vectors, found, places = zip(*rows)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(vectors, pa.binary()), pa.array(found, pa.int64()),
+                                                      pa.array(places, pa.int64())], ["query_id", "query", "leaf", "place"])
 
-    visits = stored(queries.select("vec_id", "vector").mapInArrow(visited, "query_id long, query binary, leaf long"), "visits")
+    visits = stored(queries.select("vec_id", "vector").mapInArrow(visited, "query_id long, query binary, leaf long, place long"), "visits")
     spark = index.rows.sparkSession
     blocks = spark.createDataFrame([(leaf, -(-n // BLOCK)) for leaf, n in counts.items()], "leaf long, blocks long")
-    # one row a leaf, and so bounded by the sample
-    dealt = F.broadcast(stored(visits.groupBy("leaf").agg(F.ceil(F.count("*") / CHUNK).cast("long").alias("chunks")).join(blocks, "leaf"), "leaves"))
+    best = Window.partitionBy("query_id").orderBy("score", "vec_id")
 
     def numbers(total: str) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(total) - 1))
 
-    rows = (index.rows.join(dealt, "leaf").withColumn("block", F.pmod("place", F.col("blocks")))
-            .select("leaf", "block", numbers("chunks").alias("chunk"), "vec_id", "vector"))
-    asked = (visits.join(dealt, "leaf").withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.col("chunks")))
-             .select("leaf", numbers("blocks").alias("block"), "chunk", "query_id", "query"))
-
     def compared(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, row_ids = np.asarray(left.column("query_id")), np.asarray(right.column("vec_id"))
         at, row, score = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)) if not len(ids) or not len(row_ids) else nearest(
-            _vectors(left.column("query"), kind, size), ids, _vectors(right.column("vector"), kind, size), row_ids, count)
+            _vectors(left.column("query"), kind, size), ids, _vectors(right.column("vector"), kind, size), row_ids, count,
+            np.asarray(left.column("bound")))
         return pa.table({"query_id": ids[at], "vec_id": row_ids[row], "score": score})
 
-    keys = ("leaf", "block", "chunk")
-    found = asked.groupBy(*keys).cogroup(rows.groupBy(*keys)).applyInArrow(compared, "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= count)
-            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+    def met(some: DataFrame) -> DataFrame:
+        # one row a leaf, and so bounded by the sample
+        dealt = F.broadcast(stored(some.groupBy("leaf").agg(F.ceil(F.count("*") / CHUNK).cast("long").alias("chunks")).join(blocks, "leaf"), "leaves"))
+        rows = (index.rows.join(dealt, "leaf").withColumn("block", F.pmod("place", F.col("blocks")))
+                .select("leaf", "block", numbers("chunks").alias("chunk"), "vec_id", "vector"))
+        asked = (some.join(dealt, "leaf").withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.col("chunks")))
+                 .select("leaf", numbers("blocks").alias("block"), "chunk", "query_id", "query", "bound"))
+        keys = ("leaf", "block", "chunk")
+        found = asked.groupBy(*keys).cogroup(rows.groupBy(*keys)).applyInArrow(compared, "query_id long, vec_id long, score double")
+        ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= count)
+        return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+    near = stored(met(visits.where(F.col("place") < FIRST).withColumn("bound", F.lit(float("inf")))), "near")
+    bounds = near.where(F.col("rank") == count).select("query_id", F.col("score").alias("bound"))
+    later = visits.where(F.col("place") >= FIRST).join(bounds, "query_id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+    both = near.union(met(later)).drop("rank").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= count)
+    return both.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def neighbours(vectors: DataFrame, queries: Column, key: str = "vec_id", vector: str = "embedding", count: int = 10,
