@@ -72,14 +72,6 @@ def wide_sql(top: int) -> str:
     return ", ".join(f"predicted_code{s}, round(confidence{s}, 6) AS confidence{s}" for s in ("", *(f"_top{r}" for r in range(2, top + 1))))
 
 
-def hierarchical(v):
-    return models.fit_hierarchical(rows(v), max_level=3, num_features=SIZE)
-
-
-def multihead(v):
-    return models.fit_multihead(rows(v), max_level=3, num_features=SIZE)
-
-
 register("flat_predictions", lambda v: flat(v).predict(rows(v), top_k=3).drop("predictions"),
          "SELECT p_partkey AS id, label AS text, code, " + ", ".join(f"{level_sql('code', n)} AS level{n}" for n in range(1, 6))
          + f", left(code, 8) AS code8, {wide_sql(3)} FROM part_codes JOIN best_wide ON k = p_partkey", flat_sql("part_codes", "p_partkey", "label", 3))
@@ -89,9 +81,6 @@ register("flat_training_sizes", lambda v: v.spark.createDataFrame([tuple(flat(v)
                    CAST(sum(n - round(0.2e0 * n)) FILTER (WHERE n >= 2) AS BIGINT) AS train, CAST(sum(round(0.2e0 * n)) FILTER (WHERE n >= 2) AS BIGINT) AS val,
                    CAST(sum(n) FILTER (WHERE n >= 2) AS BIGINT) AS total, CAST(coalesce(sum(n) FILTER (WHERE n < 2), 0) AS INTEGER) AS dropped
             FROM (SELECT left(code, 8) AS c, count(*) AS n FROM part_codes GROUP BY 1) g""")
-register("hierarchical_predictions", lambda v: hierarchical(v).predict_wide(rows(v), top_k=2, threshold=0.3))
-register("hierarchical_beam", lambda v: hierarchical(v).predict_beam(rows(v), 3))
-register("multihead_predictions", lambda v: multihead(v).predict_wide(rows(v), top_k=2))
 register("predict_table", lambda v: models.predict_table(
     flat(v), v.products.select("l_orderkey", "l_linenumber", F.col("description_ean").alias("product")), words=WORDS),
          f"""SELECT l_orderkey, l_linenumber, clean AS product, description_ean AS product_orig, {wide_sql(1)}
@@ -107,19 +96,6 @@ def summary_sql(levels) -> str:
         f"HAVING count(*) >= 2 AND l IS NOT NULL) g) r" for n in levels)
 
 
-register("model_summary", lambda v: models.model_summary(hierarchical(v).summary(v.spark)), summary_sql((1, 2, 3)))
-
-
-def saved(v):
-    path = folder(v, "model")
-    model = hierarchical(v)
-    model.save(path)
-    return models.HierarchicalModel.load(v.spark, path)
-
-
-register("saved_model_predictions", lambda v: saved(v).predict_wide(rows(v)))
-
-
 def resumed(v):
     """All five levels stored by one fit and reused by the next."""
     path = folder(v, "resumed")
@@ -128,10 +104,6 @@ def resumed(v):
 
 
 register("resumed_model_summary", lambda v: models.model_summary(resumed(v).summary(v.spark)), summary_sql(range(1, 6)))
-register("predict_table_beam", lambda v: models.predict_table(
-    hierarchical(v), v.products.select("l_orderkey", "l_linenumber", F.col("description_ean").alias("product")), top_k=2, beam=3, words=WORDS))
-
-
 def incremental(v):
     """Clean the documents in two runs of the same job: the second one only finds the files of the second half."""
     source, sink, checkpoint = folder(v, "arriving"), folder(v, "cleaned"), folder(v, "progress")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "ramure", master: str | None = None, **conf: str) -> SparkSession:
@@ -32,3 +34,10 @@ def build_session(app_name: str = "ramure", master: str | None = None, **conf: s
 def work_folder(spark: SparkSession) -> str:
     """A folder that the driver and all executors reach: the cluster's `spark.checkpoint.dir`, else the session's warehouse."""
     return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write a table into a new folder of the work folder and go on from its files; lineage ends there."""
+    folder = f"{work_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
