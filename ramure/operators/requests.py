@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ramure.functions.codes import ancestor_path, is_level, is_technical
+from ramure.session import written
 
 # Phrases of introductory lines in an answer, and the bullets in front of items.
 INTRODUCTIONS = ("voici", "voilà", "exemples", "catégorie", "coicop", "produits pour", "produits de", "ci-dessous", "suivants")
@@ -60,19 +61,26 @@ def request_records(df: DataFrame, text: str, context: Mapping[str, str] | None
     return df.withColumn("record", F.to_json(F.struct(*fields)))
 
 
-def assemble_batches(df: DataFrame, record: str, key: str, size: int = 20, buckets: int = 4096) -> DataFrame:
-    """`bucket, batch, n, payload`: JSON arrays of `size` records in key order.
+def row_numbers(df: DataFrame, order: Sequence[str], name: str = "rn") -> DataFrame:
+    """Number all rows from 0 in the order of some columns (null first), without any task ordering the whole table.
 
-    Rows are numbered inside hash buckets of the unique key, so no task orders the whole table; each bucket may end in
-    a short batch. `buckets` sets how many rows one task orders.
+    Ranges of the order are sorted by themselves and written, so their places stay; a row's number is its place in its range and the
+    rows of all ranges before, a sum over one row a range. Rows equal in `order` keep one of their orders.
     """
-    bucket = F.pmod(F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 7), 16, 10).cast("int"), F.lit(buckets))
-    numbered = df.select(F.col(key).alias("key"), F.col(record).alias("record"), bucket.alias("bucket")).withColumn(
-        "rn", F.row_number().over(W.partitionBy("bucket").orderBy("key")))
-    batch = F.floor((F.col("rn") - 1) / size).cast("int")
+    place = f"__{name}"
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(place, F.monotonically_increasing_id())
+    placed = written(ranged, "ordered").withColumns({f"{place}_range": F.shiftright(place, 33), f"{place}_in": F.col(place).bitwiseAND((1 << 33) - 1)})
+    upto = W.orderBy(f"{place}_range").rowsBetween(W.unboundedPreceding, -1)
+    before = placed.groupBy(f"{place}_range").agg(F.count("*").alias("n")).select(
+        F.col(f"{place}_range"), F.coalesce(F.sum("n").over(upto), F.lit(0)).alias(f"{place}_before"))
+    return placed.join(before, f"{place}_range").select(*df.columns, (F.col(f"{place}_before") + F.col(f"{place}_in")).alias(name))
+
+
+def assemble_batches(df: DataFrame, record: str, key: str, size: int = 20) -> DataFrame:
+    """`batch, n, payload`: JSON arrays of `size` records in key order; only the last batch may have fewer."""
+    numbered = row_numbers(df.select(F.col(key).alias("key"), F.col(record).alias("record")), ["key", "record"])
     items = F.sort_array(F.collect_list(F.struct("rn", "record")))["record"]  # `size` entries at most
-    return numbered.groupBy("bucket", batch.alias("batch")).agg(
-        F.count("*").alias("n"), F.to_json(items).alias("payload"))
+    return numbered.groupBy(F.floor(F.col("rn") / size).alias("batch")).agg(F.count("*").alias("n"), F.to_json(items).alias("payload"))
 
 
 def unfenced(response: Column) -> Column:

@@ -92,16 +92,9 @@ register("request_records_plain", lambda v: rq.request_records(v.preds, "l_pr_pr
          "SELECT id, l_pr_product AS record FROM preds")
 
 
-def batches_sql(record: str, size: int, buckets: int) -> str:
-    return f"""SELECT bucket, batch, count(*) AS n, CAST(to_json(list(record ORDER BY rn)) AS VARCHAR) AS payload
-        FROM (SELECT *, CAST((rn - 1) // {size} AS INTEGER) AS batch FROM (
-              SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY id) AS rn FROM (
-              SELECT id, {record} AS record, CAST(CAST(('0x' || left(md5(CAST(id AS VARCHAR)), 7)) AS BIGINT) % {buckets} AS INTEGER) AS bucket FROM preds) b) n) r
-        GROUP BY bucket, batch"""
-
-
-register("assemble_batches", lambda v: rq.assemble_batches(rq.request_records(v.preds, "l_pr_product"), "record", "id", 20, 64),
-         batches_sql("l_pr_product", 20, 64))
+register("assemble_batches", lambda v: rq.assemble_batches(rq.request_records(v.preds, "l_pr_product"), "record", "id", 20),
+         """SELECT (rn - 1) // 20 AS batch, count(*) AS n, CAST(to_json(list(record ORDER BY rn)) AS VARCHAR) AS payload
+            FROM (SELECT l_pr_product AS record, row_number() OVER (ORDER BY id) AS rn FROM preds) r GROUP BY (rn - 1) // 20""")
 
 # answers to batches of orders: plain, fenced, short, or not an array, by number
 ANSWERS = """SELECT batch_id, n, CASE WHEN batch_id % 5 = 0 THEN '```json' || chr(10) || items || chr(10) || '```'

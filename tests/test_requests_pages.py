@@ -70,11 +70,17 @@ def test_request_records(spark):
 
 def test_batches_hold_every_row_once_in_order(spark):
     df = spark.range(95).withColumn("r", F.col("id").cast("string"))
-    got = rq.assemble_batches(df, "r", "id", 10, 3).collect()
-    seen = [json.loads(row["payload"]) for row in got]
-    assert sorted(int(x) for batch in seen for x in batch) == list(range(95))
-    assert all([int(x) for x in batch] == sorted(int(x) for x in batch) and len(batch) <= 10 for batch in seen)
-    assert sum(1 for batch in seen if len(batch) < 10) <= 3
+    got = {row["batch"]: json.loads(row["payload"]) for row in rq.assemble_batches(df.repartition(7), "r", "id", 10).collect()}
+    assert got == {batch: [str(n) for n in range(10 * batch, min(10 * batch + 10, 95))] for batch in range(10)}
+    assert rq.assemble_batches(df.limit(0), "r", "id").count() == 0
+
+
+def test_row_numbers_span_ranges(spark):
+    df = spark.range(1000).select(F.when(F.col("id") % 100 > 0, F.pmod(F.xxhash64("id"), F.lit(97))).alias("k"), "id").repartition(8)
+    rows = rq.row_numbers(df, ["k", "id"]).orderBy("rn").collect()
+    assert [row["rn"] for row in rows] == list(range(1000))
+    order = [(row["k"] is not None, row["k"] or 0, row["id"]) for row in rows]
+    assert order == sorted(order)
 
 
 @pytest.mark.parametrize("response, expected", [
