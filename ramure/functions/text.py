@@ -55,7 +55,7 @@ def _col(column: Column | str) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body(value)` with the value computed once, however often the body mentions it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
@@ -75,7 +75,7 @@ def transliterate(column: Column | str) -> Column:
     text = F.coalesce(_col(column), F.lit(""))
     letters = F.translate(text, "".join(SINGLE_LETTERS), "".join(SINGLE_LETTERS.values()))
     # texts that are ASCII skip the letters, and those that are then ASCII skip the signs
-    plain = _let(letters, lambda t: F.when(_is_ascii(t), t).otherwise(_spelled_out(t)))
+    plain = let(letters, lambda t: F.when(_is_ascii(t), t).otherwise(_spelled_out(t)))
     return F.when(_is_ascii(text), text).otherwise(plain)
 
 
@@ -87,8 +87,8 @@ def _without_empty_label(text: Column) -> Column:
 
 def _clean_tokens(text: Column) -> Column:
     """Words longer than one character left after the noise steps, in order."""
-    text = _let(text, _without_empty_label)
-    text = _let(F.regexp_replace(text, r"[^\w\s]+", " "), _without_empty_label)
+    text = let(text, _without_empty_label)
+    text = let(F.regexp_replace(text, r"[^\w\s]+", " "), _without_empty_label)
     # digits, plus signs and white space all end a word
     words = F.split(F.regexp_replace(text, r"[\d+\s]+", " "), " ")
     return F.filter(words, lambda word: F.length(word) > 1)

@@ -14,20 +14,36 @@ SPACE = "'[\\s\\x0B\\x85\\p{Z}]+'"
 
 def lines_sql(source: str, key: str, code: str, html: str) -> dict[str, str]:
     """Page lines, their place relative to the first marker lines, and their section and content."""
-    text = f"regexp_replace({html}, '(?s)<!--.*?-->', '', 'g')"
-    for name in pg.DROPPED_ELEMENTS:
-        text = f"regexp_replace({text}, '(?is)<{name}\\b[^>]*>.*?</{name}\\s*>', '', 'g')"
-    content = "coalesce(" + ", ".join(
-        f"nullif(regexp_extract(t, {quoted(pg.content_pattern(*element))}, 1), '')" for element in pg.CONTENT_ELEMENTS) + ", t)"
-    plain = f"regexp_replace({content}, '(?s)<[^>]*>', chr(10), 'g')"
+    nested = "|".join(pg.NESTED_ELEMENTS)
+    step = "CASE WHEN regexp_matches(part, '(?i)^<({0})\\b') THEN 1 WHEN regexp_matches(part, '(?i)^</({0})\\b') THEN -1 ELSE 0 END"
+    ctes = {
+        "cut_pages": f"""SELECT k, code, unnest(ps) AS part, unnest(range(1, len(ps) + 1)) AS pos FROM (
+            SELECT {key} AS k, {code} AS code, string_split(regexp_replace(regexp_replace({html}, {quoted(pg.RAW_PATTERN)}, '', 'g'),
+                   '(?i)(</?(?:{pg.TAGS})\\b)', chr(1) || '\\1', 'g'), chr(1)) AS ps FROM {source}) s""",
+        # a depth that never falls below zero: the running sum less its lowest value so far
+        "kept_parts": f"""SELECT k, code, part, pos FROM (SELECT *, min(d) OVER w AS low FROM (
+            SELECT *, sum({step.format(nested)}) OVER w AS d FROM cut_pages WINDOW w AS (PARTITION BY k ORDER BY pos)) a
+            WINDOW w AS (PARTITION BY k ORDER BY pos)) b WHERE d - least(low, 0) = 0""",
+    }
+    contents = []
+    for i, (element, css_class) in enumerate(pg.CONTENT_ELEMENTS):
+        ctes[f"content_{i}"] = f"""SELECT k, regexp_replace(string_agg(part, '' ORDER BY pos), '^<[^>]*>', '') AS t FROM (
+            SELECT *, min(d) OVER (PARTITION BY k ORDER BY pos) AS low FROM (
+            SELECT *, sum({step.format(element)}) OVER (PARTITION BY k ORDER BY pos) AS d FROM (SELECT p.* FROM kept_parts p JOIN (
+                SELECT k, min(pos) AS start FROM kept_parts WHERE regexp_matches(part, {quoted(pg.opening_pattern(element, css_class))}) GROUP BY k) f
+                ON p.k = f.k AND pos >= start) p) d) l WHERE low > 0 GROUP BY k"""
+        contents.append(f"nullif(c{i}.t, '')")
+    joins = " ".join(f"LEFT JOIN content_{i} c{i} ON c{i}.k = a.k" for i in range(len(contents)))
+    ctes["stripped"] = (f"SELECT a.k, a.code, coalesce({', '.join(contents)}, a.t) AS t FROM (SELECT k, min(code) AS code, "
+                        f"string_agg(part, '' ORDER BY pos) AS t FROM kept_parts GROUP BY k) a {joins}")
+    plain = "regexp_replace(t, '(?s)<[^>]*>', chr(10), 'g')"
     # the numeric entities that the pages have
     for entity, character in ({"&#39;": "'", "&#233;": "é", "&#x20AC;": "€"} | pg.ENTITIES).items():
         plain = f"replace({plain}, {quoted(entity)}, {quoted(character)})"
     navigation = " OR ".join(f"contains(lower(line), {quoted(word)})" for word in pg.NAVIGATION_WORDS)
     excluding = "(contains(lower(line), 'ne comprend pas') OR contains(lower(line), 'ne couvre pas'))"
     bare = "trim(regexp_replace(trim(regexp_replace(line, '\\d{4}-\\d{2}-\\d{2}T[\\d:.+]+', '', 'g')), ':\\s*\\d{2}/\\d{2}/\\d{4}', '', 'g'))"
-    return {
-        "stripped": f"SELECT {key} AS k, {code} AS code, {text} AS t FROM {source}",
+    return ctes | {
         "split_lines": f"SELECT k, code, unnest(ls) AS raw, unnest(range(1, len(ls) + 1)) AS pos FROM (SELECT k, code, string_split({plain}, chr(10)) AS ls FROM stripped) s",
         "page_rows": f"SELECT k, code, pos, line, {excluding} AS ex, (NOT {excluding} AND contains(lower(line), 'comprend') "
                      f"AND regexp_matches(lower(line), '(ce |cette |comprend\\s*:)')) AS inc FROM (SELECT k, code, pos, trim(regexp_replace(raw, {SPACE}, ' ', 'g')) AS line "

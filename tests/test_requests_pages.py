@@ -117,3 +117,14 @@ def test_page_content_boxes_nested_elements_and_entities(spark):
         ('<div class="contenu-centralise">non</div><body>le corps</body>',)], "html string")
     lines = [row[0] for row in pages.select(pg.page_lines(F.col("html"))).collect()]
     assert lines == [["boîte centrale", "imbriquée", "et la fin"], ["avant", "au milieu", "après"], ["café € &#0; &#99999999;"], ["le corps"]]
+
+
+def test_page_content_ends_at_its_own_closing_tag(spark):
+    pages = spark.createDataFrame([
+        ("<article>un <div>deux</div></article> entre <article>trois</article>",),
+        ("<main>dedans<nav>a<nav>b</nav>c</nav>encore</main><p>dehors</p>",), ("</nav></nav><body>du texte<header>x</header> fin",),
+        ("<div class='contenu-onglet'><div>un</div> deux</div><div>trois</div>",), ("<main><nav>tout</nav></main>",),
+        ("<script>if (a<b) '<main>'</script><main>code<STYLE>p{}</STYLE> et texte</main>",), ("<mainly>abc</mainly><Main id=x>def</MAIN >ghi",),
+        ("",), (None,), ("<div>" * 3000 + "loin" + "</div>" * 3000,)], "html string")
+    lines = [row[0] for row in pages.select(pg.page_lines(F.col("html"))).collect()]
+    assert lines == [["deux"], ["dedans", "encore"], ["du texte", "fin"], ["deux"], [], ["code et texte"], ["def"], [], None, ["loin"]]
