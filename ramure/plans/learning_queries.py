@@ -13,7 +13,7 @@ from ramure.operators import models
 from ramure.plans.registry import level_sql, register
 from ramure.plans.text_queries import GRAMS, WORDS, folder, token_ctes
 from ramure.sources.writers import write_output
-from ramure.streaming.incremental import clean_stream, score_incrementally
+from ramure.streaming.incremental import clean_stream, score_incrementally, score_new_keys
 
 SIZE = 1 << 12
 
@@ -117,3 +117,22 @@ def incremental(v):
 
 register("incremental_cleaning", incremental, "SELECT k AS doc_id, clean AS text FROM cleaned",
          token_ctes("documents", "doc_id", "text", WORDS))
+
+
+def scored_arrivals(v):
+    """A fitted model scores product names as they arrive: half of them first, then all, of which half are there already."""
+    source, sink, checkpoint = folder(v, "names"), folder(v, "scored"), folder(v, "scoring")
+    model = flat(v)
+    names = v.part_codes.select("p_partkey", F.col("label").alias("product"))
+    for run, part in enumerate((names.where(F.col("p_partkey") % 2 == 0), names)):
+        write_output(part, f"{source}/run{run}.parquet")
+        stream = v.spark.readStream.schema(part.schema).parquet(f"{source}/*.parquet")
+        score_new_keys(stream, lambda df: models.predict_table(model, df, words=WORDS), sink, checkpoint, "p_partkey").awaitTermination()
+    return v.spark.read.parquet(sink).drop("batch")
+
+
+register("scored_arrivals", scored_arrivals,
+         f"""SELECT p_partkey, clean AS product, label AS product_orig, {wide_sql(1)} FROM part_codes
+             JOIN cleaned ON cleaned.k = label JOIN best_wide ON best_wide.k = clean""",
+         {"labels_once": "SELECT DISTINCT label AS product FROM part_codes", **token_ctes("labels_once", "product", "product", WORDS),
+          "clean_texts": "SELECT DISTINCT clean AS t FROM cleaned", **flat_sql("clean_texts", "t", "t", 1)})

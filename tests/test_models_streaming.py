@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tables import values
 from ramure.functions import codes
 from ramure.operators import models
-from ramure.streaming.incremental import clean_stream, score_incrementally
+from ramure.streaming.incremental import clean_stream, score_incrementally, score_new_keys
 
 PRODUCTS = {"pain": "01.1.1", "baguette": "01.1.2", "biere": "02.1.1", "vin": "02.1.2", "robe": "03.1.1", "pantalon": "03.1.2"}
 
@@ -145,3 +145,40 @@ def test_incremental_runs_score_each_row_once(spark, hierarchical, tmp_path):
     assert run() == [(1, "01")]
     spark.createDataFrame([(3, "robe")], schema).write.mode("append").parquet(source)
     assert run() == [(1, "01"), (3, "03")]
+
+
+def test_keys_are_scored_once_by_any_plan(spark, tmp_path):
+    source, sink, checkpoint = (str(tmp_path / name) for name in ("in", "out", "state"))
+    schema = "id long, product string, note string"
+
+    def arrive(*rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+
+    def run():
+        # a plan that a plain stream couldn't run: a join with a count per product
+        def score(df):
+            return df.join(df.groupBy("product").count(), "product", "left")
+
+        score_new_keys(spark.readStream.schema(schema).parquet(source), score, sink, checkpoint).awaitTermination()
+        return values(spark.read.parquet(sink), "id", "product", "count", "batch")
+
+    arrive((2**60 + 1, "pain", None), (2, "vin", "b"), (2, "eau", "z"), (None, "sel", None), (None, "sel", None))
+    first = run()
+    assert first == [(2**60 + 1, "pain", 1, 0), (2, "eau", 1, 0), (None, "sel", 2, 0), (None, "sel", 2, 0)]
+    assert run() == first
+    arrive((2, "robe", "later"), (3, "robe", None))
+    second = run()
+    assert second == sorted([*first, (3, "robe", 1, 1)], key=lambda row: tuple((value is None, str(value)) for value in row))
+    # killed between the write and the commit: the batch comes again and replaces what it wrote
+    for name in ("1", ".1.crc"):
+        (tmp_path / "state" / "commits" / name).unlink(missing_ok=True)
+    assert run() == second
+
+
+def test_arrivals_without_rows(spark, tmp_path):
+    source, sink, checkpoint = (str(tmp_path / name) for name in ("in", "out", "state"))
+    spark.createDataFrame([], "id int, product string").write.parquet(source)
+    stream = spark.readStream.schema("id int, product string").parquet(source)
+    score_new_keys(stream, lambda df: df, sink, checkpoint).awaitTermination()
+    found = [row for part in (tmp_path / "out").glob("batch=*") for row in spark.read.parquet(str(part)).collect()]
+    assert found == []
