@@ -204,6 +204,26 @@ register("load_taxonomy",
          "CAST(NULL AS VARCHAR) AS ne_comprend_pas FROM taxonomy")
 
 
+def exported(v, *names: str):
+    """The nomenclature with texts that hold the separator and line ends, as a CSV file with the columns asked for."""
+    code, label = F.col("code"), F.col("libelle")
+    texts = v.taxonomy.select(
+        code, label, F.concat(F.lit("général\n"), code).alias("general"), F.concat(F.lit("contient "), label).alias("contains"),
+        F.when(F.length(code) > 4, F.concat(F.lit("sauf; "), code)).alias("excludes"))
+    return written_csv(v, texts.toDF("code", *names), "taxonomy-export", ";")
+
+
+TAXONOMY_SQL = ("SELECT code, libelle, {0} AS description, 'contient ' || libelle AS comprend, "
+                "CASE WHEN length(code) > 4 THEN 'sauf; ' || code END AS ne_comprend_pas FROM taxonomy")
+register("load_taxonomy_export",
+         lambda v: readers.load_taxonomy(v.spark, exported(v, "label_fr", "note_generale_fr", "contenu_central_fr", "note_exclusion_fr")),
+         TAXONOMY_SQL.format("'général' || chr(10) || code"))
+# an enriched file without general texts: they are added as NULL
+register("load_taxonomy_enriched",
+         lambda v: readers.load_taxonomy(v.spark, exported(v, "libelle", "other", "comprend", "ne_comprend_pas")),
+         TAXONOMY_SQL.format("CAST(NULL AS VARCHAR)"))
+
+
 def annotated_folder(v) -> str:
     """The three layouts as CSV files of one folder, each named as its layout."""
     path = folder(v, "annotated")
