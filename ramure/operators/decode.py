@@ -155,7 +155,8 @@ def mask_children(probs: DataFrame, children: DataFrame, levels: Sequence[int] =
     the highest is taken. A code listed under several parents is a child of each.
     """
     parents = children.groupBy("level", F.col("child").alias("code")).agg(F.collect_set("parent").alias("parents"))
-    joined = probs.join(parents, ["level", "code"], "left")
+    # as many rows as the nomenclature has codes; candidates stay where they are
+    joined = probs.join(F.broadcast(parents), ["level", "code"], "left")
     gathered = joined.groupBy("id").agg(F.collect_list(F.struct("level", "code", "p", "parents")).alias("all"))
 
     def step(state: Column, level: Column) -> Column:
