@@ -12,7 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ramure.functions.ngrams import char_ngrams
+from ramure.functions.ngrams import char_ngrams, words
 
 
 class Counts(NamedTuple):
@@ -25,9 +25,11 @@ class Counts(NamedTuple):
 def nb_counts(df: DataFrame, text: str, label: str, min_n: int = 3, max_n: int = 6) -> Counts:
     """Counts per label and n-gram, and rows per label."""
     labelled = df.where(F.col(label).isNotNull()).select(F.col(label).alias("label"), F.col(text).alias("text"))
+    # words are counted first, and each different one of a label is cut once
+    counted = labelled.select("label", F.explode(words("text")).alias("word")).groupBy("label", "word").agg(F.count("*").alias("n"))
     grams = (
-        labelled.select("label", F.explode(char_ngrams("text", min_n, max_n)).alias("ngram"))
-        .groupBy("label", "ngram").agg(F.count("*").cast("double").alias("n"))
+        counted.select("label", "n", F.explode(char_ngrams("word", min_n, max_n)).alias("ngram"))
+        .groupBy("label", "ngram").agg(F.sum("n").cast("double").alias("n"))
     )
     classes = labelled.groupBy("label").agg(F.count("*").cast("double").alias("n"))
     return Counts(grams, classes)
@@ -69,13 +71,15 @@ def nb_score(df: DataFrame, counts: Counts, text: str, key: str = "id", alpha: f
     table = classes.agg(F.sort_array(F.collect_list(F.struct(
         "label", "log_n", F.log("unseen").alias("log_unseen")))).alias("t")).scalar()
 
-    grams = df.select(F.col(key).alias("id"), F.explode_outer(char_ngrams(text, min_n, max_n)).alias("ngram"))
-    weighted = grams.join(per_gram, "ngram", "left")
-    # the entry without label counts the known n-grams of the row
+    # each different word is weighted once: a row for every label that has an n-gram of it, and one without label that counts them
+    different = df.select(F.explode(words(text)).alias("word")).distinct()
+    grams = different.select("word", F.explode(char_ngrams("word", min_n, max_n)).alias("ngram"))
     one = F.struct(F.lit(None).cast("string").alias("label"), F.lit(1.0).alias("w"))
-    entries = F.when(F.col("weights").isNotNull(), F.array_append("weights", one)).otherwise(
-        F.array(F.struct(F.lit(None).cast("string").alias("label"), F.lit(0.0).alias("w"))))
-    sums = weighted.select("id", F.inline(entries)).groupBy("id", "label").agg(F.sum("w").alias("w"))
+    per_word = grams.join(per_gram, "ngram").select("word", F.inline(F.array_append("weights", one))).groupBy("word", "label").agg(
+        F.sum("w").alias("w")).groupBy("word").agg(F.collect_list(F.struct("label", "w")).alias("weights"))
+    weighted = df.select(F.col(key).alias("id"), F.explode_outer(words(text)).alias("word")).join(per_word, "word", "left")
+    nothing = F.array(F.struct(F.lit(None).cast("string").alias("label"), F.lit(0.0).alias("w")))
+    sums = weighted.select("id", F.inline(F.coalesce("weights", nothing))).groupBy("id", "label").agg(F.sum("w").alias("w"))
     gathered = sums.groupBy("id").agg(
         F.max(F.when(F.col("label").isNull(), F.col("w"))).alias("known"),
         F.map_from_entries(F.collect_list(F.when(F.col("label").isNotNull(), F.struct("label", "w")))).alias("found"))

@@ -9,6 +9,7 @@ from ramure.operators import bayes, decode
 from ramure.operators import training as tr
 from ramure.plans.registry import level_sql, register
 from ramure.plans.text_queries import GRAMS, WORDS, token_ctes
+from ramure.session import spread
 
 # ---- training sets -------------------------------------------------------------------------------------------------
 
@@ -218,7 +219,7 @@ register("mask_children", lambda v: decode.mask_children(probabilities(v), child
 
 def level1_rows(v):
     """Product names with their division."""
-    return v.part_codes.select(F.col("p_partkey").alias("id"), "label", codes.code_level("code", 1).alias("level1"))
+    return spread(v.part_codes).select(F.col("p_partkey").alias("id"), "label", codes.code_level("code", 1).alias("level1"))
 
 
 NB = {
