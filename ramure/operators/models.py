@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ramure.functions.codes import LEVELS, children_map
 from ramure.functions.ngrams import char_ngrams, ngram_vocab
-from ramure.functions.text import DEFAULT_STOPWORDS, preprocess_text
+from ramure.functions.text import DEFAULT_STOPWORDS, let, preprocess_text
 from ramure.operators import training as tr
 from ramure.operators.decode import PATH_TYPE, bucket_confidence, combine_confidence, seeded_fraction
 
@@ -49,9 +49,16 @@ def _estimator(kind: str, features: str, label: str, prefix: str):
 def _ranked(probability: Column, labels: Sequence[str], top_k: int) -> Column:
     """Best `top_k` `(code, confidence)` of a probability vector, those equal to nine digits by code."""
     names = F.array(*[F.lit(label) for label in labels])
-    pairs = F.zip_with(vector_to_array(probability), names,
-                       lambda p, code: F.struct(F.round(-p, 9).alias("order"), code.alias("code"), (-p).alias("neg")))
-    return F.transform(F.slice(F.sort_array(pairs), 1, top_k),
+
+    def best(values: Column) -> Column:
+        # only those that can be among the best after rounding are rounded and sorted as pairs
+        last = F.get(F.sort_array(values, asc=False), F.lit(min(top_k, len(labels)) - 1))
+        pairs = F.zip_with(values, names, lambda p, code: F.when(p > last - 2e-9, F.struct(code.alias("code"), p.alias("p"))))
+        ordered = F.transform(F.array_compact(pairs), lambda pair: F.struct(
+            F.round(-pair["p"], 9).alias("order"), pair["code"].alias("code"), (-pair["p"]).alias("neg")))
+        return F.slice(F.sort_array(ordered), 1, top_k)
+
+    return F.transform(let(vector_to_array(probability), best),
                        lambda pair: F.struct(pair["code"].alias("code"), (-pair["neg"]).alias("confidence")))
 
 
@@ -554,13 +561,14 @@ def fit_multihead(df: DataFrame, max_level: int = 4, text: str = "text", key: st
 
 def predict_table(model: FlatModel | HierarchicalModel | MultiheadModel, df: DataFrame, text: str = "product", top_k: int = 1,
                   threshold: float | None = None, words: Sequence[str] = DEFAULT_STOPWORDS, beam: int = 1) -> DataFrame:
-    """Clean the text, then predict; rows without any word are not in the result.
+    """Clean the text, then predict; rows without any word are not in the result. A flat model scores each different text once.
 
     With `beam` over 1 a level-by-level model keeps so many paths, and the best `top_k` of them give the columns per level.
     """
     cleaned = preprocess_text(df, text, words)
     if isinstance(model, FlatModel):
-        return model.predict(cleaned, text, top_k).drop("predictions")
+        texts = model.predict(cleaned.select(text).distinct(), text, top_k).drop("predictions")
+        return cleaned.join(texts, text).select(*cleaned.columns, *[name for name in texts.columns if name != text])
     if isinstance(model, HierarchicalModel) and beam > 1:
         return model.predict_beam(cleaned, beam, text, top_k)
     return model.predict_wide(cleaned, text, top_k, threshold)

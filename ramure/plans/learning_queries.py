@@ -12,6 +12,7 @@ from ramure.functions import codes
 from ramure.operators import models
 from ramure.plans.registry import level_sql, register
 from ramure.plans.text_queries import GRAMS, WORDS, folder, token_ctes
+from ramure.session import spread
 from ramure.sources.writers import write_output
 from ramure.streaming.incremental import clean_stream, score_incrementally, score_new_keys
 
@@ -20,7 +21,7 @@ SIZE = 1 << 12
 
 def rows(v):
     """Labelled texts: product names and their codes."""
-    parts = v.part_codes.select(F.col("p_partkey").alias("id"), F.col("label").alias("text"), "code")
+    parts = spread(v.part_codes).select(F.col("p_partkey").alias("id"), F.col("label").alias("text"), "code")
     return codes.with_levels(parts).withColumn("code8", codes.code_prefix("code"))
 
 
