@@ -7,11 +7,16 @@ no label or n-gram is a literal of a plan. The vocabulary and the nomenclature b
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import math
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
 from ramure.functions.codes import children_map
 from ramure.functions.ngrams import char_ngrams, ngram_vocab
@@ -19,12 +24,14 @@ from ramure.functions.text import DEFAULT_STOPWORDS, preprocess_text
 from ramure.operators import training as tr
 from ramure.operators.decode import PATH_TYPE, bucket_confidence, combine_confidence, seeded_fraction
 from ramure.operators.evaluate import topk_by_flags
-from ramure.session import written
+from ramure.session import spread, written
 
 #: Buckets of the confidence of the code above, each a feature of its own.
 BUCKETS = 10
 #: Confidence of the code above where there is none: while predicting, while fitting, and in a beam that skipped the level above.
 NO_PARENT, NO_PREDICTION, NO_STEP = 0.5, 0.9, 0.9
+#: Rows of a block that is scored at once, at most and at least; weights added up, and scores held, at a time.
+MOST_ROWS, LEAST_ROWS, ENTRIES, CELLS = 50_000, 1_000, 1_000_000, 500_000
 
 
 @dataclass(frozen=True)
@@ -67,130 +74,195 @@ class LevelTables:
         return self.classes.select("level", (F.row_number().over(order) - 1).alias("index"), F.col("label").alias("code"))
 
 
-def bags(df: DataFrame, text: str, key: str, min_n: int = 3, max_n: int = 6) -> DataFrame:
-    """`(id, feature)` of every n-gram of a text, as often as it occurs."""
-    grams = char_ngrams(F.coalesce(F.col(text), F.lit("")), min_n, max_n)
-    return df.select(F.col(key).alias("id"), F.explode(grams).alias("gram")).select("id", F.concat(F.lit("t"), "gram").alias("feature"))
+def _numbered(vocabulary: DataFrame) -> DataFrame:
+    """`(feature, f)`: n-grams of a vocabulary, numbered in their order; the vocabulary's bound is that of the numbering."""
+    return tr.label_index(vocabulary, "feature").select(F.col("label").alias("feature"), F.col("index").alias("f"))
 
 
-def _once(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body` of a value that is computed once a row, not once for each element it meets there."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def bags(df: DataFrame, text: str, key: str, vocabulary: DataFrame, min_n: int = 3, max_n: int = 6) -> DataFrame:
+    """`(id, grams)`: numbers of the known n-grams of each id's text, as often as they occur; ids without any and null ones have no row."""
+    grams = char_ngrams(F.coalesce(F.col(text), F.lit("")), min_n, max_n)
+    long = df.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.explode(grams).alias("gram"))
+    long = long.select("id", F.concat(F.lit("t"), "gram").alias("feature"))
+    return long.join(_numbered(vocabulary), "feature").groupBy("id").agg(F.sort_array(F.collect_list("f")).alias("grams"))
 
 
 class _Level:
-    """What scoring one level needs, from its counts."""
+    """What scoring one level needs, as a table of one row per class, feature and parent of the level."""
 
     def __init__(self, tables: LevelTables, n: int):
         self.n, self.tables = n, tables
         self.fed = not tables.heads and n > tables.levels[0]
-        alpha = tables.alpha
-        counts = tables.counts.where(F.col("level") == n)
-        index = tr.label_index(tables.classes.where(F.col("level") == n), "label").select("label", F.col("index").alias("i"))
-        parents = tables.parents.where(F.col("level") == n).select("parent")
+        here = F.col("level") == n
+        classes = tables.classes.where(here)
+        index = tr.label_index(classes, "label").select("label", F.col("index").alias("i"))
+        above = tables.children.where(here).select(F.col("child").alias("label"), "parent")
         size = tables.vocabulary.agg(F.count("*").alias("v")).scalar()
-        if self.fed:
-            size = size + parents.agg(F.count("*").alias("v")).scalar() + BUCKETS
-        totals = counts.groupBy("label").agg(F.sum("n").alias("total"))
-        rows = tables.classes.where(F.col("level") == n)
-        all_rows = F.sum("n").over(tr.W.partitionBy())  # one row per class
-        n_classes = F.count("*").over(tr.W.partitionBy())
-        sides = rows.select("label", (F.log(F.col("n") + alpha) - F.log(all_rows + alpha * n_classes)).alias("prior"))
-        above = tables.children.where(F.col("level") == n).select(F.col("child").alias("label"), "parent")
-        classes = sides.join(totals, "label", "left").join(index, "label").join(above, "label", "left").select(
-            "i", F.struct("label", "parent", "prior", (F.log(F.lit(alpha)) - F.log(F.coalesce("total", F.lit(0.0)) + alpha * size)).alias("unseen")).alias("c"))
-        # one entry per class of the nomenclature
-        self.classes = classes.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("i", "c")))).alias("m")).scalar()
-        weights = counts.join(index, "label").select("feature", "i", (F.log(F.col("n") + alpha) - F.log(F.lit(alpha))).alias("w"))
-        # as many entries as classes have the feature; the one of index -1 counts known features
-        shared = weights.groupBy("feature").agg(F.collect_list(F.struct("i", "w")).alias("entries"))
-        one = F.array(F.struct(F.lit(-1).alias("i"), F.lit(1.0).alias("w")))
-        self.text = tables.vocabulary.join(shared, "feature", "left").select(
-            "feature", F.when(F.col("entries").isNull(), one).otherwise(F.concat("entries", one)).alias("entries"))
-        self.extra = shared.where(F.substring("feature", 1, 1) != "t").select("feature", F.map_from_entries("entries").alias("found"))
-        self.parents, self.first_parent = parents, parents.agg(F.min("parent").alias("p")).scalar()
-
-    def sums(self, bag: DataFrame) -> DataFrame:
-        """`(id, known, found)`: known n-grams of each row, and the summed weights of classes that share one."""
-        summed = bag.join(self.text, "feature").select("id", F.inline("entries")).groupBy("id", "i").agg(F.sum("w").alias("w"))
-        return summed.groupBy("id").agg(
-            F.max(F.when(F.col("i") < 0, F.col("w"))).alias("known"),
-            F.map_from_entries(F.collect_list(F.when(F.col("i") >= 0, F.struct("i", "w")))).alias("found"))
-
-    def probabilities(self, rows: DataFrame, sums: DataFrame) -> DataFrame:
-        """Add `scored`, the probability of every class `(code, parent, p)`, to rows `(id, …, parent, confidence)`."""
-        none = F.create_map().cast("map<int,double>")
-        kept = rows.columns
-        joined = rows.join(sums, "id", "left").withColumns({
-            "known": F.coalesce("known", F.lit(0.0)) + (2 if self.fed else 0), "found": F.coalesce("found", none), "__classes": self.classes})
-        maps = ["found"]
-        if self.fed:
-            known = self.parents.select(F.col("parent").alias("__known"))
-            joined = joined.join(known, joined["parent"] == F.col("__known"), "left").withColumns({
-                "__p": F.concat(F.lit("p"), F.coalesce("__known", self.first_parent)),
-                "__b": F.concat(F.lit("b"), bucket_confidence(F.col("confidence"), BUCKETS).cast("string"))})
-            for name in ("__p", "__b"):
-                side = self.extra.select(F.col("feature").alias(name), F.coalesce("found", none).alias(f"{name}w"))
-                joined = joined.join(side, name, "left").withColumn(f"{name}w", F.coalesce(f"{name}w", none))
-                maps.append(f"{name}w")
-        # every class, with what the maps add to it
-        scores = F.map_zip_with(F.col("__classes"), F.col(maps[0]), lambda i, c, w: F.struct(
-            c["label"].alias("code"), c["parent"].alias("parent"), (c["prior"] + F.col("known") * c["unseen"] + F.coalesce(w, F.lit(0.0))).alias("s")))
-        for name in maps[1:]:
-            scores = F.map_zip_with(scores, F.col(name), lambda i, c, w: F.struct(
-                c["code"].alias("code"), c["parent"].alias("parent"), (c["s"] + F.coalesce(w, F.lit(0.0))).alias("s")))
-        ready = joined.select(*kept, F.map_values(scores).alias("__s"))
-        top = F.array_max(F.transform("__s", lambda c: c["s"]))
-
-        def shares(top: Column) -> Column:
-            total = F.aggregate("__s", F.lit(0.0), lambda acc, c: acc + F.exp(c["s"] - top))
-            return _once(total, lambda total: F.transform("__s", lambda c: F.struct(
-                c["code"].alias("code"), c["parent"].alias("parent"), (F.exp(c["s"] - top) / total).alias("p"))))
-
-        return ready.select(*kept, _once(top, shares).alias("scored"))
-
-    def best(self, rows: DataFrame, sums: DataFrame, top_k: int) -> DataFrame:
-        """Add `alternatives{N}`, the best `(code, confidence)`: those equal to nine digits by code.
-
-        Heads after the first keep the children of the code above, in `parent`: their probabilities then add up to 1 again, or are all
-        equal if they were 0; a code without children leaves everything as it is, and of equal probabilities the highest code is first.
-        """
-        scored = self.probabilities(rows, sums)
-        kept = rows.columns
-        if not self.tables.heads:
-            ordered = F.sort_array(F.transform("scored", lambda c: F.struct(F.round(-c["p"], 9).alias("o"), c["code"].alias("code"), c["p"].alias("p"))))
-        else:
-            own = F.filter("scored", lambda c: c["parent"] == F.col("parent"))
-
-            def masked(own: Column) -> Column:
-                total = F.aggregate(own, F.lit(0.0), lambda acc, c: acc + c["p"])
-                return _once(F.struct(F.size(own).alias("n"), total.alias("total")), lambda sums: F.transform("scored", lambda c: _ordered(
-                    F.when(sums["n"] == 0, c["p"]).when(~c["parent"].eqNullSafe(F.col("parent")), 0.0)
-                    .when(sums["total"] > 0, c["p"] / sums["total"]).otherwise(F.lit(1.0) / sums["n"]), c["code"])))
-
-            ordered = F.sort_array(_once(own, masked), asc=False)
-        return scored.select(*kept, F.transform(F.slice(ordered, 1, top_k), lambda c: F.struct(
-            c["code"].alias("code"), c["p"].alias("confidence"))).alias(f"alternatives{self.n}"))
+        none = {"f": "int", "i": "array<int>", "n": "array<double>", "parent": "string", "size": "long"}
 
+        def part(df: DataFrame, kind: str, **columns: Column) -> DataFrame:
+            return df.select(F.lit(kind).alias("kind"), *[columns.get(name, F.lit(None)).cast(type_).alias(name) for name, type_ in {"name": "string", **none}.items()])
 
-def _ordered(p: Column, code: Column) -> Column:
-    return F.struct(F.round(p, 9).alias("o"), code.alias("code"), p.alias("p"))
-
-
-def _fed(rows: DataFrame) -> DataFrame:
-    """The code chosen last and its confidence as the parent of the next level."""
-    return rows.withColumns({"parent": F.col("__code"), "confidence": F.coalesce("__confidence", F.lit(NO_PARENT))})
+        entries = tables.counts.where(here).join(index, "label").groupBy("feature").agg(F.collect_list(F.struct("i", "n")).alias("e"))
+        features = entries.join(_numbered(tables.vocabulary), "feature", "left")
+        self.table = part(classes.join(index, "label").join(above, "label", "left"), "class", name=F.col("label"), i=F.array("i"), n=F.array("n"),
+                          parent=F.col("parent"), size=size)
+        self.table = self.table.union(part(features, "feature", name=F.col("feature"), f=F.col("f"), i=F.col("e.i"), n=F.col("e.n")))
+        if self.fed:
+            self.table = self.table.union(part(tables.parents.where(here), "parent", name=F.col("parent")))
 
+    def best(self, rows: DataFrame, blocks: int, top_k: int) -> DataFrame:
+        """Add `alternatives`, for each of the row's `parents` with its `confidences` the best `(code, confidence)`: those equal to nine
+        digits by code.
 
-def _chosen(rows: DataFrame, n: int) -> DataFrame:
-    first = F.get(F.col(f"alternatives{n}"), F.lit(0))
-    return rows.withColumns({"__code": first["code"], "__confidence": first["confidence"]}).drop("parent", "confidence")
+        Rows have the `grams` of a text, null where it has none, and are dealt to `blocks`, each of which meets the level's table once.
+        Heads after the first keep the children of the code above, in `parents`: their probabilities then add up to 1 again, or are all
+        equal if they were 0; a code without children leaves everything as it is, and of equal probabilities the highest code is first.
+        """
+        fed, heads, alpha = self.fed, self.tables.heads, self.tables.alpha
+
+        def scored(_, texts: pa.Table, model: pa.Table) -> pa.Table:
+            found = _Scorer(model, fed, heads, alpha).best(texts, top_k) if len(texts) else []
+            texts = texts.drop_columns("__block")
+            return texts.append_column("alternatives", pa.array(found, ALTERNATIVES))
+
+        dealt = rows.withColumn("__block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+        copies = self.table.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        schema = StructType([*rows.schema.fields, _ALTERNATIVES])
+        return dealt.groupBy("__block").cogroup(copies.groupBy("__block")).applyInArrow(scored, schema)
+
+
+_ALTERNATIVES = StructField("alternatives", ArrayType(ArrayType(StructType([StructField("code", StringType()), StructField("confidence", DoubleType())]))))
+ALTERNATIVES = pa.list_(pa.list_(pa.struct([("code", pa.string()), ("confidence", pa.float64())])))
+
+
+class _Scorer:
+    """A level's counts as arrays: the n-grams' weights class by class, of those classes only that have them."""
+
+    def __init__(self, model: pa.Table, fed: bool, heads: bool, alpha: float):
+        kinds = {kind: model.filter(pc.equal(model["kind"], kind)).combine_chunks() for kind in ("class", "feature", "parent")}
+        classes = kinds["class"].take(pc.sort_indices(pc.list_flatten(kinds["class"]["i"])))
+        self.fed, self.heads = fed, heads
+        self.labels, self.above = classes["name"].to_pylist(), classes["parent"].to_pylist()
+        n = np.asarray(pc.list_flatten(classes["n"]), float)
+        count = len(n)
+        self.prior = np.log(n + alpha) - np.log(n.sum() + alpha * count)
+        self.parents = set(kinds["parent"]["name"].to_pylist()) - {None}
+        self.first = min(self.parents, default=None)
+        features = kinds["feature"]
+        i, n = (np.asarray(pc.list_flatten(features[name])) for name in ("i", "n"))
+        size = (classes["size"][0].as_py() if count else 0) + (len(kinds["parent"]) + BUCKETS if fed else 0)
+        self.unseen = np.log(alpha) - np.log(np.bincount(i, n, count) + alpha * size)
+        self.i, self.w = i, np.log(n + alpha) - np.log(alpha)
+        lengths = np.asarray(pc.list_value_length(features["i"]), np.int64)
+        starts = np.cumsum(lengths) - lengths
+        numbers = features["f"].to_numpy()
+        known = np.flatnonzero(~np.isnan(numbers.astype(float)))
+        place = numbers[known].astype(np.int64)
+        self.starts, self.lengths = (np.zeros(place.max(initial=-1) + 1, np.int64) for _ in range(2))
+        self.starts[place], self.lengths[place] = starts[known], lengths[known]
+        self.extra = {}  # of a code above or a bucket: what it adds to every class
+        for at, name in enumerate(features["name"].to_pylist()):
+            if name[0] != "t":
+                self.extra[name] = np.zeros(count)
+                self.extra[name][i[starts[at]:starts[at] + lengths[at]]] = self.w[starts[at]:starts[at] + lengths[at]]
+
+    def _sums(self, grams: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Summed weights of every class for texts given by their n-grams, some of them at a time."""
+        count = len(self.labels)
+        sums = np.zeros((len(ends) - 1, count))
+        inside = grams < len(self.starts)  # others occur in no class
+        text = np.repeat(np.arange(len(ends) - 1), np.diff(ends))[inside]
+        grams = grams[inside]
+        lengths = self.lengths[grams]
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        low = 0
+        while low < len(grams):
+            high = max(int(np.searchsorted(upto, upto[low] + ENTRIES, "right")) - 1, low + 1)
+            some = lengths[low:high]
+            at = np.repeat(self.starts[grams[low:high]] - upto[low:high] + upto[low], some) + np.arange(upto[high] - upto[low])
+            first, last = text[low], text[high - 1] + 1
+            cells = np.repeat((text[low:high] - first) * count, some) + self.i[at]
+            sums[first:last] += np.bincount(cells, self.w[at], (last - first) * count).reshape(-1, count)
+            low = high
+        return sums
+
+    def best(self, texts: pa.Table, top_k: int) -> list[list[list[dict]]]:
+        """For every row and each of its parents the best classes."""
+        found = []
+        for rows in texts.select(["grams", "parents", "confidences"]).to_batches(max_chunksize=max(1, CELLS // max(1, len(self.labels)))):
+            grams = pc.fill_null(pc.list_value_length(rows.column("grams")), 0)
+            ends = np.concatenate([[0], np.cumsum(np.asarray(grams, np.int64))])
+            base = self.prior + self._sums(np.asarray(pc.list_flatten(rows.column("grams")), np.int64), ends)
+            base += (np.diff(ends)[:, None] + 2 * self.fed) * self.unseen
+            parents, confidences = (rows.column(name).to_pylist() for name in ("parents", "confidences"))
+            ways = np.array([len(one) for one in parents])
+            parent = [code for one in parents for code in one]
+            flat = base[np.repeat(np.arange(len(base)), ways)]
+            if self.fed:
+                nothing = np.zeros(len(self.labels))
+                for row, (code, confidence) in enumerate(zip(parent, (c for one in confidences for c in one))):
+                    code = code if code in self.parents else self.first
+                    bucket = min(max(int(confidence * BUCKETS), 0), BUCKETS - 1)
+                    flat[row] += self.extra.get(f"p{code}", nothing) + self.extra.get(f"b{bucket}", nothing)
+            chosen = self._chosen(flat, parent, top_k)
+            ends = np.concatenate([[0], np.cumsum(ways)])
+            found += [chosen[low:high] for low, high in zip(ends[:-1], ends[1:])]
+        return found
+
+    def _chosen(self, scores: np.ndarray, parent: list[str | None], top_k: int) -> list[list[dict]]:
+        if not len(self.labels):
+            return [[] for _ in parent]
+        p = np.exp(scores - scores.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        if self.heads:
+            above = np.array(self.above, object)
+            masks = {code: above == code for code in set(parent) - {None}}
+            for row, code in enumerate(parent):
+                own = masks.get(code)
+                if own is not None and own.any():
+                    total = p[row, own].sum()
+                    p[row] = np.where(own, p[row] / total if total > 0 else 1 / own.sum(), 0)
+        order = np.round(p, 9)
+        if self.heads:  # of equal ones the last
+            order = order[:, ::-1]
+        rows, picked = np.arange(len(p)), []
+        for _ in range(min(top_k, len(self.labels))):
+            best = order.argmax(axis=1)
+            order[rows, best] = -1
+            picked.append(len(self.labels) - 1 - best if self.heads else best)
+        return [[{"code": self.labels[c], "confidence": float(p[row, c])} for c in some] for row, some in enumerate(np.stack(picked, axis=1).tolist())]
+
+
+def _blocks(df: DataFrame) -> int:
+    """Blocks to deal a table's rows to: enough for all cores, and for a block to fit a task's memory."""
+    count = df.count()
+    return max(math.ceil(count / MOST_ROWS), min(df.sparkSession.sparkContext.defaultParallelism, math.ceil(count / LEAST_ROWS)), 1)
+
+
+def _with_grams(rows: DataFrame, bag: DataFrame) -> DataFrame:
+    return rows.join(bag, "id", "left")
+
+
+def _predicted(model: _Level, rows: DataFrame, blocks: int, top_k: int) -> DataFrame:
+    """Add `alternatives{N}` for the code chosen last, `__code` with `__confidence`, and choose this level's."""
+    fed = rows.withColumns({"parents": F.array("__code"), "confidences": F.array(F.coalesce("__confidence", F.lit(NO_PARENT)))})
+    name = f"alternatives{model.n}"
+    found = model.best(fed, blocks, top_k).withColumn(name, F.get("alternatives", F.lit(0)))
+    first = F.get(F.col(name), F.lit(0))
+    return found.withColumns({"__code": first["code"], "__confidence": first["confidence"]}).drop("alternatives", "parents", "confidences")
 
 
 def _start(df: DataFrame, key: str) -> DataFrame:
     return df.select(F.col(key).alias("id")).withColumns({"__code": F.lit(None).cast("string"), "__confidence": F.lit(None).cast("double")})
 
 
+def _counted(bag: DataFrame, labelled: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """`(label, feature, n)` of the n-grams of labelled ids."""
+    counts = bag.join(labelled, "id").select("label", F.explode("grams").alias("f")).groupBy("label", "f").agg(F.count("*").cast("double").alias("n"))
+    return counts.join(_numbered(vocabulary), "f").select("label", "feature", "n")
+
+
 def fit_levels(df: DataFrame, text: str = "text", key: str = "id", max_level: int = 5, heads: bool = False, num_tokens: int = 39_000,
                min_tokens: int = 1, min_samples: int = 50, min_count: int = 2, fraction: float = 0.2, teacher_forcing: float = 0.7,
                seed: int = 42, alpha: float = 1.0) -> tuple[LevelTables, DataFrame]:
@@ -208,11 +280,12 @@ def fit_levels(df: DataFrame, text: str = "text", key: str = "id", max_level: in
     usable = tuple(n for n in range(1, max_level + 1) if reasons.get(n) == "train")
     if not usable:
         raise ValueError(f"no level could be trained: {reasons}")
-    split = tr.stratified_split(df.select(F.col(key).alias("id"), F.col(text).alias("text"), *columns), f"level{usable[0]}", fraction, seed, "id")
+    split = tr.stratified_split(spread(df.select(F.col(key).alias("id"), F.col(text).alias("text"), *columns)), f"level{usable[0]}", fraction, seed, "id")
     rows = written(split, "rows")
     fitted = rows.where(~F.col("is_validation"))
     vocabulary = written(ngram_vocab(fitted, "text", min_tokens, num_tokens).select(F.concat(F.lit("t"), "ngram").alias("feature")), "vocabulary")
-    bag = written(bags(rows, "text", "id").join(vocabulary, "feature", "left_semi").select("id", "feature"), "bag")
+    bag = written(bags(rows, "text", "id", vocabulary), "bag")
+    blocks = _blocks(rows)
     children = written(children_map(df.select(*columns), range(1, max_level + 1)), "children") if max_level > 1 else df.sparkSession.createDataFrame(
         [], "level int, parent string, child string")
     tables = LevelTables(*[df.sparkSession.createDataFrame([], schema) for schema in (
@@ -225,7 +298,7 @@ def fit_levels(df: DataFrame, text: str = "text", key: str = "id", max_level: in
         frequent = tr.class_sizes(rows, label).where(F.col("n") >= min_count).select(label)
         train = fitted.join(frequent, label, "left_semi").select("id", F.col(label).alias("label"), *[f"level{m}" for m in (n - 1,) if m])
         train = train.join(current.withColumnRenamed("id", "__id"), F.col("id") == F.col("__id")) if n != usable[0] and not heads else train
-        counted = bag.join(train.select("id", "label"), "id").groupBy("label", "feature").agg(F.count("*").cast("double").alias("n"))
+        counted = _counted(bag, train.select("id", "label"), vocabulary)
         parents = None
         if n != usable[0] and not heads:
             parents = written(train.select(F.col(f"level{n - 1}").alias("parent")).distinct(), "parents")
@@ -236,8 +309,7 @@ def fit_levels(df: DataFrame, text: str = "text", key: str = "id", max_level: in
             tables, levels=(*tables.levels, n), counts=tables.counts.union(written(counted, "counts").select(level, "label", "feature", "n")),
             classes=tables.classes.union(written(train.groupBy("label").agg(F.count("*").cast("double").alias("n")), "classes").select(level, "label", "n")),
             parents=tables.parents if parents is None else tables.parents.union(parents.select(level, "parent")))
-        model = _Level(tables, n)
-        current = written(_chosen(model.best(_fed(current), model.sums(bag), 1), n).drop(f"alternatives{n}"), "predicted")
+        current = written(_predicted(_Level(tables, n), _with_grams(current, bag), blocks, 1).drop("grams", f"alternatives{n}"), "predicted")
         known = tables.classes.where(F.col("level") == n).select(F.col("label").alias(label))
         right = rows.where(label + " IS NOT NULL").join(known, label, "left_semi").join(current, "id")
         held = F.col("is_validation")
@@ -270,8 +342,9 @@ def tune_levels(tables: LevelTables, df: DataFrame, levels: Sequence[int] | None
     the predictions that feed a level are made again by the levels above as tuned. Saved and loaded models are tuned alike.
     """
     columns = [f"level{n}" for n in range(1, max(tables.levels) + 1)]
-    rows = written(df.select(F.col(key).alias("id"), F.col(text).alias("text"), *columns), "rows")
-    bag = written(bags(rows, "text", "id", tables.min_n, tables.max_n).join(tables.vocabulary, "feature", "left_semi").select("id", "feature"), "bag")
+    rows = written(spread(df.select(F.col(key).alias("id"), F.col(text).alias("text"), *columns)), "rows")
+    bag = written(bags(rows, "text", "id", tables.vocabulary, tables.min_n, tables.max_n), "bag")
+    blocks = _blocks(rows)
     current = _start(rows, "id")
     chosen = tables.levels if levels is None else tuple(levels)
     for n in tables.levels:
@@ -279,7 +352,7 @@ def tune_levels(tables: LevelTables, df: DataFrame, levels: Sequence[int] | None
             here = F.col("level") == n
             labels = tables.classes.where(here).select("label")
             new = tr.known_labels_only(rows.withColumn("label", F.col(f"level{n}")), "label", labels)
-            fresh = bag.join(new.select("id", "label"), "id").groupBy("label", "feature").agg(F.count("*").cast("double").alias("n"))
+            fresh = _counted(bag, new.select("id", "label"), tables.vocabulary)
             if not tables.heads and n > tables.levels[0]:
                 fed = new.join(current.withColumnRenamed("id", "__id"), F.col("id") == F.col("__id"))
                 extra = _forced(fed, n, tables.parents.where(here).select("parent"), teacher_forcing, seed)
@@ -292,15 +365,14 @@ def tune_levels(tables: LevelTables, df: DataFrame, levels: Sequence[int] | None
 
             tables = replace(tables, counts=added(tables.counts, fresh, "label", "feature"),
                              classes=added(tables.classes, new.groupBy("label").agg(F.count("*").cast("double").alias("n")), "label"))
-        model = _Level(tables, n)
-        current = written(_chosen(model.best(_fed(current), model.sums(bag), 1), n).drop(f"alternatives{n}"), "predicted")
+        current = written(_predicted(_Level(tables, n), _with_grams(current, bag), blocks, 1).drop("grams", f"alternatives{n}"), "predicted")
     return tables
 
 
-def _texts(tables: LevelTables, df: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
-    """Each different text once, as `id`, and its known n-grams; both written, as every level reads them."""
+def _texts(tables: LevelTables, df: DataFrame, text: str) -> DataFrame:
+    """Each different text once, as `id`, with its known n-grams; written, as what follows is dealt by their number."""
     texts = written(df.select(F.coalesce(text, F.lit("")).alias("id")).distinct(), "texts")
-    return texts, written(bags(texts, "id", "id", tables.min_n, tables.max_n).join(tables.vocabulary, "feature", "left_semi").select("id", "feature"), "bag")
+    return written(_with_grams(texts, bags(spread(texts), "id", "id", tables.vocabulary, tables.min_n, tables.max_n)), "bag")
 
 
 def predict_levels(tables: LevelTables, df: DataFrame, text: str = "text", top_k: int = 1, threshold: float | None = None) -> DataFrame:
@@ -308,12 +380,12 @@ def predict_levels(tables: LevelTables, df: DataFrame, text: str = "text", top_k
 
     The code chosen at a level feeds the next one (or masks it). Each different text is scored once; null texts count as empty.
     """
-    texts, bag = _texts(tables, df, text)
-    rows = _start(texts, "id")
+    texts = _texts(tables, df, text)
+    blocks = _blocks(texts)
+    rows = texts.withColumns({"__code": F.lit(None).cast("string"), "__confidence": F.lit(None).cast("double")})
     path = []
     for n in tables.levels:
-        model = _Level(tables, n)
-        rows = _chosen(model.best(_fed(rows), model.sums(bag), top_k), n)
+        rows = _predicted(_Level(tables, n), rows, blocks, top_k)
         path.append(F.struct(F.lit(n).alias("level"), F.get(f"alternatives{n}", F.lit(0))["code"].alias("code"),
                              F.get(f"alternatives{n}", F.lit(0))["confidence"].alias("confidence")))
     decoded = combine_confidence(rows.withColumn("path", F.array(*path).cast(PATH_TYPE)), threshold)
@@ -329,27 +401,31 @@ def predict_beams(tables: LevelTables, df: DataFrame, beam_size: int, text: str
     """`predict_levels` with the best of `beam_size` paths; with `top_k` its best paths give the columns per level.
 
     At each level every path is scored with its own code above and grows by the best codes; the best paths of a text are kept, those
-    equal to nine digits by their codes. A path that skipped the level above is scored with the first code above. The summed weights of a
-    text's n-grams are shared by its paths.
+    equal to nine digits by their codes. A path that skipped the level above is scored with the first code above. The paths stay in the
+    row of their text and share the summed weights of its n-grams.
     """
-    texts, bag = _texts(tables, df, text)
-    rows = texts.select("id", F.lit(0.0).alias("lp"), F.array().cast("array<string>").alias("codes"), F.array().cast(PATH_TYPE).alias("trail"))
+    texts = _texts(tables, df, text)
+    blocks = _blocks(texts)
+    rows = texts.withColumn("beams", F.array(F.struct(
+        F.lit(0.0).alias("order"), F.array().cast("array<string>").alias("codes"), F.lit(0.0).alias("lp"), F.array().cast(PATH_TYPE).alias("trail"))))
     for n in tables.levels:
-        model = _Level(tables, n)
-        last = F.get("trail", F.size("trail") - 1)
-        fed = rows.withColumns({"parent": F.when(last["level"] == n - 1, last["code"]),
-                                "confidence": F.coalesce(F.when(last["level"] == n - 1, last["confidence"]), F.lit(NO_STEP))})
-        grown = model.best(fed, model.sums(bag), beam_size).select("id", "lp", "codes", "trail", F.explode(f"alternatives{n}").alias("step"))
-        step = F.struct(F.lit(n).alias("level"), F.col("step.code").alias("code"), F.col("step.confidence").alias("confidence"))
-        grown = grown.select("id", (F.col("lp") + F.log(F.greatest("step.confidence", F.lit(1e-9)))).alias("lp"),
-                             F.array_append("codes", F.col("step.code")).alias("codes"), F.concat("trail", F.array(step)).cast(PATH_TYPE).alias("trail"))
+        def last(beam: Column) -> Column:
+            step = F.get(beam["trail"], F.size(beam["trail"]) - 1)
+            return F.when(step["level"] == n - 1, step)
+
+        def grown(beam: Column, item: Column) -> Column:
+            lp = beam["lp"] + F.log(F.greatest(item["confidence"], F.lit(1e-9)))
+            step = F.struct(F.lit(n).alias("level"), item["code"].alias("code"), item["confidence"].alias("confidence"))
+            return F.struct(F.round(-lp, 9).alias("order"), F.array_append(beam["codes"], item["code"]).alias("codes"), lp.alias("lp"),
+                            F.concat(beam["trail"], F.array(step)).cast(PATH_TYPE).alias("trail"))
+
+        fed = rows.withColumns({"parents": F.transform("beams", lambda beam: last(beam)["code"]),
+                                "confidences": F.transform("beams", lambda beam: F.coalesce(last(beam)["confidence"], F.lit(NO_STEP)))})
         # beam_size * beam_size paths of a text at most
-        order = tr.W.partitionBy("id").orderBy(F.round(-F.col("lp"), 9), "codes")
-        rows = grown.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= beam_size)
-        rows = rows if n == tables.levels[-1] else rows.drop("rank")
-    beams = rows.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("rank", "lp", "trail"))).alias("beams"))
+        paths = F.flatten(F.zip_with("beams", "alternatives", lambda beam, items: F.transform(items, lambda item: grown(beam, item))))
+        rows = _Level(tables, n).best(fed, blocks, beam_size).withColumn("beams", F.slice(F.sort_array(paths), 1, beam_size)).select("id", "grams", "beams")
     best = F.get("beams", F.lit(0))
-    last = F.get(best["trail"], F.size(best["trail"]) - 1)
+    last_step = F.get(best["trail"], F.size(best["trail"]) - 1)
     wide = []
     for n in tables.levels:
         for rank in range(1, top_k + 1):
@@ -357,9 +433,9 @@ def predict_beams(tables: LevelTables, df: DataFrame, beam_size: int, text: str
             suffix = "" if rank == 1 else f"_top{rank}"
             wide += [F.coalesce(step["code"], F.lit("")).alias(f"predicted_level{n}{suffix}"),
                      F.coalesce(step["confidence"], F.lit(0.0)).alias(f"confidence_level{n}{suffix}")]
-    found = beams.select(F.col("id").alias("__text"), last["code"].alias("predicted_code"),
-                         F.concat(F.lit("level"), last["level"].cast("string")).alias("final_level"), last["confidence"].alias("confidence"),
-                         F.exp(best["lp"]).alias("combined_confidence"), *wide)
+    found = rows.select(F.col("id").alias("__text"), last_step["code"].alias("predicted_code"),
+                        F.concat(F.lit("level"), last_step["level"].cast("string")).alias("final_level"), last_step["confidence"].alias("confidence"),
+                        F.exp(best["lp"]).alias("combined_confidence"), *wide)
     clash = [name for name in found.columns if name in df.columns]
     return df.drop(*clash).join(found, F.coalesce(F.col(text), F.lit("")) == F.col("__text")).drop("__text")
 
