@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
 from ramure.functions.codes import children_map
-from ramure.functions.ngrams import char_ngrams, ngram_vocab
+from ramure.functions.ngrams import char_ngrams, ngram_vocab, words
 from ramure.functions.text import DEFAULT_STOPWORDS, preprocess_text
 from ramure.operators import training as tr
 from ramure.operators.decode import PATH_TYPE, bucket_confidence, combine_confidence, seeded_fraction
@@ -36,7 +36,7 @@ MOST_ROWS, LEAST_ROWS, ENTRIES, CELLS = 50_000, 1_000, 1_000_000, 500_000
 
 @dataclass(frozen=True)
 class LevelTables:
-    """`counts(level, label, feature, n)`, `classes(level, label, n)`, `vocabulary(feature)`, `parents(level, parent)` and, for
+    """`counts(level, label, feature, n)`, `classes(level, label, n)`, `vocabulary(feature, f)` with numbers, `parents(level, parent)` and, for
     heads that share their features, `children(level, parent, child)`.
 
     Features are `t` and an n-gram, `p` and a code above, `b` and a bucket. `heads` don't look at the level above while scoring; what
@@ -75,41 +75,45 @@ class LevelTables:
 
 
 def _numbered(vocabulary: DataFrame) -> DataFrame:
-    """`(feature, f)`: n-grams of a vocabulary, numbered in their order; the vocabulary's bound is that of the numbering."""
+    """`(feature, f)`: n-grams of a vocabulary with their numbers; where it has none, in their order, bounded as the vocabulary is."""
+    if "f" in vocabulary.columns:
+        return vocabulary.select("feature", "f")
     return tr.label_index(vocabulary, "feature").select(F.col("label").alias("feature"), F.col("index").alias("f"))
 
 
 def bags(df: DataFrame, text: str, key: str, vocabulary: DataFrame, min_n: int = 3, max_n: int = 6) -> DataFrame:
-    """`(id, grams)`: numbers of the known n-grams of each id's text, as often as they occur; ids without any and null ones have no row."""
-    grams = char_ngrams(F.coalesce(F.col(text), F.lit("")), min_n, max_n)
-    long = df.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.explode(grams).alias("gram"))
-    long = long.select("id", F.concat(F.lit("t"), "gram").alias("feature"))
-    return long.join(_numbered(vocabulary), "feature").groupBy("id").agg(F.sort_array(F.collect_list("f")).alias("grams"))
+    """`(id, grams)`: numbers of the known n-grams of each id's text, as often as they occur; ids without any and null ones have no row.
+
+    Each different word is cut and looked up once.
+    """
+    long = df.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.explode(words(F.coalesce(F.col(text), F.lit("")))).alias("word"))
+    cut = long.select("word").distinct().select("word", F.explode(char_ngrams("word", min_n, max_n)).alias("gram"))
+    known = (cut.select("word", F.concat(F.lit("t"), "gram").alias("feature")).join(_numbered(vocabulary), "feature")
+             .groupBy("word").agg(F.collect_list("f").alias("found")))
+    return long.join(known, "word").groupBy("id").agg(F.sort_array(F.flatten(F.collect_list("found"))).alias("grams"))
 
 
 class _Level:
-    """What scoring one level needs, as a table of one row per class, feature and parent of the level."""
+    """What scoring one level needs, as a table: a row for each class and parent, for the counts of each label, and for the vocabulary."""
 
     def __init__(self, tables: LevelTables, n: int):
         self.n, self.tables = n, tables
         self.fed = not tables.heads and n > tables.levels[0]
         here = F.col("level") == n
-        classes = tables.classes.where(here)
-        index = tr.label_index(classes, "label").select("label", F.col("index").alias("i"))
-        above = tables.children.where(here).select(F.col("child").alias("label"), "parent")
-        size = tables.vocabulary.agg(F.count("*").alias("v")).scalar()
-        none = {"f": "int", "i": "array<int>", "n": "array<double>", "parent": "string", "size": "long"}
-
-        def part(df: DataFrame, kind: str, **columns: Column) -> DataFrame:
-            return df.select(F.lit(kind).alias("kind"), *[columns.get(name, F.lit(None)).cast(type_).alias(name) for name, type_ in {"name": "string", **none}.items()])
-
-        entries = tables.counts.where(here).join(index, "label").groupBy("feature").agg(F.collect_list(F.struct("i", "n")).alias("e"))
-        features = entries.join(_numbered(tables.vocabulary), "feature", "left")
-        self.table = part(classes.join(index, "label").join(above, "label", "left"), "class", name=F.col("label"), i=F.array("i"), n=F.array("n"),
-                          parent=F.col("parent"), size=size)
-        self.table = self.table.union(part(features, "feature", name=F.col("feature"), f=F.col("f"), i=F.col("e.i"), n=F.col("e.n")))
+        columns = {"name": "string", "parent": "string", "n": "double", "features": "array<struct<feature:string,n:double>>"}
+
+        def part(df: DataFrame, kind: str, **values: Column | str) -> DataFrame:
+            given = {name: F.col(value) if isinstance(value, str) else value for name, value in values.items()}
+            return df.select(F.lit(kind).alias("kind"), *[given.get(name, F.lit(None)).cast(type_).alias(name) for name, type_ in columns.items()])
+
+        counts = tables.counts.where(here).groupBy("label").agg(F.collect_list(F.struct("feature", "n")).alias("features"))
+        numbers = _numbered(tables.vocabulary).agg(F.collect_list(F.struct("feature", F.col("f").cast("double").alias("n"))).alias("features"))
+        self.table = part(tables.classes.where(here), "class", name="label", n="n").union(part(counts, "count", name="label", features="features"))
+        self.table = self.table.union(part(numbers, "number", features="features"))
+        if tables.heads:
+            self.table = self.table.union(part(tables.children.where(here), "child", name="child", parent="parent"))
         if self.fed:
-            self.table = self.table.union(part(tables.parents.where(here), "parent", name=F.col("parent")))
+            self.table = self.table.union(part(tables.parents.where(here), "parent", name="parent"))
 
     def best(self, rows: DataFrame, blocks: int, top_k: int) -> DataFrame:
         """Add `alternatives`, for each of the row's `parents` with its `confidences` the best `(code, confidence)`: those equal to nine
@@ -124,10 +128,11 @@ class _Level:
         def scored(_, texts: pa.Table, model: pa.Table) -> pa.Table:
             found = _Scorer(model, fed, heads, alpha).best(texts, top_k) if len(texts) else []
             texts = texts.drop_columns("__block")
-            return texts.append_column("alternatives", pa.array(found, ALTERNATIVES))
+            return texts.append_column("alternatives", pa.chunked_array(found, ALTERNATIVES))
 
-        dealt = rows.withColumn("__block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-        copies = self.table.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        # a number of partitions that is given isn't made smaller, however few bytes the blocks have
+        dealt = rows.withColumn("__block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).repartition(blocks, "__block")
+        copies = self.table.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).repartition(blocks, "__block")
         schema = StructType([*rows.schema.fields, _ALTERNATIVES])
         return dealt.groupBy("__block").cogroup(copies.groupBy("__block")).applyInArrow(scored, schema)
 
@@ -140,32 +145,44 @@ class _Scorer:
     """A level's counts as arrays: the n-grams' weights class by class, of those classes only that have them."""
 
     def __init__(self, model: pa.Table, fed: bool, heads: bool, alpha: float):
-        kinds = {kind: model.filter(pc.equal(model["kind"], kind)).combine_chunks() for kind in ("class", "feature", "parent")}
-        classes = kinds["class"].take(pc.sort_indices(pc.list_flatten(kinds["class"]["i"])))
+        kinds = {kind: model.filter(pc.equal(model["kind"], kind)) for kind in ("class", "count", "number", "child", "parent")}
+        classes = kinds["class"].sort_by("name")
         self.fed, self.heads = fed, heads
-        self.labels, self.above = classes["name"].to_pylist(), classes["parent"].to_pylist()
-        n = np.asarray(pc.list_flatten(classes["n"]), float)
-        count = len(n)
+        self.labels = classes["name"].combine_chunks()
+        count = len(self.labels)
+        n = np.asarray(classes["n"], float)
         self.prior = np.log(n + alpha) - np.log(n.sum() + alpha * count)
-        self.parents = set(kinds["parent"]["name"].to_pylist()) - {None}
-        self.first = min(self.parents, default=None)
-        features = kinds["feature"]
-        i, n = (np.asarray(pc.list_flatten(features[name])) for name in ("i", "n"))
-        size = (classes["size"][0].as_py() if count else 0) + (len(kinds["parent"]) + BUCKETS if fed else 0)
+        above = dict(zip(kinds["child"]["name"].to_pylist(), kinds["child"]["parent"].to_pylist()))
+        self.above = np.array([above.get(label) for label in self.labels.to_pylist()], object)
+        numbered = pc.list_flatten(kinds["number"]["features"]).combine_chunks()
+        numbers = np.asarray(numbered.field("n")).astype(np.int64)
+        counted = kinds["count"].filter(pc.is_in(kinds["count"]["name"], self.labels))
+        entries = pc.list_flatten(counted["features"]).combine_chunks()
+        lengths = np.asarray(pc.list_value_length(counted["features"]), np.int64)
+        i = np.repeat(np.asarray(pc.index_in(counted["name"], self.labels), np.int64), lengths)
+        n, names = np.asarray(entries.field("n"), float), entries.field("feature")
+        size = len(numbers) + (len(kinds["parent"]) + BUCKETS if fed else 0)
         self.unseen = np.log(alpha) - np.log(np.bincount(i, n, count) + alpha * size)
-        self.i, self.w = i, np.log(n + alpha) - np.log(alpha)
-        lengths = np.asarray(pc.list_value_length(features["i"]), np.int64)
-        starts = np.cumsum(lengths) - lengths
-        numbers = features["f"].to_numpy()
-        known = np.flatnonzero(~np.isnan(numbers.astype(float)))
-        place = numbers[known].astype(np.int64)
-        self.starts, self.lengths = (np.zeros(place.max(initial=-1) + 1, np.int64) for _ in range(2))
-        self.starts[place], self.lengths[place] = starts[known], lengths[known]
-        self.extra = {}  # of a code above or a bucket: what it adds to every class
-        for at, name in enumerate(features["name"].to_pylist()):
-            if name[0] != "t":
-                self.extra[name] = np.zeros(count)
-                self.extra[name][i[starts[at]:starts[at] + lengths[at]]] = self.w[starts[at]:starts[at] + lengths[at]]
+        weights = np.log(n + alpha) - np.log(alpha)
+        place = np.asarray(pc.fill_null(pc.index_in(names, numbered.field("feature")), -1))
+        known = np.flatnonzero(place >= 0)
+        place = numbers[place[known]]
+        order = np.argsort(place, kind="stable")
+        self.i, self.w = i[known[order]], weights[known[order]]
+        self.lengths = np.bincount(place, minlength=numbers.max(initial=-1) + 1)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        # what a code above or a bucket adds to every class
+        self.parents = pc.unique(kinds["parent"]["name"].drop_null()).sort()
+        others = np.flatnonzero(np.asarray(pc.is_null(pc.index_in(names, numbered.field("feature")))))
+        self.codes, self.buckets = (self._added(names.take(pa.array(others)), i[others], weights[others], some) for some in (
+            [f"p{code}" for code in self.parents.to_pylist()] or [None], [f"b{bucket}" for bucket in range(BUCKETS)]))
+
+    def _added(self, names: pa.Array, i: np.ndarray, weights: np.ndarray, features: list[str | None]) -> np.ndarray:
+        """What each of some features adds to every class."""
+        found = np.zeros((len(features), len(self.labels)))
+        row = np.asarray(pc.fill_null(pc.index_in(names, pa.array(features, pa.string())), -1))
+        found[row[row >= 0], i[row >= 0]] = weights[row >= 0]
+        return found
 
     def _sums(self, grams: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Summed weights of every class for texts given by their n-grams, some of them at a time."""
@@ -187,51 +204,51 @@ class _Scorer:
             low = high
         return sums
 
-    def best(self, texts: pa.Table, top_k: int) -> list[list[list[dict]]]:
-        """For every row and each of its parents the best classes."""
+    def best(self, texts: pa.Table, top_k: int) -> list[pa.Array]:
+        """For every row and each of its parents the best classes, some rows at a time."""
         found = []
         for rows in texts.select(["grams", "parents", "confidences"]).to_batches(max_chunksize=max(1, CELLS // max(1, len(self.labels)))):
             grams = pc.fill_null(pc.list_value_length(rows.column("grams")), 0)
             ends = np.concatenate([[0], np.cumsum(np.asarray(grams, np.int64))])
             base = self.prior + self._sums(np.asarray(pc.list_flatten(rows.column("grams")), np.int64), ends)
             base += (np.diff(ends)[:, None] + 2 * self.fed) * self.unseen
-            parents, confidences = (rows.column(name).to_pylist() for name in ("parents", "confidences"))
-            ways = np.array([len(one) for one in parents])
-            parent = [code for one in parents for code in one]
+            ways = np.asarray(pc.list_value_length(rows.column("parents")), np.int64)
+            parent, confidence = (pc.list_flatten(rows.column(name)) for name in ("parents", "confidences"))
             flat = base[np.repeat(np.arange(len(base)), ways)]
             if self.fed:
-                nothing = np.zeros(len(self.labels))
-                for row, (code, confidence) in enumerate(zip(parent, (c for one in confidences for c in one))):
-                    code = code if code in self.parents else self.first
-                    bucket = min(max(int(confidence * BUCKETS), 0), BUCKETS - 1)
-                    flat[row] += self.extra.get(f"p{code}", nothing) + self.extra.get(f"b{bucket}", nothing)
-            chosen = self._chosen(flat, parent, top_k)
-            ends = np.concatenate([[0], np.cumsum(ways)])
-            found += [chosen[low:high] for low, high in zip(ends[:-1], ends[1:])]
+                code = np.asarray(pc.fill_null(pc.index_in(parent, self.parents), 0))  # the first for one not seen
+                bucket = np.clip((np.asarray(confidence, float) * BUCKETS).astype(np.int64), 0, BUCKETS - 1)
+                flat += self.codes[code] + self.buckets[bucket]
+            ends = np.concatenate([[0], np.cumsum(ways)]).astype(np.int32)
+            found.append(pa.ListArray.from_arrays(pa.array(ends), self._chosen(flat, parent, top_k)))
         return found
 
-    def _chosen(self, scores: np.ndarray, parent: list[str | None], top_k: int) -> list[list[dict]]:
-        if not len(self.labels):
-            return [[] for _ in parent]
+    def _chosen(self, scores: np.ndarray, parent: pa.Array, top_k: int) -> pa.Array:
+        top = min(top_k, len(self.labels))
+        if not top:
+            return pa.array([[] for _ in range(len(scores))], ALTERNATIVES.value_type)
         p = np.exp(scores - scores.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         if self.heads:
-            above = np.array(self.above, object)
-            masks = {code: above == code for code in set(parent) - {None}}
-            for row, code in enumerate(parent):
-                own = masks.get(code)
-                if own is not None and own.any():
-                    total = p[row, own].sum()
-                    p[row] = np.where(own, p[row] / total if total > 0 else 1 / own.sum(), 0)
+            for code in pc.unique(parent.drop_null()).to_pylist():
+                own = np.flatnonzero(self.above == code)
+                if len(own):
+                    rows = np.flatnonzero(np.asarray(pc.fill_null(pc.equal(parent, code), False)))
+                    total = p[np.ix_(rows, own)].sum(axis=1, keepdims=True)
+                    kept = np.where(total > 0, p[np.ix_(rows, own)] / np.where(total > 0, total, 1), 1 / len(own))
+                    p[rows] = 0
+                    p[np.ix_(rows, own)] = kept
         order = np.round(p, 9)
         if self.heads:  # of equal ones the last
             order = order[:, ::-1]
         rows, picked = np.arange(len(p)), []
-        for _ in range(min(top_k, len(self.labels))):
+        for _ in range(top):
             best = order.argmax(axis=1)
             order[rows, best] = -1
             picked.append(len(self.labels) - 1 - best if self.heads else best)
-        return [[{"code": self.labels[c], "confidence": float(p[row, c])} for c in some] for row, some in enumerate(np.stack(picked, axis=1).tolist())]
+        classes = np.stack(picked, axis=1)
+        pairs = pa.StructArray.from_arrays([self.labels.take(pa.array(classes.ravel())), pa.array(p[rows[:, None], classes].ravel())], ["code", "confidence"])
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, len(pairs) + 1, top, np.int32)), pairs)
 
 
 def _blocks(df: DataFrame) -> int:
@@ -244,6 +261,26 @@ def _with_grams(rows: DataFrame, bag: DataFrame) -> DataFrame:
     return rows.join(bag, "id", "left")
 
 
+def _prepared(rows: DataFrame, vocabulary: DataFrame, min_n: int = 3, max_n: int = 6) -> DataFrame:
+    """Rows with their `grams` and how many rows have their id, `copies`, written; what a level chose is carried along from here."""
+    repeated = rows.where("id IS NOT NULL").groupBy("id").agg(F.count("*").alias("copies")).where("copies > 1")
+    known = _with_grams(rows.drop("text"), bags(rows, "text", "id", vocabulary, min_n, max_n)).join(repeated, "id", "left")
+    none = {"__code": F.lit(None).cast("string"), "__confidence": F.lit(None).cast("double")}
+    return written(known.withColumns({"copies": F.coalesce("copies", F.lit(1).cast("long")), **none}), "rows-with-grams")
+
+
+def _per_level(rows: DataFrame, levels: Sequence[int], weights: dict[int, Column], *also: str) -> DataFrame:
+    """`(level, label, parent, n, *also)`: the sum of a level's weights over rows, by the codes of all levels first."""
+    codes = [name for name in rows.columns if name.startswith("level")]
+    different = {str(weight): weight for weight in weights.values()}
+    named = {text: f"__weight{at}" for at, text in enumerate(different)}
+    cells = rows.groupBy(*codes, *also).agg(*[F.sum(weight).alias(named[text]) for text, weight in different.items()])
+    labels = [F.struct(F.lit(n).alias("level"), F.col(f"level{n}").alias("label"),
+                       (F.col(f"level{n - 1}") if f"level{n - 1}" in codes else F.lit(None).cast("string")).alias("parent"),
+                       F.col(named[str(weights[n])]).cast("double").alias("n")) for n in levels]
+    return cells.select(F.inline(F.array(*labels)), *also).where("label IS NOT NULL AND n > 0")
+
+
 def _predicted(model: _Level, rows: DataFrame, blocks: int, top_k: int) -> DataFrame:
     """Add `alternatives{N}` for the code chosen last, `__code` with `__confidence`, and choose this level's."""
     fed = rows.withColumns({"parents": F.array("__code"), "confidences": F.array(F.coalesce("__confidence", F.lit(NO_PARENT)))})
@@ -253,16 +290,6 @@ def _predicted(model: _Level, rows: DataFrame, blocks: int, top_k: int) -> DataF
     return found.withColumns({"__code": first["code"], "__confidence": first["confidence"]}).drop("alternatives", "parents", "confidences")
 
 
-def _start(df: DataFrame, key: str) -> DataFrame:
-    return df.select(F.col(key).alias("id")).withColumns({"__code": F.lit(None).cast("string"), "__confidence": F.lit(None).cast("double")})
-
-
-def _counted(bag: DataFrame, labelled: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """`(label, feature, n)` of the n-grams of labelled ids."""
-    counts = bag.join(labelled, "id").select("label", F.explode("grams").alias("f")).groupBy("label", "f").agg(F.count("*").cast("double").alias("n"))
-    return counts.join(_numbered(vocabulary), "f").select("label", "feature", "n")
-
-
 def fit_levels(df: DataFrame, text: str = "text", key: str = "id", max_level: int = 5, heads: bool = False, num_tokens: int = 39_000,
                min_tokens: int = 1, min_samples: int = 50, min_count: int = 2, fraction: float = 0.2, teacher_forcing: float = 0.7,
                seed: int = 42, alpha: float = 1.0) -> tuple[LevelTables, DataFrame]:
@@ -276,62 +303,73 @@ def fit_levels(df: DataFrame, text: str = "text", key: str = "id", max_level: in
     level knows.
     """
     columns = [f"level{n}" for n in range(1, max_level + 1)]
-    reasons = {row["level"]: row["status"] for row in tr.usable_levels(df, min_samples, 2, min_count, range(1, max_level + 1)).collect()}
+    source = written(spread(df.select(F.col(key).alias("id"), F.col(text).alias("text"), *columns)), "source")
+    reasons = {row["level"]: row["status"] for row in tr.usable_levels(source, min_samples, 2, min_count, range(1, max_level + 1)).collect()}
     usable = tuple(n for n in range(1, max_level + 1) if reasons.get(n) == "train")
     if not usable:
         raise ValueError(f"no level could be trained: {reasons}")
-    split = tr.stratified_split(spread(df.select(F.col(key).alias("id"), F.col(text).alias("text"), *columns)), f"level{usable[0]}", fraction, seed, "id")
-    rows = written(split, "rows")
-    fitted = rows.where(~F.col("is_validation"))
-    vocabulary = written(ngram_vocab(fitted, "text", min_tokens, num_tokens).select(F.concat(F.lit("t"), "ngram").alias("feature")), "vocabulary")
-    bag = written(bags(rows, "text", "id", vocabulary), "bag")
-    blocks = _blocks(rows)
-    children = written(children_map(df.select(*columns), range(1, max_level + 1)), "children") if max_level > 1 else df.sparkSession.createDataFrame(
-        [], "level int, parent string, child string")
-    tables = LevelTables(*[df.sparkSession.createDataFrame([], schema) for schema in (
-        "level int, label string, feature string, n double", "level int, label string, n double")], vocabulary,
-        df.sparkSession.createDataFrame([], "level int, parent string"), children, (), heads, alpha)
-    current = _start(rows, "id")
-    report: list[DataFrame] = []
+    spark = df.sparkSession
+    rows = written(tr.stratified_split(source, f"level{usable[0]}", fraction, seed, "id"), "rows")
+    found = ngram_vocab(rows.where(~F.col("is_validation")), "text", min_tokens, num_tokens)
+    vocabulary = written(found.select(F.concat(F.lit("t"), "ngram").alias("feature"), F.col("id").alias("f")), "vocabulary")
+    current = _prepared(rows, vocabulary)
+    blocks = _blocks(current)
+    children = written(children_map(source.select(*columns), range(1, max_level + 1)), "children") if max_level > 1 else _nothing(
+        spark, "level int, parent string, child string")
+    # what doesn't depend on predictions is counted for all levels at once; levels that are fed count rows by what their id was given
+    fed = () if heads else usable[1:]
+    weights = {n: F.when(F.col("id").isNotNull(), F.col("copies")) if n in fed else F.lit(1) for n in usable}
+    sizes = _per_level(current, usable, {n: F.lit(1) for n in usable}).groupBy("level", "label").agg(F.sum("n").alias("n"))
+    frequent = written(sizes.where(F.col("n") >= min_count).select("level", "label"), "frequent")
+    train = current.where(~F.col("is_validation"))
+    paths = written(_per_level(train, usable, weights).join(frequent, ["level", "label"], "left_semi"), "paths")
+    classes = written(paths.groupBy("level", "label").agg(F.sum("n").alias("n")), "classes")
+    parents = paths.where(F.col("level").isin(*fed)).select("level", "parent").distinct() if fed else _nothing(spark, "level int, parent string")
+    counted = _per_level(train.withColumn("f", F.explode("grams")), usable, weights, "f").join(frequent, ["level", "label"], "left_semi")
+    counted = counted.groupBy("level", "label", "f").agg(F.sum("n").alias("n")).join(vocabulary, "f").select("level", "label", "feature", "n")
+    tables = LevelTables(written(counted, "counts"), classes, vocabulary, written(parents, "parents"), children, usable, heads, alpha)
     for n in usable:
-        label = f"level{n}"
-        frequent = tr.class_sizes(rows, label).where(F.col("n") >= min_count).select(label)
-        train = fitted.join(frequent, label, "left_semi").select("id", F.col(label).alias("label"), *[f"level{m}" for m in (n - 1,) if m])
-        train = train.join(current.withColumnRenamed("id", "__id"), F.col("id") == F.col("__id")) if n != usable[0] and not heads else train
-        counted = _counted(bag, train.select("id", "label"), vocabulary)
-        parents = None
-        if n != usable[0] and not heads:
-            parents = written(train.select(F.col(f"level{n - 1}").alias("parent")).distinct(), "parents")
-            used = _forced(train, n, parents, teacher_forcing, seed)
-            counted = counted.union(used.groupBy("label", "feature").agg(F.count("*").cast("double").alias("n")))
-        level = F.lit(n).alias("level")
-        tables = replace(
-            tables, levels=(*tables.levels, n), counts=tables.counts.union(written(counted, "counts").select(level, "label", "feature", "n")),
-            classes=tables.classes.union(written(train.groupBy("label").agg(F.count("*").cast("double").alias("n")), "classes").select(level, "label", "n")),
-            parents=tables.parents if parents is None else tables.parents.union(parents.select(level, "parent")))
-        current = written(_predicted(_Level(tables, n), _with_grams(current, bag), blocks, 1).drop("grams", f"alternatives{n}"), "predicted")
-        known = tables.classes.where(F.col("level") == n).select(F.col("label").alias(label))
-        right = rows.where(label + " IS NOT NULL").join(known, label, "left_semi").join(current, "id")
-        held = F.col("is_validation")
-        report.append(right.agg(F.count_if(~held).alias("n_train"), F.count_if(held).alias("n_validation"),
-                                F.count_if(held & (F.col("__code") == F.col(label))).alias("n_right"))
-                      .select(level, known.agg(F.count("*").alias("c")).scalar().alias("n_classes"), "n_train", "n_validation", "n_right",
-                              F.try_divide(F.col("n_right").cast("double"), F.col("n_validation")).alias("accuracy")))
-    found = report[0]
-    for more in report[1:]:
-        found = found.union(more)
-    return tables, written(found, "report")
+        if n in fed:
+            known = frequent.where(F.col("level") == n).select(F.col("label").alias(f"level{n}"))
+            used = _forced(train.where("id IS NOT NULL").join(known, f"level{n}", "left_semi").withColumn("label", F.col(f"level{n}")), n,
+                           tables.parents.where(F.col("level") == n).select("parent"), teacher_forcing, seed)
+            tables = replace(tables, counts=tables.counts.union(written(used.select(F.lit(n).alias("level"), "label", "feature", "n"), "counts")))
+        current = _predicted(_Level(tables, n), current, blocks, 1).drop(f"alternatives{n}").withColumn(f"__code{n}", F.col("__code"))
+        current = written(current, "predicted")
+        train = current.where(~F.col("is_validation"))
+    return tables, written(_report(current, classes, usable), "report")
+
+
+def _nothing(spark: SparkSession, schema: str) -> DataFrame:
+    """A table without rows that the optimizer knows to have none."""
+    return spark.range(0).select(*[F.lit(None).cast(type_).alias(name) for name, type_ in (column.split() for column in schema.split(", "))])
+
+
+def _report(rows: DataFrame, classes: DataFrame, levels: Sequence[int]) -> DataFrame:
+    """What `fit_levels` reports, of rows with the code chosen at each level; rows without an id are not counted."""
+    judged = [F.struct(F.lit(n).alias("level"), F.col(f"level{n}").alias("label"), F.coalesce(F.col(f"__code{n}") == F.col(f"level{n}"), F.lit(False)).alias("right"))
+              for n in levels]
+    cells = (rows.where("id IS NOT NULL").select("is_validation", "copies", F.inline(F.array(*judged))).where("label IS NOT NULL")
+             .groupBy("level", "label", "is_validation", "right").agg(F.sum("copies").alias("n")))
+    held = F.col("is_validation")
+    counts = cells.join(classes.select("level", "label"), ["level", "label"], "left_semi").groupBy("level").agg(
+        F.sum(F.when(~held, F.col("n"))).alias("n_train"), F.sum(F.when(held, F.col("n"))).alias("n_validation"),
+        F.sum(F.when(held & F.col("right"), F.col("n"))).alias("n_right"))
+    found = (rows.sparkSession.range(1).select(F.explode(F.array(*[F.lit(n) for n in levels])).alias("level"))
+             .join(classes.groupBy("level").agg(F.count("*").alias("n_classes")), "level", "left").join(counts, "level", "left").na.fill(0))
+    return found.select("level", "n_classes", "n_train", "n_validation", "n_right", F.try_divide(F.col("n_right").cast("double"), F.col("n_validation")).alias("accuracy"))
 
 
 def _forced(train: DataFrame, n: int, parents: DataFrame, teacher_forcing: float, seed: int) -> DataFrame:
-    """`(label, feature)` of the code above and the bucket of its confidence, for rows with their predicted code."""
+    """`(label, feature, n)` of the code above and the bucket of its confidence, for rows with their predicted code, `copies` times each."""
     drawn = seeded_fraction(seed, F.lit(n), F.col("id")) < (1 - teacher_forcing)
     used = F.when(drawn & F.col("__code").isNotNull(), F.col("__code")).otherwise(F.col(f"level{n - 1}"))
     bucket = bucket_confidence(F.coalesce("__confidence", F.lit(NO_PREDICTION)), BUCKETS).cast("string")
-    with_parent = train.select("label", used.alias("used"), bucket.alias("bucket")).join(
-        parents.select(F.col("parent").alias("used"), F.col("parent").alias("known")), "used", "left")
+    cells = train.groupBy("label", used.alias("used"), bucket.alias("bucket")).agg(F.sum("copies").alias("n"))
+    with_parent = cells.join(parents.select(F.col("parent").alias("used"), F.col("parent").alias("known")), "used", "left")
     first = parents.agg(F.min("parent").alias("p")).scalar()
-    return with_parent.select("label", F.explode(F.array(F.concat(F.lit("p"), F.coalesce("known", first)), F.concat(F.lit("b"), "bucket"))).alias("feature"))
+    features = F.array(F.concat(F.lit("p"), F.coalesce("known", first)), F.concat(F.lit("b"), "bucket"))
+    return with_parent.select("label", "n", F.explode(features).alias("feature")).groupBy("label", "feature").agg(F.sum("n").cast("double").alias("n"))
 
 
 def tune_levels(tables: LevelTables, df: DataFrame, levels: Sequence[int] | None = None, weight: float = 1.0, text: str = "text",
@@ -343,29 +381,32 @@ def tune_levels(tables: LevelTables, df: DataFrame, levels: Sequence[int] | None
     """
     columns = [f"level{n}" for n in range(1, max(tables.levels) + 1)]
     rows = written(spread(df.select(F.col(key).alias("id"), F.col(text).alias("text"), *columns)), "rows")
-    bag = written(bags(rows, "text", "id", tables.vocabulary, tables.min_n, tables.max_n), "bag")
-    blocks = _blocks(rows)
-    current = _start(rows, "id")
-    chosen = tables.levels if levels is None else tuple(levels)
+    current = _prepared(rows, tables.vocabulary, tables.min_n, tables.max_n)
+    blocks = _blocks(current)
+    chosen = tables.levels if levels is None else tuple(n for n in tables.levels if n in levels)
+    here = F.col("level").isin(*chosen)
+    once = {n: F.lit(1) for n in chosen}
+    added = _per_level(current, chosen, once).select("level", "label", "n")
+    labels = tables.classes.select("level", "label")
+    fresh = _per_level(current.withColumn("f", F.explode("grams")), chosen, once, "f").join(labels, ["level", "label"], "left_semi")
+    fresh = written(fresh.groupBy("level", "label", "f").agg(F.sum("n").alias("n")).join(_numbered(tables.vocabulary), "f")
+                    .select("level", "label", "feature", "n"), "fresh")
+    more = added.join(labels, ["level", "label"], "left_semi").select("level", "label", F.col("n") * weight)
+    classes = written(tables.classes.where(here).union(more).groupBy("level", "label").agg(F.sum("n").alias("n")), "tuned")
+    tables = replace(tables, classes=tables.classes.where(~here).union(classes))
     for n in tables.levels:
+        at = F.col("level") == n
         if n in chosen:
-            here = F.col("level") == n
-            labels = tables.classes.where(here).select("label")
-            new = tr.known_labels_only(rows.withColumn("label", F.col(f"level{n}")), "label", labels)
-            fresh = _counted(bag, new.select("id", "label"), tables.vocabulary)
+            new = fresh.where(at).select("label", "feature", "n")
             if not tables.heads and n > tables.levels[0]:
-                fed = new.join(current.withColumnRenamed("id", "__id"), F.col("id") == F.col("__id"))
-                extra = _forced(fed, n, tables.parents.where(here).select("parent"), teacher_forcing, seed)
-                fresh = fresh.union(extra.groupBy("label", "feature").agg(F.count("*").cast("double").alias("n")))
-
-            def added(old: DataFrame, more: DataFrame, *keys: str) -> DataFrame:
-                both = old.where(here).select(*keys, "n").union(more.select(*keys, F.col("n") * weight))
-                summed = written(both.groupBy(*keys).agg(F.sum("n").alias("n")), "tuned")
-                return old.where(~here).union(summed.select(F.lit(n).alias("level"), *keys, "n"))
-
-            tables = replace(tables, counts=added(tables.counts, fresh, "label", "feature"),
-                             classes=added(tables.classes, new.groupBy("label").agg(F.count("*").cast("double").alias("n")), "label"))
-        current = written(_predicted(_Level(tables, n), _with_grams(current, bag), blocks, 1).drop("grams", f"alternatives{n}"), "predicted")
+                fed = tr.known_labels_only(current.where("id IS NOT NULL").withColumn("label", F.col(f"level{n}")), "label", labels.where(at).select("label"))
+                new = new.union(_forced(fed, n, tables.parents.where(at).select("parent"), teacher_forcing, seed).select("label", "feature", "n"))
+            both = tables.counts.where(at).select("label", "feature", "n").union(new.withColumn("n", F.col("n") * weight))
+            summed = written(both.groupBy("label", "feature").agg(F.sum("n").alias("n")), "tuned")
+            tables = replace(tables, counts=tables.counts.where(~at).union(summed.select(F.lit(n).alias("level"), "label", "feature", "n")))
+        if tables.heads or n >= max(chosen, default=0):  # no level that is tuned looks at what would be chosen here
+            continue
+        current = written(_predicted(_Level(tables, n), current, blocks, 1).drop(f"alternatives{n}"), "predicted")
     return tables
 
 

@@ -56,3 +56,17 @@ def test_candidates_are_moved_to_their_customer_once(spark, tmp_path):
 def test_rows_are_spread(spark):
     few = spark.range(10).coalesce(1)
     assert spread(few).rdd.getNumPartitions() == 1 and spread(few, 3).rdd.getNumPartitions() == 4 and values(spread(few, 3), "id") == values(few, "id")
+
+
+def test_a_fit_takes_few_jobs_and_blocks_stay_apart(spark):
+    """What levels count is counted for all of them at once, and blocks of a few bytes are not put into one task."""
+    data = [(i, f"{word} {extra}", code) for i, (word, code, extra) in enumerate(
+        (w, c, e) for e in ("bio", "frais", "rouge", "petit") for w, c in {"pain": "01.1", "vin": "02.1", "robe": "03.1", "pull": "03.2"}.items())]
+    rows = spark.createDataFrame(data, "id int, text string, code string").withColumns({"level1": F.substring("code", 1, 2), "level2": F.col("code")})
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup
+    before = max(jobs())
+    tables, _ = level_tables.fit_levels(rows, max_level=2, min_samples=10)
+    assert max(jobs()) - before < 85
+    level = level_tables._Level(tables, 1)
+    some = spark.range(64).select("id", F.array(F.lit(0)).alias("grams"), F.array(F.lit(None).cast("string")).alias("parents"), F.array(F.lit(0.5)).alias("confidences"))
+    assert level.best(some, 4, 1).select("id").rdd.getNumPartitions() == 4
