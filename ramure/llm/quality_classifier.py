@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +17,9 @@ from ramure.llm.common import mix, stored, texts_of, words_in
 FEATURES = 1 << 18
 #: Labelled texts that a model is fitted on, about: of more, those with the smallest hashes of their keys.
 MOST_ROWS = 10_000
+#: Rows whose indicators are counted at once.
+AT_ONCE = 100
+
 
 def indicators(texts: pa.Array) -> Iterator[np.ndarray]:
     """Sorted numbers of the n-grams in each whole text: words, pairs of words, runs of three bytes, and how often n-grams repeat.
@@ -58,7 +62,9 @@ def log_count_ratios(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     shares = []
     for label in (1, 0):
         some = [row for row, own in zip(rows, labels) if own == label]
-        counts = 1.0 + np.bincount(np.concatenate(some), minlength=FEATURES)
+        counts = np.ones(FEATURES)
+        for low in range(0, len(some), AT_ONCE):
+            counts += np.bincount(np.concatenate(some[low:low + AT_ONCE]), minlength=FEATURES)
         shares.append(counts / counts.sum())
     ratios = np.log(shares[0] / shares[1])
     ratios[FEATURES - 1] = 1.0
@@ -70,19 +76,17 @@ def coordinate_descent(rows: list[np.ndarray], labels: np.ndarray, ratios: np.nd
     """Weights of the hinge loss with squared norm, by descent on one dual variable at a time; both labels weigh the same in all."""
     signs = np.where(labels == 1, 1.0, -1.0)
     bound = cost * len(labels) / (2 * np.where(labels == 1, (labels == 1).sum(), (labels == 0).sum()))
-    values = []
-    for row in rows:
-        scaled = ratios[row]
-        values.append(scaled / max(float(np.sqrt(scaled @ scaled)), 1e-12))  # length 1, so the curvature of every variable is 1
+    lengths = [max(float(np.sqrt(ratios[row] @ ratios[row])), 1e-12) for row in rows]
     dual, weights = np.zeros(len(rows)), np.zeros(FEATURES)
     order = np.random.default_rng(seed)
     for _ in range(epochs):
         largest = 0.0
         for n in order.permutation(len(rows)):
-            slack = signs[n] * float(weights[rows[n]] @ values[n]) - 1.0
+            values = ratios[rows[n]] / lengths[n]  # length 1, so the curvature of every variable is 1; not kept, as they are many
+            slack = signs[n] * float(weights[rows[n]] @ values) - 1.0
             new = min(max(dual[n] - slack, 0.0), bound[n])
             if new != dual[n]:
-                weights[rows[n]] += (new - dual[n]) * signs[n] * values[n]
+                weights[rows[n]] += (new - dual[n]) * signs[n] * values
                 largest = max(largest, abs(new - dual[n]))
                 dual[n] = new
         if largest < 1e-3:
@@ -144,9 +148,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
 
     labelled = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(chosen, "k").select("k", "label", "text")
     kind = docs.schema[key].dataType.simpleString()
-    rows = stored(labelled.mapInArrow(found, f"k {kind}, label int, features binary"), "indicators").toPandas()
-    rows = rows.sort_values(["k", "features"]).reset_index(drop=True)
-    return fit([np.frombuffer(value, np.int32) for value in rows["features"]], rows["label"].to_numpy(np.int64))
+    rows = stored(labelled.mapInArrow(found, f"k {kind}, label int, features binary"), "indicators").toArrow()
+    order = pc.sort_indices(rows, [("k", "ascending"), ("features", "ascending")]).to_numpy()
+    features = [np.frombuffer(value.as_buffer(), np.int32) for value in rows["features"]]  # views of what was collected
+    return fit([features[n] for n in order], np.asarray(rows["label"], np.int64)[order])
 
 
 def with_scores(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:

@@ -80,3 +80,20 @@ def test_indicators_are_those_of_a_plain_dictionary():
         grams = {*words, *zip(words, words[1:]), *((data[n:n + 3],) for n in range(len(data) - 2))}
         assert len(grams) + 4 - 3 <= len(features) <= len(grams) + 4
     assert found[1] == found[2] and len(found[0] & found[6]) > 6
+
+
+def test_fitting_holds_no_copies_of_the_indicators():
+    """Counting and descent work on the rows as collected; values of all rows at once would be twice their size or more."""
+    import tracemalloc
+
+    from ramure.llm.quality_classifier import FEATURES, coordinate_descent, log_count_ratios
+
+    draw = np.random.default_rng(3)
+    rows = [np.unique(draw.integers(0, FEATURES, 10_000)).astype(np.int32) for _ in range(600)]
+    labels = np.arange(600) % 2
+    tracemalloc.start()
+    ratios = log_count_ratios(rows, labels)
+    coordinate_descent(rows, labels, ratios, epochs=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < sum(row.nbytes for row in rows)
