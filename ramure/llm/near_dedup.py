@@ -19,6 +19,8 @@ from ramure.llm.common import components, mix, stored, texts_of, words_in
 
 #: Pairs of signatures compared at once by a task, shingles in a block of sets, shingles in a product of matrices.
 PAIRS, BLOCK, COLUMNS = 4_096, 65_536, 4_096
+#: Bits of a page of a bitmap, as Spark's functions make them; pages at most, as a power of 2.
+PAGE_BITS, PAGES = 32_768, 11
 
 
 @dataclass(frozen=True)
@@ -221,6 +223,21 @@ def verify_pairs(pairs: DataFrame, sets: DataFrame, similarity: Similarity) -> D
             .mapInArrow(verified, "a binary, b binary, linked boolean"))
 
 
+def likely(rows: DataFrame, value: Column, hashes: DataFrame) -> DataFrame:
+    """Rows whose `value`, a hash, is in `hashes` (hash), and a few others: so an exact join after it moves hardly more than it needs.
+
+    The hashes set bits of a map, about 32 bits each and 8 MB at most, which is broadcast; with more of them more other rows get through.
+    """
+    pages = 1 << min(max(math.ceil(math.log2(max(hashes.count(), 1) * 32 / PAGE_BITS)), 0), PAGES)
+    set_bits = hashes.select(F.pmod("hash", F.lit(pages * PAGE_BITS)).alias("bit"))
+    page = F.floor(F.col("bit") / PAGE_BITS).alias("__page")
+    bits = set_bits.groupBy(page).agg(F.bitmap_construct_agg(F.col("bit") % PAGE_BITS).alias("__bits"))
+    placed = rows.withColumn("__bit", F.pmod(value, F.lit(pages * PAGE_BITS)))
+    met = placed.withColumn("__page", F.floor(F.col("__bit") / PAGE_BITS)).join(F.broadcast(bits), "__page")
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), F.floor(F.col("__bit") % PAGE_BITS / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return met.where(F.floor(byte / F.pow(F.lit(2), F.col("__bit") % 8)) % 2 == 1).select(*rows.columns)
+
+
 class _Graph:
     """Links found so far, between nodes that share a bucket."""
 
@@ -247,8 +264,24 @@ class _Graph:
         alike = stored(prune_pairs(ordered, self.signatures, self.similarity), "alike")
         needed = stored(alike.select(F.col("a").alias("node")).union(alike.select("b")).distinct(), "needed")
         verified = verify_pairs(alike, self.sets(needed), self.similarity)
-        self.tested = stored(verified if self.tested is None else verified.union(self.tested), "tested")
-        self.labels = components(self.tested.where("linked").select("a", "b"))
+        verified = stored(verified, "tested")
+        self.tested = verified if self.tested is None else verified.union(self.tested)
+        self.join(verified.where("linked").select("a", "b"))
+
+    def join(self, links: DataFrame) -> None:
+        """Label components again where links (a, b) join those that are known; only these are gone through."""
+        if self.labels is None:
+            self.labels = components(links)
+            return
+        if links.isEmpty():
+            return
+        named = self.labels.select(F.col("id").alias("node"), "component")
+        for side in ("a", "b"):
+            links = links.join(named.withColumnRenamed("node", side), side, "left").withColumn(side, F.coalesce("component", side)).drop("component")
+        moved = components(links.where("a <> b").distinct())
+        to = moved.select(F.col("id").alias("component"), F.col("component").alias("to"))
+        again = self.labels.join(to, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+        self.labels = stored(again.union(moved.join(self.labels, "id", "left_anti").select("id", "component")), "labels")
 
     def sets(self, needed: DataFrame) -> DataFrame:
         """(node, shingles) of some nodes, each from the first document that has it."""
@@ -260,8 +293,9 @@ class _Graph:
                 sets = [(_name(one), one.tobytes()) for one in _sets_of(batch.column(0), size)]
                 yield pa.RecordBatch.from_arrays([pa.array(column, pa.binary()) for column in zip(*sets)], ["node", "shingles"])
 
-        docs = self.docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("text"))
-        chosen = docs.join(first, docs["k"].eqNullSafe(first["key"]) & (F.xxhash64("text") == first["text_hash"]), "left_semi")
+        docs = likely(self.docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("text")), F.xxhash64("k", F.xxhash64("text")),
+                      first.select(F.xxhash64("key", "text_hash").alias("hash")))
+        chosen = docs.join(first, docs["k"].eqNullSafe(first["key"]) & (F.xxhash64("text") == first["text_hash"]))  # a semi join would be moved before the map of bits
         return stored(chosen.select("text").mapInArrow(shingled, "node binary, shingles binary").dropDuplicates(["node"]), "sets")
 
     def mixed(self) -> DataFrame:
@@ -320,9 +354,8 @@ class _Graph:
         pairs = (met.join(blocks(rows.where("component <> largest"), "others", "fewer"), ["largest", "fewer"])
                  .join(blocks(rows, "blocks", "more"), ["largest", "more"]))
         found = pairs.select("fewer_sets", "more_sets").mapInArrow(compared, "a binary, b binary")
-        links = found.distinct().withColumn("linked", F.lit(True))
-        self.tested = stored(self.tested.where("linked").union(links), "tested")
-        self.labels = components(self.tested.select("a", "b"))
+        links = found.distinct()
+        self.join(stored(links, "tested"))
 
 
 def link_documents(docs: DataFrame, similarity: Similarity = Similarity(), text: str = "text", key: str = "doc_id",

@@ -107,3 +107,27 @@ def test_components_of_a_path_and_a_star(spark):
     edges = [(n, n + 1) for n in range(40)] + [(100, 100 + n) for n in range(1, 60)] + [(300, 301), (300, 301), (302, 301)]
     labels = {row["id"]: row["component"] for row in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert labels == {n: 0 for n in range(41)} | {100 + n: 100 for n in range(60)} | {300: 300, 301: 300, 302: 300}
+
+
+def test_texts_that_are_not_needed_are_left_where_they_are(spark):
+    """All rows whose hash is looked for get through the map of bits, however few bits it has, and hardly any others."""
+    from pyspark.sql import functions as F
+
+    from ramure.llm import near_dedup
+
+    rows = spark.range(20_000).withColumn("hash", F.xxhash64("id"))
+    wanted = rows.where("id % 100 = 0").select("hash")
+    found = {row["id"] for row in near_dedup.likely(rows.select("id"), F.xxhash64("id"), wanted).collect()}
+    assert set(range(0, 20_000, 100)) <= found and len(found) < 1_500
+    assert near_dedup.likely(rows.select("id"), F.xxhash64("id"), wanted.limit(0)).count() == 0
+
+
+def test_links_found_later_join_components(spark):
+    from ramure.llm.near_dedup import _Graph
+
+    graph = object.__new__(_Graph)
+    graph.labels = None
+    for links in ([(b"a", b"b"), (b"c", b"d")], [], [(b"d", b"b"), (b"e", b"f"), (b"g", b"b")]):
+        graph.join(spark.createDataFrame(links, "a binary, b binary"))
+    found = {bytes(row["id"]): bytes(row["component"]) for row in graph.labels.collect()}
+    assert found == {b"a": b"a", b"b": b"a", b"c": b"a", b"d": b"a", b"g": b"a", b"e": b"e", b"f": b"e"}
