@@ -15,10 +15,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ramure.llm.common import components, mix, stored, texts_of, words_in
+from ramure.llm.common import components, dropped, mix, stored, texts_of, words_in
 
 #: Pairs of signatures compared at once by a task, shingles in a block of sets, shingles in a product of matrices.
 PAIRS, BLOCK, COLUMNS = 4_096, 65_536, 4_096
+#: Bytes of the shingles of a pair to be verified, about: a task gets `FILE_BYTES` of them where shuffles would have more tasks.
+PAIR_BYTES = 4_096
 #: Bits of a page of a bitmap, as Spark's functions make them; pages at most, as a power of 2.
 PAGE_BITS, PAGES = 32_768, 11
 
@@ -223,19 +225,31 @@ def verify_pairs(pairs: DataFrame, sets: DataFrame, similarity: Similarity) -> D
             .mapInArrow(verified, "a binary, b binary, linked boolean"))
 
 
-def likely(rows: DataFrame, value: Column, hashes: DataFrame) -> DataFrame:
-    """Rows whose `value`, a hash, is in `hashes` (hash), and a few others: so an exact join after it moves hardly more than it needs.
-
-    The hashes set bits of a map, about 32 bits each and 8 MB at most, which is broadcast; with more of them more other rows get through.
-    """
+def _mapped(rows: DataFrame, value: Column, hashes: DataFrame) -> tuple[DataFrame, Column]:
+    """Rows with what tells whether their `value`, a hash, may be in `hashes` (hash); where it isn't so, it is not there."""
     pages = 1 << min(max(math.ceil(math.log2(max(hashes.count(), 1) * 32 / PAGE_BITS)), 0), PAGES)
     set_bits = hashes.select(F.pmod("hash", F.lit(pages * PAGE_BITS)).alias("bit"))
     page = F.floor(F.col("bit") / PAGE_BITS).alias("__page")
     bits = set_bits.groupBy(page).agg(F.bitmap_construct_agg(F.col("bit") % PAGE_BITS).alias("__bits"))
     placed = rows.withColumn("__bit", F.pmod(value, F.lit(pages * PAGE_BITS)))
-    met = placed.withColumn("__page", F.floor(F.col("__bit") / PAGE_BITS)).join(F.broadcast(bits), "__page")
+    met = placed.withColumn("__page", F.floor(F.col("__bit") / PAGE_BITS)).join(F.broadcast(bits), "__page", "left")
     byte = F.conv(F.hex(F.substring(F.col("__bits"), F.floor(F.col("__bit") % PAGE_BITS / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return met.where(F.floor(byte / F.pow(F.lit(2), F.col("__bit") % 8)) % 2 == 1).select(*rows.columns)
+    return met, F.coalesce(F.floor(byte / F.pow(F.lit(2), F.col("__bit") % 8)) % 2 == 1, F.lit(False))
+
+
+def likely(rows: DataFrame, value: Column, hashes: DataFrame) -> DataFrame:
+    """Rows whose `value`, a hash, is in `hashes` (hash), and a few others: so an exact join after it moves hardly more than it needs.
+
+    The hashes set bits of a map, about 32 bits each and 8 MB at most, which is broadcast; with more of them more other rows get through.
+    """
+    met, there = _mapped(rows, value, hashes)
+    return met.where(there).select(*rows.columns)
+
+
+def unlikely(rows: DataFrame, value: Column, hashes: DataFrame) -> DataFrame:
+    """The rows that `likely` leaves out: none of them is in `hashes`."""
+    met, there = _mapped(rows, value, hashes)
+    return met.where(~there).select(*rows.columns)
 
 
 class _Graph:
@@ -251,20 +265,29 @@ class _Graph:
         banded = self.nodes.select("node", F.explode(_bands(similarity)).alias("bucket"))
         starred = banded.withColumns({"star": F.min("node").over(bucket), "n": F.count("*").over(bucket)})
         self.members = stored(starred.where("n > 1").select("bucket", "node", "star"), "members")
-        involved = stored(self.members.select("node").distinct(), "involved")
-        self.signatures = stored(self.nodes.join(involved, "node", "left_semi").select("node", "signature", "first"), "signatures")
+        self.n = self.members.count()
+        involved = stored(self.members.select("node").distinct(), "involved", self.n * 32)
+        # signatures are large: those of other nodes are left where they are
+        near = likely(self.nodes, F.xxhash64("node"), involved.select(F.xxhash64("node").alias("hash")))
+        chosen = near.join(involved.select(F.col("node").alias("__node")), F.col("node") == F.col("__node"))  # a semi join would be moved before the map of bits
+        self.signatures = stored(chosen.select("node", "signature", "first"), "signatures", involved.count() * (4 * similarity.values + 64))
+        dropped(involved)
         self.tested: DataFrame | None = None
+        self.rounds: list[DataFrame] = []
         self.labels: DataFrame | None = None
 
-    def test(self, pairs: DataFrame) -> None:
-        """Prune and verify pairs (a, b) not tested before, and label components again."""
+    def test(self, pairs: DataFrame, most: int) -> None:
+        """Prune and verify pairs (a, b), so many at most, not tested before, and label components again."""
         ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if self.tested is not None:
             ordered = ordered.join(self.tested, ["a", "b"], "left_anti")
-        alike = stored(prune_pairs(ordered, self.signatures, self.similarity), "alike")
-        needed = stored(alike.select(F.col("a").alias("node")).union(alike.select("b")).distinct(), "needed")
-        verified = verify_pairs(alike, self.sets(needed), self.similarity)
-        verified = stored(verified, "tested")
+        ordered = stored(ordered, "ordered", most * 64)
+        alike = stored(prune_pairs(ordered, self.signatures, self.similarity), "alike", ordered.count() * 8 * self.similarity.values)
+        n = alike.count()
+        sets = self.sets(alike.select(F.col("a").alias("node")).union(alike.select("b")).distinct(), 2 * n)
+        verified = stored(verify_pairs(alike, sets, self.similarity), "tested", n * PAIR_BYTES)
+        dropped(ordered, alike, sets)
+        self.rounds.append(verified)
         self.tested = verified if self.tested is None else verified.union(self.tested)
         self.join(verified.where("linked").select("a", "b"))
 
@@ -273,20 +296,28 @@ class _Graph:
         if self.labels is None:
             self.labels = components(links)
             return
-        if links.isEmpty():
+        n = links.count()
+        if not n:
             return
         named = self.labels.select(F.col("id").alias("node"), "component")
         for side in ("a", "b"):
             links = links.join(named.withColumnRenamed("node", side), side, "left").withColumn(side, F.coalesce("component", side)).drop("component")
-        moved = components(links.where("a <> b").distinct())
+        links = stored(links.where("a <> b").distinct(), "links", n * 64)
+        moved = components(links)
         to = moved.select(F.col("id").alias("component"), F.col("component").alias("to"))
         again = self.labels.join(to, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
-        self.labels = stored(again.union(moved.join(self.labels, "id", "left_anti").select("id", "component")), "labels")
+        before = self.labels
+        self.labels = stored(again.union(moved.join(before, "id", "left_anti").select("id", "component")), "labels", (before.count() + moved.count()) * 64)
+        dropped(before, moved, links)
+
+    def tables(self) -> list[DataFrame]:
+        """What of the graph is stored."""
+        return [self.nodes, self.members, self.signatures, *self.rounds, *([] if self.labels is None else [self.labels])]
 
-    def sets(self, needed: DataFrame) -> DataFrame:
-        """(node, shingles) of some nodes, each from the first document that has it."""
+    def sets(self, needed: DataFrame, most: int) -> DataFrame:
+        """(node, shingles) of some nodes, so many at most, each from the first document that has it."""
         size, key, text = self.similarity.shingle, self.key, self.text
-        first = stored(self.signatures.join(needed, "node", "left_semi").select("first.key", "first.text_hash"), "first")
+        first = stored(self.signatures.join(needed, "node", "left_semi").select("first.key", "first.text_hash"), "first", most * 32)
 
         def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -296,25 +327,31 @@ class _Graph:
         docs = likely(self.docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("text")), F.xxhash64("k", F.xxhash64("text")),
                       first.select(F.xxhash64("key", "text_hash").alias("hash")))
         chosen = docs.join(first, docs["k"].eqNullSafe(first["key"]) & (F.xxhash64("text") == first["text_hash"]))  # a semi join would be moved before the map of bits
-        return stored(chosen.select("text").mapInArrow(shingled, "node binary, shingles binary").dropDuplicates(["node"]), "sets")
+        sets = stored(chosen.select("text").mapInArrow(shingled, "node binary, shingles binary").dropDuplicates(["node"]), "sets")
+        dropped(first)
+        return sets
 
     def mixed(self) -> DataFrame:
         """(bucket, node, component) of buckets of three or more whose members aren't all in one component; pairs have been tested."""
         labels = self.labels.select(F.col("id").alias("node"), "component")
-        labelled = stored(self.members.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component")), "labelled")
+        labelled = stored(self.members.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component")), "labelled", self.n * 64)
         mixed = stored(labelled.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
-                       .where("n > 2 AND low <> high").select("bucket"), "mixed")
-        return stored(labelled.join(mixed, "bucket"), "mixed")
+                       .where("n > 2 AND low <> high").select("bucket"), "mixed", self.n * 64)
+        found = stored(labelled.join(mixed, "bucket"), "mixed", self.n * 64)
+        dropped(labelled, mixed)
+        return found
 
     def stars(self) -> DataFrame:
         """Every member of a bucket with the bucket's smallest node: as many pairs as members, and copies of a text share the star."""
         return self.members.where("node <> star").select(F.col("node").alias("a"), F.col("star").alias("b"))
 
-    def other_stars(self, mixed: DataFrame, seed: int) -> DataFrame:
-        """Members of mixed buckets with another star, drawn for each bucket, of another component."""
-        drawn = F.min_by(F.struct("node", "component"), F.xxhash64("node", "bucket", F.lit(seed)))
-        star = stored(mixed.groupBy("bucket").agg(drawn.alias("star")), "stars")
-        return (mixed.join(star, "bucket").where("component <> star.component")
+    def other_stars(self, mixed: DataFrame, draws: int) -> DataFrame:
+        """Members of mixed buckets with other stars, some drawn for each bucket, of another component."""
+        drawn = [F.min_by(F.struct("node", "component"), F.xxhash64("node", "bucket", F.lit(seed))) for seed in range(draws)]
+        stars = mixed.groupBy("bucket").agg(F.array_distinct(F.array(*drawn)).alias("stars"))
+        # written first: a join that shared the shuffle of the groups couldn't split a hot bucket
+        self.rounds.append(stored(stars.select("bucket", F.explode("stars").alias("star")), "stars", mixed.count() * 64))
+        return (mixed.join(self.rounds[-1], "bucket").where("component <> star.component")
                 .select(F.col("node").alias("a"), F.col("star.node").alias("b")))
 
     def link_rest(self, mixed: DataFrame) -> None:
@@ -324,16 +361,18 @@ class _Graph:
         block by block: a row for each pair of blocks, and of the links found in it only those that join components further come out.
         """
         percent = self.similarity.percent
+        most = mixed.count() * 64
         sizes = mixed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-        largest = stored(sizes.groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("largest")), "largest")
-        members = stored(mixed.join(largest, "bucket").select("largest", "node", "component").distinct(), "members")
-        sets = self.sets(stored(members.select("node").distinct(), "needed"))
+        largest = stored(sizes.groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("largest")), "largest", most)
+        members = stored(mixed.join(largest, "bucket").select("largest", "node", "component").distinct(), "members", most)
+        n = members.count()
+        sets = self.sets(members.select("node").distinct(), n)
         rows = stored(members.join(sets, "node"), "rows")
         # rows are dealt to blocks of about BLOCK shingles, for each side; pairs of blocks are rows before they meet their sets
         size = F.octet_length("shingles") / (8 * BLOCK)
         sized = rows.groupBy("largest").agg(F.ceil(F.sum(size)).cast("long").alias("blocks"),
                                             F.ceil(F.sum(F.when(F.col("component") != F.col("largest"), size))).cast("long").alias("others"))
-        total = stored(sized.where("others > 0"), "blocks")
+        total = stored(sized.where("others > 0"), "blocks", n * 64)
 
         def numbers(count: str) -> Column:
             return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
@@ -351,11 +390,13 @@ class _Graph:
 
         met = stored(total.select("largest", "blocks", numbers("others").alias("fewer")).select("largest", "fewer", numbers("blocks").alias("more"))
                      .repartition("largest", "fewer", "more"), "pairs")
-        pairs = (met.join(blocks(rows.where("component <> largest"), "others", "fewer"), ["largest", "fewer"])
-                 .join(blocks(rows, "blocks", "more"), ["largest", "more"]))
+        fewer, more = blocks(rows.where("component <> largest"), "others", "fewer"), blocks(rows, "blocks", "more")
+        pairs = met.join(fewer, ["largest", "fewer"]).join(more, ["largest", "more"])
         found = pairs.select("fewer_sets", "more_sets").mapInArrow(compared, "a binary, b binary")
-        links = found.distinct()
-        self.join(stored(links, "tested"))
+        links = stored(found.distinct(), "tested")
+        dropped(largest, members, sets, rows, total, met, fewer, more)
+        self.join(links)
+        dropped(links)
 
 
 def link_documents(docs: DataFrame, similarity: Similarity = Similarity(), text: str = "text", key: str = "doc_id",
@@ -371,26 +412,34 @@ def link_documents(docs: DataFrame, similarity: Similarity = Similarity(), text:
     several components, against `draws` drawn ones; what is then left of different components is compared on whole sets in blocks, so
     that no bucket's pairs are all listed and none that could join components is left out.
     """
+    return _link_documents(docs, similarity, text, key, draws)[0]
+
+
+def _link_documents(docs: DataFrame, similarity: Similarity, text: str, key: str, draws: int) -> tuple[DataFrame, list[DataFrame]]:
+    """What `link_documents` returns, and the stored tables that it is read from."""
     signed = stored(set_signatures(docs, similarity, text, key), "signed")
     graph = _Graph(docs, signed, similarity, text, key)
-    graph.test(graph.stars())
-    for seed in range(draws + 1):
+    graph.test(graph.stars(), graph.n)
+    mixed = graph.mixed()
+    left = mixed.count()
+    if left and draws:
+        graph.test(graph.other_stars(mixed, draws), left * draws)
+        dropped(mixed)
         mixed = graph.mixed()
-        if mixed.isEmpty():
-            break
-        if seed < draws:
-            graph.test(graph.other_stars(mixed, seed))
-        else:
-            graph.link_rest(mixed)
+        left = mixed.count()
+    if left:
+        graph.link_rest(mixed)
     first = graph.nodes.select("node", F.col("first.key").alias("first"))
     labels = graph.labels.select(F.col("id").alias("node"), "component")
     named = first.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
     of_node = stored(named.join(smallest, "component").select("node", "component_id"), "components")
+    dropped(mixed, *graph.tables())
     joined = signed.select("key", "text_hash", "n_shingles", "node").join(of_node, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("key")).otherwise(F.col("component_id"))
-    return joined.select(F.col("key").alias(key), "text_hash", "n_shingles", component.alias("component_id"),
-                         F.col("key").eqNullSafe(component).alias("kept"))
+    linked = joined.select(F.col("key").alias(key), "text_hash", "n_shingles", component.alias("component_id"),
+                           F.col("key").eqNullSafe(component).alias("kept"))
+    return linked, [signed, of_node]
 
 
 def deduplicate(docs: DataFrame, similarity: Similarity = Similarity(), text: str = "text", key: str = "doc_id") -> DataFrame:

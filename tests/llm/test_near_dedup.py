@@ -131,3 +131,32 @@ def test_links_found_later_join_components(spark):
         graph.join(spark.createDataFrame(links, "a binary, b binary"))
     found = {bytes(row["id"]): bytes(row["component"]) for row in graph.labels.collect()}
     assert found == {b"a": b"a", b"b": b"a", b"c": b"a", b"d": b"a", b"g": b"a", b"e": b"e", b"f": b"e"}
+
+
+def test_small_tables_are_few_files_however_many_partitions_there_are(spark):
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        labels = components(spark.createDataFrame([(n, n + 1) for n in range(0, 400, 2)], "a long, b long"))
+        assert len(labels.inputFiles()) == 1
+        assert {(row["id"], row["component"]) for row in labels.collect()} == {(n, n - n % 2) for n in range(400)}
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_all_stars_are_drawn_in_one_round(make_docs, monkeypatch):
+    from ramure.llm import near_dedup
+
+    rounds, test = [], near_dedup._Graph.test
+
+    def counted(self, *pairs):
+        rounds.append(pairs)
+        test(self, *pairs)
+
+    monkeypatch.setattr(near_dedup._Graph, "test", counted)
+    rows = variants(1, 3, 30, 120, 5)
+    assert found(make_docs(rows), Similarity(3, 85)) == brute(rows, 3, 85)
+    assert len(rounds) == 2
