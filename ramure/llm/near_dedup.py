@@ -444,15 +444,18 @@ def _link_documents(docs: DataFrame, similarity: Similarity, text: str, key: str
 
 def deduplicate(docs: DataFrame, similarity: Similarity = Similarity(), text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of `docs` that stay when each component keeps its smallest key; of rows equal in every column one stays."""
-    linked = stored(link_documents(docs, similarity, text, key), "linked")
-    gone = stored(linked.where("NOT kept").select(F.col(key).alias("k"), "text_hash").distinct(), "gone")
-    again = stored(linked.where("kept").groupBy(F.col(key).alias("k"), "text_hash").count().where("count > 1").drop("count"), "again")
-
-    def same(rows: DataFrame) -> Column:
-        return docs[key].cast("long").eqNullSafe(rows["k"]) & F.xxhash64(docs[text]).eqNullSafe(rows["text_hash"])
-
-    kept = docs.join(gone, same(gone), "left_anti")
-    if again.isEmpty():
+    found, tables = _link_documents(docs, similarity, text, key, draws=2)
+    linked = stored(found, "linked")
+    dropped(*tables)
+    marks = stored(linked.groupBy(F.col(key).alias("__k"), F.col("text_hash").alias("__hash"), (~F.col("kept")).alias("__gone"))
+                   .agg(F.count("*").alias("__n")).where("__gone OR __n > 1").drop("__n"), "marks")
+    dropped(linked)
+    # most rows stay, and only those that the marks may mean are compared with them: the texts of the others aren't shuffled
+    value, hashes = F.xxhash64(docs[key].cast("long"), F.xxhash64(docs[text])), marks.select(F.xxhash64("__k", "__hash").alias("hash"))
+    some = likely(docs, value, hashes)
+    same = some[key].cast("long").eqNullSafe(F.col("__k")) & (F.xxhash64(some[text]) == F.col("__hash"))
+    marked = some.join(marks, same, "left")  # an anti join would be moved before the map of bits
+    kept = unlikely(docs, value, hashes).union(marked.where("__gone IS NULL").select(*docs.columns))
+    if marks.where("NOT __gone").isEmpty():
         return kept
-    repeated = docs.join(again, same(again), "left_semi").dropDuplicates()
-    return kept.join(again, same(again), "left_anti").union(repeated)
+    return kept.union(marked.where("NOT __gone").select(*docs.columns).dropDuplicates())

@@ -160,3 +160,32 @@ def test_all_stars_are_drawn_in_one_round(make_docs, monkeypatch):
     rows = variants(1, 3, 30, 120, 5)
     assert found(make_docs(rows), Similarity(3, 85)) == brute(rows, 3, 85)
     assert len(rounds) == 2
+
+
+def test_texts_that_stay_are_not_joined_and_no_table_is_left_that_nothing_reads(make_docs, monkeypatch, tmp_path):
+    """Rows marked, repeated, without a key and without a text are told apart as before."""
+    from pathlib import Path
+
+    from ramure.llm import common
+
+    monkeypatch.setattr(common, "shared_folder", lambda spark, purpose: f"file://{tmp_path}/{purpose}-{common.uuid.uuid4().hex}")
+    rows = [(n, f"text number {n} has words of its own, {n * n} of them and {n + 7} more") for n in range(60)]
+    rows += [(100, rows[3][1]), (101, rows[4][1]), (101, "another text of the same key"), (5, rows[5][1]), (None, rows[6][1]), (None, "no key here"), (7, None), (7, None)]
+    kept = deduplicate(make_docs(rows))
+    expected = [(doc_id, text) for doc_id, text in dict.fromkeys(rows) if (doc_id, text) not in ((100, rows[3][1]), (101, rows[4][1]), (None, rows[6][1]))]
+    assert sorted(map(str, ((row["doc_id"], row["text"]) for row in kept.collect()))) == sorted(map(str, expected))
+    assert "LeftAnti" not in kept._jdf.queryExecution().optimizedPlan().toString()
+    assert {folder.name.rpartition("-")[0] for folder in Path(tmp_path).iterdir()} == {"marks"}
+
+
+def test_rows_are_either_likely_or_unlikely(spark):
+    from pyspark.sql import functions as F
+
+    from ramure.llm import near_dedup
+
+    rows = spark.range(5_000).withColumn("hash", F.xxhash64("id"))
+    wanted = rows.where("id % 50 = 0").select("hash")
+    parts = [{row["id"] for row in part(rows.select("id"), F.xxhash64("id"), wanted).collect()} for part in (near_dedup.likely, near_dedup.unlikely)]
+    assert not parts[0] & parts[1] and parts[0] | parts[1] == set(range(5_000))
+    assert not parts[1] & set(range(0, 5_000, 50))
+    assert near_dedup.unlikely(rows.select("id"), F.xxhash64("id"), wanted.limit(0)).count() == 5_000
