@@ -1,5 +1,6 @@
 import io
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,40 @@ def test_ids_equal_those_of_whole_texts(encoders, texts):
         assert [ids[low:high].tolist() for low, high in zip(ends, ends[1:])] == [whole.encode(text, add_special_tokens=False).ids for text in texts]
 
 
+def test_frequent_runs_stay_in_a_full_memory():
+    """Runs of every batch are encoded once, however many others come between; before, a full memory forgot them all."""
+
+    class Counting:
+        def __init__(self, model):
+            self.model, self.asked = model, Counter()
+
+        def tokenize(self, run):
+            self.asked[run] += 1
+            return self.model.tokenize(run)
+
+    letters = "abcdefghijklmnopqrst"
+    batches = [[f"water stone house {a}{b}{c}" for b in letters for c in "xyz"] for a in letters]
+    for path, spaced in ((WORD, False), (BYTE, True)):
+        encoder, whole = Encoder(path, spaced, bound=200), Tokenizer.from_file(path)
+        encoder.model = counting = Counting(encoder.model)
+        for texts in batches:
+            ids, ends = encoder(pa.array(texts))
+            assert [ids[low:high].tolist() for low, high in zip(ends, ends[1:])] == [whole.encode(text, add_special_tokens=False).ids for text in texts]
+            assert len(encoder.starts) <= 200 + 63
+        frequent = ["water", "Ġstone", "Ġhouse"] if spaced else ["water", "stone", "house"]
+        assert [counting.asked[run] for run in frequent] == [1, 1, 1]
+
+
+def test_long_chunks_are_forgotten_by_their_ids():
+    """A memory of few chunks is full too, if they are long."""
+    encoder, whole = Encoder(BYTE, True, bound=200), Tokenizer.from_file(BYTE)
+    for n in range(40):
+        text = f"https://{n}/" + "%2f7" * 200
+        ids, _ = encoder(pa.array([text]))
+        assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids
+        assert len(encoder.ids) <= 16 * 200 + 1000
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), max_size=50))
 def test_values_round_trip(values):
