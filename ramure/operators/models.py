@@ -11,16 +11,19 @@ from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression, NaiveBayes
+from pyspark.ml.classification import LogisticRegression, NaiveBayes, NaiveBayesModel
 from pyspark.ml.feature import CountVectorizerModel, HashingTF, OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ramure.functions.codes import LEVELS, children_map
-from ramure.functions.ngrams import char_ngrams, ngram_vocab
+from ramure.functions.ngrams import char_ngrams, ngram_vocab, words
 from ramure.functions.text import DEFAULT_STOPWORDS, let, preprocess_text
 from ramure.operators import training as tr
+from ramure.operators import word_scores
 from ramure.operators.decode import PATH_TYPE, bucket_confidence, combine_confidence, seeded_fraction
 
 FEATURES = 1 << 16
@@ -52,7 +55,9 @@ def _ranked(probability: Column, labels: Sequence[str], top_k: int) -> Column:
 
     def best(values: Column) -> Column:
         # only those that can be among the best after rounding are rounded and sorted as pairs
-        last = F.get(F.sort_array(values, asc=False), F.lit(min(top_k, len(labels)) - 1))
+        return let(F.get(F.sort_array(values, asc=False), F.lit(min(top_k, len(labels)) - 1)), lambda last: chosen(values, last))
+
+    def chosen(values: Column, last: Column) -> Column:
         pairs = F.zip_with(values, names, lambda p, code: F.when(p > last - 2e-9, F.struct(code.alias("code"), p.alias("p"))))
         ordered = F.transform(F.array_compact(pairs), lambda pair: F.struct(
             F.round(-pair["p"], 9).alias("order"), pair["code"].alias("code"), (-pair["p"]).alias("neg")))
@@ -62,11 +67,45 @@ def _ranked(probability: Column, labels: Sequence[str], top_k: int) -> Column:
                        lambda pair: F.struct(pair["code"].alias("code"), (-pair["neg"]).alias("confidence")))
 
 
+def _local(df: DataFrame) -> DataFrame:
+    """A table with a row for each class, computed once."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 def _indexer(df: DataFrame, column: str) -> StringIndexerModel:
     """Labels in alphabetical order; unseen ones are kept apart."""
     return StringIndexer(inputCol=column, outputCol=f"__{column}_index", stringOrderType="alphabetAsc", handleInvalid="keep").fit(df)
 
 
+def _text_sums(rows: DataFrame, label: str, text: str, num_features: int, vocabulary: Sequence[str] | None = None) -> DataFrame:
+    """`(label, features)`: the summed n-gram counts of each label's texts, for labels with any word.
+
+    Words are counted first and cut once for each label; all words of a label are added up in one place, so that of a label's sum, which is
+    as long as all features, there are no parts to be shuffled.
+    """
+    counted = rows.select(label, F.explode(words(F.coalesce(F.col(text), F.lit("")))).alias("__word")).groupBy(label, "__word").agg(
+        F.count("*").cast("double").alias("__n"))
+    featured = ngram_features(counted.repartition(label), "__word", num_features, vocabulary=vocabulary)
+    return featured.groupBy(label).agg(Summarizer.sum(F.col("features"), F.col("__n")).alias("features"))
+
+
+def _fit_sums(estimator: NaiveBayes, indexer: StringIndexerModel, classes: DataFrame, sums: DataFrame, size: int) -> NaiveBayesModel:
+    """What the estimator fits on rows, from the rows `n` of each label and the sum of their features, which is all naive Bayes takes of them.
+
+    A label is a row with its sum, and one without features that weighs as much as its other rows: both totals are exact.
+    """
+    label, features = indexer.getInputCol(), estimator.getFeaturesCol()
+    none = classes.sparkSession.createDataFrame([(Vectors.sparse(size, {}),)], ["__none"])
+    every = indexer.transform(classes).crossJoin(none)
+    whole = every.join(sums, label, "left").select(estimator.getLabelCol(), F.coalesce(features, "__none").alias(features), F.lit(1.0).alias("__weight"))
+    rest = every.where("n > 1").select(estimator.getLabelCol(), F.col("__none").alias(features), (F.col("n") - 1).cast("double").alias("__weight"))
+    rows = whole.union(rest).persist()
+    try:
+        return estimator.setWeightCol("__weight").fit(rows)
+    finally:
+        rows.unpersist()
+
+
 # ---- flat ----------------------------------------------------------------------------------------------------------
 
 
@@ -82,8 +121,13 @@ class FlatModel:
 
     def predict(self, df: DataFrame, text: str = "text", top_k: int = 1) -> DataFrame:
         """Add `predictions`, the best codes with their confidence, and the wide columns of each rank."""
-        scored = self.stages.transform(ngram_features(df, text, self.num_features, vocabulary=self.vocabulary))
-        result = scored.withColumn("predictions", _ranked(F.col("flat_probability"), self.labels, top_k))
+        model = self.stages.stages[-1]
+        if isinstance(model, NaiveBayesModel):
+            weights = word_scores.weights(model, self.labels, len(self.vocabulary) or self.num_features, self.vocabulary)
+            result = df.withColumn("predictions", word_scores.best(weights, top_k, words(F.coalesce(F.col(text), F.lit("")))))
+        else:
+            scored = self.stages.transform(ngram_features(df, text, self.num_features, vocabulary=self.vocabulary))
+            result = scored.withColumn("predictions", _ranked(F.col("flat_probability"), self.labels, top_k))
         wide = {}
         for rank in range(1, top_k + 1):
             suffix = "" if rank == 1 else f"_top{rank}"
@@ -129,15 +173,25 @@ def _fit_flat(df: DataFrame, label: str, text: str, key: str, min_count: int, fr
     sizes = tr.rare_report(df, label, min_count).first()
     if not sizes["n_kept"]:
         raise ValueError("no class has enough rows")
-    kept = tr.filter_rare(df, label, min_count)
-    indexer = _indexer(kept, label)
-    split = tr.stratified_split(kept, label, fraction, seed, key)
-    fitted = split.where(~F.col("is_validation"))
-    vocabulary = [row["ngram"] for row in ngram_vocab(fitted, text, min_tokens, num_tokens).orderBy("id").collect()] if num_tokens else []
-    train = ngram_features(indexer.transform(fitted), text, num_features, vocabulary=vocabulary)
-    model = _estimator(estimator, "features", f"__{label}_index", "flat").fit(train)
-    counts = split.groupBy().agg(F.count_if("is_validation").alias("v"), F.count("*").alias("n")).first()
-    stats = {"num_classes": len(indexer.labels), "train": counts["n"] - counts["v"], "val": counts["v"], "total": counts["n"],
+    kept = tr.filter_rare(df, label, min_count).persist()
+    split = tr.stratified_split(kept, label, fraction, seed, key).persist()
+    try:
+        # as many rows as there are classes
+        counts = _local(split.groupBy(label).agg(F.count_if("is_validation").alias("v"), F.count("*").alias("n")))
+        indexer = _indexer(counts, label)
+        fitted = split.where(~F.col("is_validation"))
+        vocabulary = [row["ngram"] for row in ngram_vocab(fitted, text, min_tokens, num_tokens).orderBy("id").collect()] if num_tokens else []
+        builder = _estimator(estimator, "features", f"__{label}_index", "flat")
+        if estimator == "bayes":
+            classes = counts.select(label, (F.col("n") - F.col("v")).alias("n")).where("n > 0")
+            model = _fit_sums(builder, indexer, classes, _text_sums(fitted, label, text, num_features, vocabulary), len(vocabulary) or num_features)
+        else:
+            model = builder.fit(ngram_features(indexer.transform(fitted), text, num_features, vocabulary=vocabulary))
+    finally:
+        split.unpersist()
+        kept.unpersist()
+    total = counts.agg(F.sum("v").alias("v"), F.sum("n").alias("n")).first()
+    stats = {"num_classes": len(indexer.labels), "train": total["n"] - total["v"], "val": total["v"], "total": total["n"],
              "dropped": int(sizes["n_dropped"])}
     return FlatModel(PipelineModel([model]), list(indexer.labels), num_features, stats, vocabulary)
 
