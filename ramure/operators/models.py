@@ -25,6 +25,7 @@ from ramure.functions.text import DEFAULT_STOPWORDS, let, preprocess_text
 from ramure.operators import training as tr
 from ramure.operators import word_scores
 from ramure.operators.decode import PATH_TYPE, bucket_confidence, combine_confidence, seeded_fraction
+from ramure.session import written
 
 FEATURES = 1 << 16
 
@@ -69,7 +70,7 @@ def _ranked(probability: Column, labels: Sequence[str], top_k: int) -> Column:
 
 def _local(df: DataFrame) -> DataFrame:
     """A table with a row for each class, computed once."""
-    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+    return df.sparkSession.createDataFrame(df.collect(), df.schema).coalesce(1)
 
 
 def _indexer(df: DataFrame, column: str) -> StringIndexerModel:
@@ -78,12 +79,12 @@ def _indexer(df: DataFrame, column: str) -> StringIndexerModel:
 
 
 def _text_sums(rows: DataFrame, label: str, text: str, num_features: int, vocabulary: Sequence[str] | None = None) -> DataFrame:
-    """`(label, features)`: the summed n-gram counts of each label's texts, for labels with any word.
+    """`(label, features)`: the summed n-gram counts of each label's texts.
 
     Words are counted first and cut once for each label; all words of a label are added up in one place, so that of a label's sum, which is
     as long as all features, there are no parts to be shuffled.
     """
-    counted = rows.select(label, F.explode(words(F.coalesce(F.col(text), F.lit("")))).alias("__word")).groupBy(label, "__word").agg(
+    counted = rows.select(label, F.explode_outer(words(F.coalesce(F.col(text), F.lit("")))).alias("__word")).groupBy(label, "__word").agg(
         F.count("*").cast("double").alias("__n"))
     featured = ngram_features(counted.repartition(label), "__word", num_features, vocabulary=vocabulary)
     return featured.groupBy(label).agg(Summarizer.sum(F.col("features"), F.col("__n")).alias("features"))
@@ -95,15 +96,11 @@ def _fit_sums(estimator: NaiveBayes, indexer: StringIndexerModel, classes: DataF
     A label is a row with its sum, and one without features that weighs as much as its other rows: both totals are exact.
     """
     label, features = indexer.getInputCol(), estimator.getFeaturesCol()
-    none = classes.sparkSession.createDataFrame([(Vectors.sparse(size, {}),)], ["__none"])
+    none = classes.sparkSession.createDataFrame([(Vectors.sparse(size, {}),)], ["__none"]).coalesce(1)
     every = indexer.transform(classes).crossJoin(none)
-    whole = every.join(sums, label, "left").select(estimator.getLabelCol(), F.coalesce(features, "__none").alias(features), F.lit(1.0).alias("__weight"))
+    whole = every.join(sums, label).select(estimator.getLabelCol(), features, F.lit(1.0).alias("__weight"))
     rest = every.where("n > 1").select(estimator.getLabelCol(), F.col("__none").alias(features), (F.col("n") - 1).cast("double").alias("__weight"))
-    rows = whole.union(rest).persist()
-    try:
-        return estimator.setWeightCol("__weight").fit(rows)
-    finally:
-        rows.unpersist()
+    return estimator.setWeightCol("__weight").fit(whole.union(rest))
 
 
 # ---- flat ----------------------------------------------------------------------------------------------------------
@@ -184,7 +181,8 @@ def _fit_flat(df: DataFrame, label: str, text: str, key: str, min_count: int, fr
         builder = _estimator(estimator, "features", f"__{label}_index", "flat")
         if estimator == "bayes":
             classes = counts.select(label, (F.col("n") - F.col("v")).alias("n")).where("n > 0")
-            model = _fit_sums(builder, indexer, classes, _text_sums(fitted, label, text, num_features, vocabulary), len(vocabulary) or num_features)
+            sums = written(_text_sums(fitted, label, text, num_features, vocabulary), "sums")
+            model = _fit_sums(builder, indexer, classes, sums, len(vocabulary) or num_features)
         else:
             model = builder.fit(ngram_features(indexer.transform(fitted), text, num_features, vocabulary=vocabulary))
     finally:
@@ -401,6 +399,21 @@ def _score_level(df: DataFrame, model: LevelModel, previous: Column | None, top_
     return scored.drop(*work)
 
 
+def _choose(df: DataFrame, model: LevelModel, text: str, num_features: int) -> DataFrame:
+    """Rows with the level's best code and its confidence as `__code, __confidence`, given those of the level above."""
+    n = model.level
+    bayes = model.stages.stages[-1]
+    confidence = F.coalesce("__confidence", F.lit(0.5))
+    if isinstance(bayes, NaiveBayesModel):
+        weights = word_scores.weights(bayes, model.labels, num_features, parents=model.parents)
+        found = df.withColumn(f"alternatives{n}", word_scores.best(
+            weights, 1, words(F.coalesce(F.col(text), F.lit(""))), F.col("__code"), bucket_confidence(confidence)))
+    else:
+        found = _score_level(df, model, F.struct(F.col("__code").alias("code"), confidence.alias("confidence")), 1)
+    best = F.get(F.col(f"alternatives{n}"), F.lit(0))
+    return found.withColumns({"__code": best["code"], "__confidence": best["confidence"]}).drop(f"alternatives{n}")
+
+
 def _widened(df: DataFrame, kept: Sequence[str], levels: Sequence[int], top_k: int) -> DataFrame:
     """`predicted_code, final_level, confidence, combined_confidence` and the columns per level and rank."""
     wide = {
@@ -423,38 +436,47 @@ def fit_hierarchical(df: DataFrame, max_level: int = 5, text: str = "text", key:
     """Fit the levels in order; each sees the level above, partly as predicted (see `teacher_force`).
 
     With `save_to` every level is stored when done, over what is there. With `resume_from` the levels found in that
-    folder are reused and only their predictions made again, and the others are fitted and stored there (or in
-    `save_to`); a level that was fitted on other rows or with other settings is an error. Predictions between levels
-    are persisted on the executors.
+    folder are reused and only their predictions made again, where a level below is to be fitted, and the others are
+    fitted and stored there (or in `save_to`); a level that was fitted on other rows or with other settings is an error.
+    Predictions between levels are persisted on the executors.
     """
     if resume_from:
         save_to = save_to or resume_from
     settings = [max_level, min_samples, min_count, teacher_forcing, seed, num_features, estimator]
-    fingerprint = _fingerprint(df, [key, text, *[f"level{n}" for n in range(1, max_level + 1)]], settings) if save_to else ""
-    reasons = {row["level"]: row["status"] for row in tr.usable_levels(df, min_samples, 2, min_count).collect()}
+    columns = [key, text, *[f"level{n}" for n in range(1, max_level + 1)]]
+    rows = df.select(*columns).persist()
+    persisted = [rows]
     models: dict[int, LevelModel] = {}
     skipped: dict[int, str] = {}
-    columns = [key, text, *[f"level{n}" for n in range(1, max_level + 1)]]
-    persisted: list[DataFrame] = []
-    current = ngram_features(df.select(*columns), text, num_features).withColumns({
-        "__code": F.lit(None).cast("string"), "__confidence": F.lit(None).cast("double")})
-    for n in range(1, max_level + 1):
-        if reasons.get(n) != "train":
-            skipped[n] = reasons.get(n, "no rows")
-            continue
-        saved = _load_level(df.sparkSession, resume_from, n, fingerprint) if resume_from else None
-        model = saved or _fit_level(current, n, key, min_count, teacher_forcing, seed, estimator, first=n == 1)
-        models[n] = model
-        if save_to and not (saved and save_to == resume_from):
-            _save_level(model, save_to, fingerprint)
-        if n < max_level:
-            previous = F.struct(F.col("__code").alias("code"), F.coalesce("__confidence", F.lit(0.5)).alias("confidence"))
-            predicted = _score_level(current, model, previous if len(models) > 1 else None, 1)
-            best = F.get(F.col(f"alternatives{n}"), F.lit(0))
-            current = predicted.withColumns({"__code": best["code"], "__confidence": best["confidence"]}).drop(f"alternatives{n}").persist()
-            persisted.append(current)
-    for table in persisted:
-        table.unpersist()
+    try:
+        fingerprint = _fingerprint(rows, columns, settings) if save_to else ""
+        levels = [n for n in LEVELS if n <= max_level]
+        reasons = {row["level"]: row["status"] for row in tr.usable_levels(rows, min_samples, 2, min_count, levels).collect()}
+        current = rows if estimator == "bayes" else ngram_features(rows, text, num_features)
+        current = current.withColumns({"__code": F.lit(None).cast("string"), "__confidence": F.lit(None).cast("double")})
+        waiting: list[LevelModel] = []  # levels whose predictions no fit has asked for yet
+        for n in range(1, max_level + 1):
+            if reasons.get(n) != "train":
+                skipped[n] = reasons.get(n, "no rows")
+                continue
+            saved = _load_level(df.sparkSession, resume_from, n, fingerprint) if resume_from else None
+            if saved is None:
+                for above in waiting:
+                    current = _choose(current, above, text, num_features).persist()
+                    persisted.append(current)
+                waiting = []
+            model = saved or _fit_level(current, n, key, min_count, teacher_forcing, seed, estimator, first=n == 1, text=text, num_features=num_features)
+            if saved is None:
+                for table in persisted[1:-1]:  # the fit has read the last one
+                    table.unpersist()
+                del persisted[1:-1]
+            models[n] = model
+            waiting.append(model)
+            if save_to and not (saved and save_to == resume_from):
+                _save_level(model, save_to, fingerprint)
+    finally:
+        for table in persisted:
+            table.unpersist()
     if not models:
         raise ValueError(f"no level could be trained: {skipped}")
     model = HierarchicalModel(models, max_level, num_features, skipped)
@@ -471,26 +493,40 @@ def _fingerprint(df: DataFrame, columns: Sequence[str], settings: Sequence[objec
 
 
 def _fit_level(df: DataFrame, n: int, key: str, min_count: int, teacher_forcing: float, seed: int, estimator: str, first: bool,
-               frequent: DataFrame | None = None) -> LevelModel:
+               frequent: DataFrame | None = None, text: str = "text", num_features: int = FEATURES) -> LevelModel:
+    """Naive Bayes is fitted on sums for each label, from `text`; other estimators on the rows' `features`."""
     label = f"level{n}"
     rows = df.where(F.col(label).isNotNull())
     rows = tr.filter_rare(rows, label, min_count) if frequent is None else rows.join(frequent, label, "left_semi")
-    indexer = _indexer(rows, label)
-    target = f"__{label}_index"
+    target, parent, bayes = f"__{label}_index", f"level{n - 1}", estimator == "bayes"
+    drawn = seeded_fraction(seed, F.lit(n), F.col(key)) < (1 - teacher_forcing)
+    used = F.lit(None).cast("string") if first else F.when(drawn & F.col("__code").isNotNull(), F.col("__code")).otherwise(F.col(parent))
+    bucket = F.lit(None).cast("int") if first else bucket_confidence(F.coalesce("__confidence", F.lit(0.9)))
+    if bayes:  # all that naive Bayes takes of the rows: cells of the codes and buckets, and the words of each label
+        above = used if first else F.col(parent)
+        cells = written(rows.groupBy(label, above.alias("__above"), used.alias("__used"), bucket.alias("__of")).agg(F.count("*").alias("n")), "cells")
+        classes, parent_codes = _local(cells.groupBy(label).agg(F.sum("n").alias("n"))), cells.select(F.col("__above").alias(parent)).distinct()
+        texts = _text_sums(rows, label, text, num_features)
+    else:
+        classes, parent_codes = rows, rows
+    indexer = _indexer(classes, label)
     if first:
-        model = _estimator(estimator, "features", target, label).fit(indexer.transform(rows))
+        builder = _estimator(estimator, "features", target, label)
+        model = _fit_sums(builder, indexer, classes, written(texts, "sums"), num_features) if bayes else builder.fit(indexer.transform(rows))
         return LevelModel(n, PipelineModel([model]), list(indexer.labels))
-    parent = f"level{n - 1}"
-    parents = list(_indexer(rows, parent).labels)
-    drawn = seeded_fraction(seed, F.lit(n), F.col(key)) < (1 - teacher_forcing)
-    used = F.when(drawn & F.col("__code").isNotNull(), F.col("__code")).otherwise(F.col(parent))
-    ready = indexer.transform(_with_parent(rows, parents, used, bucket_confidence(F.coalesce("__confidence", F.lit(0.9)))))
+    parents = list(_indexer(parent_codes, parent).labels)
     # the encoder's sizes are those of the vocabulary and the buckets, whatever rows come by
     sizes = df.sparkSession.createDataFrame([(float(i), float(j)) for i, j in _corner(len(parents))], "__parent double, __bucket double")
     encoder, assembler = _parent_stages(len(parents), n)
     encoding = encoder.fit(sizes)
-    featured = assembler.transform(encoding.transform(ready))
-    model = _estimator(estimator, f"__all{n}", target, label).fit(featured)
+    builder = _estimator(estimator, f"__all{n}", target, label)
+    if bayes:
+        fed = encoding.transform(_with_parent(cells, parents, F.col("__used"), F.col("__of"))).groupBy(label).agg(
+            *[Summarizer.sum(F.col(name), F.col("n").cast("double")).alias(name) for name in ("__parent_vec", "__bucket_vec")])
+        sums = assembler.transform(written(texts.join(fed, label), "sums")).select(label, f"__all{n}")
+        model = _fit_sums(builder, indexer, classes, sums, num_features + max(len(parents), 2) + 10)
+    else:
+        model = builder.fit(assembler.transform(encoding.transform(indexer.transform(_with_parent(rows, parents, used, bucket)))))
     return LevelModel(n, PipelineModel([encoding, assembler, model]), list(indexer.labels), parents)
 
 
@@ -589,7 +625,8 @@ def fit_multihead(df: DataFrame, max_level: int = 4, text: str = "text", key: st
     columns = [key, text, *[f"level{n}" for n in range(1, max_level + 1)]]
     usable = next((n for n in range(1, max_level + 1) if reasons.get(n) == "train"), 1)
     split = tr.stratified_split(df.select(*columns), f"level{usable}", fraction, seed, key)
-    train = ngram_features(split.where(~F.col("is_validation")), text, num_features).persist()
+    train = split.where(~F.col("is_validation"))
+    train = (train if estimator == "bayes" else ngram_features(train, text, num_features)).persist()
     models: dict[int, LevelModel] = {}
     skipped: dict[int, str] = {}
     for n in range(1, max_level + 1):
@@ -597,7 +634,7 @@ def fit_multihead(df: DataFrame, max_level: int = 4, text: str = "text", key: st
             skipped[n] = reasons.get(n, "no rows")
             continue
         frequent = tr.class_sizes(df, f"level{n}").where(F.col("n") >= min_count).select(f"level{n}")
-        models[n] = _fit_level(train, n, key, min_count, 1.0, seed, estimator, first=True, frequent=frequent)
+        models[n] = _fit_level(train, n, key, min_count, 1.0, seed, estimator, first=True, frequent=frequent, text=text, num_features=num_features)
     train.unpersist()
     if not models:
         raise ValueError(f"no level could be trained: {skipped}")

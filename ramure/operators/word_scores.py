@@ -38,13 +38,16 @@ class Weights:
 
 def weights(model: NaiveBayesModel, labels: Sequence[str], n_grams: int, vocabulary: Sequence[str] | None = None,
             parents: Sequence[str] | None = None) -> Weights:
-    """What is added up by a model whose classes are the labels; taken class by class, so that no second matrix is made."""
+    """What is added up by a model whose classes are the labels; a large matrix comes class by class, so that the driver makes no second one."""
     order = sorted(range(len(labels)), key=lambda i: labels[i].encode())
-    place = {i: at for at, i in enumerate(order)}
-    found = np.empty((model.numFeatures, len(labels)))
-    context, rows = SparkSession.active().sparkContext, model._java_obj.theta().rowIter()
-    for i in range(len(labels)):
-        found[:, place[i]] = _java2py(context, rows.next()).toArray()
+    if model.numFeatures * len(labels) <= KEPT:
+        found = np.ascontiguousarray(model.theta.toArray()[order].T)
+    else:
+        place = {i: at for at, i in enumerate(order)}
+        found = np.empty((model.numFeatures, len(labels)))
+        context, rows = SparkSession.active().sparkContext, model._java_obj.theta().rowIter()
+        for i in range(len(labels)):
+            found[:, place[i]] = _java2py(context, rows.next()).toArray()
     return Weights([labels[i] for i in order], model.pi.toArray()[order], found, list(vocabulary) if vocabulary else None, n_grams,
                    list(parents) if parents is not None else None)
 

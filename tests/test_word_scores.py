@@ -88,3 +88,47 @@ def test_ranks_do_not_sort_once_for_every_class(spark):
 def models_vector(name):
     from pyspark.ml.functions import array_to_vector
     return array_to_vector(F.col(name))
+
+
+@pytest.fixture(scope="module")
+def fed(rows):
+    """Rows with a code above and its confidence, some without, some unknown."""
+    code = F.when(F.col("id") % 4 == 0, "03").when(F.col("id") % 4 == 1, "01").when(F.col("id") % 4 == 2, "99")
+    return rows.withColumns({"__code": code, "__confidence": F.when(F.col("id") % 5 > 0, (F.col("id") % 11) / 10.0)}).cache()
+
+
+def test_level_model_is_that_of_spark_ml(fed):
+    fitted = models._fit_level(fed, 2, "id", 2, 0.5, 42, "bayes", first=False, num_features=1 << 9)
+    kept = models.tr.filter_rare(fed, "level2")
+    indexer, parents = models._indexer(kept, "level2"), list(models._indexer(kept, "level1").labels)
+    assert (fitted.labels, fitted.parents) == (list(indexer.labels), parents)
+    drawn = models.seeded_fraction(42, F.lit(2), F.col("id")) < 0.5
+    used = F.when(drawn & F.col("__code").isNotNull(), F.col("__code")).otherwise(F.col("level1"))
+    ready = models._with_parent(kept, parents, used, models.bucket_confidence(F.coalesce("__confidence", F.lit(0.9))))
+    encoding, assembler = fitted.stages.stages[:2]
+    features = assembler.transform(encoding.transform(models.ngram_features(indexer.transform(ready), num_features=1 << 9)))
+    expected = NaiveBayes(featuresCol="__all2", labelCol="__level2_index").fit(features)
+    found = fitted.stages.stages[2]
+    assert np.array_equal(found.theta.toArray(), expected.theta.toArray()) and np.array_equal(found.pi.toArray(), expected.pi.toArray())
+
+
+def test_codes_between_levels_are_those_of_spark_ml(fed):
+    fitted = models._fit_level(fed, 2, "id", 2, 0.5, 42, "bayes", first=False, num_features=1 << 9)
+    previous = F.struct(F.col("__code").alias("code"), F.coalesce("__confidence", F.lit(0.5)).alias("confidence"))
+    best = F.get(F.col("alternatives2"), F.lit(0))
+    plain = models._score_level(models.ngram_features(fed, num_features=1 << 9), fitted, previous, 1)
+    expected = values(plain, "id", "text", best["code"], F.round(best["confidence"], 9))
+    assert values(models._choose(fed, fitted, "text", 1 << 9), "id", "text", "__code", F.round("__confidence", 9)) == expected
+
+
+def test_nothing_is_predicted_when_all_levels_are_there(rows, tmp_path, monkeypatch):
+    settings = {"max_level": 2, "min_samples": 10, "num_features": 1 << 8}
+    stored = models.fit_hierarchical(rows, **settings, save_to=str(tmp_path / "m"))
+
+    def never(*_, **__):
+        raise AssertionError("predicted or fitted again")
+
+    for name in ("_choose", "_score_level", "_fit_level"):
+        monkeypatch.setattr(models, name, never)
+    resumed = models.fit_hierarchical(rows, **settings, resume_from=str(tmp_path / "m"))
+    assert {n: model.labels for n, model in resumed.levels.items()} == {n: model.labels for n, model in stored.levels.items()}
